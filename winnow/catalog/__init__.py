@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("basics",)
+MODULES = ("basics", "preparation", "features", "inference", "scores")
 
 
 def load():

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from winnow import roles as R
-from winnow.catalog.registry import TRAIN_CUTOFF, VAL_CUTOFF, lead_query, query, split_leads, view_sql
+from winnow.catalog.registry import TRAIN_CUTOFF, VAL_CUTOFF, lead_query, query, split_leads, union_sql
 from winnow.functions import scalar as S
 from winnow.operators import describe as D
 from winnow.operators import splits as SP
@@ -15,10 +15,6 @@ from winnow.sources import files
 from winnow.sources.tables import CATEGORICAL, NUMERIC, leads, table
 
 
-def union_sql(parts) -> str:
-    return "\nUNION ALL\n".join(parts)
-
-
 # ---------------------------------------------------------------- scans
 
 
@@ -172,12 +168,11 @@ def split_overlap_check(spark, path):
 
 
 @lead_query("union_splits", """
-SELECT lead_id, split, target AS target FROM (
-  SELECT lead_id, split, CAST(target AS BIGINT) AS target FROM splits WHERE split = 'train'
-  UNION ALL SELECT lead_id, split, CAST(NULL AS BIGINT) FROM splits WHERE split = 'test')""")
+SELECT lead_id, split, CAST(target AS VARCHAR) AS label FROM splits WHERE split = 'train'
+UNION ALL SELECT lead_id, split, CAST(NULL AS VARCHAR) AS label FROM splits WHERE split = 'test'""")
 def union_splits(spark, path):
-    df = split_leads(spark, path, "lead_id", "target").select("lead_id", "split", "target")
-    held = df.filter("split = 'test'").drop("target")
+    df = split_leads(spark, path, "lead_id", "target").select("lead_id", "split", F.col("target").cast("string").alias("label"))
+    held = df.filter("split = 'test'").drop("label")
     return df.filter("split = 'train'").unionByName(held, allowMissingColumns=True)
 
 

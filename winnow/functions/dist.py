@@ -10,6 +10,7 @@ import math
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 TINY = 1e-300
 STEPS = 500
@@ -102,21 +103,21 @@ def _rowwise(fn, *series: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def p_norm(z: pd.Series) -> pd.Series:
     return _rowwise(norm_two_sided, z)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def p_t(t: pd.Series, df: pd.Series) -> pd.Series:
     return _rowwise(t_two_sided, t, df)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def p_f(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return _rowwise(f_tail, f, d1, d2)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def p_chi2(x: pd.Series, df: pd.Series) -> pd.Series:
     return _rowwise(chi2_tail, x, df)
