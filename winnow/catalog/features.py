@@ -169,8 +169,8 @@ def rolling_daily_by_source(spark, path):
 
 
 def _ratio_sql(a: str, b: str) -> str:
-    return (f"round(coalesce(least(greatest(CAST({a} AS DOUBLE) / (CASE WHEN {b} = 0 THEN 1e-8::DOUBLE ELSE CAST({b} AS DOUBLE) END + 1e-8::DOUBLE),"
-            f" -1e6::DOUBLE), 1e6::DOUBLE), 0), 4) + 0 AS {a}_DIV_{b}")
+    return (f"round(CASE WHEN {a} IS NULL OR {b} IS NULL THEN 0 ELSE least(greatest(CAST({a} AS DOUBLE) / (CASE WHEN {b} = 0 THEN 1e-8::DOUBLE ELSE CAST({b} AS DOUBLE) END + 1e-8::DOUBLE),"
+            f" -1e6::DOUBLE), 1e6::DOUBLE) END, 4) + 0 AS {a}_DIV_{b}")
 
 
 @lead_query("pairwise_ratios", "SELECT lead_id, " + ",\n ".join(_ratio_sql(a, b) for a, b in combinations(NUMERIC, 2)) + " FROM leads", digits=4)
@@ -180,8 +180,8 @@ def pairwise_ratios(spark, path):
 
 
 @lead_query("pairwise_products", "SELECT lead_id, " + ",\n ".join(
-    f"round(coalesce(least(greatest(CAST({a} AS DOUBLE) * {b}, -1e9::DOUBLE), 1e9::DOUBLE), 0), 3) + 0 AS {a}_X_{b}"
-    for a, b in combinations(NUMERIC, 2)) + " FROM leads", digits=3)
+    f"round(CASE WHEN {a} IS NULL OR {b} IS NULL THEN 0 ELSE least(greatest(CAST({a} AS DOUBLE) * {b}, -1e9::DOUBLE), 1e9::DOUBLE) END, 6) + 0 AS {a}_X_{b}"
+    for a, b in combinations(NUMERIC, 2)) + " FROM leads", digits=6)
 def pairwise_products(spark, path):
     out = FE.pairwise_products(leads(spark, path, "lead_id", *NUMERIC), NUMERIC)
     return out.select("lead_id", *[c for c in out.columns if "_X_" in c])
