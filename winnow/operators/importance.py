@@ -1,12 +1,275 @@
-"""Importance tables (placeholder until models exist)."""
+"""Feature importance: attributions, permutation, folds, shadows, comparison."""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+
+import numpy as np
+import pandas as pd
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from winnow.operators.evaluation import auc_of, score_curve
+from winnow.operators.kernels import affine_donors, row_positions, stats_to_rows
+from winnow.operators.models import fit_family
+from winnow.operators.splits import row_kfold
+from winnow.session import scratch_path
+
+# ---------------------------------------------------------------- attributions
+
+
+def linear_importance(df: DataFrame, model, names: Sequence[str], features: str = "features") -> DataFrame:
+    """mean |w (x - mean x)|: the exact attribution of a linear margin."""
+    cells = df.select(vector_to_array(features).alias("x"))
+    w = model.coefficients.toArray()
+    means = cells.agg(*[F.avg(F.col("x")[i]).alias(f"m{i}") for i in range(len(w))]).first()
+    wide = cells.agg(*[
+        F.avg(F.abs((F.col("x")[i] - means[i]) * float(c))).alias(f"f{i}") for i, c in enumerate(w)
+    ])
+    slots = [str(i) for i in range(len(w))]
+    return stats_to_rows(wide, slots, {
+        "feature": lambda i: F.lit(names[int(i)]), "importance": lambda i: F.col(f"f{i}"),
+    }, name="slot").drop("slot")
+
+
+def tree_paths(model, spark) -> tuple[list, float]:
+    """Leaves of a tree ensemble as ``(value, [(feature, low, high, cover share)])``.
+
+    Read from the saved model; its size is the model's, not the data's. Conditions on one
+    feature along a path are merged into an interval ``low < x <= high``.
+    """
+    path = scratch_path(spark, "trees")
+    model.write().save(path)
+    nodes = spark.read.parquet(path + "/data").select("treeID", "nodeData.*").toPandas()
+    weights = dict(enumerate(model.treeWeights))
+    forest = model.hasParam("probabilityCol") and not model.hasParam("lossType")
+    leaves: list = []
+    base = 0.0
+    for tree, part in nodes.groupby("treeID"):
+        rows = {r.id: r for r in part.itertuples(index=False)}
+        scale = weights[tree] / (len(weights) if forest else 1)
+
+        def value(r) -> float:
+            if not forest:
+                return r.prediction * scale
+            stats = np.asarray(r.impurityStats, dtype=float)
+            return stats[1] / max(stats.sum(), 1e-300) * scale
+
+        def walk(i: int, conditions: dict) -> None:
+            nonlocal base
+            r = rows[i]
+            if r.leftChild < 0:
+                leaves.append((value(r), [(f, lo, hi, share) for f, (lo, hi, share) in conditions.items()]))
+                base += value(r) * math.prod(share for *_, share in conditions.values())
+                return
+            f, cut = r.split["featureIndex"], float(r.split["leftCategoriesOrThreshold"][0])
+            for child, left in ((r.leftChild, True), (r.rightChild, False)):
+                lo, hi, share = conditions.get(f, (-math.inf, math.inf, 1.0))
+                share *= rows[child].rawCount / r.rawCount
+                bounds = (lo, min(hi, cut), share) if left else (max(lo, cut), hi, share)
+                walk(child, {**conditions, f: bounds})
+
+        walk(0, {})
+    return leaves, base
+
+
+def attribute(x: np.ndarray, leaves: list) -> np.ndarray:
+    """Path-dependent Shapley values of a batch of rows, leaf by leaf.
+
+    On a leaf's path each feature either holds for the row or keeps its cover share; the
+    sum over coalitions by size is a polynomial product.
+    """
+    phi = np.zeros_like(x, dtype=float)
+    for value, path in leaves:
+        m = len(path)
+        if m == 0:
+            continue
+        holds = [((x[:, f] > lo) & (x[:, f] <= hi)).astype(float) for f, lo, hi, _ in path]
+        size_weight = [math.factorial(s) * math.factorial(m - s - 1) / math.factorial(m) for s in range(m)]
+        for j, (f, _, _, share) in enumerate(path):
+            poly = np.zeros((len(x), m))
+            poly[:, 0] = 1.0
+            for k, (*_, z) in enumerate(path):
+                if k != j:
+                    poly[:, 1:] = poly[:, 1:] * z + poly[:, :-1] * holds[k][:, None]
+                    poly[:, 0] *= z
+            phi[:, f] += value * (holds[j] - share) * (poly @ np.array(size_weight))
+    return phi
+
+
+def tree_importance(df: DataFrame, model, names: Sequence[str], features: str = "features") -> DataFrame:
+    """mean |attribution| per feature over all rows; batches are reduced before they leave the task."""
+    spark = df.sparkSession
+    leaves, _ = tree_paths(model, spark)
+    shared = spark.sparkContext.broadcast(leaves)  # one entry per leaf
+    width = len(names)
+
+    def batches(frames):
+        for pdf in frames:
+            if len(pdf):
+                phi = np.abs(attribute(np.stack(pdf["x"].to_numpy()), shared.value))
+                yield pd.DataFrame({"slot": np.arange(width), "total": phi.sum(axis=0), "n": len(pdf)})
+
+    parts = df.select(vector_to_array(features).alias("x")).mapInPandas(batches, "slot int, total double, n long")
+    label = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("slot") + 1)
+    return parts.groupBy("slot").agg((F.sum("total") / F.sum("n")).alias("importance")).select(label.alias("feature"), "importance")
+
+
+def attribution_importance(df: DataFrame, model, names: Sequence[str], features: str = "features") -> DataFrame:
+    kind = tree_importance if hasattr(model, "treeWeights") else linear_importance
+    return kind(df, model, names, features)
+
+
+# ---------------------------------------------------------------- permutation
+
+
+def _indexed(df: DataFrame, row_id: str) -> tuple[DataFrame, int]:
+    return row_positions(df, row_id, row_id, out="_i"), df.count()
+
+
+def donor(index, n: int, seed: int):
+    """Row whose values the row takes: a bijection of 0..n-1."""
+    a, b = affine_donors(n, seed)
+    return ((index * F.lit(a).cast("long") + F.lit(b).cast("long")) % F.lit(n).cast("long")).cast("long")
+
+
+def permutation_importance(
+    df: DataFrame, columns: Sequence[str], score: Callable[[DataFrame], DataFrame], label: str, row_id: str,
+    repeats: int = 5, seed: int = 42,
+) -> DataFrame:
+    """Mean and spread of the AUC lost when one column is shuffled.
+
+    ``score`` adds ``p`` from the raw columns. Every (column, repeat) takes its values from
+    a donor row found by an equi-join on the shuffled index, all of them in one long pass.
+    """
+    indexed, n = _indexed(df.select(row_id, label, *columns), row_id)
+    cells = F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.lit(r).alias("repeat"), donor(F.col("_i"), n, seed + 1000 * j + r).alias("_from"))
+        for j, c in enumerate(columns) for r in range(repeats)
+    ])
+    donors = indexed.select(F.col("_i").alias("_from"), *[F.col(c).alias("_d_" + c) for c in columns])
+    swapped = indexed.select(row_id, label, *columns, F.inline(cells)).join(donors, "_from").select(
+        row_id, label, "feature", "repeat",
+        *[F.when(F.col("feature") == c, F.col("_d_" + c)).otherwise(F.col(c)).alias(c) for c in columns],
+    )
+    base = score_curve(score(df), "p", label).agg(auc_of().alias("auc")).first()["auc"]
+    lost = (
+        score_curve(score(swapped), "p", label, ["feature", "repeat"]).groupBy("feature", "repeat")
+        .agg((F.lit(base) - auc_of()).alias("drop"))
+    )
+    return lost.groupBy("feature").agg(
+        F.avg("drop").alias("importance"), F.coalesce(F.stddev_samp("drop"), F.lit(0.0)).alias("std")
+    )
 
-def combine_methods(methods):
+
+# ---------------------------------------------------------------- folds
+
+
+def fold_importances(df: DataFrame, family: str, names: Sequence[str], row_id: str, features: str = "features",
+                     label: str = "label", folds: int = 5, seed: int = 42, **params) -> DataFrame:
+    """(feature, fold, importance): a model per fold, attributed over all rows."""
+    dealt = row_kfold(df, row_id, folds, seed)
+    out = None
+    for k in range(folds):
+        fitted = fit_family(dealt.filter(F.col("fold") != k), family, features, label, seed=seed, **params)
+        one = attribution_importance(df, fitted.model, names, features).withColumn("fold", F.lit(k))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def importance_stability(importances: DataFrame) -> DataFrame:
+    """mean, sample std and stability = clip(1 - std / mean, 0, 1) over folds."""
+    table = importances.groupBy("feature").agg(
+        F.avg("importance").alias("mean_importance"), F.stddev_samp("importance").alias("std_importance")
+    )
+    stability = 1.0 - F.col("std_importance") / (F.col("mean_importance") + 1e-10)
+    return table.withColumn("stability", F.least(F.greatest(stability, F.lit(0.0)), F.lit(1.0)))
+
+
+def select_features(table: DataFrame, threshold: float = 0.6, top_k: int | None = None) -> DataFrame:
+    ordered = table.orderBy(F.desc("mean_importance"), "feature")
+    return ordered.filter(F.col("stability") >= threshold) if top_k is None else ordered.limit(top_k)
+
+
+# ---------------------------------------------------------------- shadows
+
+
+def binomial_tail(hits: int, trials: int) -> float:
+    """P(X >= hits) for fair coin flips."""
+    return sum(math.comb(trials, k) for k in range(hits, trials + 1)) / 2.0**trials
+
+
+def shadow_selection(df: DataFrame, columns: Sequence[str], label: str, row_id: str, rounds: int = 20, alpha: float = 0.05,
+                     seed: int = 42, **params) -> DataFrame:
+    """(feature, hits, importance, decision): columns that beat the best shuffled copy.
+
+    Each round joins every row to a donor row for its shadow values and fits one forest.
+    A column is confirmed or rejected when its hits are unlikely under a fair coin.
+    """
+    from pyspark.ml.feature import VectorAssembler
+
+    indexed, n = _indexed(df.select(row_id, label, *columns), row_id)
+    shadows = [f"shadow_{c}" for c in columns]
+    hits, last = dict.fromkeys(columns, 0), {}
+    for r in range(rounds):
+        donors = indexed.select(F.col("_i").alias("_from"), *[F.col(c).alias(f"shadow_{c}") for c in columns])
+        rows = indexed.withColumn("_from", donor(F.col("_i"), n, seed + r)).join(donors, "_from")
+        rows = VectorAssembler(inputCols=[*columns, *shadows], outputCol="features").transform(rows)
+        values = fit_family(rows, "random_forest", "features", label, seed=seed + r, **params).model.featureImportances.toArray()
+        bar = max(values[len(columns):])
+        for c, v in zip(columns, values):
+            hits[c] += int(v > bar)
+            last[c] = float(v)
+    limit = alpha / max(len(columns), 1)
+
+    def decision(h: int) -> str:
+        if binomial_tail(h, rounds) < limit:
+            return "confirmed"
+        return "rejected" if binomial_tail(rounds - h, rounds) < limit else "tentative"
+
+    rows = [(c, hits[c], last[c], decision(hits[c])) for c in columns]
+    return df.sparkSession.createDataFrame(rows, "feature string, hits int, importance double, decision string")
+
+
+# ---------------------------------------------------------------- comparing methods
+
+
+def combine_methods(methods: Mapping[str, DataFrame]) -> DataFrame:
+    """Full outer join on feature with the mean of the importances present."""
     named = [df.select("feature", F.col("importance").alias(f"importance_{k}")) for k, df in methods.items()]
     out = reduce(lambda a, b: a.join(b, "feature", "full_outer"), named)
     cells = [F.col(f"importance_{k}") for k in methods]
-    n = sum((c.isNotNull().cast("int") for c in cells), F.lit(0))
+    present = sum((c.isNotNull().cast("int") for c in cells), F.lit(0))
     total = sum((F.coalesce(c, F.lit(0.0)) for c in cells), F.lit(0.0))
-    return out.withColumn("mean_importance", total / n)
+    return out.withColumn("mean_importance", total / present)
+
+
+def method_ranks(importances: DataFrame) -> DataFrame:
+    """``(method, feature, importance)`` -> rank 1..n within each method."""
+    from winnow.operators.selection import rank_within
+
+    return rank_within(importances, "method", "importance", "feature")
+
+
+def rank_agreement(ranks: DataFrame, a: str, b: str) -> DataFrame:
+    """Spearman correlation of two methods' ranks; a feature one method lacks ranks last + 1."""
+    worst = ranks.filter(F.col("method").isin(a, b)).agg(F.max("rank") + 1).scalar()
+    pick = lambda m, n: ranks.filter(F.col("method") == m).select("feature", F.col("rank").alias(n))
+    both = pick(a, "ra").join(pick(b, "rb"), "feature", "full_outer").select(
+        F.coalesce("ra", worst).cast("double").alias("ra"), F.coalesce("rb", worst).cast("double").alias("rb")
+    )
+    from winnow.operators.stat_tests import average_ranks
+
+    fine = both.join(average_ranks(both, [], "ra").withColumnRenamed("rank", "xa"), "ra").join(
+        average_ranks(both, [], "rb").withColumnRenamed("rank", "xb"), "rb"
+    )
+    return fine.agg(F.corr("xa", "xb").alias("r"))
+
+
+def top_overlap(ranks: DataFrame, a: str, b: str, k: int = 20) -> DataFrame:
+    """Features among the best ``k`` of both methods."""
+    best = lambda m: ranks.filter((F.col("method") == m) & (F.col("rank") <= k)).select("feature")
+    return best(a).intersect(best(b))
