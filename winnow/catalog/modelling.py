@@ -182,9 +182,9 @@ def oversample_replicate(spark, path):
 WEIGHTS, INTERCEPT = {"price": 1.5, "balance": -0.8, "quantity": 0.4}, -1.2
 
 
-def _inputs(df):
+def _inputs(df, *more):
     return df.select(
-        "lead_id", (F.col("total_price") / 200000.0).alias("price"), (F.col("acctbal") / 5000.0).alias("balance"),
+        "lead_id", *more, (F.col("total_price") / 200000.0).alias("price"), (F.col("acctbal") / 5000.0).alias("balance"),
         (F.coalesce("qty_sum", F.lit(0.0)) / 100.0).alias("quantity"),
     )
 
@@ -251,8 +251,7 @@ SELECT CASE WHEN p < 0.25 THEN 'Low' WHEN p < 0.75 THEN 'Medium' ELSE 'High' END
 FROM p GROUP BY 1""")
 def segment_conversion_scored(spark, path):
     """Metrics beside the scores when the target is present."""
-    df = leads(spark, path, "lead_id", "total_price", "acctbal", "qty_sum", "target")
-    rows = _inputs(df).join(df.select("lead_id", "target"), "lead_id")
+    rows = _inputs(leads(spark, path, "lead_id", "total_price", "acctbal", "qty_sum", "target"), "target")
     scored = linear_scorer(WEIGHTS, INTERCEPT).transform(rows)
     return scored.groupBy(assign_segment(F.col("conversion_probability")).alias("segment")).agg(
         F.count(F.lit(1)).alias("count"), F.avg("target").alias("conv_rate")

@@ -274,7 +274,7 @@ def vector_encoder(numeric: Sequence[str], categorical: Sequence[str], out: str
         stages += [
             StringIndexer(inputCols=list(categorical), outputCols=index, handleInvalid="keep",
                           stringOrderType="alphabetAsc"),
-            OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True, handleInvalid="keep"),
+            OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True),
         ]
         parts += hot
     stages.append(VectorAssembler(inputCols=parts, outputCol=out))

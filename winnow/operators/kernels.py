@@ -122,32 +122,32 @@ def prefix_sums(
     if durable:
         df = pin(df)
     edges = order_edges(df, pieces_for(n, task_rows), *cols)
-    work = df.withColumn("_by", F.col(by).cast("double"))
-    work = point_gap_bucket(work, "_by", edges[0], "_b")
+    work = df.withColumn("_ps_by", F.col(by).cast("double"))
+    work = point_gap_bucket(work, "_ps_by", edges[0], "_ps_b")
     if tie:
-        work = point_gap_bucket(work.withColumn("_tie", F.col(tie).cast("double")), "_tie", edges[1], "_t")
-        work = work.withColumn("_t", F.when(F.col("_b") % 2 == 1, F.col("_t")).otherwise(0))
+        work = point_gap_bucket(work.withColumn("_ps_tie", F.col(tie).cast("double")), "_ps_tie", edges[1], "_ps_t")
+        work = work.withColumn("_ps_t", F.when(F.col("_ps_b") % 2 == 1, F.col("_ps_t")).otherwise(0))
     else:
-        work = work.withColumn("_t", F.lit(0))
-    slot = [*keys, "_b", "_t"]
+        work = work.withColumn("_ps_t", F.lit(0))
+    slot = [*keys, "_ps_b", "_ps_t"]
     totals = work.groupBy(*slot).agg(
         *[F.sum(v).alias(k) for k, v in values.items()], *[F.max(v).alias(k) for k, v in maxima.items()]
     )
-    ahead = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_b", "_t").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_ps_b", "_ps_t").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *[F.col(c).alias("_o" + c) for c in slot],
-        *[F.coalesce(F.sum(k).over(ahead), F.lit(0)).alias("_o_" + k) for k in values],
-        *[F.max(k).over(ahead).alias("_o_" + k) for k in maxima],
+        *[F.col(c).alias("_ps_o" + c) for c in slot],
+        *[F.coalesce(F.sum(k).over(ahead), F.lit(0)).alias("_ps_o_" + k) for k in values],
+        *[F.max(k).over(ahead).alias("_ps_o_" + k) for k in maxima],
     )
     inside = Window.partitionBy(*slot).orderBy(*cols).rowsBetween(Window.unboundedPreceding, -1)
     local = work.select(
-        "*", *[F.coalesce(F.sum(v).over(inside), F.lit(0)).alias("_l_" + k) for k, v in values.items()],
-        *[F.max(v).over(inside).alias("_l_" + k) for k, v in maxima.items()],
+        "*", *[F.coalesce(F.sum(v).over(inside), F.lit(0)).alias("_ps_l_" + k) for k, v in values.items()],
+        *[F.max(v).over(inside).alias("_ps_l_" + k) for k, v in maxima.items()],
     )
-    on = [local[c].eqNullSafe(offsets["_o" + c]) for c in slot]
+    on = [local[c].eqNullSafe(offsets["_ps_o" + c]) for c in slot]
     return local.join(offsets, on).select(
-        *df.columns, *[(F.col("_l_" + k) + F.col("_o_" + k)).alias(k) for k in values],
-        *[F.greatest(F.col("_l_" + k), F.col("_o_" + k)).alias(k) for k in maxima],
+        *df.columns, *[(F.col("_ps_l_" + k) + F.col("_ps_o_" + k)).alias(k) for k in values],
+        *[F.greatest(F.col("_ps_l_" + k), F.col("_ps_o_" + k)).alias(k) for k in maxima],
     )
 
 
