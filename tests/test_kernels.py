@@ -121,3 +121,20 @@ def test_spearman_with_nulls_and_ties(spark, task_rows):
         ok = pdf[[a, b]].dropna().rank()
         assert r == pytest.approx(ok[a].corr(ok[b]), abs=1e-9)
     assert len(got) == 3
+
+
+def test_many_pairs_in_one_pass(spark):
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame(rng.normal(size=(300, 5)) + 1e6, columns=list("abcde"))
+    pdf["b"] += 3 * pdf["a"]
+    pdf["c"] = pdf["c"].where(rng.random(300) < 0.7)
+    pdf["d"] = pdf["d"].where(rng.random(300) < 0.8)
+    pdf["e"] = 4.0
+    df = spark.createDataFrame(pdf).repartition(6).replace(float("nan"), None)
+    pairs = [(x, y) for i, x in enumerate("abcde") for y in "abcde"[i + 1:]]
+    want = pdf.corr()
+    for few in (0, 100):
+        got = {(r["feature_a"], r["feature_b"]): r["r"] for r in K.pairwise_corr(df, pairs, few).collect()}
+        assert set(got) == set(pairs)
+        for (x, y), r in got.items():
+            assert (r is None) if "e" in (x, y) else r == pytest.approx(want.loc[x, y], abs=1e-9)

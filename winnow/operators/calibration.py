@@ -9,7 +9,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from winnow.functions.scalar import (
@@ -136,11 +136,11 @@ def bin_stats(df: DataFrame, score: str, label: str, edges: Sequence[float] = SE
     """Right-closed bins: count, mean label and score, range, percent and signed error."""
     binned = df.select(cut_right_closed(F.col(score), edges, labels).alias("bin"), F.col(score).alias("p"),
                        F.col(label).alias("y")).filter("bin IS NOT NULL")
-    total = binned.agg(F.count(F.lit(1))).scalar()
     stats = binned.groupBy("bin").agg(
         F.count("y").alias("count"), F.avg("y").alias("mean_true"), F.avg("p").alias("mean_pred"),
         F.min("p").alias("min_pred"), F.max("p").alias("max_pred"),
     )
+    total = F.sum("count").over(Window.partitionBy(F.lit(0)))  # one row per label
     return stats.select("*", (100.0 * F.col("count") / total).alias("percent"),
                         (F.col("mean_true") - F.col("mean_pred")).alias("calibration_error"))
 

@@ -111,7 +111,9 @@ class BasicCleaner:
             for c in numeric:
                 model.bounds[c] = tuple(at(c, p) for p in self.winsorize_limits)
         elif method == "iforest":
-            self._fit_forest(train, numeric, model)
+            held = train.select(*numeric).persist()  # four scans per column
+            self._fit_forest(held, numeric, model)
+            held.unpersist()
         return model
 
     # ------------------------------------------------------------ isolation forest

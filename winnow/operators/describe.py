@@ -49,12 +49,9 @@ def _stack(parts: list[DataFrame]) -> DataFrame:
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, value, count, pct of all rows) for every categorical column, one shuffle."""
     long = unpivot(df, columns, dtype="string").groupBy("feature", "value").agg(F.count(F.lit(1)).alias("count"))
-    # every row contributes once per feature, so the feature total is the row count
-    total = long.groupBy("feature").agg(F.sum("count").alias("total"))
-    return (
-        long.join(total, "feature").filter("value IS NOT NULL")
-        .select("feature", "value", "count", (100.0 * F.col("count") / F.col("total")).alias("pct"))
-    )
+    # every row counts once per feature
+    total = long.filter(F.col("feature") == columns[0]).agg(F.sum("count")).scalar()
+    return long.filter("value IS NOT NULL").select("feature", "value", "count", _share(total, F.col("count")).alias("pct"))
 
 
 def missing_stats(df: DataFrame) -> DataFrame:
@@ -74,7 +71,7 @@ def _share(total: Column, part: Column) -> Column:
 
 def target_distribution(df: DataFrame, target: str) -> DataFrame:
     counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("count"))
-    return counts.select(target, "count", _share(F.sum("count").over(Window.partitionBy(F.lit(0))), F.col("count")).alias("pct"))
+    return counts.select(target, "count", _share(counts.agg(F.sum("count")).scalar(), F.col("count")).alias("pct"))
 
 
 def conversion_by(df: DataFrame, key: str, target: str) -> DataFrame:
@@ -84,7 +81,7 @@ def conversion_by(df: DataFrame, key: str, target: str) -> DataFrame:
     through a single task.
     """
     rows = df.groupBy(key).agg(F.count(F.lit(1)).alias("count"), F.sum(target).alias("converted"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = rows.agg(F.sum("count")).scalar()
     return (
         rows.select(key, "count", "converted", (F.col("converted") / F.col("count")).alias("rate"),
                     _share(total, F.col("count")).alias("pct_total"))

@@ -53,15 +53,14 @@ def average_precision(df: DataFrame, score: str, label: str, **kw) -> DataFrame:
 def roc_points(df: DataFrame, score: str, label: str, **kw) -> DataFrame:
     """(threshold, fpr, tpr) per distinct score."""
     curve = score_curve(df, score, label, **kw)
-    total = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).select(F.col(label).cast("double").alias("y"))
-    p, n = total.agg(F.sum("y")).scalar(), total.agg(F.sum(1 - F.col("y"))).scalar()
+    p, n = (curve.agg(F.max(c).cast("double")).scalar() for c in ("tp", "fp"))
     return curve.select("threshold", (F.col("fp") / n).alias("fpr"), (F.col("tp") / p).alias("tpr"))
 
 
 def pr_points(df: DataFrame, score: str, label: str, **kw) -> DataFrame:
     """(threshold, precision, recall) per distinct score."""
     curve = score_curve(df, score, label, **kw)
-    total = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).agg(F.sum(F.col(label).cast("double"))).scalar()
+    total = curve.agg(F.max("tp").cast("double")).scalar()
     return curve.select(
         "threshold", (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"), (F.col("tp") / total).alias("recall")
     )
@@ -157,10 +156,11 @@ def decile_lift(df: DataFrame, score: str, label: str, row_id: str) -> DataFrame
 def lift_table(df: DataFrame, segment: str, label: str) -> DataFrame:
     """Rows, rate, lift over the base rate and share of all rows per segment."""
     seg = df.filter(F.col(segment).isNotNull() & F.col(label).isNotNull())
-    base = seg.agg(F.avg(label)).scalar()
-    total = seg.agg(F.count(F.lit(1))).scalar()
-    return seg.groupBy(segment).agg(F.count(F.lit(1)).alias("count"), F.avg(label).alias("conv_rate")).select(
-        segment, "count", "conv_rate", (F.col("conv_rate") / F.nullif(base, F.lit(0.0))).alias("lift"),
+    counts = seg.groupBy(segment).agg(F.count(F.lit(1)).alias("count"), F.sum(F.col(label).cast("double")).alias("_y"))
+    total, hits = counts.agg(F.sum("count")).scalar(), counts.agg(F.sum("_y")).scalar()
+    rate = F.col("_y") / F.col("count")
+    return counts.select(
+        segment, "count", rate.alias("conv_rate"), (rate / F.nullif(hits / total, F.lit(0.0))).alias("lift"),
         (100.0 * F.col("count") / total).alias("pct_total"),
     )
 

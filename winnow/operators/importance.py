@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from winnow.operators.evaluation import auc_of, score_curve
-from winnow.operators.kernels import affine_donors, row_positions, stats_to_rows
+from winnow.operators.kernels import affine_donors, row_positions, safe_corr, stats_to_rows
 from winnow.operators.models import fit_family
 from winnow.operators.splits import row_kfold
 from winnow.session import scratch_path
@@ -266,7 +266,7 @@ def rank_agreement(ranks: DataFrame, a: str, b: str) -> DataFrame:
     fine = both.join(average_ranks(both, [], "ra").withColumnRenamed("rank", "xa"), "ra").join(
         average_ranks(both, [], "rb").withColumnRenamed("rank", "xb"), "rb"
     )
-    return fine.agg(F.corr("xa", "xb").alias("r"))
+    return fine.agg(safe_corr(F.col("xa"), F.col("xb")).alias("r"))
 
 
 def top_overlap(ranks: DataFrame, a: str, b: str, k: int = 20) -> DataFrame:

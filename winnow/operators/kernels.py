@@ -11,6 +11,7 @@ import math
 from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,9 +20,10 @@ from winnow.session import pin
 
 TASK_ROWS = 1_000_000  # rows one task may order or buffer
 MAX_PIECES = 4096  # most buckets an order is cut into
-MAX_HOT_KEYS = 1024  # most keys treated one by one
+MAX_HOT_KEYS = 10_000  # most keys treated as hot
 GATHER_ROWS = 50_000  # most distinct values per column read back to finish a selection
 WIDE_LIMIT = 200  # aggregate expressions per job
+FEW_PAIRS = 60  # correlations computed side by side
 
 
 def chunks(items: Sequence, size: int = WIDE_LIMIT):
@@ -315,32 +317,91 @@ def contingency(df: DataFrame, categories: Sequence[str], target: str) -> DataFr
 
 
 def moments_by_group(df: DataFrame, numeric: Sequence[str], group: str) -> DataFrame:
-    """``(feature, grp, n, mean, var)`` for all numeric columns in one shuffle."""
-    long = unpivot(df, numeric, [F.col(group).cast("string").alias("grp")])
-    return (
-        long.filter("value IS NOT NULL AND grp IS NOT NULL").groupBy("feature", "grp")
-        .agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.var_samp("value").alias("var"))
-    )
-
+    """``(feature, grp, n, mean, var)`` for all numeric columns.
 
-def pairwise_corr(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """``(feature_a, feature_b, r)`` over rows where both are present; scans once per 200 pairs."""
+    The columns sit side by side in one aggregate, so a row is hashed once and not once per
+    column; the table is only turned to long form when it has one row per group.
+    """
     parts = []
-    for part in chunks(list(pairs)):
-        wide = df.agg(*[
-            F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(part)
+    for part in chunks(list(numeric), WIDE_LIMIT // 3):
+        wide = df.filter(F.col(group).isNotNull()).groupBy(F.col(group).cast("string").alias("grp")).agg(*[
+            e for i, c in enumerate(part) for e in (
+                F.count(c).alias(f"n{i}"), F.avg(F.col(c).cast("double")).alias(f"m{i}"),
+                F.var_samp(F.col(c).cast("double")).alias(f"v{i}"),
+            )
         ])
-        rows = F.array(*[
-            F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"r{i}").alias("r"))
-            for i, (a, b) in enumerate(part)
+        cells = F.array(*[
+            F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("n"), F.col(f"m{i}").alias("mean"), F.col(f"v{i}").alias("var"))
+            for i, c in enumerate(part)
         ])
-        parts.append(wide.select(F.inline(rows)))
+        parts.append(wide.select("grp", F.inline(cells)).filter("n > 0"))
     out = parts[0]
     for more in parts[1:]:
         out = out.unionByName(more)
     return out
 
 
+def safe_corr(a: Column, b: Column) -> Column:
+    """Pearson over rows where both are present; NULL when one side is constant.
+
+    The built-in ``corr`` divides by zero there, which is an error in ANSI mode.
+    """
+    a, b = a.cast("double"), b.cast("double")
+    spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
+    return F.covar_pop(a, b) / F.nullif(spread, F.lit(0.0))
+
+
+def pairwise_corr(df: DataFrame, pairs: Sequence[tuple[str, str]], few: int = FEW_PAIRS) -> DataFrame:
+    """``(feature_a, feature_b, r)`` over rows where both are present, in one scan.
+
+    A few pairs are JVM aggregates; many are read off one matrix of sums.
+    """
+    pairs = list(pairs)
+    if len(pairs) > few:
+        return _corr_by_sums(df, pairs)
+    wide = df.agg(*[safe_corr(F.col(a), F.col(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    rows = F.array(*[
+        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"r{i}").alias("r"))
+        for i, (a, b) in enumerate(pairs)
+    ])
+    return wide.select(F.inline(rows))
+
+
+def _corr_by_sums(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """All pairs in one pass: per batch four matrix products of the centred values and the
+    presence flags, added up by Spark. Centring first keeps the sums free of cancellation."""
+    columns = list(dict.fromkeys(c for pair in pairs for c in pair))
+    d = len(columns)
+    data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    means = np.concatenate([
+        np.array([v or 0.0 for v in data.agg(*[F.avg(c) for c in part]).first()]) for part in chunks(columns)
+    ])
+
+    def batches(frames):
+        total = None
+        for pdf in frames:
+            x = pdf.to_numpy(dtype=float) - means
+            here = ~np.isnan(x)
+            x, m = np.where(here, x, 0.0), here.astype(float)
+            sums = np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+            total = sums if total is None else total + sums
+        if total is not None:
+            yield pd.DataFrame({"i": np.arange(d), **{k: list(total[j]) for j, k in enumerate("nstp")}})
+
+    arrays = ", ".join(f"{k} array<double>" for k in "nstp")
+    rows = data.mapInPandas(batches, f"i int, {arrays}").select("i", F.posexplode(F.arrays_zip(*"nstp")).alias("j", "v"))
+    sums = rows.groupBy("i", "j").agg(*[F.sum(F.col("v")[k]).alias(k) for k in "nstp"])
+    order = {c: k for k, c in enumerate(columns)}
+    wanted = df.sparkSession.createDataFrame(
+        [(order[a], order[b], a, b) for a, b in pairs], "i int, j int, feature_a string, feature_b string"
+    )
+    back = sums.select(F.col("i").alias("j"), F.col("j").alias("i"), F.col("s").alias("s2"), F.col("t").alias("t2"))
+    n, sa, sb = F.col("n"), F.col("s"), F.col("s2")
+    spread = (F.col("t") - sa * sa / F.nullif(n, F.lit(0.0))) * (F.col("t2") - sb * sb / F.nullif(n, F.lit(0.0)))
+    r = (F.col("p") - sa * sb / F.nullif(n, F.lit(0.0))) / F.nullif(F.sqrt(F.greatest(spread, F.lit(0.0))), F.lit(0.0))
+    return wanted.join(sums, ["i", "j"]).join(back, ["i", "j"]).select("feature_a", "feature_b", r.alias("r"))
+
+
 def affine_donors(n: int, seed: int) -> tuple[int, int]:
     """(a, b) such that ``i -> (a*i + b) mod n`` is a bijection on 0..n-1."""
     rng = np.random.default_rng(seed)

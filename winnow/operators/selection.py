@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from winnow.operators.describe import feature_profile
-from winnow.operators.kernels import chunks, exact_quantiles, pairwise_corr, stats_to_rows, unpivot
+from winnow.operators.kernels import chunks, exact_quantiles, pairwise_corr, safe_corr, stats_to_rows, unpivot
 from winnow.roles import ColumnRoles, categorical_columns, numeric_columns
 
 
@@ -138,9 +138,9 @@ def filled_target_corr(df: DataFrame, columns: Sequence[str], target: str) -> Da
     """|Pearson| of the median-filled column with the target."""
     medians = exact_quantiles(df, columns, (0.5,))
     parts = []
-    for part in chunks(list(columns)):
+    for part in chunks(list(columns), 60):
         wide = df.agg(*[
-            F.abs(F.corr(F.coalesce(_num(c), F.lit(medians[c][0])), _num(target))).alias(c) for c in part
+            F.abs(safe_corr(F.coalesce(_num(c), F.lit(medians[c][0])), _num(target))).alias(c) for c in part
         ])
         parts.append(stats_to_rows(wide, part, {"r": F.col}))
     return _concat(parts)
@@ -214,7 +214,18 @@ class SmartFeatureSelector:
     pca_components: int | None = None
     pca_variance: float = 0.95
 
-    def fit(self, train: DataFrame, roles: ColumnRoles) -> SelectorModel:
+    def fit(self, train: DataFrame, roles: ColumnRoles, keep_cached: bool = False) -> SelectorModel:
+        """The steps scan the table about ten times, so it is cached meanwhile (memory, then
+        disk) unless the caller already did."""
+        if keep_cached:
+            return self._fit(train, roles)
+        held = train.persist()
+        try:
+            return self._fit(held, roles)
+        finally:
+            held.unpersist()
+
+    def _fit(self, train: DataFrame, roles: ColumnRoles) -> SelectorModel:
         numeric = numeric_columns(train, roles.reserved)
         categorical = categorical_columns(train, roles.reserved)
         order = [c for c in train.columns if c in numeric or c in categorical]

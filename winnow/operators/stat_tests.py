@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 from itertools import combinations
 
@@ -13,11 +14,13 @@ from pyspark.sql import functions as F
 
 from winnow.functions.dist import p_chi2, p_f, p_norm, p_t
 from winnow.operators.kernels import (
-    TASK_ROWS, chunks, contingency, moments_by_group, order_edges, pairwise_corr, pieces_for, point_gap_bucket,
-    prefix_sums, stats_to_rows,
+    chunks, contingency, moments_by_group, order_edges, pairwise_corr, pieces_for, point_gap_bucket,
+    prefix_sums, safe_corr, stats_to_rows,
 )
+from winnow.session import pin
 
 ALPHA = 0.05
+STRIPE_ROWS = 20_000  # points one numpy call counts, beyond which the plane is cut further
 
 
 def _flag(p: Column) -> Column:
@@ -262,7 +265,7 @@ def concordant(points: DataFrame, task_rows: int | None = None) -> int:
     holding one value contribute nothing on their own axis and are left out there, so
     ties never fill a stripe. No pair is ever written out.
     """
-    task_rows = task_rows or TASK_ROWS
+    task_rows = task_rows or STRIPE_ROWS
     n = points.count()
     if n <= task_rows:
         return _stripes(points.withColumn("s", F.lit(0)), "s") if n else 0
@@ -281,16 +284,15 @@ def concordant(points: DataFrame, task_rows: int | None = None) -> int:
 
 def kendall_pair(df: DataFrame, a: str, b: str, task_rows: int | None = None) -> float | None:
     """tau-b over all rows where both are present, ties weighted."""
-    points = (
+    points = pin(
         df.select(F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
         .filter("x IS NOT NULL AND y IS NOT NULL").groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
     )
-    twice = lambda c: F.sum(F.col(c).cast("decimal(38,0)") * (F.col(c) - 1)).alias("t")
-    n = points.agg(F.sum("w")).first()[0] or 0
-    ties = lambda t: int(t.first()["t"] or 0) // 2
-    tx = ties(points.groupBy("x").agg(F.sum("w").alias("w")).agg(twice("w")))
-    ty = ties(points.groupBy("y").agg(F.sum("w").alias("w")).agg(twice("w")))
-    txy = ties(points.agg(twice("w")))
+    pairs = F.col("w").cast("decimal(38,0)") * (F.col("w") - 1)
+    whole = points.agg(F.sum("w").alias("n"), F.sum(pairs).alias("t")).first()
+    along = lambda c: int(points.groupBy(c).agg(F.sum("w").alias("w")).agg(F.sum(pairs)).first()[0] or 0) // 2
+    n, txy = whole["n"] or 0, int(whole["t"] or 0) // 2
+    tx, ty = along("x"), along("y")
     all_pairs = n * (n - 1) // 2
     if all_pairs in (tx, ty):
         return None
@@ -300,7 +302,11 @@ def kendall_pair(df: DataFrame, a: str, b: str, task_rows: int | None = None) ->
 
 
 def kendall(df: DataFrame, columns: Sequence[str], task_rows: int | None = None) -> DataFrame:
-    rows = [(a, b, kendall_pair(df, a, b, task_rows)) for a, b in combinations(columns, 2)]
+    """Pairs are independent chains of jobs, so a few run side by side."""
+    pairs = list(combinations(columns, 2))
+    with ThreadPoolExecutor(4) as pool:
+        values = list(pool.map(lambda p: kendall_pair(df, *p, task_rows), pairs))
+    rows = [(a, b, v) for (a, b), v in zip(pairs, values)]
     return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, r double")
 
 
@@ -320,8 +326,8 @@ def high_corr_pairs(corr: DataFrame, min_corr: float = 0.05) -> DataFrame:
 
 def target_correlations(df: DataFrame, columns: Sequence[str], target: str, min_corr: float = 0.05) -> DataFrame:
     parts = []
-    for part in chunks(list(columns)):
-        wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in part])
+    for part in chunks(list(columns), 60):
+        wide = df.agg(*[safe_corr(F.col(c), F.col(target)).alias(c) for c in part])
         parts.append(stats_to_rows(wide, part, {"r": F.col}))
     out = parts[0]
     for more in parts[1:]:

@@ -16,14 +16,16 @@ from winnow.operators import importance as I
 from winnow.operators import stat_tests as ST
 from winnow.operators.calibration import bin_stats, choose_calibrator, compare_sets
 from winnow.operators.cleaning import BasicCleaner, CleanerModel
-from winnow.operators.evaluation import lift_table
+from winnow.operators.evaluation import evaluate_all, lift_table
 from winnow.operators.features import fit_account_totals, top_sources, vector_encoder
 from winnow.operators.imbalance import add_class_weights, needs_balancing, oversample
 from winnow.operators.models import estimator, fit_source_experts, model_importances, positive_probability, vector_names
 from winnow.operators.selection import SelectorModel, SmartFeatureSelector
 from winnow.operators.splits import split_report, time_group_split
+from winnow.operators.synthetic import smote
 from winnow.plans.scoring import Scorer, ScoringSpec
 from winnow.roles import ColumnRoles, categorical_columns, exclude_columns, measure_columns, numeric_columns
+from winnow.session import pin
 from winnow.sources.files import split_metadata, write_split
 
 
@@ -160,16 +162,17 @@ class Trained:
     selector: SelectorModel | None
     importances: DataFrame
     calibrator: str | None
-    metrics: dict[str, DataFrame]
 
 
 def train_job(df: DataFrame, roles: ColumnRoles, config: TrainConfig = TrainConfig(),
               cleaner: BasicCleaner | None = None) -> Trained:
-    """One fit: clean, derive, select, encode, balance, train, calibrate, evaluate.
+    """One fit: clean, derive, select, encode, balance, train, calibrate.
 
     The fitted chain is the one that scores later: training and scoring share every stage.
+    Train rows are cached between the steps (memory, then disk) and released at the end.
     """
     train, validation = only(df, "train").drop("split"), only(df, "validation").drop("split")
+    train = train.persist()
     clean_model = (cleaner or BasicCleaner()).fit(train, roles)
     measures = [c for c in measure_columns(train) if c not in roles.reserved]
     spec = ScoringSpec(
@@ -177,10 +180,10 @@ def train_job(df: DataFrame, roles: ColumnRoles, config: TrainConfig = TrainConf
     )
     totals = fit_account_totals(train, roles.group) if roles.group else None
     scorer = Scorer(spec, None, clean_model, totals)
-    derived = scorer.features(train)
+    derived = scorer.features(train).persist()
     selector = None
     if config.select:
-        selector = SmartFeatureSelector().fit(derived, roles)
+        selector = SmartFeatureSelector().fit(derived, roles, keep_cached=True)
         inputs = selector.kept
     else:
         inputs = [c for c in derived.columns if c not in roles.reserved]
@@ -194,31 +197,37 @@ def train_job(df: DataFrame, roles: ColumnRoles, config: TrainConfig = TrainConf
         elif config.balance == "oversample":
             rows = oversample(rows, "label", roles.ids[0], config.seed)
         elif config.balance == "smote":
-            from winnow.operators.synthetic import smote
-
             rows = smote(rows, "label", roles.ids[0], numeric, categorical, seed=config.seed)
+        else:
+            raise ValueError(f"unknown balance method {config.balance}")
     encoder = vector_encoder(numeric, categorical).fit(derived)
-    classifier = estimator(config.family, rows.count(), weight=weight, seed=config.seed, **config.params)
-    encoded = encoder.transform(rows)
-    fitted = classifier.fit(encoded)
-    scorer.model = PipelineModel([*encoder.stages, fitted])
+    encoded = encoder.transform(rows).select("features", "label", *([weight] if weight else [])).persist()
+    fitted = estimator(config.family, encoded.count(), weight=weight, seed=config.seed, **config.params).fit(encoded)
     names = vector_names(encoded)
+    for held in (encoded, derived, train):
+        held.unpersist()
+    scorer.model = PipelineModel([*encoder.stages, fitted])
     kind = None
     if config.calibrate:
-        raw = scorer.transform(validation, [roles.target]).select("raw_score", roles.target)
+        raw = scorer.transform(validation, [roles.target]).select("raw_score", roles.target).persist()
         scorer.calibrator, kind = choose_calibrator(raw, "raw_score", roles.target)
-    metrics = {}
+        raw.unpersist()
+    return Trained(scorer, selector, model_importances(fitted, names, df.sparkSession), kind)
+
+
+def evaluate_job(df: DataFrame, roles: ColumnRoles, scorer: Scorer) -> dict[str, DataFrame]:
+    """Metrics, bins and lift for validation and test, each on its own rows.
+
+    The scored rows are narrow and read many times, so they are written once.
+    """
+    out, sets = {}, {}
     for name in ("validation", "test"):
-        part = only(df, name).drop("split")
-        scored = scorer.transform(part, [roles.target])
-        metrics[name] = scorer.evaluate(part, roles.target)
-        metrics[f"{name}_bins"] = bin_stats(scored, "conversion_probability", roles.target)
-        metrics[f"{name}_lift"] = lift_table(scored, "segment", roles.target)
-    metrics["comparison"] = compare_sets(
-        {n: scorer.transform(only(df, n).drop("split"), [roles.target]) for n in ("validation", "test")},
-        "raw_score", "conversion_probability", roles.target,
-    )
-    return Trained(scorer, selector, model_importances(fitted, names, df.sparkSession), kind, metrics)
+        sets[name] = scored = pin(scorer.transform(only(df, name).drop("split"), [roles.target]))
+        out[name] = evaluate_all(scored, "conversion_probability", roles.target, roles.ids[0], scorer.spec.edges, scorer.spec.labels)
+        out[f"{name}_bins"] = bin_stats(scored, "conversion_probability", roles.target)
+        out[f"{name}_lift"] = lift_table(scored, "segment", roles.target)
+    out["comparison"] = compare_sets(sets, "raw_score", "conversion_probability", roles.target)
+    return out
 
 
 def score(df: DataFrame, scorer: Scorer, keep: Sequence[str] = ()) -> DataFrame:
@@ -251,4 +260,5 @@ def run_all(df: DataFrame, roles: ColumnRoles, split: SplitConfig = SplitConfig(
         out["selection"] = auto_select(cleaned, roles)
     if "train" not in skip:
         out["training"] = train_job(cleaned, roles, train)
+        out["evaluation"] = evaluate_job(cleaned, roles, out["training"].scorer)
     return out
