@@ -49,8 +49,8 @@ def _stack(parts: list[DataFrame]) -> DataFrame:
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, value, count, pct of all rows) for every categorical column, one shuffle."""
     long = unpivot(df, columns, dtype="string").groupBy("feature", "value").agg(F.count(F.lit(1)).alias("count"))
-    # every row counts once per feature
-    total = long.filter(F.col("feature") == columns[0]).agg(F.sum("count")).scalar()
+    # every row counts once per feature; the subquery reads the same exchange
+    total = long.agg(F.sum("count") / len(columns)).scalar()
     return long.filter("value IS NOT NULL").select("feature", "value", "count", _share(total, F.col("count")).alias("pct"))
 
 
@@ -81,7 +81,8 @@ def conversion_by(df: DataFrame, key: str, target: str) -> DataFrame:
     through a single task.
     """
     rows = df.groupBy(key).agg(F.count(F.lit(1)).alias("count"), F.sum(target).alias("converted"))
-    total = rows.agg(F.sum("count")).scalar()
+    # the unused second sum keeps the subquery's columns, and so its exchange, the same
+    total = rows.agg(F.struct(F.sum("count").alias("n"), F.sum("converted"))).scalar()["n"]
     return (
         rows.select(key, "count", "converted", (F.col("converted") / F.col("count")).alias("rate"),
                     _share(total, F.col("count")).alias("pct_total"))

@@ -17,7 +17,8 @@ from winnow.operators.kernels import exact_quantiles, order_statistics, prefix_s
 
 
 def score_curve(df: DataFrame, score: str, label: str, keys: Sequence[str] = (), task_rows: int | None = None) -> DataFrame:
-    """Per distinct score: pos, neg, and tp / fp counted at ``score >= threshold``."""
+    """Per distinct score: pos, neg, tp / fp counted at ``score >= threshold``, and the key's
+    positives and negatives ``p`` / ``n``."""
     keys = list(keys)
     hist = (
         df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
@@ -25,9 +26,12 @@ def score_curve(df: DataFrame, score: str, label: str, keys: Sequence[str] = (),
         .agg(F.sum(F.col(label).cast("long")).alias("pos"), F.sum(1 - F.col(label).cast("long")).alias("neg"))
         .withColumn("_down", -F.col("threshold"))
     )
-    above = prefix_sums(hist, keys, "_down", {"_p": F.col("pos"), "_n": F.col("neg")}, task_rows=task_rows, durable=True)
+    above = prefix_sums(
+        hist, keys, "_down", {"_p": F.col("pos"), "_n": F.col("neg")}, task_rows=task_rows, durable=True, totals=True
+    )
     return above.select(
-        *keys, "threshold", "pos", "neg", (F.col("_p") + F.col("pos")).alias("tp"), (F.col("_n") + F.col("neg")).alias("fp")
+        *keys, "threshold", "pos", "neg", (F.col("_p") + F.col("pos")).alias("tp"), (F.col("_n") + F.col("neg")).alias("fp"),
+        F.col("_p_total").alias("p"), F.col("_n_total").alias("n"),
     )
 
 
@@ -50,25 +54,30 @@ def average_precision(df: DataFrame, score: str, label: str, **kw) -> DataFrame:
     return score_curve(df, score, label, **kw).agg(average_precision_of().alias("average_precision"))
 
 
+def _share(part: str, whole: str) -> Column:
+    return F.col(part) / F.nullif(F.col(whole).cast("double"), F.lit(0.0))
+
+
 def roc_points(df: DataFrame, score: str, label: str, **kw) -> DataFrame:
     """(threshold, fpr, tpr) per distinct score."""
     curve = score_curve(df, score, label, **kw)
-    p, n = (curve.agg(F.max(c).cast("double")).scalar() for c in ("tp", "fp"))
-    return curve.select("threshold", (F.col("fp") / n).alias("fpr"), (F.col("tp") / p).alias("tpr"))
+    return curve.select("threshold", _share("fp", "n").alias("fpr"), _share("tp", "p").alias("tpr"))
 
 
 def pr_points(df: DataFrame, score: str, label: str, **kw) -> DataFrame:
     """(threshold, precision, recall) per distinct score."""
     curve = score_curve(df, score, label, **kw)
-    total = curve.agg(F.max("tp").cast("double")).scalar()
     return curve.select(
-        "threshold", (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"), (F.col("tp") / total).alias("recall")
+        "threshold", (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"), _share("tp", "p").alias("recall")
     )
 
 
+def ks_of() -> Column:
+    return F.max(F.abs(_share("tp", "p") - _share("fp", "n")))
+
+
 def ks(df: DataFrame, score: str, label: str, **kw) -> DataFrame:
-    points = roc_points(df, score, label, **kw)
-    return points.agg(F.max(F.abs(F.col("tpr") - F.col("fpr"))).alias("ks"))
+    return score_curve(df, score, label, **kw).agg(ks_of().alias("ks"))
 
 
 def brier_of(score: str, label: str) -> Column:
@@ -157,11 +166,12 @@ def lift_table(df: DataFrame, segment: str, label: str) -> DataFrame:
     """Rows, rate, lift over the base rate and share of all rows per segment."""
     seg = df.filter(F.col(segment).isNotNull() & F.col(label).isNotNull())
     counts = seg.groupBy(segment).agg(F.count(F.lit(1)).alias("count"), F.sum(F.col(label).cast("double")).alias("_y"))
-    total, hits = counts.agg(F.sum("count")).scalar(), counts.agg(F.sum("_y")).scalar()
+    # both totals in one subquery: it reads the same exchange as the table itself
+    whole = counts.agg(F.struct(F.sum("count").alias("n"), F.sum("_y").alias("y"))).scalar()
     rate = F.col("_y") / F.col("count")
     return counts.select(
-        segment, "count", rate.alias("conv_rate"), (rate / F.nullif(hits / total, F.lit(0.0))).alias("lift"),
-        (100.0 * F.col("count") / total).alias("pct_total"),
+        segment, "count", rate.alias("conv_rate"), (rate / F.nullif(whole["y"] / whole["n"], F.lit(0.0))).alias("lift"),
+        (100.0 * F.col("count") / whole["n"]).alias("pct_total"),
     )
 
 
@@ -226,10 +236,9 @@ def evaluate_all(
     """Long ``(metric, value)``: ranking, calibration, lift and per-segment rates."""
     curve = score_curve(df, score, label)
     seg = df.withColumn("_seg", assign_segment(F.col(score), edges, labels))
-    ranked = curve.agg(auc_of().alias("roc_auc"), average_precision_of().alias("pr_auc"))
+    ranked = curve.agg(auc_of().alias("roc_auc"), average_precision_of().alias("pr_auc"), ks_of().alias("ks"))
     single = [
-        stats_to_rows(ranked, ["roc_auc", "pr_auc"], {"value": F.col}, name="metric"),
-        ks(df, score, label).select(F.lit("ks").alias("metric"), F.col("ks").alias("value")),
+        stats_to_rows(ranked, ["roc_auc", "pr_auc", "ks"], {"value": F.col}, name="metric"),
         brier(df, score, label).select(F.lit("brier").alias("metric"), F.col("brier").alias("value")),
         ece_edges(df, score, label, edges).select(F.lit("ece").alias("metric"), F.col("ece").alias("value")),
         lift_at_k(df, score, label, row_id, top).select(

@@ -101,10 +101,12 @@ def prefix_sums(
     task_rows: int | None = None,
     durable: bool = False,
     maxima: Mapping[str, Column] | None = None,
+    totals: bool = False,
 ) -> DataFrame:
     """Exclusive running sums of ``values`` in the order ``(by, tie)`` within each key.
 
-    ``maxima`` are exclusive running maxima, NULL on a key's first row.
+    ``maxima`` are exclusive running maxima, NULL on a key's first row. ``totals`` adds the
+    key's whole sum of each value as ``<name>_total``.
 
     The order is cut into value buckets; totals of earlier buckets are added to a
     window inside the own bucket. ``tie`` (numeric, unique) further cuts values of
@@ -120,6 +122,7 @@ def prefix_sums(
         return df.select(
             "*", *[F.coalesce(F.sum(v).over(scope), F.lit(0)).alias(k) for k, v in values.items()],
             *[F.max(v).over(scope).alias(k) for k, v in maxima.items()],
+            *[F.sum(v).over(Window.partitionBy(*(keys or [F.lit(0)]))).alias(k + "_total") for k, v in values.items() if totals],
         )
     if durable:
         df = pin(df)
@@ -132,14 +135,16 @@ def prefix_sums(
     else:
         work = work.withColumn("_ps_t", F.lit(0))
     slot = [*keys, "_ps_b", "_ps_t"]
-    totals = work.groupBy(*slot).agg(
+    per_slot = work.groupBy(*slot).agg(
         *[F.sum(v).alias(k) for k, v in values.items()], *[F.max(v).alias(k) for k, v in maxima.items()]
     )
     ahead = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_ps_b", "_ps_t").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
+    whole = Window.partitionBy(*(keys or [F.lit(0)]))
+    offsets = per_slot.select(
         *[F.col(c).alias("_ps_o" + c) for c in slot],
         *[F.coalesce(F.sum(k).over(ahead), F.lit(0)).alias("_ps_o_" + k) for k in values],
         *[F.max(k).over(ahead).alias("_ps_o_" + k) for k in maxima],
+        *[F.sum(k).over(whole).alias(k + "_total") for k in values if totals],
     )
     inside = Window.partitionBy(*slot).orderBy(*cols).rowsBetween(Window.unboundedPreceding, -1)
     local = work.select(
@@ -150,6 +155,7 @@ def prefix_sums(
     return local.join(offsets, on).select(
         *df.columns, *[(F.col("_ps_l_" + k) + F.col("_ps_o_" + k)).alias(k) for k in values],
         *[F.greatest(F.col("_ps_l_" + k), F.col("_ps_o_" + k)).alias(k) for k in maxima],
+        *[F.col(k + "_total") for k in values if totals],
     )
 
 
