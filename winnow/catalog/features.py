@@ -214,3 +214,16 @@ def target_encode(spark, path):
     df = split_leads(spark, path, "lead_id", "record_type", "target")
     state = FE.fit_target_encoding(train_of(df), "record_type", "target")
     return state.transform(df).select("lead_id", "record_type", "record_type_te")
+
+
+HOT = "(PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL {} DAY PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)"
+
+
+@query("rolling_counts_hot", f"""
+SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS cum_leads_account,
+  count(*) OVER {HOT.format(1)} AS lead_cnt_1D, count(*) OVER {HOT.format(7)} AS lead_cnt_7D FROM events""")
+def rolling_counts_hot(spark, path):
+    """A handful of keys holding everything: each is cut into time buckets, none is one task."""
+    df = table(spark, path, "events").select("event_id", "event_type", "ts")
+    out = FE.account_history(df, "event_type", "ts", "event_id", (1, 7), task_rows=1000)
+    return out.select("event_id", "cum_leads_account", "lead_cnt_1D", "lead_cnt_7D")

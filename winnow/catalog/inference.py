@@ -101,6 +101,34 @@ def corr_pearson(spark, path):
     return ST.pearson(leads(spark, path, *NUMERIC), NUMERIC)
 
 
+@lead_query("corr_pearson_matrix", ROUND_R + _corr_sql() + ")")
+def corr_pearson_matrix(spark, path):
+    """The same table from one matrix of sums, the form used for many columns."""
+    from winnow.operators.kernels import pairwise_corr
+
+    return pairwise_corr(leads(spark, path, *NUMERIC), list(combinations(NUMERIC, 2)), few=0)
+
+
+@lead_query("top_target_matrix", """
+c AS (SELECT * FROM (VALUES """ + ", ".join(f"('{c}', (SELECT abs(corr({c}, target)) FROM leads))" for c in (*NUMERIC, "score")) + """) AS v(feature, r)
+  ORDER BY r DESC, feature LIMIT 3)
+SELECT feature_a, feature_b, round(r, 6) AS r FROM (SELECT least(a.feature, b.feature) AS x, greatest(a.feature, b.feature) AS y FROM c a, c b
+  WHERE a.feature < b.feature) p JOIN (""" + union_sql([f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, corr({a}, {b}) AS r FROM leads"
+    for a, b in combinations((*NUMERIC, "score"), 2)]) + """) m ON x = least(feature_a, feature_b) AND y = greatest(feature_a, feature_b)""")
+def top_target_matrix(spark, path):
+    from pyspark.sql import functions as F
+
+    columns = (*NUMERIC, "score")
+    out = ST.top_target_matrix(leads(spark, path, "target", *columns), columns, "target", 3)
+    # names in the order of the column list
+    order = F.array(*[F.lit(c) for c in columns])
+    swap = F.array_position(order, F.col("feature_a")) > F.array_position(order, F.col("feature_b"))
+    return out.select(
+        F.when(swap, F.col("feature_b")).otherwise(F.col("feature_a")).alias("feature_a"),
+        F.when(swap, F.col("feature_a")).otherwise(F.col("feature_b")).alias("feature_b"), "r",
+    )
+
+
 @lead_query("high_corr_pairs", f"SELECT * FROM ({ROUND_R}{_corr_sql()})) WHERE abs(r) >= 0.05")
 def high_corr_pairs(spark, path):
     return ST.high_corr_pairs(ST.pearson(leads(spark, path, *NUMERIC), NUMERIC))

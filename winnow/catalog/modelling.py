@@ -177,6 +177,31 @@ def oversample_replicate(spark, path):
     return IM.oversample(leads(spark, path, "lead_id", "target"), "target", "lead_id")
 
 
+@lead_query("undersample", """
+o AS (SELECT lead_id, target, row_number() OVER (PARTITION BY target ORDER BY substr(md5(concat(lead_id, '|42')), 1, 13), lead_id) - 1 AS pos,
+  count(*) OVER (PARTITION BY target) AS n FROM leads)
+SELECT lead_id, CAST(target AS BIGINT) AS target FROM o WHERE pos < (SELECT min(n) FROM o)""")
+def undersample(spark, path):
+    return IM.undersample(leads(spark, path, "lead_id", "target"), "target", "lead_id")
+
+
+@lead_query("smote_classes", """
+won AS (SELECT CASE WHEN score >= 0.85 THEN 1 ELSE 0 END AS label FROM leads),
+c AS (SELECT label, count(*) AS n FROM won GROUP BY label)
+SELECT CAST(label AS BIGINT) AS label, n AS observed, (SELECT max(n) FROM c) - n AS synthetic FROM c""")
+def smote_classes(spark, path):
+    """Rows per class after exact nearest-neighbour oversampling of the rare class."""
+    from winnow.operators.synthetic import smote
+
+    df = leads(spark, path, "lead_id", "score", "total_price", "acctbal", "source").withColumn(
+        "label", F.when(F.col("score") >= 0.85, 1).otherwise(0)
+    )
+    out = smote(df, "label", "lead_id", ("total_price", "acctbal"), ("source",))
+    return out.groupBy("label").agg(
+        F.count_if(F.col("synthetic") == 0).alias("observed"), F.count_if(F.col("synthetic") == 1).alias("synthetic")
+    )
+
+
 # ---------------------------------------------------------------- scoring
 
 WEIGHTS, INTERCEPT = {"price": 1.5, "balance": -0.8, "quantity": 0.4}, -1.2
@@ -233,6 +258,65 @@ def model_train_score(spark, path):
     return trained.scorer.transform(df.drop("split"), ["target"])
 
 
+def _encoded(spark, path):
+    """Whole leads, filled and assembled; the label follows price and quantity."""
+    from pyspark.ml.feature import VectorAssembler
+
+    df = leads(spark, path, "lead_id", "source", "target", "total_price", "acctbal", "qty_sum").select(
+        "lead_id", "source", (F.col("total_price") / 200000.0).alias("price"), (F.col("acctbal") / 5000.0).alias("balance"),
+        (F.coalesce("qty_sum", F.lit(0.0)) / 100.0).alias("quantity"), "target",
+    ).withColumn("label", (F.col("price") + 0.5 * F.col("quantity") + 0.3 * F.col("target") > 1.0).cast("int"))
+    return VectorAssembler(inputCols=["price", "balance", "quantity"], outputCol="features").transform(df)
+
+
+NAMES = ("price", "balance", "quantity")
+
+
+@query("tree_attribution")
+def tree_attribution(spark, path):
+    """Mean absolute Shapley value per feature of a boosted model, over all rows."""
+    from winnow.operators.models import fit_family
+
+    df = _encoded(spark, path)
+    fitted = fit_family(df, "lightgbm", trees=5, depth=3)
+    return I.attribution_importance(df, fitted.model, NAMES)
+
+
+@query("permutation_importance")
+def permutation_importance(spark, path):
+    """AUC lost when a column is shuffled over all rows."""
+    from pyspark.ml.feature import VectorAssembler
+
+    from winnow.operators.models import fit_family
+
+    df = _encoded(spark, path)
+    fitted = fit_family(df, "baseline_lr", max_iter=30)
+    assembler = VectorAssembler(inputCols=list(NAMES), outputCol="features")
+    score = lambda d: fitted.transform(assembler.transform(d), "p")
+    return I.permutation_importance(df.drop("features"), NAMES, score, "label", "lead_id", repeats=2)
+
+
+@query("voting_weights")
+def voting_weights(spark, path):
+    """AUC of every weighting of two models, scored in one pass."""
+    from winnow.operators import models as M
+
+    df = _encoded(spark, path)
+    fits = M.fit_families(df, {"baseline_lr": {"max_iter": 30}, "random_forest": {"trees": 5, "depth": 4}})
+    both, columns = M.add_probabilities(df, fits)
+    return M.candidate_scores(both, columns, "label", M.weight_candidates(2))
+
+
+@query("source_experts")
+def source_experts(spark, path):
+    """One model per source, the global model for the rest; every lead scored."""
+    from winnow.operators import models as M
+
+    df = _encoded(spark, path)
+    model = M.fit_source_experts(df, "source", ("1-URGENT", "2-HIGH", "3-MEDIUM"), "baseline_lr", max_iter=30)
+    return model.transform(df, "probability").select("lead_id", "source", "probability")
+
+
 @query("isolation_outliers")
 def isolation_outliers(spark, path):
     """Share of train values a fitted isolation forest would replace, per column."""

@@ -236,3 +236,21 @@ SELECT {SEG} AS segment_before, {SEG.replace('score', '(score * score)')} AS seg
 def segment_migration(spark, path):
     df = scored(spark, path).withColumn("squared", F.col("score") * F.col("score"))
     return C.segment_migration(df, "score", "squared")
+
+
+@lead_query("score_positions", """
+SELECT lead_id, row_number() OVER (ORDER BY score, lead_id) - 1 AS pos FROM leads""")
+def score_positions(spark, path):
+    """Global order of all rows from prefix counts over score buckets, never one window."""
+    from winnow.operators.kernels import row_positions
+
+    return row_positions(scored(spark, path), "score", "lead_id", task_rows=5000).select("lead_id", "pos")
+
+
+@lead_query("isotonic_mean", """
+SELECT count(*) AS n, round(avg(target), 6) AS mean_calibrated, round(avg(target), 6) AS mean_target FROM leads""")
+def isotonic_mean(spark, path):
+    """An isotonic fit keeps the mean: calibrated scores average to the conversion rate."""
+    df = scored(spark, path)
+    out = C.fit_isotonic(df, "score", "target").transform(df, "score")
+    return out.agg(F.count(F.lit(1)).alias("n"), F.avg("calibrated").alias("mean_calibrated"), F.avg("target").alias("mean_target"))

@@ -189,6 +189,12 @@ def importance_stability(importances: DataFrame) -> DataFrame:
     return table.withColumn("stability", F.least(F.greatest(stability, F.lit(0.0)), F.lit(1.0)))
 
 
+def fold_table(importances: DataFrame, folds: int) -> DataFrame:
+    """One column per fold, one row per feature: a pivot, not a join per fold."""
+    wide = importances.groupBy("feature").pivot("fold", list(range(folds))).agg(F.first("importance"))
+    return wide.select("feature", *[F.col(str(k)).alias(f"importance_fold_{k + 1}") for k in range(folds)])
+
+
 def select_features(table: DataFrame, threshold: float = 0.6, top_k: int | None = None) -> DataFrame:
     ordered = table.orderBy(F.desc("mean_importance"), "feature")
     return ordered.filter(F.col("stability") >= threshold) if top_k is None else ordered.limit(top_k)

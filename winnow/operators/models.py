@@ -72,7 +72,7 @@ class Fitted:
 
     def transform(self, df: DataFrame, out: str = "probability_1") -> DataFrame:
         rows = self.model.transform(df)
-        extra = [c for c in rows.columns if c not in df.columns]
+        extra = [c for c in rows.columns if c not in df.columns and c != out]
         return rows.withColumn(out, positive_probability(self.model)).drop(*extra)
 
 

@@ -335,3 +335,9 @@ def target_correlations(df: DataFrame, columns: Sequence[str], target: str, min_
     return out.filter(F.abs("r") >= min_corr).orderBy(F.desc(F.abs("r")), "feature")
 
 
+
+
+def top_target_matrix(df: DataFrame, columns: Sequence[str], target: str, top: int = 30) -> DataFrame:
+    """Pearson matrix of the ``top`` columns most correlated with the target."""
+    best = [r["feature"] for r in target_correlations(df, columns, target, 0.0).limit(top).collect()]
+    return pearson(df, best)

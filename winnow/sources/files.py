@@ -98,3 +98,15 @@ def split_metadata(df: DataFrame, cutoffs: Mapping[str, str], split: str = "spli
     """Cutoffs, row counts per set and the column list."""
     rows = {r[split]: r["count"] for r in df.groupBy(split).count().collect()}
     return {"cutoffs": dict(cutoffs), "rows": rows, "columns": [c for c in df.columns if c != split]}
+
+
+def write_tables(tables: Mapping[str, DataFrame], path: str, fmt: str = "parquet") -> None:
+    """One folder per result table."""
+    for name, table in tables.items():
+        table.write.mode("overwrite").format(fmt).save(f"{path}/{name}")
+
+
+def cache_parquet(df: DataFrame, path: str) -> DataFrame:
+    """Store a typed table once; later reads are columnar with pushdown."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
