@@ -190,8 +190,8 @@ def test_tree_attributions_add_up(spark, labelled, family, params):
     rows = labelled.limit(50).cache()
     x = np.array(rows.select("x0", "x1", "x2").collect(), dtype=float)
     phi = I.attribute(x, leaves)
-    out = fitted.model.transform(rows).select("rawPrediction", "probability").collect()
-    want = [r["rawPrediction"][1] if family == "lightgbm" else r["probability"][1] for r in out]
+    out = fitted.model.transform(rows).select("_m_raw", "_m_probability").collect()
+    want = [r["_m_raw"][1] if family == "lightgbm" else r["_m_probability"][1] for r in out]
     assert np.allclose(phi.sum(axis=1) + base, want, atol=1e-9)
     table = {r["feature"]: r["importance"] for r in I.tree_importance(labelled, fitted.model, ["x0", "x1", "x2"]).collect()}
     assert max(table, key=table.get) == "x0"

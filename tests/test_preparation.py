@@ -208,6 +208,24 @@ def test_account_history_with_a_hot_account(spark, task_rows):
         assert (out[c] == want[c]).all(), c
 
 
+def test_many_busy_accounts_and_missing_ones(spark, monkeypatch):
+    """More busy accounts than a literal list may hold; rows without account stand alone."""
+    monkeypatch.setattr(FE, "MAX_HOT_KEYS", 2)
+    rng = np.random.default_rng(12)
+    n = 300
+    pdf = pd.DataFrame({"id": np.arange(n), "account": rng.integers(0, 8, n).astype(float), "source": "Web",
+                        "t": pd.Timestamp("2024-01-01") + pd.to_timedelta(rng.integers(0, 50, n), unit="D")})
+    pdf.loc[:20, "account"] = np.nan
+    df = to_spark(spark, pdf)
+    out = FE.account_history(df, "account", "t", "id", (30,), frame_rows=30).toPandas().set_index("id").sort_index()
+    known = pdf.dropna(subset=["account"])
+    want = _history(known, (30,), [])
+    assert len(out) == n
+    assert (out.loc[want.index, list(want.columns)] == want).all().all()
+    alone = out.loc[:20]
+    assert (alone["cum_leads_account"] == 0).all() and (alone["days_since_prev_lead"] == -1).all() and (alone["lead_cnt_L1M"] == 0).all()
+
+
 def test_window_labels_and_repair():
     assert FE.valid_windows((0, -5, 90)) == [1, 1, 90]
     assert [FE.window_label(w) for w in (30, 90, 45)] == ["L1M", "L3M", "45D"]

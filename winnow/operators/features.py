@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from winnow.functions.scalar import DAY_US, clip, day_number, micros, month_start, parse_yearmonth, safe_ratio, temporal_parts
-from winnow.operators.kernels import exact_quantiles, hot_keys, prefix_sums
+from winnow.operators.kernels import MAX_HOT_KEYS, TASK_ROWS, exact_quantiles, prefix_sums
 
 WINDOWS = (30, 90, 180)
 MAX_LEVELS = 1000  # most levels a literal list may hold
+FRAME_ROWS = 500  # most rows of an account handled by sliding frames
 
 
 def q(name: str) -> Column:
@@ -47,33 +48,45 @@ def _hit(source: str, value: str | None) -> Column:
 
 def account_history(
     df: DataFrame, account: str, time: str, row_id: str, windows: Sequence[int] = (), source: str | None = None,
-    sources: Sequence[str] = (), task_rows: int | None = None,
+    sources: Sequence[str] = (), task_rows: int | None = None, frame_rows: int = FRAME_ROWS,
 ) -> DataFrame:
     """Per row: earlier leads of the account, days since the last one, and counts in ``[t-W, t)``.
 
-    Accounts that fit a task use one sort and window frames. Accounts beyond that are
-    cut into time buckets (prefix counts), so none is ever ordered by one task.
+    Small accounts use one sort and window frames; a sliding frame costs its own length per
+    row, so busy accounts read their counts off running totals instead, cut into time
+    buckets so that none is ordered by one task. A row without account has no history.
     """
     windows = valid_windows(windows)
-    hot = hot_keys(df, account, task_rows)
     rows = df.withColumn("_t", micros(F.col(time)))
-    cold = rows.filter(~F.col(account).isin(hot)) if hot else rows
-    out = _history_by_frames(cold, account, row_id, windows, source, sources)
-    if hot:
-        out = out.unionByName(
-            _history_by_prefix(rows.filter(F.col(account).isin(hot)), account, row_id, windows, source, sources, task_rows)
-        )
-    return out.drop("_t")
+    limit = min(frame_rows, task_rows or frame_rows) if windows else (task_rows or TASK_ROWS)
+    busy = (
+        df.filter(F.col(account).isNotNull()).groupBy(account).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
+        .select(account)
+    )
+    names = [r[0] for r in busy.limit(MAX_HOT_KEYS + 1).collect()]
+    if not names:
+        return _history_by_frames(rows, account, row_id, windows, source, sources).drop("_t")
+    if len(names) <= MAX_HOT_KEYS:
+        is_busy = F.coalesce(F.col(account).isin(names), F.lit(False))
+        calm, crowded = rows.filter(~is_busy), rows.filter(is_busy)
+    else:
+        calm, crowded = rows.join(busy, account, "left_anti"), rows.join(busy, account, "left_semi").select(*rows.columns)
+    return (
+        _history_by_frames(calm.select(*rows.columns), account, row_id, windows, source, sources)
+        .unionByName(_history_by_prefix(crowded, account, row_id, windows, source, sources, task_rows)).drop("_t")
+    )
 
 
 def _history_by_frames(rows, account, row_id, windows, source, sources) -> DataFrame:
-    ordered = Window.partitionBy(account).orderBy("_t", row_id)
+    # rows without account form no group: each stands alone
+    key = [account, F.when(F.col(account).isNull(), F.col(row_id))]
+    ordered = Window.partitionBy(*key).orderBy("_t", row_id)
     since = F.floor((F.col("_t") - F.lag("_t").over(ordered)) / DAY_US).cast("int")
     out = rows.select(
         "*", (F.row_number().over(ordered) - 1).alias("cum_leads_account"),
         F.coalesce(since, F.lit(-1)).alias("days_since_prev_lead"),
     )
-    by_time = Window.partitionBy(account).orderBy("_t")
+    by_time = Window.partitionBy(*key).orderBy("_t")
     return out.select("*", *[
         F.coalesce(F.sum(_hit(source, s)).over(by_time.rangeBetween(-w * DAY_US, -1)), F.lit(0)).cast("long").alias(name)
         for name, w, s in _counters(windows, sources)

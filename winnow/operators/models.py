@@ -37,7 +37,12 @@ def estimator(family: str, n: int, features: str = "features", label: str = "lab
               seed: int = 42, **params):
     """A Spark ML estimator; ``n`` is the number of training rows (the penalty is per row)."""
     p = {**DEFAULTS[family], **params}
-    names = {"featuresCol": features, "labelCol": label, **({"weightCol": weight} if weight else {})}
+    # own output names, so that models can be chained on one frame
+    names = {"featuresCol": features, "labelCol": label, "rawPredictionCol": "_m_raw", "predictionCol": "_m_class"}
+    if family != "svm":
+        names["probabilityCol"] = "_m_probability"
+    if weight:
+        names["weightCol"] = weight
     if family.endswith("_lr"):
         return LogisticRegression(
             **names, elasticNetParam=p["l1_ratio"], regParam=1.0 / (p["C"] * max(n, 1)), maxIter=p["max_iter"],
@@ -72,7 +77,7 @@ class Fitted:
 
     def transform(self, df: DataFrame, out: str = "probability_1") -> DataFrame:
         rows = self.model.transform(df)
-        extra = [c for c in rows.columns if c not in df.columns and c != out]
+        extra = [c for c in rows.columns if c not in df.columns ]
         return rows.withColumn(out, positive_probability(self.model)).drop(*extra)
 
 
@@ -265,7 +270,7 @@ def search(df: DataFrame, family: str, grid: Mapping[str, list], row_id: str, la
         return out
 
     maps = [spark_map(points[i]) for i in order]
-    evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
+    evaluator = BinaryClassificationEvaluator(rawPredictionCol="_m_raw", labelCol=label, metricName="areaUnderROC", numBins=0)
     cv = CrossValidator(estimator=est, estimatorParamMaps=maps or ParamGridBuilder().build(), evaluator=evaluator,
                         numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed)
     fitted = cv.fit(rows)
