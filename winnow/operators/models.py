@@ -33,16 +33,23 @@ DEFAULTS: dict[str, dict] = {
 MIN_SOURCE_ROWS = 50
 
 
+# output columns of a fitted model: own names, so that models can be chained on one frame
+OUTPUTS = {"rawPredictionCol": "_m_raw", "probabilityCol": "_m_probability", "predictionCol": "_m_class"}
+
+
 def estimator(family: str, n: int, features: str = "features", label: str = "label", weight: str | None = None,
               seed: int = 42, **params):
     """A Spark ML estimator; ``n`` is the number of training rows (the penalty is per row)."""
+    out = _estimator(family, n, features, label, weight, seed, **params)
+    for name, column in OUTPUTS.items():
+        if out.hasParam(name):
+            out.set(out.getParam(name), column)
+    return out
+
+
+def _estimator(family, n, features, label, weight, seed, **params):
     p = {**DEFAULTS[family], **params}
-    # own output names, so that models can be chained on one frame
-    names = {"featuresCol": features, "labelCol": label, "rawPredictionCol": "_m_raw", "predictionCol": "_m_class"}
-    if family != "svm":
-        names["probabilityCol"] = "_m_probability"
-    if weight:
-        names["weightCol"] = weight
+    names = {"featuresCol": features, "labelCol": label, **({"weightCol": weight} if weight else {})}
     if family.endswith("_lr"):
         return LogisticRegression(
             **names, elasticNetParam=p["l1_ratio"], regParam=1.0 / (p["C"] * max(n, 1)), maxIter=p["max_iter"],
@@ -270,7 +277,7 @@ def search(df: DataFrame, family: str, grid: Mapping[str, list], row_id: str, la
         return out
 
     maps = [spark_map(points[i]) for i in order]
-    evaluator = BinaryClassificationEvaluator(rawPredictionCol="_m_raw", labelCol=label, metricName="areaUnderROC", numBins=0)
+    evaluator = BinaryClassificationEvaluator(rawPredictionCol=OUTPUTS["rawPredictionCol"], labelCol=label, metricName="areaUnderROC", numBins=0)
     cv = CrossValidator(estimator=est, estimatorParamMaps=maps or ParamGridBuilder().build(), evaluator=evaluator,
                         numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed)
     fitted = cv.fit(rows)
