@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.ml.feature import Bucketizer
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,10 +37,9 @@ class CleanerModel:
                     low, high = math.trunc(low), math.trunc(high)
                 cell = clip(cell, low, high)
         if name in self.outlier_ranges:
-            odd = F.lit(False)
-            for low, high in self.outlier_ranges[name]:
-                odd = odd | ((cell >= low) & (cell < high))
-            value = self.replacements[name]
+            value, fill = self.replacements[name], self.fills.get(name)
+            filled = f"`{name}`" if fill is None else f"coalesce(`{name}`, {float(fill)!r}D)"
+            odd = F.expr(_inside(filled, self.outlier_ranges[name]))
             cell = F.when(odd, F.lit(float(round(value)) if is_integral(dtype) else value)).otherwise(cell)
         return cell.alias(name)
 
@@ -111,9 +110,7 @@ class BasicCleaner:
             for c in numeric:
                 model.bounds[c] = tuple(at(c, p) for p in self.winsorize_limits)
         elif method == "iforest":
-            held = train.select(*numeric).persist()  # four scans per column
-            self._fit_forest(held, numeric, model)
-            held.unpersist()
+            self._fit_forest(train, numeric, model)
         return model
 
     # ------------------------------------------------------------ isolation forest
@@ -121,43 +118,55 @@ class BasicCleaner:
     def _fit_forest(self, train: DataFrame, numeric: Sequence[str], model: CleanerModel) -> None:
         """A forest over one column is a step function of the value.
 
-        Trees are grown from a bounded, digest-ordered sample; the steps are counted
-        over all train rows, so the contamination threshold is the exact one.
+        Trees are grown from evenly spaced quantiles, a bounded picture of the whole column
+        that does not depend on how rows are partitioned. The steps are then counted over all
+        train rows, so the contamination threshold is exact. Two jobs per 20 columns.
         """
-        for c in numeric:
-            rows = train.select(F.col(c).cast("double").alias("v")).filter("v IS NOT NULL")
-            pool = _bounded_sample(rows, 16 * self.iforest_sample, self.seed)
-            if len(pool) < 2 or pool.min() == pool.max():
+        for part in chunks(list(numeric), 20):
+            data = train.select(*[F.col(c).cast("double").alias(c) for c in part])
+            size = 16 * self.iforest_sample
+            probs = ", ".join(f"{(i + 0.5) / size!r}D" for i in range(size))
+            row = data.agg(*[F.expr(f"percentile_approx(`{c}`, array({probs}), {10 * size})").alias(c) for c in part]).first()
+            steps = {}
+            for c in part:
+                pool = np.array(row[c] or [])
+                if len(pool) and pool[0] < pool[-1]:
+                    steps[c] = _forest_steps(pool, self.iforest_trees, self.iforest_sample, self.seed)
+            if not steps:
                 continue
-            cuts, depth = _forest_steps(pool, self.iforest_trees, self.iforest_sample, self.seed)
-            splits = [-math.inf, *cuts, math.inf]
-            binned = Bucketizer(splits=splits, inputCol="v", outputCol="b").transform(rows)
-            size = np.zeros(len(depth), dtype=np.int64)
-            for row in binned.groupBy("b").count().collect():
-                size[int(row["b"])] = row["count"]
-            limit = _weighted_quantile(depth, size, self.iforest_contamination)
-            ranges, start = [], None
-            for i, odd in enumerate([*(depth < limit), False]):
-                if odd and start is None:
-                    start = i
-                elif not odd and start is not None:
-                    ranges.append((splits[start], splits[i]))
-                    start = None
-            model.outlier_ranges[c] = ranges
-            model.replacements[c] = model.fills[c]
-
-
-def _bounded_sample(rows: DataFrame, size: int, seed: int) -> np.ndarray:
-    """At most ``4 * size`` values reach the driver, whatever the table's size."""
-    n = rows.count()
-    if n == 0:
-        return np.array([])
-    share = min(1.0, 2.0 * size / n)
-    picked = rows.sample(False, share, seed) if share < 1.0 else rows
-    got = picked.limit(4 * size).toPandas()["v"].to_numpy()
-    rng = np.random.default_rng(seed)
-    got = np.sort(got)
-    return rng.choice(got, size, replace=False) if len(got) > size else got
+            edges = [np.array(cuts) for cuts, _ in steps.values()]
+
+            def tally(frames, edges=edges):
+                total = [np.zeros(len(e) + 1, dtype=np.int64) for e in edges]
+                for pdf in frames:
+                    for i, e in enumerate(edges):
+                        values = pdf.iloc[:, i].dropna().to_numpy(dtype=float)
+                        total[i] += np.bincount(np.searchsorted(e, values, side="right"), minlength=len(e) + 1)
+                for i, t in enumerate(total):
+                    hit = np.flatnonzero(t)
+                    yield pd.DataFrame({"c": i, "b": hit, "n": t[hit]})
+
+            # one row per column and interval reaches the driver
+            table = data.select(*steps).mapInPandas(tally, "c int, b int, n long").groupBy("c", "b").agg(F.sum("n").alias("n")).toPandas()
+            for i, (c, (cuts, depth)) in enumerate(steps.items()):
+                counts = np.zeros(len(depth), dtype=np.int64)
+                mine = table[table["c"] == i]
+                counts[mine["b"]] = mine["n"]
+                model.outlier_ranges[c] = _odd_ranges([-math.inf, *cuts, math.inf], depth, counts, self.iforest_contamination)
+                model.replacements[c] = model.fills[c]
+
+
+def _odd_ranges(splits: list[float], depth: np.ndarray, counts: np.ndarray, share: float) -> list[tuple[float, float]]:
+    """Runs of intervals whose mean depth lies below the ``share`` quantile over all rows."""
+    limit = _weighted_quantile(depth, counts, share)
+    ranges, start = [], None
+    for i, odd in enumerate([*(depth < limit), False]):
+        if odd and start is None:
+            start = i
+        elif not odd and start is not None:
+            ranges.append((splits[start], splits[i]))
+            start = None
+    return ranges
 
 
 def _forest_steps(pool: np.ndarray, trees: int, sample: int, seed: int) -> tuple[list[float], np.ndarray]:
@@ -205,16 +214,24 @@ def _weighted_quantile(values: np.ndarray, weights: np.ndarray, q: float) -> flo
     return float(lo + (hi - lo) * (spot - math.floor(spot)))
 
 
+def _inside(value: str, ranges: Sequence[tuple[float, float]]) -> str:
+    """SQL text of ``value`` lying in one of the half-open ranges."""
+    tests = []
+    for low, high in ranges:
+        ends = [f"{value} >= {low!r}D"] if not math.isinf(low) else []
+        ends += [f"{value} < {high!r}D"] if not math.isinf(high) else []
+        tests.append("(" + " AND ".join(ends or ["true"]) + ")")
+    return " OR ".join(tests) or "false"
+
+
 def clip_columns(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> DataFrame:
     return CleanerModel(bounds=bounds).transform(df)
 
 
 def outlier_share(df: DataFrame, model: CleanerModel) -> DataFrame:
     """(feature, share of values a fitted forest would replace)."""
-    flags = []
-    for c, ranges in model.outlier_ranges.items():
-        odd = F.lit(False)
-        for low, high in ranges:
-            odd = odd | ((F.col(c) >= low) & (F.col(c) < high))
-        flags.append(F.when(F.col(c).isNotNull(), odd.cast("double")).alias(c))
+    flags = [
+        F.when(F.col(c).isNotNull(), F.expr(_inside(f"`{c}`", ranges)).cast("double")).alias(c)
+        for c, ranges in model.outlier_ranges.items()
+    ]
     return unpivot(df.select(*flags), list(model.outlier_ranges)).groupBy("feature").agg(F.avg("value").alias("share"))

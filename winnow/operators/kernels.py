@@ -70,7 +70,7 @@ def point_gap_bucket(df: DataFrame, column: str, edges: Sequence[float], out: st
     cuts = _strict(edges)
     if not cuts:
         return df.withColumn(out, F.lit(0))
-    raw, low = out + "_raw", F.array(F.lit(float("-inf")), *[F.lit(e) for e in cuts])
+    raw, low = out + "_raw", F.expr("array(double('-infinity'), " + ", ".join(f"{e!r}D" for e in cuts) + ")")
     bucketed = Bucketizer(
         splits=[float("-inf"), *cuts, float("inf")], inputCol=column, outputCol=raw, handleInvalid="keep"
     ).transform(df)
@@ -81,9 +81,9 @@ def point_gap_bucket(df: DataFrame, column: str, edges: Sequence[float], out: st
 
 def order_edges(df: DataFrame, pieces: int, *columns: str) -> list[list[float]]:
     """Approximate edges cutting each column into ``pieces`` parts, in one aggregate."""
-    probs = [i / pieces for i in range(1, pieces)]
+    probs = ", ".join(f"{i / pieces!r}D" for i in range(1, pieces))
     row = df.agg(*[
-        F.percentile_approx(F.col(c).cast("double"), probs, 4 * MAX_PIECES).alias(f"e{i}")
+        F.expr(f"percentile_approx(CAST(`{c}` AS DOUBLE), array({probs}), {4 * MAX_PIECES})").alias(f"e{i}")
         for i, c in enumerate(columns)
     ]).first()
     return [_strict(line or []) for line in row]
@@ -195,7 +195,7 @@ def order_statistics(
     for c in columns:
         for r in wanted[c](counts[c]):
             where[c, r] = (-math.inf, math.inf, 0, counts[c])
-    probs = [i / 1000 for i in range(1, 1000)]
+    probs = ", ".join(f"{i / 1000!r}D" for i in range(1, 1000))
 
     def inside(c: str, lo: float, hi: float) -> Column:
         v = F.col(c)
@@ -205,9 +205,8 @@ def order_statistics(
         spans = {(c, lo, hi) for (c, _), (lo, hi, _, size) in where.items() if size > gather}
         edges: dict[str, set[float]] = {}
         for part in chunks(sorted(spans), 50):
-            row = data.agg(*[
-                F.percentile_approx(inside(c, lo, hi), probs, 10_000).alias(f"s{i}")
-                for i, (c, lo, hi) in enumerate(part)
+            row = data.select(*[inside(c, lo, hi).alias(f"s{i}") for i, (c, lo, hi) in enumerate(part)]).agg(*[
+                F.expr(f"percentile_approx(s{i}, array({probs}), 10000)").alias(f"s{i}") for i in range(len(part))
             ]).first()
             for i, (c, lo, hi) in enumerate(part):
                 edges.setdefault(c, set()).update(row[i] or [])
