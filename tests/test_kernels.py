@@ -73,12 +73,6 @@ def test_positions_do_not_depend_on_partitioning(skewed):
     assert sorted(a) == list(range(len(a)))
 
 
-def test_hot_keys(skewed):
-    _, df = skewed
-    assert K.hot_keys(df, "k", 500) == [7]
-    assert K.hot_keys(df, "k", 5000) == []
-
-
 def test_point_gap_bucket_isolates_edges(spark):
     df = spark.createDataFrame([(float(x),) for x in (-5, 0, 1, 2, 3, 9)], "x double")
     got = {r["x"]: r["b"] for r in K.point_gap_bucket(df, "x", [0.0, 2.0], "b").collect()}

@@ -20,7 +20,7 @@ from winnow.session import pin
 
 TASK_ROWS = 1_000_000  # rows one task may order or buffer
 MAX_PIECES = 4096  # most buckets an order is cut into
-MAX_HOT_KEYS = 10_000  # most keys treated as hot
+MAX_HOT_KEYS = 10_000  # most keys written into a plan as a literal list
 GATHER_ROWS = 50_000  # most distinct values per column read back to finish a selection
 WIDE_LIMIT = 200  # aggregate expressions per job
 FEW_PAIRS = 60  # correlations computed side by side
@@ -291,24 +291,6 @@ def exact_quantiles(
     return result
 
 
-# ---------------------------------------------------------------- hot keys
-
-
-def hot_keys(df: DataFrame, key: str, task_rows: int | None = None) -> list:
-    """Keys with more rows than one task should hold, at most ``MAX_HOT_KEYS`` of them.
-
-    A key beyond the list has fewer than 1/MAX_HOT_KEYS of all rows.
-    """
-    task_rows = task_rows or TASK_ROWS
-    if df.count() <= task_rows:
-        return []
-    top = (
-        df.filter(F.col(key).isNotNull()).groupBy(key).count().filter(F.col("count") > task_rows)
-        .orderBy(F.desc("count"), key).limit(MAX_HOT_KEYS)
-    )
-    return [row[0] for row in top.collect()]
-
-
 # ---------------------------------------------------------------- tables behind the statistics
 
 
