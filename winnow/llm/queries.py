@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import chat
+from winnow.llm import chat, neardup
 from winnow.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,29 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("\\### Assistant: </turn> ok").alias("text"),
     )
     return chat.digests(chat.prefix_targets(rows.unionByName(planted)))
+
+
+OP10_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 4
+      THEN list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM words),
+runs AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM runs a JOIN runs b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT reach.doc_id, shared.b FROM reach JOIN shared ON shared.a = reach.other)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c AS component_id, doc_id = c AS kept
+FROM sets JOIN (SELECT doc_id, min(other) AS c FROM reach GROUP BY doc_id) USING (doc_id)
+"""
+
+
+@register("op10_near_duplicates", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four-word shingles, linked from four fifths of their union on."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.NearDup(width=4))
