@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import chat, neardup
+from winnow.llm import chat, neardup, packing
 from winnow.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +90,11 @@ FROM sets JOIN (SELECT doc_id, min(other) AS c FROM reach GROUP BY doc_id) USING
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four-word shingles, linked from four fifths of their union on."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.NearDup(width=4))
+
+
+@register("op3_packing")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of 2048 byte-level tokens; every document closed by id 1."""
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), 2048, 1).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
