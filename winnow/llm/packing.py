@@ -91,26 +91,50 @@ def best_fit(demand: np.ndarray, sizes: np.ndarray, room: int) -> list[tuple[np.
     return out
 
 
-def solve(demand: np.ndarray, sizes: np.ndarray, room: int, gap: float = 1e-4, rounds: int = 4000) -> list[tuple[np.ndarray, int]]:
+def first_basis(need: np.ndarray, size: np.ndarray, room: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Best-fit patterns in fractional counts as a starting basis.
+
+    Every pattern uses a class up, and that class is in no later pattern, so the columns are triangular. Classes used up
+    at the same time get a column of their own at count 0.
+    """
+    m, left = len(need), need.astype(float)
+    columns = [np.eye(m, dtype=np.int64)[k] * (room // size[k]) for k in range(m)]
+    counts, largest_first = np.zeros(m), np.argsort(-size)
+    while (left > 0).any():
+        pattern, free = np.zeros(m, np.int64), room
+        for k in largest_first:
+            if left[k] > 0 and size[k] <= free:
+                pattern[k] = min(np.ceil(left[k]), free // size[k])
+                free -= int(pattern[k] * size[k])
+        held = np.flatnonzero(pattern)
+        share = left[held] / pattern[held]
+        ended = held[share <= share.min() * (1 + 1e-12)]
+        columns[ended[0]], counts[ended[0]] = pattern, share.min()
+        left = np.maximum(left - share.min() * pattern, 0)
+        left[ended] = 0
+    return columns, counts
+
+
+def solve(demand: np.ndarray, sizes: np.ndarray, room: int, gap: float = 1e-4, rounds: int = 1500) -> list[tuple[np.ndarray, int]]:
     """Patterns and how often each is used, covering ``demand`` exactly.
 
-    Revised simplex on ``min sum x, A x = demand``, starting from single-class patterns. It stops when no pattern prices
-    below one, when the dual bound is within ``gap`` of the value, or after ``rounds``; the rounding below is exact
-    whichever it was.
+    Revised simplex with column generation on ``min sum x, A x = demand``, started from best-fit patterns. It stops when no
+    pattern prices above one, when the value is within ``gap`` of the dual bound or of the space the pieces need, or after ``rounds``.
+    Counts are rounded down and best-fit patterns take the rest; the cover is exact whichever it was.
     """
     used = np.flatnonzero(demand)
-    need, size = demand[used].astype(float), sizes[used]
+    need, size = demand[used].astype(np.int64), sizes[used]
     m = len(used)
     if not m:
         return []
-    columns = [np.eye(m, dtype=np.int64)[k] * (room // size[k]) for k in range(m)]
-    basis = np.array(columns, float).T
-    inverse = np.diag(1 / np.diag(basis))
-    x = inverse @ need
+    columns, x = first_basis(need, size, room)
+    bound = float(need @ size) / room
+    inverse = np.linalg.inv(np.array(columns, float).T)
     for step in range(rounds):
         price = inverse.sum(0)
         worth, pattern = knapsack(np.maximum(price, 0), size, room)
-        if worth <= 1 + 1e-9 or x.sum() - (price @ need) / worth <= gap * x.sum():
+        bound = max(bound, float(np.maximum(price, 0) @ need) / max(worth, 1.0))
+        if worth <= 1 + 1e-9 or x.sum() <= bound * (1 + gap):
             break
         move = inverse @ pattern
         can = move > 1e-9
@@ -124,7 +148,7 @@ def solve(demand: np.ndarray, sizes: np.ndarray, room: int, gap: float = 1e-4, r
         if step % 100 == 99:
             inverse = np.linalg.inv(np.array(columns, float).T)
         x = np.maximum(inverse @ need, 0)
-    left, plan = demand[used].astype(np.int64).copy(), []
+    left, plan = need.copy(), []
     for k in np.argsort(-x):
         column = columns[k]
         held = column > 0
