@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import chat, neardup, packing
-from winnow.session import tune
+from winnow.llm import chat, neardup, packing, tokenfile
+from winnow.session import scratch_path, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -98,3 +98,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), 2048, 1).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@register("op6_token_files")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents, read back through their index."""
+    docs = table(spark, sf_dir, "documents")
+    folder = scratch_path(spark, "token-files")
+    tokenfile.write(docs, folder, public_tokenizers.path("word_bpe_49k.json"), 1)
+    return tokenfile.read(spark, docs, folder).withColumnRenamed("key", "doc_id")
