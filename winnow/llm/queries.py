@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import chat, neardup, packing, tokenfile
+from winnow.llm import chat, neardup, packing, simhash, tokenfile
+from winnow.llm.tables import pinned
 from winnow.session import scratch_path, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +108,16 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     tokenfile.write(docs, folder, public_tokenizers.path("word_bpe_49k.json"), 1)
     return tokenfile.read(spark, docs, folder).withColumnRenamed("key", "doc_id")
+
+
+@register("op5_simhash")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, edited documents and next documents.
+
+    ``near_fingerprints`` counts, for ids divisible by 20, the other fingerprints of the corpus within three bits.
+    """
+    made = pinned(simhash.with_next(table(spark, sf_dir, "documents")), "fingerprints")
+    prints = made.select("doc_id", F.col("fingerprint").alias("print"))
+    near = simhash.neighbours(prints.filter("doc_id % 20 = 0"), prints).groupBy("query").agg(F.count("*").alias("near"))
+    asked = F.when(F.col("doc_id") % 20 == 0, F.coalesce("near", F.lit(0)))
+    return made.join(near, made["fingerprint"] == near["query"], "left").select(*made.columns, asked.alias("near_fingerprints"))
