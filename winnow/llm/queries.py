@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import chat, neardup, packing, simhash, tokenfile
+from winnow.llm import chat, langid, neardup, packing, simhash, tokenfile
 from winnow.llm.tables import pinned
 from winnow.session import scratch_path, tune
 
@@ -121,3 +121,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = simhash.neighbours(prints.filter("doc_id % 20 = 0"), prints).groupBy("query").agg(F.count("*").alias("near"))
     asked = F.when(F.col("doc_id") % 20 == 0, F.coalesce("near", F.lit(0)))
     return made.join(near, made["fingerprint"] == near["query"], "left").select(*made.columns, asked.alias("near_fingerprints"))
+
+
+@register("op8_language")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents by a chain fitted on about 250 labelled documents a language."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.train(docs))
