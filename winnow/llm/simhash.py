@@ -90,7 +90,7 @@ def with_next(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFr
     parts = partitions(docs)
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.shiftrightunsigned(F.xxhash64("text"), 1))
-    rows = rows.withColumn("range", range_bucket(rows, "doc_id", F.col("tie"), 4 * parts))
+    rows = rows.withColumn("range", range_bucket(rows, "doc_id", F.col("tie"), parts))
     order = F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("k"), "tie")
     firsts = sorted((r["range"], r["f"]["k"], r["f"]["tie"]) for r in rows.groupBy("range").agg(F.min(order).alias("f")).collect())
     before = [(firsts[k - 1][0], n, a, t) for k, (n, a, t) in enumerate(firsts)]
@@ -124,7 +124,7 @@ def with_next(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFr
                     pa.array(likeness(mine, changed)), pa.array(likeness(mine, other)),
                 ], names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
-    ordered = dealt.repartition(parts, "to").sortWithinPartitions("to", "extra", F.col("doc_id").asc_nulls_first(), "tie")
+    ordered = dealt.repartitionById(parts, "to").sortWithinPartitions("to", "extra", F.col("doc_id").asc_nulls_first(), "tie")
     return ordered.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 

@@ -189,7 +189,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, id: str
         if shard:
             shard.close()
 
-    ordered = rows.repartition(shards, "bucket").sortWithinPartitions("bucket", F.col("key").asc_nulls_first(), "tie")
+    ordered = rows.repartitionById(shards, "bucket").sortWithinPartitions("bucket", F.col("key").asc_nulls_first(), "tie")
     listed = pinned(ordered.mapInArrow(run, "key long, shard long, position long, offset long, length long"), "directory")
     sizes = {r["shard"]: (r["docs"], r["tokens"]) for r in listed.groupBy("shard").agg(F.count("*").alias("docs"), F.sum("length").alias("tokens")).collect()}
     first = F.min(F.struct("shard", "position", "offset", "length")).alias("first")
@@ -216,7 +216,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, id: str
             target.move(draft, f"{root}/index-{number:06d}.mph")
             yield pd.DataFrame({"part": [number], "n": [len(own)]})
 
-    built = pinned(keyed.repartition(parts, "part").mapInPandas(index, "part int, n long"), "index")
+    built = pinned(keyed.repartitionById(parts, "part").mapInPandas(index, "part int, n long"), "index")
     manifest = {
         "end_id": end_id, "index_parts": parts, "keys": {str(r["part"]): r["n"] for r in built.collect()},
         "null_rows": listed.filter("key is null").count(),
@@ -278,7 +278,7 @@ def located(keys: DataFrame, folder: str, id: str = "doc_id") -> DataFrame:
                 names = ["shard", "position", "offset", "length", "rows"]
                 yield pa.RecordBatch.from_arrays([pa.array(k[there]), *(pa.array(got[c][there].astype(np.int64)) for c in names)], names=["key", *names])
 
-    dealt = asked.repartition(parts, "part").sortWithinPartitions("part")
+    dealt = asked.repartitionById(parts, F.col("part")).sortWithinPartitions("part")
     return dealt.mapInArrow(run, "key long, shard long, position long, offset long, length long, rows long")
 
 

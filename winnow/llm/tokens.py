@@ -10,21 +10,21 @@ from __future__ import annotations
 import json
 import os
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 CUT = "\x1f"
-#: A space with white space on its left and white space or nothing on its right; or the cut mark itself.
-ODD_SPACES = "[\\p{Z}\\t-\\r\\x{85}\\x1c-\\x1f] (?:[\\p{Z}\\t-\\r\\x{85}\\x1c-\\x1f]|$)|\\x1f"
-ENDINGS = ",.;:!?"
+#: White space next to white space, where a cut would change the tokens of a byte-level pre-tokenizer; or the mark itself.
+ODD_SPACES = "[\\p{Z}\\t-\\r\\x{85}\\x1c-\\x1f]{2}|\\x1f"
 
 
 class TokenEncoder:
-    """Ids by the tokenizers library; ``remembered`` distinct stretches are kept between calls."""
+    """Ids by the tokenizers library; up to ``remembered`` distinct stretches are kept between calls, recent ones first."""
 
-    def __init__(self, path: str, remembered: int = 300_000):
+    def __init__(self, path: str, remembered: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -39,42 +39,37 @@ class TokenEncoder:
         self.drops_space = kinds == ["Split", "ByteLevel"] and not self._direct([" \n\t "])[0].size
         self.cuts = bool(self.drops_space or (byte_level and not spec.get("normalizer")))
         self.folds = self.drops_space and '"Lowercase"' in json.dumps(spec.get("normalizer"))
-        self.remembered, self.known = remembered, {}
+        self.remembered = remembered
+        self._forget()
 
     def _direct(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    @staticmethod
-    def _pieces(stretch: str) -> list[str]:
-        """Cuts inside a stretch: around single line ends, and before one closing mark after a letter."""
-        lines = stretch.split("\n")
-        if any(not x or x[0].isspace() and k for k, x in enumerate(lines)) or any(x[-1].isspace() for x in lines):
-            return [stretch]
-        out: list[str] = []
-        for k, line in enumerate(lines):
-            if k:
-                out.append("\n")
-            if len(line) > 2 and line[-1] in ENDINGS and line[-2].isalpha():
-                out += [line[:-1], line[-1]]
-            else:
-                out.append(line)
-        return out
-
-    def _learn(self, stretches: list[str]) -> None:
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _places(self, stretches: list[str]) -> np.ndarray:
+        """Numbers of the stretches in the table of known ones, learning those that are new."""
         known = self.known
-        if len(known) > self.remembered:
-            known.clear()
-        cut = {s: self._pieces(s) for s in stretches if s not in known}
-        if self.folds:
-            cut = {s: [p.lower() if p.isascii() else p for p in ps] for s, ps in cut.items()}
-        fresh = list({p for ps in cut.values() for p in ps if p not in known})
-        for start in range(0, len(fresh), 4096):
-            part = fresh[start:start + 4096]
-            for piece, ids in zip(part, self._direct(part)):
-                known[piece] = ids.tobytes()
-        for stretch, pieces in cut.items():
-            if len(pieces) > 1 or pieces[0] != stretch:
-                known[stretch] = b"".join([known[p] for p in pieces])
+        places = [known.get(s, -1) for s in stretches]
+        fresh = [s for s, p in zip(stretches, places) if p < 0]
+        if fresh and len(known) + len(fresh) > self.remembered and known:
+            self._forget()
+            return self._places(stretches)
+        parts, sizes = [self.flat], []
+        for start in range(0, len(fresh), 16384):
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(fresh[start:start + 16384], add_special_tokens=False)]
+            sizes += map(len, ids)
+            parts.append(np.fromiter(chain.from_iterable(ids), np.uint32))
+        if fresh:
+            first = len(known)
+            known.update(zip(fresh, range(first, first + len(fresh))))
+            self.flat = np.concatenate(parts)
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.array(sizes, np.int64))])
+            new = iter(range(first, first + len(fresh)))
+            places = [p if p >= 0 else next(new) for p in places]
+        return np.array(places, np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and the offsets of each text's."""
@@ -83,20 +78,19 @@ class TokenEncoder:
             return (np.concatenate(own) if own else np.zeros(0, np.uint32)), np.concatenate([[0], np.cumsum([len(x) for x in own])]).astype(np.int64)
         odd = np.asarray(pc.match_substring_regex(texts, "\\x1f" if self.drops_space else ODD_SPACES))
         plain = pc.if_else(pa.array(odd), pa.scalar("", texts.type), texts)
-        parts = pc.split_pattern(pc.replace_substring(plain, " ", CUT + " "), CUT)
+        if self.folds:
+            plain = pc.ascii_lower(plain)
+        # a comma or full stop at a word's end is a token of its own, as is a single line end
+        marked = pc.replace_substring_regex(plain, r"(\pL)([,.;:!?][ \n])", "\\1" + CUT + "\\2")
+        marked = pc.replace_substring(pc.replace_substring(marked, "\n", CUT + "\n" + CUT), " ", CUT + " ")
+        parts = pc.split_pattern(marked, CUT)
         offsets = np.asarray(parts.offsets, dtype=np.int64)
         encoded = parts.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
         codes = np.asarray(encoded.indices, dtype=np.int64)
-        stretches = encoded.dictionary.to_pylist()
-        self._learn(stretches)
-        blobs = [self.known[s] for s in stretches]
-        flat = np.frombuffer(b"".join(blobs), np.uint32)
-        sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
-        firsts = np.cumsum(sizes) - sizes
-        lengths = sizes[codes]
+        places = self._places(encoded.dictionary.to_pylist())[codes]
+        firsts, lengths = self.ends[places], self.ends[places + 1] - self.ends[places]
         ends = np.concatenate([[0], np.cumsum(lengths)])
-        at = np.repeat(firsts[codes] - ends[:-1], lengths) + np.arange(ends[-1])
-        ids, cuts = flat[at], ends[offsets - offsets[0]]
+        ids, cuts = self.flat[np.repeat(firsts - ends[:-1], lengths) + np.arange(ends[-1])], ends[offsets - offsets[0]]
         if odd.any():
             whole = iter(self._direct([texts[int(k)].as_py() for k in np.flatnonzero(odd)]))
             own = [next(whole) if o else ids[a:b] for o, a, b in zip(odd, cuts[:-1], cuts[1:])]
