@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import chat, langid, neardup, packing, simhash, tokenfile
+from winnow.llm import chat, langid, neardup, packing, simhash, tokenfile, toxicity
 from winnow.llm.tables import pinned
 from winnow.session import scratch_path, tune
 
@@ -128,3 +128,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all documents by a chain fitted on about 250 labelled documents a language."""
     docs = table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.train(docs))
+
+
+@register("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a network fitted on about 1500 labelled documents of each label."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
