@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import chat, langid, neardup, packing, simhash, tokenfile, toxicity
+from winnow.llm import chat, langid, licenses, neardup, packing, simhash, tokenfile, toxicity
 from winnow.llm.tables import pinned
 from winnow.session import scratch_path, tune
 
@@ -135,3 +135,35 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by a network fitted on about 1500 labelled documents of each label."""
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op9_sql() -> str:
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    known = ", ".join(f"({quoted(n)}, [{', '.join(map(quoted, p))}])" for n, p in licenses.template_rows(licenses.TEMPLATES))
+    return rf"""
+WITH known(license, known) AS (VALUES {known}),
+lines AS (SELECT doc_id, text, string_split_regex(text, '\r?\n') AS ls FROM documents WHERE text IS NOT NULL),
+marked AS (SELECT doc_id, regexp_replace(unnest(ls), '([.!?;:])[ \t]+', '\1' || chr(1), 'g') AS l FROM lines),
+parts AS (
+  SELECT doc_id, text AS part FROM lines
+  UNION SELECT doc_id, unnest(string_split_regex(text, '\n[ \t\r]*\n')) FROM lines
+  UNION SELECT doc_id, unnest(ls) FROM lines
+  UNION SELECT doc_id, unnest(string_split(l, chr(1))) FROM marked),
+words AS (
+  SELECT doc_id, part, string_split(trim(regexp_replace(lower(part), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') AS w FROM parts),
+pairs AS (
+  SELECT doc_id, part, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS pairs
+  FROM words WHERE len(w) > 1),
+scored AS (
+  SELECT doc_id, license, part, CAST(2 * len(list_intersect(pairs, known)) AS DOUBLE) / (len(pairs) + len(known)) AS dice
+  FROM pairs JOIN known ON len(pairs) BETWEEN len(known) * 0.6 AND len(known) * 1.6),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, license ORDER BY dice DESC, part) AS k FROM scored WHERE dice >= 0.8)
+SELECT doc_id, license, round(dice, 6) AS dice, trim(part) AS part FROM best WHERE k = 1
+"""
+
+
+@register("op9_license_scan", op9_sql())
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences found in all documents."""
+    return licenses.scan(table(spark, sf_dir, "documents")).withColumn("dice", F.round("dice", 6))
