@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import chat, langid, licenses, neardup, packing, simhash, tokenfile, toxicity
+from winnow.llm import chat, langid, licenses, neardup, packing, pii, simhash, tokenfile, toxicity
 from winnow.llm.tables import pinned
 from winnow.session import scratch_path, tune
 
@@ -167,3 +167,10 @@ SELECT doc_id, license, round(dice, 6) AS dice, trim(part) AS part FROM best WHE
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences found in all documents."""
     return licenses.scan(table(spark, sf_dir, "documents")).withColumn("dice", F.round("dice", 6))
+
+
+@register("op4_pii_surrogates")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal data replaced."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace(docs).withColumn("n_chars", F.length("text").cast("long"))
