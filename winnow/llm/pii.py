@@ -30,9 +30,9 @@ KINDS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)",
     "secret": r"(?<![0-9A-Za-z])(?=[A-Fa-f]*[0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])",
-    "phone": r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\d(])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)|(?<!\d|\d-)\d{3}[.-]\d{3}[.-]\d{4}(?!\d|-\d)",
+    "phone": r"(?<![\d+])\+\d{1,3}[ .-]?\(\d{1,4}\)[ .-]?\d{2,4}[ .-]?\d{2,5}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d(])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)|(?<!\d|\d-)\d{3}[.-]\d{3}[.-]\d{4}(?!\d|-\d)",
     "ssn": r"(?<!\d|\d-)\d{3}-\d{2}-\d{4}(?!\d|-\d)",
-    "card": r"(?<!\d|\d[ -])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?!\d|[ -]\d)",
+    "card": r"(?<!\d)\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?!\d)",
     "name": r"(?<!\p{L})(?:" + "|".join(t for v in TITLES.values() for t in v.split()) + r")\.? " + WORD + r"(?: " + WORD + ")?",
 }
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
