@@ -84,7 +84,7 @@ def set_names(elements: np.ndarray, offsets: np.ndarray) -> list[str | None]:
 
 
 def signatures(docs: DataFrame, rule: NearDup, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, ``n`` (set size), ``set`` (128-bit name of the shingle set) and its ``bands``."""
+    """``doc_id``, ``hash`` (of the text), ``n`` (set size), ``set`` (128-bit name of the shingle set) and its ``bands``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -94,12 +94,13 @@ def signatures(docs: DataFrame, rule: NearDup, id: str = "doc_id", text: str = "
                 full = np.diff(offsets) > 0
                 spots = np.concatenate([[0], np.cumsum(full * rule.bands)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array(np.diff(offsets)), pa.array(set_names(elements, offsets), pa.string()),
+                    part["doc_id"], part["hash"], pa.array(np.diff(offsets)), pa.array(set_names(elements, offsets), pa.string()),
                     pa.ListArray.from_arrays(pa.array(spots), pa.array(keys[full].ravel())),
-                ], names=["doc_id", "n", "set", "bands"])
+                ], names=["doc_id", "hash", "n", "set", "bands"])
 
-    cut = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return cut.mapInArrow(run, "doc_id long, n long, set string, bands array<long>")
+    body = F.col(text).cast("string")
+    cut = docs.select(F.col(id).cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("hash"))
+    return cut.mapInArrow(run, "doc_id long, hash long, n long, set string, bands array<long>")
 
 
 def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
@@ -253,17 +254,8 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
 
 
-def near_duplicates(docs: DataFrame, rule: NearDup = NearDup(), id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``.
-
-    Documents are linked when their sets of ``rule.width``-word shingles reach ``rule.percent``; a component's id is
-    the least ``doc_id`` in it. Copies fold into one set first, so groups of copies cost one comparison however many they are.
-
-    Null, empty or wordless text: size 0, linked with nothing, kept. Fewer words than a shingle: the
-    sequence is the one shingle. Null ``doc_id``: never a component's id unless the component has no other; such rows are kept only
-    then. A repeated ``doc_id`` is kept or dropped by its own text's component. No rows in, no rows out. Other columns
-    are not read.
-    """
+def judged(docs: DataFrame, rule: NearDup, id: str, text: str) -> DataFrame:
+    """``doc_id, hash, n_shingles, component_id, kept`` for every row."""
     signed = pinned(signatures(docs, rule, id, text), "signatures")
     sets = signed.filter("set is not null").groupBy("set").agg(
         F.min("doc_id").alias("rep"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"))
@@ -273,10 +265,30 @@ def near_duplicates(docs: DataFrame, rule: NearDup = NearDup(), id: str = "doc_i
     edges = found.distinct().join(named.select(F.col("set").alias("a"), F.col("node").alias("na")), "a") \
         .join(named.select(F.col("set").alias("b"), F.col("node").alias("nb")), "b").select(F.col("na").alias("a"), F.col("nb").alias("b"))
     rooted = components(edges).select(F.col("node")["set"].alias("set"), F.col("root")["doc"].alias("root"))
-    least = sets.select("set", "rep").join(rooted, "set", "left").select("set", F.coalesce("root", "rep").alias("root"))
-    joined = signed.select("doc_id", "n", "set").join(least, "set", "left")
+    # written, so that the join with all rows reads both sides from exchanges and a hot set can be split
+    least = pinned(sets.select("set", "rep").join(rooted, "set", "left").select("set", F.coalesce("root", "rep").alias("root")), "roots")
+    joined = signed.select("doc_id", "hash", "n", "set").join(least, "set", "left")
     component = F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.nullif(F.col("root"), F.lit(NO_DOC)))
     return joined.select(
-        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-        F.col("doc_id").eqNullSafe(component).alias("kept"),
-    )
+        "doc_id", "hash", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, rule: NearDup = NearDup(), id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``.
+
+    Documents are linked when their sets of ``rule.width``-word shingles reach ``rule.percent``; a component's id is
+    the least ``doc_id`` in it. Copies fold into one set first, so groups of copies cost one comparison however many they are.
+
+    Null, empty or wordless text: size 0, linked with nothing, kept. Fewer words than a shingle: the
+    sequence is the one shingle. Null ``doc_id``: never a component's id unless the component has no other; such rows are kept only
+    then. A repeated ``doc_id`` is kept or dropped by its own text's component. No rows in, no rows out. Other columns
+    are not read.
+    """
+    return judged(docs, rule, id, text).drop("hash")
+
+
+def deduplicate(docs: DataFrame, rule: NearDup = NearDup(), id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows, all columns, that :func:`near_duplicates` keeps. Rows that repeat both id and text stay together."""
+    dropped = judged(docs, rule, id, text).filter(~F.col("kept")).select(F.col("doc_id").alias("_dup_id"), F.col("hash").alias("_dup_hash")).distinct()
+    same = F.col(f"`{id}`").cast("long").eqNullSafe(F.col("_dup_id")) & (F.xxhash64(F.col(f"`{text}`").cast("string")) == F.col("_dup_hash"))
+    return docs.join(pinned(dropped, "dropped"), same, "left_anti")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import chat, langid, licenses, neardup, packing, pii, simhash, tokenfile, toxicity
+from winnow.llm import chat, decontam, langid, licenses, neardup, packing, pii, simhash, tokenfile, toxicity
 from winnow.llm.tables import pinned
 from winnow.session import scratch_path, tune
 
@@ -174,3 +175,19 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with personal data replaced."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.replace(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@register("op2_decontamination")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of all benchmark items in all documents."""
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five stages of the corpus pipeline."""
+    return corpus_pipeline.run(tune(spark), sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
