@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from winnow.catalog.registry import TRAIN_CUTOFF, VAL_CUTOFF, lead_query, split_leads, train_of
+from winnow.catalog.registry import TRAIN_CUTOFF, VAL_CUTOFF, cut_small, lead_query, split_leads, train_of
 from winnow.operators import splits as SP
 from winnow.operators.cleaning import BasicCleaner
 from winnow.roles import ColumnRoles
@@ -76,6 +76,17 @@ def percentage_split(spark, path):
     return SP.percentage_split(df, "created_at", "account_id").select("lead_id", "split")
 
 
+@lead_query("percentage_split_text_ids", f"""
+g AS (SELECT 'acc-' || account_id AS account_id, max(created_at) AS last FROM leads GROUP BY account_id),
+o AS (SELECT account_id, row_number() OVER (ORDER BY last, account_id) - 1 AS pos, count(*) OVER () AS n FROM g)
+SELECT lead_id, {TAIL} AS split FROM leads JOIN o ON o.account_id = 'acc-' || leads.account_id""")
+def percentage_split_text_ids(spark, path):
+    """Text accounts, the order of accounts cut into buckets."""
+    df = leads(spark, path, "lead_id", "account_id", "created_at").withColumn("account_id", F.concat(F.lit("acc-"), F.col("account_id").cast("string")))
+    with cut_small(spark, 100):
+        return SP.percentage_split(df, "created_at", "account_id").select("lead_id", "split")
+
+
 @lead_query("percentage_split_rows", f"""
 o AS (SELECT lead_id, row_number() OVER (ORDER BY created_at, lead_id) - 1 AS pos, count(*) OVER () AS n FROM leads)
 SELECT lead_id, {TAIL} AS split FROM o""")
@@ -95,6 +106,18 @@ def group_kfold(spark, path):
     return SP.group_kfold(df, "account_id", "target").select("lead_id", "fold")
 
 
+@lead_query("group_kfold_cut", f"""
+g AS (SELECT account_id, avg(target) AS rate, count(*) AS c FROM leads GROUP BY account_id),
+r AS (SELECT account_id, {STRATUM} * 5 + CASE WHEN c <= 1 THEN 0 WHEN c <= 4 THEN 1 WHEN c <= 16 THEN 2
+  WHEN c <= 64 THEN 3 ELSE 4 END AS stratum FROM g),
+o AS (SELECT account_id, row_number() OVER (PARTITION BY stratum ORDER BY {DIGEST}, account_id) - 1 AS pos FROM r)
+SELECT lead_id, pos % 5 AS fold FROM leads JOIN o USING (account_id)""")
+def group_kfold_cut(spark, path):
+    """The same folds where the order of accounts is cut into buckets."""
+    with cut_small(spark, 100):
+        return group_kfold(spark, path)
+
+
 @lead_query("row_kfold", """
 SELECT lead_id, CAST('0x' || substr(md5(concat(lead_id, '|42')), 1, 8) AS BIGINT) % 5 AS fold FROM leads""")
 def row_kfold(spark, path):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,6 +85,16 @@ def lead_query(name: str, body: str, digits: int = 6, **special: int):
     return query(name, view_sql(body), digits, **special)
 
 
+@contextmanager
+def cut_small(spark: SparkSession, rows: int = 700):
+    """Every global order is cut into buckets, as on data that no task holds."""
+    spark.conf.set("spark.winnow.taskRows", str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.unset("spark.winnow.taskRows")
+
+
 def split_leads(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     """Leads with their ``split``, only the wanted columns joined in."""
     need = [*columns, *[c for c in ("account_id", "created_at") if c not in columns]]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from winnow.catalog.registry import union_sql
-from winnow.catalog.registry import lead_query
+from winnow.catalog.registry import cut_small, lead_query
 from winnow.functions import scalar as S
 from winnow.operators import calibration as C
 from winnow.operators import evaluation as E
@@ -254,3 +254,40 @@ def isotonic_mean(spark, path):
     df = scored(spark, path)
     out = C.fit_isotonic(df, "score", "target").transform(df, "score")
     return out.agg(F.count(F.lit(1)).alias("n"), F.avg("calibrated").alias("mean_calibrated"), F.avg("target").alias("mean_target"))
+
+
+RANKED_BY = """r AS (SELECT target, row_number() OVER (ORDER BY score DESC, {id}) AS pos, count(*) OVER () AS n,
+  avg(target) OVER () AS base FROM leads)"""
+
+
+@lead_query("lift_at_k_text_ids", RANKED_BY.format(id="'lead-' || lead_id") + """
+SELECT any_value(CAST(n // 10 AS BIGINT)) AS top_n, round(avg(target) / any_value(base), 6) AS lift FROM r WHERE pos <= n // 10""")
+def lift_at_k_text_ids(spark, path):
+    """Text ids, ties in their own order, the order cut into buckets."""
+    df = scored(spark, path).withColumn("lead_id", F.concat(F.lit("lead-"), F.col("lead_id").cast("string")))
+    with cut_small(spark):
+        return E.lift_at_k(df, "score", "target", "lead_id", 0.1)
+
+
+@lead_query("decile_lift_wide_ids", RANKED_BY.format(id="lead_id") + """
+SELECT d AS decile, any_value(n * d // 10) AS top_n, round(avg(target) / any_value(base), 6) AS lift
+FROM r, range(1, 11) AS t(d) WHERE pos <= n * d // 10 GROUP BY d""")
+def decile_lift_wide_ids(spark, path):
+    """Ids above 2^53, which a double cannot tell apart."""
+    df = scored(spark, path).withColumn("lead_id", F.col("lead_id") + F.lit(2**60))
+    with cut_small(spark):
+        return E.decile_lift(df, "score", "target", "lead_id")
+
+
+@lead_query("isotonic_points", """
+p AS (SELECT row_number() OVER (ORDER BY score) AS k, score, y, w FROM (
+  SELECT score, CAST(sum(target) AS DOUBLE) AS y, CAST(count(*) AS DOUBLE) AS w FROM leads GROUP BY score)),
+c AS (SELECT k, score, sum(y) OVER (ORDER BY k) AS sy, sum(w) OVER (ORDER BY k) AS sw, y, w FROM p),
+m AS (SELECT a.k AS a, b.k AS b, (b.sy - a.sy + a.y) / (b.sw - a.sw + a.w) AS mean FROM c a JOIN c b ON a.k <= b.k),
+l AS (SELECT a, b, min(mean) OVER (PARTITION BY a ORDER BY b DESC) AS least FROM m)
+SELECT score, round(max(least) OVER (PARTITION BY b ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 6) AS calibrated
+FROM l JOIN p ON p.k = l.b QUALIFY row_number() OVER (PARTITION BY b ORDER BY a) = 1""")
+def isotonic_points(spark, path):
+    """Fitted values at every distinct score, against the max-min formula."""
+    df = scored(spark, path)
+    return C.fit_isotonic(df, "score", "target").transform(df.select("score").distinct(), "score").select("score", "calibrated")

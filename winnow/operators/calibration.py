@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -18,9 +20,6 @@ from winnow.functions.scalar import (
 from winnow.operators.evaluation import auc_of, brier_of, score_curve
 from winnow.operators.kernels import stats_to_rows
 
-
-MAX_SCORES = 1_000_000
-
 # ---------------------------------------------------------------- calibrators
 
 
@@ -41,19 +40,42 @@ class Calibrator:
         return rows.withColumn(out, vector_to_array("_cal")[1]).drop("_v", "_cal", "_raw", "_pred")
 
 
+def pool(value: np.ndarray, weight: np.ndarray) -> list[tuple[int, int, float, float]]:
+    """Adjacent violators pooled: (first, last, mean, weight) of each block."""
+    blocks: list[tuple[int, int, float, float]] = []
+    for k, (v, w) in enumerate(zip(value.tolist(), weight.tolist())):
+        now = (k, k, v, w)
+        while blocks and blocks[-1][2] >= now[2]:
+            a = blocks.pop()
+            total = a[3] + now[3]
+            now = (a[0], now[1], (a[2] * a[3] + now[2] * now[3]) / total, total)
+        blocks.append(now)
+    return blocks
+
+
+def _pool_ranges(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    rows = pd.concat(list(frames), ignore_index=True)
+    if len(rows):
+        rows = rows.sort_values("s")
+        s = rows["s"].to_numpy()
+        blocks = pool(rows["label"].to_numpy(), rows["w"].to_numpy())
+        ends = [(s[x], m, w / 2) for a, b, m, w in blocks for x in (a, b)]
+        yield pd.DataFrame(ends, columns=["s", "label", "w"]).groupby("s", as_index=False).agg({"label": "first", "w": "sum"})
+
+
 def fit_isotonic(df: DataFrame, score: str, label: str) -> Calibrator:
-    """Distinct scores enter once, weighted, so the fit grows with scores and not with rows.
+    """Distinct scores enter once, weighted, and are pooled inside score ranges first.
 
-    The library pools the blocks on the driver in the end; beyond ``MAX_SCORES`` distinct
-    scores they are therefore read at a resolution of 1e-6.
+    Pooling may go in any order, so pooling each range and then the ranges' blocks gives the fit over all
+    scores, at any size and without rounding. A block stays as its two end points, half its weight each. What the
+    library pools on the driver in the end are the blocks.
     """
-    s = F.col(score).cast("double")
-    if df.select(F.approx_count_distinct(s)).first()[0] > MAX_SCORES:
-        s = F.round(s, 6)
-    points = df.groupBy(s.alias("s")).agg(
+    points = df.groupBy(F.col(score).cast("double").alias("s")).agg(
         F.avg(F.col(label).cast("double")).alias("label"), F.count(F.lit(1)).cast("double").alias("w")
-    )
-    rows = VectorAssembler(inputCols=["s"], outputCol="_v").transform(points)
+    ).filter("s IS NOT NULL AND label IS NOT NULL")
+    ranges = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    pooled = points.repartitionByRange(ranges, "s").mapInPandas(_pool_ranges, "s double, label double, w double")
+    rows = VectorAssembler(inputCols=["s"], outputCol="_v").transform(pooled)
     est = IsotonicRegression(featuresCol="_v", labelCol="label", weightCol="w", predictionCol="_cal")
     return Calibrator("isotonic", est.fit(rows))
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from winnow.functions.scalar import SEGMENT_EDGES, SEGMENT_LABELS, assign_segment, right_closed_index
-from winnow.operators.kernels import exact_quantiles, order_statistics, prefix_sums, stats_to_rows
+from winnow.operators.kernels import exact_quantiles, order_statistics, prefix_sums, row_positions, stats_to_rows
 
 
 def score_curve(df: DataFrame, score: str, label: str, keys: Sequence[str] = (), task_rows: int | None = None) -> DataFrame:
@@ -115,23 +115,28 @@ def ece_quantile(df: DataFrame, score: str, label: str, bins: int = 10) -> DataF
 def top_cuts(df: DataFrame, score: str, row_id: str, tops: Sequence[int], n: int) -> list[Column]:
     """For each ``top`` a predicate true on exactly the ``top`` best rows, ties by smallest id.
 
-    The cut score is an exact order statistic, and so is the id that ends the tied rows.
+    The cut score is an exact order statistic. The id that ends the tied rows is found by their positions in the id's
+    own order, so ids of any type do; rows without an id come first and together.
     """
-    wanted = sorted({n - t for t in tops if 0 < t <= n})
-    values = order_statistics(df, {score: lambda _: wanted})[score][1]
-    cut = {t: values[n - t] for t in tops if 0 < t <= n}
+    inside = sorted({t for t in tops if 0 < t <= n})
+    if not inside:
+        return [F.lit(t > n) if t > 0 else F.lit(False) for t in tops]
+    values = order_statistics(df, {score: lambda _: [n - t for t in inside]})[score][1]
+    cut = {t: values[n - t] for t in inside}
     above = df.agg(*[F.count_if(F.col(score) > s).alias(f"c{t}") for t, s in cut.items()]).first()
-    tied = df.select(*[F.when(F.col(score) == s, F.col(row_id)).alias(f"t{t}") for t, s in cut.items()])
-    last = order_statistics(tied, {f"t{t}": (lambda _, t=t: [t - above[f"c{t}"] - 1]) for t in cut})
+    tied = df.select(F.col(row_id).alias("id"), F.explode(F.filter(F.array(*[
+        F.struct(F.lit(t).alias("t"), F.lit(t - above[f"c{t}"] - 1).alias("k"), (F.col(score) == s).alias("here")) for t, s in cut.items()
+    ]), lambda x: x["here"])).alias("x")).select("id", "x.t", "x.k")
+    placed = row_positions(tied, "id", "id", ["t"])
+    last = {r["t"]: r["id"] for r in placed.filter(F.col("pos") == F.col("k")).select("t", "id").collect()}
     out = []
     for t in tops:
-        if t <= 0:
-            out.append(F.lit(False))
-        elif t > n:
-            out.append(F.lit(True))
-        else:
-            end = last[f"t{t}"][1][t - above[f"c{t}"] - 1]
-            out.append((F.col(score) > cut[t]) | ((F.col(score) == cut[t]) & (F.col(row_id) <= int(end))))
+        if t <= 0 or t > n:
+            out.append(F.lit(t > n))
+            continue
+        first = F.col(row_id).isNull()
+        upto = first if last[t] is None else first | (F.col(row_id) <= F.lit(last[t]))
+        out.append((F.col(score) > cut[t]) | ((F.col(score) == cut[t]) & upto))
     return out
 
 

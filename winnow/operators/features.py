@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from winnow.functions.scalar import DAY_US, clip, day_number, micros, month_start, parse_yearmonth, safe_ratio, temporal_parts
-from winnow.operators.kernels import MAX_HOT_KEYS, TASK_ROWS, exact_quantiles, prefix_sums
+from winnow.operators.kernels import MAX_HOT_KEYS, exact_quantiles, prefix_sums, rows_per_task
+from winnow.session import pin
 
 WINDOWS = (30, 90, 180)
 MAX_LEVELS = 1000  # most levels a literal list may hold
@@ -58,7 +59,7 @@ def account_history(
     """
     windows = valid_windows(windows)
     rows = df.withColumn("_t", micros(F.col(time)))
-    limit = min(frame_rows, task_rows or frame_rows) if windows else (task_rows or TASK_ROWS)
+    limit = min(frame_rows, task_rows or frame_rows) if windows else rows_per_task(df, task_rows)
     busy = (
         df.filter(F.col(account).isNotNull()).groupBy(account).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
         .select(account)
@@ -94,6 +95,8 @@ def _history_by_frames(rows, account, row_id, windows, source, sources) -> DataF
 
 
 def _history_by_prefix(rows, account, row_id, windows, source, sources, task_rows) -> DataFrame:
+    # a key of our own, pinned: rows may lack an id or share one
+    rows = pin(rows.withColumn("_rid", F.monotonically_increasing_id()))
     ranked = prefix_sums(
         rows, [account], "_t", {"_pos": F.lit(1)}, row_id, task_rows, maxima={"_last": F.col("_t")}
     )
@@ -104,25 +107,25 @@ def _history_by_prefix(rows, account, row_id, windows, source, sources, task_row
     )
     counters = _counters(windows, sources)
     if not counters:
-        return out
+        return out.drop("_rid")
     # leads in [t-W, t) = leads before t minus leads before t-W; both are read off a running
     # count at probe points, which sort ahead of the leads of the same instant
     spots = F.array(
         F.struct(F.lit(-1).alias("_w"), (F.col("_t") * 2 + 1).alias("_at")),
         *[F.struct(F.lit(w).alias("_w"), ((F.col("_t") - w * DAY_US) * 2).alias("_at")) for w in [0, *windows]],
     )
-    keep = [account, row_id] + ([source] if source else [])
+    keep = [account, "_rid"] + ([source] if source else [])
     events = rows.select(*keep, F.inline(spots))
     kinds = {None: "_all", **{s: f"_s{i}" for i, s in enumerate(sources)}}
     counts = prefix_sums(
         events, [account], "_at",
-        {name: F.when(F.col("_w") < 0, _hit(source, s)).otherwise(0) for s, name in kinds.items()}, row_id, task_rows,
+        {name: F.when(F.col("_w") < 0, _hit(source, s)).otherwise(0) for s, name in kinds.items()}, "_rid", task_rows,
     )
     at = lambda name, w: F.max(F.when(F.col("_w") == w, F.col(name)))
-    table = counts.filter("_w >= 0").groupBy(row_id).agg(*[
+    table = counts.filter("_w >= 0").groupBy("_rid").agg(*[
         (at(kinds[s], 0) - at(kinds[s], w)).cast("long").alias(name) for name, w, s in counters
     ])
-    return out.join(table, row_id)
+    return out.join(table, "_rid").drop("_rid")
 
 
 def source_ratios(df: DataFrame, windows: Sequence[int], sources: Sequence[str]) -> DataFrame:
@@ -223,8 +226,9 @@ def fit_target_encoding(train: DataFrame, column: str, target: str, smoothing: f
 
 
 def levels(train: DataFrame, column: str, limit: int = MAX_LEVELS) -> list[str]:
-    """Sorted distinct values, checked to be few."""
-    got = [r[0] for r in train.select(column).distinct().filter(F.col(column).isNotNull()).limit(limit + 1).collect()]
+    """Sorted distinct values, checked to be few; NULL is the level ``Unknown``."""
+    cell = F.coalesce(F.col(column).cast("string"), F.lit("Unknown"))
+    got = [r[0] for r in train.select(cell).distinct().limit(limit + 1).collect()]
     if len(got) > limit:
         raise ValueError(f"{column} has more than {limit} levels; use the vector encoder")
     return sorted(got)
@@ -247,7 +251,7 @@ def source_onehot(df: DataFrame, source: str, sources: Sequence[str]) -> DataFra
 
 def onehot(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
     """0/1 columns; NULL reads ``Unknown``; a level not seen in training gives zeros."""
-    cell = F.coalesce(F.col(column), F.lit("Unknown"))
+    cell = F.coalesce(F.col(column).cast("string"), F.lit("Unknown"))
     return df.select("*", *[(cell == v).cast("int").alias(f"{column}_{v}") for v in values])
 
 

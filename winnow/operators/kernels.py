@@ -15,11 +15,12 @@ import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from winnow.session import pin
 
 TASK_ROWS = 1_000_000  # rows one task may order or buffer
-MAX_PIECES = 4096  # most buckets an order is cut into
+MAX_PIECES = 65_536  # most buckets an order is cut into
 MAX_HOT_KEYS = 10_000  # most keys written into a plan as a literal list
 GATHER_ROWS = 50_000  # most distinct values per column read back to finish a selection
 WIDE_LIMIT = 200  # aggregate expressions per job
@@ -31,6 +32,11 @@ def chunks(items: Sequence, size: int = WIDE_LIMIT):
         yield items[start : start + size]
 
 
+def rows_per_task(df: DataFrame, task_rows: int | None = None) -> int:
+    """``task_rows``, else the session's ``spark.winnow.taskRows``, else ``TASK_ROWS``. Results do not depend on it."""
+    return task_rows or int(df.sparkSession.conf.get("spark.winnow.taskRows", str(TASK_ROWS)))
+
+
 def pieces_for(n: int, task_rows: int) -> int:
     return max(1, min(MAX_PIECES, math.ceil(n / task_rows)))
 
@@ -65,25 +71,56 @@ def point_gap_bucket(df: DataFrame, column: str, edges: Sequence[float], out: st
     """Ordered bucket numbers: ``2i`` for values between edges, ``2i+1`` for the edge itself.
 
     A value frequent enough to be an edge has an odd bucket of its own, so the even
-    buckets stay small whatever the ties; odd buckets hold one value and need no order.
+    buckets stay small whatever the ties; odd buckets hold one value and need no order. NULL (-3),
+    -Infinity (-1), Infinity and NaN (the last two odd numbers) are points too.
     """
     cuts = _strict(edges)
     if not cuts:
-        return df.withColumn(out, F.lit(0))
+        return df.withColumn(out, _special(column, 0, F.lit(0)))
     raw, low = out + "_raw", F.expr("array(double('-infinity'), " + ", ".join(f"{e!r}D" for e in cuts) + ")")
+    top = 2 * len(cuts)
     bucketed = Bucketizer(
         splits=[float("-inf"), *cuts, float("inf")], inputCol=column, outputCol=raw, handleInvalid="keep"
     ).transform(df)
     at = F.col(raw).cast("int")
     on_edge = (F.col(column) == F.get(low, at)) & (at > 0)
-    return bucketed.withColumn(out, F.when(on_edge, 2 * at - 1).otherwise(2 * at)).drop(raw)
+    return bucketed.withColumn(out, _special(column, top, F.when(on_edge, 2 * at - 1).otherwise(2 * at))).drop(raw)
+
+
+def _special(column: str, top: int, bucket: Column) -> Column:
+    c = F.col(column)
+    return (
+        F.when(c.isNull(), -3).when(F.isnan(c), top + 3).when(c == float("-inf"), -1).when(c == float("inf"), top + 1)
+        .otherwise(bucket)
+    )
+
+
+def order_number(df: DataFrame, column: str) -> Column:
+    """A double that never falls along the column's own order, whatever its type.
+
+    Numbers and times are cast (rounding keeps the order). Text is read as bytes after the prefix that the least and
+    greatest value share. It only places rows in buckets; inside a bucket the column itself orders.
+    """
+    kind = df.schema[column].dataType
+    c = F.col(f"`{column}`")
+    if isinstance(kind, T.StringType):
+        low, high = df.agg(F.min(c), F.max(c)).first()
+        a, b = (low or "").encode(), (high or "").encode()
+        shared = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        part = F.rpad(F.hex(F.substring(c.cast("binary"), shared + 1, 6)), 12, "0")
+        return F.conv(part, 16, 10).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    return c.cast("double")
 
 
 def order_edges(df: DataFrame, pieces: int, *columns: str) -> list[list[float]]:
     """Approximate edges cutting each column into ``pieces`` parts, in one aggregate."""
     probs = ", ".join(f"{i / pieces!r}D" for i in range(1, pieces))
     row = df.agg(*[
-        F.expr(f"percentile_approx(CAST(`{c}` AS DOUBLE), array({probs}), {4 * MAX_PIECES})").alias(f"e{i}")
+        F.expr(f"percentile_approx(CAST(`{c}` AS DOUBLE), array({probs}), {max(10_000, 4 * pieces)})").alias(f"e{i}")
         for i, c in enumerate(columns)
     ]).first()
     return [_strict(line or []) for line in row]
@@ -109,12 +146,15 @@ def prefix_sums(
     key's whole sum of each value as ``<name>_total``.
 
     The order is cut into value buckets; totals of earlier buckets are added to a
-    window inside the own bucket. ``tie`` (numeric, unique) further cuts values of
-    ``by`` that hold very many rows. Integers must stay below 2**53.
+    window inside the own bucket. ``tie`` (unique, of any type) further cuts values of
+    ``by`` that hold very many rows, NULL among them. Up to one task's rows a single window does it;
+    the result is the same.
     """
-    task_rows = task_rows or TASK_ROWS
+    task_rows = rows_per_task(df, task_rows)
     maxima = maxima or {}
     cols = [c for c in (by, tie) if c]
+    if durable:
+        df = pin(df)
     n = df.count()
     if n <= task_rows:
         scope = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*cols)
@@ -124,14 +164,14 @@ def prefix_sums(
             *[F.max(v).over(scope).alias(k) for k, v in maxima.items()],
             *[F.sum(v).over(Window.partitionBy(*(keys or [F.lit(0)]))).alias(k + "_total") for k, v in values.items() if totals],
         )
-    if durable:
-        df = pin(df)
-    edges = order_edges(df, pieces_for(n, task_rows), *cols)
-    work = df.withColumn("_ps_by", F.col(by).cast("double"))
+    work = df.withColumn("_ps_by", order_number(df, by))
+    if tie:
+        work = work.withColumn("_ps_tie", order_number(df, tie))
+    edges = order_edges(work, pieces_for(n, task_rows), *["_ps_by", "_ps_tie"][: len(cols)])
     work = point_gap_bucket(work, "_ps_by", edges[0], "_ps_b")
     if tie:
-        work = point_gap_bucket(work.withColumn("_ps_tie", F.col(tie).cast("double")), "_ps_tie", edges[1], "_ps_t")
-        work = work.withColumn("_ps_t", F.when(F.col("_ps_b") % 2 == 1, F.col("_ps_t")).otherwise(0))
+        work = point_gap_bucket(work, "_ps_tie", edges[1], "_ps_t")
+        work = work.withColumn("_ps_t", F.when(F.pmod("_ps_b", F.lit(2)) == 1, F.col("_ps_t")).otherwise(0))
     else:
         work = work.withColumn("_ps_t", F.lit(0))
     slot = [*keys, "_ps_b", "_ps_t"]
@@ -176,7 +216,7 @@ def uniform_key(text: Column) -> Column:
 def order_statistics(
     df: DataFrame, wanted: Mapping[str, Callable[[int], Sequence[int]]], gather: int = GATHER_ROWS
 ) -> dict[str, tuple[int, dict[int, float]]]:
-    """Exact values at given 0-based ranks, ``{column: (n, {rank: value})}``, NULLs skipped.
+    """Exact values at given 0-based ranks, ``{column: (n, {rank: value})}``; NULL and NaN are skipped.
 
     Sketched edges cut each column into points and gaps, which are counted exactly. A
     rank on a point is found; otherwise its gap is sketched again until it is small
@@ -184,17 +224,26 @@ def order_statistics(
     ``gather * 500`` rows, two more for every further factor of that kind.
     """
     columns = list(wanted)
-    data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    cast = df.select(*[F.nullif(F.col(c).cast("double"), F.lit(float("nan"))).alias(c) for c in columns])
+    data = cast.select(*[F.when(F.abs(c) < float("inf"), F.col(c)).alias(c) for c in columns])
     counts: dict[str, int] = {}
-    for part in chunks(columns):
-        row = data.agg(*[F.count(c).alias(c) for c in part]).first()
-        counts.update(row.asDict())
+    ends: dict[str, tuple[int, int]] = {}
+    for part in chunks(columns, WIDE_LIMIT // 3):
+        row = cast.agg(*[e for i, c in enumerate(part) for e in (
+            F.count(c).alias(f"n{i}"), F.count_if(F.col(c) == float("-inf")).alias(f"l{i}"),
+            F.count_if(F.col(c) == float("inf")).alias(f"h{i}"))]).first()
+        for i, c in enumerate(part):
+            counts[c], ends[c] = row[f"n{i}"], (row[f"l{i}"], row[f"h{i}"])
     found: dict[str, dict[int, float]] = {c: {} for c in columns}
     # open interval, rows below it, rows inside it
     where: dict[tuple[str, int], tuple[float, float, int, int]] = {}
     for c in columns:
         for r in wanted[c](counts[c]):
-            where[c, r] = (-math.inf, math.inf, 0, counts[c])
+            low, high = ends[c]
+            if r < low or r >= counts[c] - high:
+                found[c][r] = -math.inf if r < low else math.inf
+            else:
+                where[c, r] = (-math.inf, math.inf, low, counts[c] - low - high)
     probs = ", ".join(f"{i / 1000!r}D" for i in range(1, 1000))
 
     def inside(c: str, lo: float, hi: float) -> Column:
@@ -224,7 +273,7 @@ def order_statistics(
             for row in table:
                 if row["c"] == c:
                     size[row["b"]] += row["count"]
-            upto = np.cumsum(size)
+            upto = np.cumsum(size) + ends[c][0]
             bounds = [-math.inf, *e, math.inf]
             for (cc, r) in [k for k in where if k[0] == c and where[k][3] > gather]:
                 b = int(np.searchsorted(upto, r, side="right"))
@@ -259,12 +308,12 @@ def exact_quantiles(
     """
     if not columns:
         return {}
-    task_rows = task_rows or TASK_ROWS
+    task_rows = rows_per_task(df, task_rows)
     if df.count() <= task_rows:
         out: dict[str, list[float | None]] = {}
         for part in chunks(list(columns), 50):
             row = df.agg(*[
-                F.percentile(F.col(c).cast("double"), F.array(*[F.lit(float(p)) for p in probs])).alias(c)
+                F.percentile(F.nullif(F.col(c).cast("double"), F.lit(float("nan"))), F.array(*[F.lit(float(p)) for p in probs])).alias(c)
                 for c in part
             ]).first()
             out.update({c: list(row[c]) if row[c] is not None else [None] * len(probs) for c in part})
@@ -286,7 +335,7 @@ def exact_quantiles(
                 continue
             spot = p * (n - 1)
             lo, hi = values[int(math.floor(spot))], values[int(math.ceil(spot))]
-            line.append(lo + (hi - lo) * (spot - math.floor(spot)))
+            line.append(lo if lo == hi else lo + (hi - lo) * (spot - math.floor(spot)))
         result[c] = line
     return result
 

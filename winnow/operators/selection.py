@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from itertools import combinations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import PCA, Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -185,7 +185,7 @@ class SelectorModel:
         extra = [c for c in self.passthrough if c in df.columns]
         if self.pca is None:
             return df.select(*extra, *self.kept)
-        rows = self.pca.transform(df.withColumns({c: _num(c) for c in self.pca_inputs}))
+        rows = self.pca.transform(df.withColumns({c: F.coalesce(_num(c), F.lit(0.0)) for c in self.pca_inputs}))
         cells = vector_to_array("_pc")
         rest = [c for c in self.kept if c not in self.pca_inputs]
         return rows.select(*extra, *rest, *[cells[i].alias(f"PC_{i + 1:03d}") for i in range(self.components)])
@@ -269,13 +269,11 @@ class SmartFeatureSelector:
         return model
 
     def _fit_pca(self, train: DataFrame, numeric: list[str], model: SelectorModel) -> None:
-        """``pca_components`` of them, or as many as explain ``pca_variance`` when it is <= 0."""
+        """Components of the columns, missing cells as 0: ``pca_components`` of them, or as many as explain ``pca_variance`` when it is <= 0."""
         n = len(numeric) if self.pca_components <= 0 else min(self.pca_components, len(numeric))
-        data = train.withColumns({c: _num(c) for c in numeric})
-        filled = [f"{c}__f" for c in numeric]
+        data = train.withColumns({c: F.coalesce(_num(c), F.lit(0.0)) for c in numeric})
         stages = [
-            Imputer(strategy="median", inputCols=numeric, outputCols=filled),
-            VectorAssembler(inputCols=filled, outputCol="_x"),
+            VectorAssembler(inputCols=numeric, outputCol="_x"),
             StandardScaler(withMean=True, withStd=False, inputCol="_x", outputCol="_centred"),
             PCA(k=n, inputCol="_centred", outputCol="_pc"),
         ]
@@ -291,9 +289,13 @@ class SmartFeatureSelector:
 
 
 def stable_subset(importances: DataFrame, top_k: int = 60, threshold: float = 0.6) -> DataFrame:
-    """``(feature, fold, importance)`` -> best ``top_k`` by mean with enough positive folds."""
+    """``(feature, fold, importance)`` -> best ``top_k`` by mean with enough positive folds.
+
+    A feature that is absent from a fold counts as 0 there.
+    """
+    folds = importances.agg(F.count_distinct("fold").alias("folds")).scalar()
     table = importances.groupBy("feature").agg(
-        F.avg("importance").alias("mean_importance"), F.avg((F.col("importance") > 0).cast("double")).alias("positive_share")
+        (F.sum("importance") / folds).alias("mean_importance"), (F.count_if(F.col("importance") > 0) / folds).alias("positive_share")
     )
     return table.orderBy(F.desc("mean_importance"), "feature").limit(top_k).filter(F.col("positive_share") >= threshold)
 

@@ -24,7 +24,7 @@ from winnow.operators.selection import SelectorModel, SmartFeatureSelector
 from winnow.operators.splits import split_report, time_group_split
 from winnow.operators.synthetic import smote
 from winnow.plans.scoring import Scorer, ScoringSpec
-from winnow.roles import ColumnRoles, categorical_columns, exclude_columns, measure_columns, numeric_columns
+from winnow.roles import TEST_EXCLUDED, ColumnRoles, categorical_columns, exclude_columns, measure_columns, numeric_columns
 from winnow.session import pin
 from winnow.sources.files import split_metadata, write_split
 
@@ -81,7 +81,7 @@ def describe_job(df: DataFrame, roles: ColumnRoles) -> dict[str, DataFrame]:
 
 
 def run_tests(df: DataFrame, roles: ColumnRoles, config: TestConfig = TestConfig(), group: str | None = None,
-              train_only: bool = True, drop: Sequence[str] = ()) -> dict[str, DataFrame]:
+              train_only: bool = True, drop: Sequence[str] = TEST_EXCLUDED) -> dict[str, DataFrame]:
     """The test battery over every column, one table per family."""
     if train_only and "split" in df.columns:
         df = only(df, "train")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
@@ -10,6 +11,8 @@ from pyspark.sql import types as T
 
 # Columns that never enter an analysis or a model.
 LEAKAGE_COLUMNS = ("LeadId", "account_Id", "Id", "Opportunityid", "Contactid", "AccountId")
+# Columns the test battery leaves out besides.
+TEST_EXCLUDED = (*LEAKAGE_COLUMNS, "SystemModstamp", "Branch_Name__c", "BranchName")
 # Name fragments that mark a numeric column as a key or a date part.
 NON_MEASURE_FRAGMENTS = ("id", "Id", "ID", "date", "Date", "time", "Time", "year", "month", "day")
 # Name fragments that mark a date column.
@@ -56,6 +59,21 @@ def exclude_columns(
     return df.drop(*gone)
 
 
+def rename_clean(df: DataFrame) -> DataFrame:
+    """Columns with names of letters, digits and underscores only; names that meet get a number."""
+    taken: set[str] = set()
+    names = []
+    for c in df.columns:
+        base = re.sub(r"\W+", "_", c).strip("_") or "column"
+        name, k = base, 1
+        while name.lower() in taken:
+            k += 1
+            name = f"{base}_{k}"
+        taken.add(name.lower())
+        names.append(name)
+    return df.toDF(*names)
+
+
 @dataclass(frozen=True)
 class ColumnRoles:
     target: str | None = None

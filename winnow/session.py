@@ -38,7 +38,8 @@ def get_session(app: str = "winnow", master: str | None = None, **conf: str) ->
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see: ``spark.checkpoint.dir``.
 
-    Only where the session names none (local tests) a temporary folder is used.
+    Only where a local session names none (tests) a temporary folder is used; on a cluster executors
+    could not see it, so that is an error.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
@@ -48,6 +49,8 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     current = sc.getCheckpointDir()
     if current is None:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="winnow-"))
         current = sc.getCheckpointDir()
     return current.rstrip("/")

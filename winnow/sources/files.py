@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,15 +64,27 @@ def apply_type_map(df: DataFrame, types: Mapping[str, str], dates: tuple[str, ..
 
 
 def read_datamart(
-    spark: SparkSession, path: str, types: Mapping[str, str] | None = None, dates: tuple[str, ...] = ()
+    spark: SparkSession, path: str, types: Mapping[str, str] | None = None, dates: tuple[str, ...] = (),
+    infer_numbers: bool = True,
 ) -> DataFrame:
-    """A wide delimited file with a partial type map; columns outside the map stay text."""
+    """A wide delimited file with a partial type map.
+
+    Columns outside the map become doubles where every filled cell is a number (one scan decides for all), else text.
+    """
     sep, names = header_of(spark, path)
     raw = (
         spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
         .option("sep", sep).option("header", True).option("enforceSchema", True).option("nullValue", "NULL").csv(path)
     )
-    return apply_type_map(raw, types or {}, tuple(d for d in dates if d in names))
+    types = dict(types or {})
+    open_columns = [n for n in names if n not in types and n not in dates]
+    if infer_numbers and open_columns:
+        cells = [(F.col(f"`{n}`"), F.col(f"`{n}`").try_cast("double")) for n in open_columns]
+        row = raw.agg(*[
+            ((F.count(text) > 0) & (F.count(text) == F.count(number))).alias(f"c{i}") for i, (text, number) in enumerate(cells)
+        ]).first()
+        types |= {n: "double" for i, n in enumerate(open_columns) if row[f"c{i}"]}
+    return apply_type_map(raw, types, tuple(d for d in dates if d in names))
 
 
 def read_records(spark: SparkSession, path: str, schema: T.StructType | str, multiline: bool = False) -> DataFrame:
@@ -89,6 +102,19 @@ def read_split(spark: SparkSession, path: str, *sets: str, split: str = "split")
     return df.filter(F.col(split).isin(*sets)) if sets else df
 
 
+def read_or_split(
+    spark: SparkSession, stored: str, raw: Callable[[], DataFrame], split_with: Callable[[DataFrame], DataFrame], *sets: str, split: str = "split"
+) -> DataFrame:
+    """The stored split; where there is none the raw data is read and split."""
+    try:
+        return read_split(spark, stored, *sets, split=split)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    df = split_with(raw())
+    return df.filter(F.col(split).isin(*sets)) if sets else df
+
+
 def write_predictions(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path + "/csv")
     df.write.mode("overwrite").json(path + "/json")
