@@ -42,6 +42,11 @@ class TrainConfig:
     balance: str = "class_weight"  # or "oversample", "smote", "none"
     balance_below: float = 0.2
     ratio_pairs: bool = True
+    engineer: bool = True  # history, window counts, shares, frequencies and rare types, where the roles are known
+    windows: tuple[int, ...] = (30, 90)
+    channel: str | None = None
+    record_type: str | None = None
+    ensemble: tuple[str, ...] = ()  # families voted with weights found on validation
     select: bool = True
     calibrate: bool = True
     seed: int = 42

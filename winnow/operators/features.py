@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from itertools import combinations
 
 from pyspark.ml import Pipeline
@@ -361,6 +362,23 @@ class FeatureModel:
             out = out.drop(s.time, s.source, s.yearmonth, s.channel or "", s.record_type or "")
         return out.drop(*s.drop_ids)
 
+    def save(self, path: str) -> None:
+        """Keyed tables as parquet, the rest as one JSON row."""
+        spark = self.totals.table.sparkSession
+        tables = {"totals": self.totals.table} | ({"cross": self.cross.table} if self.cross else {}) | ({"rare": self.rare} if self.rare is not None else {})
+        for name, table in tables.items():
+            table.write.mode("overwrite").parquet(f"{path}/{name}")
+        held = {n: [k.keys, k.value, k.default] for n, k in (("totals", self.totals), ("cross", self.cross)) if k}
+        state = {"spec": asdict(self.spec), "sources": self.sources, "keyed": held, "rare": self.rare is not None}
+        spark.createDataFrame([(json.dumps(state),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/state")
+
+    @classmethod
+    def load(cls, spark, path: str) -> "FeatureModel":
+        state = json.loads(spark.read.text(f"{path}/state").first()[0])
+        keyed = {n: KeyedState(k[0], spark.read.parquet(f"{path}/{n}"), k[1], k[2]) for n, k in state["keyed"].items()}
+        rare = spark.read.parquet(f"{path}/rare") if state["rare"] else None
+        return cls(FeatureEngineer(**state["spec"]), state["sources"], keyed["totals"], keyed.get("cross"), rare)
+
 
 @dataclass
 class FeatureEngineer:

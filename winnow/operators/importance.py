@@ -16,7 +16,7 @@ from winnow.operators.evaluation import auc_of, score_curve
 from winnow.operators.kernels import affine_donors, row_positions, safe_corr, stats_to_rows
 from winnow.operators.models import fit_family
 from winnow.operators.splits import row_kfold
-from winnow.session import scratch_path
+from winnow.session import pin, scratch_path
 
 # ---------------------------------------------------------------- attributions
 
@@ -142,19 +142,19 @@ def permutation_importance(
 ) -> DataFrame:
     """Mean and spread of the AUC lost when one column is shuffled.
 
-    ``score`` adds ``p`` from the raw columns. Every (column, repeat) takes its values from
-    a donor row found by an equi-join on the shuffled index, all of them in one long pass.
+    ``score`` adds ``p`` from the raw columns. A repeat takes its donor rows from one equi-join on the shuffled
+    index, whatever the number of columns; which column is swapped is decided after it, row by row.
     """
     indexed, n = _indexed(df.select(row_id, label, *columns), row_id)
-    cells = F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.lit(r).alias("repeat"), donor(F.col("_i"), n, seed + 1000 * j + r).alias("_from"))
-        for j, c in enumerate(columns) for r in range(repeats)
-    ])
+    indexed = pin(indexed)
     donors = indexed.select(F.col("_i").alias("_from"), *[F.col(c).alias("_d_" + c) for c in columns])
-    swapped = indexed.select(row_id, label, *columns, F.inline(cells)).join(donors, "_from").select(
-        row_id, label, "feature", "repeat",
-        *[F.when(F.col("feature") == c, F.col("_d_" + c)).otherwise(F.col(c)).alias(c) for c in columns],
-    )
+    features = F.explode(F.array(*map(F.lit, columns))).alias("feature")
+    rounds = []
+    for r in range(repeats):
+        met = indexed.withColumn("_from", donor(F.col("_i"), n, seed + r)).join(donors, "_from").select("*", features)
+        rounds.append(met.select(row_id, label, "feature", F.lit(r).alias("repeat"), *[
+            F.when(F.col("feature") == c, F.col("_d_" + c)).otherwise(F.col(c)).alias(c) for c in columns]))
+    swapped = reduce(DataFrame.unionByName, rounds)
     base = score_curve(score(df), "p", label).agg(auc_of().alias("auc")).first()["auc"]
     lost = (
         score_curve(score(swapped), "p", label, ["feature", "repeat"]).groupBy("feature", "repeat")

@@ -17,9 +17,11 @@ from winnow.operators import stat_tests as ST
 from winnow.operators.calibration import bin_stats, choose_calibrator, compare_sets
 from winnow.operators.cleaning import BasicCleaner, CleanerModel
 from winnow.operators.evaluation import evaluate_all, lift_table
-from winnow.operators.features import fit_account_totals, top_sources, vector_encoder
+from winnow.operators.features import FeatureEngineer, fit_account_totals, top_sources, vector_encoder
 from winnow.operators.imbalance import add_class_weights, needs_balancing, oversample
-from winnow.operators.models import estimator, fit_source_experts, model_importances, positive_probability, vector_names
+from winnow.operators.models import (
+    add_probabilities, estimator, fit_family, fit_source_experts, model_importances, optimize_weights, positive_probability, vector_names,
+)
 from winnow.operators.selection import SelectorModel, SmartFeatureSelector
 from winnow.operators.splits import split_report, time_group_split
 from winnow.operators.synthetic import smote
@@ -178,9 +180,17 @@ def train_job(df: DataFrame, roles: ColumnRoles, config: TrainConfig = TrainConf
     spec = ScoringSpec(
         ids=[*roles.ids], time=roles.time, account=roles.group, ratio_columns=measures if config.ratio_pairs and len(measures) > 1 else [],
     )
-    totals = fit_account_totals(train, roles.group) if roles.group else None
-    scorer = Scorer(spec, None, clean_model, totals)
-    derived = scorer.features(train).persist()
+    engineered = totals = None
+    if config.engineer and roles.source and roles.group and roles.time and roles.ids:
+        cleaned = clean_model.transform(train)
+        present = lambda c: c if c in train.columns else None
+        engineered = FeatureEngineer(
+            roles.time, roles.group, roles.source, roles.ids[0], present(config.channel), present(config.record_type), windows=config.windows,
+        ).fit(cleaned)
+    elif roles.group:
+        totals = fit_account_totals(train, roles.group)
+    scorer = Scorer(spec, None, clean_model, totals, engineered=engineered)
+    derived = pin(scorer.features(train))
     selector = None
     if config.select:
         selector = SmartFeatureSelector().fit(derived, roles, keep_cached=True)
@@ -204,9 +214,15 @@ def train_job(df: DataFrame, roles: ColumnRoles, config: TrainConfig = TrainConf
     encoded = encoder.transform(rows).select("features", "label", *([weight] if weight else [])).persist()
     fitted = estimator(config.family, encoded.count(), weight=weight, seed=config.seed, **config.params).fit(encoded)
     names = vector_names(encoded)
-    for held in (encoded, derived, train):
-        held.unpersist()
     scorer.model = PipelineModel([*encoder.stages, fitted])
+    if config.ensemble:
+        scorer.model = PipelineModel(encoder.stages)
+        scorer.members = {f: fit_family(encoded, f, weight=weight, seed=config.seed) for f in config.ensemble}
+        held_out = encoder.transform(scorer.features(validation)).withColumn("label", F.col(roles.target).cast("double"))
+        probed, columns = add_probabilities(held_out.select("features", "label"), scorer.members)
+        scorer.weights, _ = optimize_weights(pin(probed.select("label", *columns)), columns, "label", seed=config.seed)
+    for held in (encoded, train):
+        held.unpersist()
     kind = None
     if config.calibrate:
         raw = scorer.transform(validation, [roles.target]).select("raw_score", roles.target).persist()

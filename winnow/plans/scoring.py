@@ -19,8 +19,8 @@ from winnow.functions.scalar import SEGMENT_EDGES, SEGMENT_LABELS, assign_segmen
 from winnow.operators.calibration import Calibrator
 from winnow.operators.cleaning import CleanerModel
 from winnow.operators.evaluation import evaluate_all
-from winnow.operators.features import KeyedState, pairwise_ratios
-from winnow.operators.models import positive_probability
+from winnow.operators.features import FeatureModel, KeyedState, pairwise_ratios
+from winnow.operators.models import Fitted, add_probabilities, positive_probability, vote
 
 
 @dataclass
@@ -37,21 +37,31 @@ class ScoringSpec:
 
 @dataclass
 class Scorer:
-    """``model`` ends with the classifier; cleaner, account totals and calibrator are optional."""
+    """``model`` ends with the classifier; cleaner, account totals, engineered features and calibrator are optional.
+
+    With ``members`` the model holds the encoding alone and the score is the members' weighted mean. Engineered
+    history is counted on the rows that are scored.
+    """
 
     spec: ScoringSpec
     model: PipelineModel
     cleaner: CleanerModel | None = None
     totals: KeyedState | None = None
     calibrator: Calibrator | None = None
+    engineered: FeatureModel | None = None
+    members: dict[str, Fitted] = field(default_factory=dict)
+    weights: list[float] = field(default_factory=list)
 
     def features(self, df: DataFrame) -> DataFrame:
         """Clean, then derive: date parts, account totals, ratios."""
         out = self.cleaner.transform(df) if self.cleaner else df
-        if self.spec.time and self.spec.time in out.columns:
-            out = out.select("*", *temporal_parts(F.col(self.spec.time)))
-        if self.totals:
-            out = self.totals.transform(out)
+        if self.engineered:
+            out = self.engineered.transform(out)
+        else:
+            if self.spec.time and self.spec.time in out.columns:
+                out = out.select("*", *temporal_parts(F.col(self.spec.time)))
+            if self.totals:
+                out = self.totals.transform(out)
         if self.spec.ratio_columns:
             out = pairwise_ratios(out, self.spec.ratio_columns)
         return out
@@ -59,7 +69,11 @@ class Scorer:
     def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """ids, kept columns, raw score, conversion probability and segment."""
         rows = self.model.transform(self.features(df))
-        rows = rows.withColumn("raw_score", positive_probability(self.model.stages[-1]))
+        if self.members:
+            rows, columns = add_probabilities(rows, self.members)
+            rows = rows.withColumn("raw_score", vote(columns, self.weights))
+        else:
+            rows = rows.withColumn("raw_score", positive_probability(self.model.stages[-1]))
         if self.calibrator:
             rows = self.calibrator.transform(rows, "raw_score", "conversion_probability")
         else:
@@ -82,7 +96,13 @@ class Scorer:
             self.totals.table.write.mode("overwrite").parquet(f"{path}/totals")
         if self.calibrator:
             PipelineModel([self.calibrator.model]).write().overwrite().save(f"{path}/calibrator")
+        if self.engineered:
+            self.engineered.save(f"{path}/engineered")
+        for name, member in self.members.items():
+            PipelineModel([member.model]).write().overwrite().save(f"{path}/members/{name}")
         state = {
+            "engineered": self.engineered is not None,
+            "members": {n: m.family for n, m in self.members.items()}, "weights": self.weights,
             "spec": asdict(self.spec),
             "cleaner": asdict(self.cleaner) if self.cleaner else None,
             "totals": [self.totals.keys, self.totals.value, self.totals.default] if self.totals else None,
@@ -102,7 +122,10 @@ class Scorer:
             calibrator = Calibrator(state["calibrator"], PipelineModel.load(f"{path}/calibrator").stages[0])
         if state["cleaner"]:
             cleaner = CleanerModel(**state["cleaner"])
-        return cls(ScoringSpec(**state["spec"]), PipelineModel.load(f"{path}/model"), cleaner, totals, calibrator)
+        engineered = FeatureModel.load(spark, f"{path}/engineered") if state["engineered"] else None
+        members = {n: Fitted(family, PipelineModel.load(f"{path}/members/{n}").stages[0]) for n, family in state["members"].items()}
+        return cls(ScoringSpec(**state["spec"]), PipelineModel.load(f"{path}/model"), cleaner, totals, calibrator,
+                   engineered, members, state["weights"])
 
 
 def linear_scorer(weights: dict[str, float], intercept: float, extra: str = "") -> PipelineModel:
