@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,8 +42,9 @@ def normal(text: Column) -> Column:
 def bigrams(text: Column) -> Column:
     """Distinct pairs of neighbouring words of a text in normal form."""
     words = F.split(F.trim(text), " ")
-    pairs = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda k: F.concat_ws(" ", F.element_at(words, k), F.element_at(words, k + 1)))
-    return F.when(F.size(words) > 1, F.array_distinct(pairs)).otherwise(F.array().cast("array<string>"))
+    count = F.size(words) - 1
+    pairs = F.zip_with(F.slice(words, F.lit(1), count), F.slice(words, F.lit(2), count), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.when(count > 0, F.array_distinct(pairs)).otherwise(F.array().cast("array<string>"))
 
 
 def template_rows(templates) -> list[tuple[str, list[str]]]:
@@ -80,13 +82,11 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8, id: str =
     rows = template_rows(templates)
     needed = sorted({s for _, pairs in rows for s in signs(pairs, threshold)})
     cut = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    norm = cut.withColumn("norm", normal(F.col("text")))
-    hit = F.lit(False)
-    for s in needed:
-        hit = hit | F.contains("norm", F.lit(f" {s} "))
+    # the lambda binds the normal form, so that it is made once a text and not once a bigram
+    hit = F.exists(F.array(normal(F.col("text"))), lambda norm: reduce(Column.__or__, [F.contains(norm, F.lit(f" {s} ")) for s in needed], F.lit(False)))
     lines = F.split("text", "\\r?\\n")
     parts = F.array_distinct(F.concat(F.array("text"), F.split("text", BLOCK), lines, F.flatten(F.transform(lines, lambda x: F.split(x, SENTENCE)))))
-    units = norm.filter(hit).select("doc_id", F.explode(parts).alias("part")).withColumn("pairs", bigrams(normal(F.col("part"))))
+    units = cut.filter(hit).select("doc_id", F.explode(parts).alias("part")).withColumn("pairs", bigrams(normal(F.col("part"))))
     spark = docs.sparkSession
     known = spark.createDataFrame([(n, p) for n, p in rows] or [("", [""])], "license string, known array<string>").filter("license <> ''")
     size, m = F.size("pairs"), F.size("known")
