@@ -133,7 +133,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op7_toxicity")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores of all documents by a network fitted on about 1500 labelled documents of each label."""
+    """Scores of all documents by a network fitted on about 1200 labelled documents of each label."""
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 

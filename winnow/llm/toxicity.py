@@ -103,7 +103,7 @@ class Network:
             out[:, t] = state
         return out
 
-    def scores(self, codes, at: np.ndarray, here: np.ndarray, batch: int = 4096) -> np.ndarray:
+    def scores(self, codes, at: np.ndarray, here: np.ndarray, batch: int = 2048) -> np.ndarray:
         """Score of every window."""
         x, _ = self.inputs(codes)
         gates = {way: x @ self.p[f"in_{way}"] + self.p[f"gate_{way}"] for way in ("f", "b")}
@@ -191,10 +191,18 @@ def cut_codes(codes, used: np.ndarray):
     return own[used], grams[at], ends - counts
 
 
-def leaning(ids: np.ndarray, text: np.ndarray, gold: np.ndarray, buckets: int) -> np.ndarray:
-    """Log ratio of a feature's rates among toxic and clean texts that have it, drawn to 0 where it is rare."""
-    ids, text = np.unique(np.stack([ids, text]), axis=1)
-    found = [np.bincount(ids[gold[text] == y], minlength=buckets) for y in (0, 1)]
+def leaning(words: Words, features: np.ndarray, begins: np.ndarray, gold: np.ndarray, buckets: int) -> np.ndarray:
+    """Log ratio of a feature's rates among toxic and clean texts that have it, drawn to 0 where it is rare.
+
+    ``features`` of each distinct word start at ``begins``; texts are taken one at a time.
+    """
+    found = np.zeros((2, buckets))
+    counts = np.diff(np.append(begins, len(features)))
+    for text, y in enumerate(gold):
+        used = np.unique(words.codes[words.offsets[text]:words.offsets[text + 1]])
+        n = counts[used]
+        at = np.repeat(begins[used] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        found[int(y), np.unique(features[at])] += 1
     return np.log((found[1] + 2) / (found[0] * (gold.sum() / max(1, (1 - gold).sum())) + 2)).astype(np.float32)
 
 
@@ -212,10 +220,7 @@ def fit(texts: list[str], gold: list[int], shape: Shape = Shape(), epochs: int =
     if not len(owner) or label.min() == label.max():
         return net
     codes = own, grams, begins = word_codes(words.distinct)
-    text = np.repeat(np.arange(len(texts)), np.diff(words.offsets))
-    held = np.diff(np.append(begins, len(grams)))[words.codes]
-    spread = grams[np.repeat(begins[words.codes] - (np.cumsum(held) - held), held) + np.arange(held.sum())]
-    lean = {"word": leaning(own[words.codes], text, label, WORDS), "char": leaning(spread, np.repeat(text, held), label, TRIGRAMS)}
+    lean = {"word": leaning(words, own, np.arange(len(own)), label, WORDS), "char": leaning(words, grams, begins, label, TRIGRAMS)}
     for name in lean:
         net.p[name][:, 0] = 0.5 * lean[name]
     by_word = lean["word"][own] + np.add.reduceat(lean["char"][grams], begins) / np.diff(np.append(begins, len(grams)))
@@ -241,7 +246,7 @@ def fit(texts: list[str], gold: list[int], shape: Shape = Shape(), epochs: int =
     return net
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = 1500, id: str = "doc_id", text: str = "text", label: str = "toxic") -> Network:
+def train(docs: DataFrame, labels: DataFrame, most: int = 1200, id: str = "doc_id", text: str = "text", label: str = "toxic") -> Network:
     """Fit on about ``most`` documents of each label among rows that are not held out (a documented bound)."""
     known = labels.filter(~held_out(id) & F.col(label).isin(0, 1)).select(F.col(id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
     drawn = draw(known, "y", most)
