@@ -82,8 +82,11 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8, id: str =
     rows = template_rows(templates)
     needed = sorted({s for _, pairs in rows for s in signs(pairs, threshold)})
     cut = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    # the lambda binds the normal form, so that it is made once a text and not once a bigram
-    hit = F.exists(F.array(normal(F.col("text"))), lambda norm: reduce(Column.__or__, [F.contains(norm, F.lit(f" {s} ")) for s in needed], F.lit(False)))
+    # a bigram's longer word is looked for first; the lambda binds the normal form, so that it is made once a text
+    spelled = F.array(*[F.lit(w) for w in sorted({max(s.split(), key=len) for s in needed})]).cast("array<string>")
+    known_word = F.arrays_overlap(F.split(F.lower("text"), "[^\\p{L}\\p{N}]+"), spelled)
+    sign = F.exists(F.array(normal(F.col("text"))), lambda norm: reduce(Column.__or__, [F.contains(norm, F.lit(f" {s} ")) for s in needed], F.lit(False)))
+    hit = known_word & sign
     lines = F.split("text", "\\r?\\n")
     parts = F.array_distinct(F.concat(F.array("text"), F.split("text", BLOCK), lines, F.flatten(F.transform(lines, lambda x: F.split(x, SENTENCE)))))
     units = cut.filter(hit).select("doc_id", F.explode(parts).alias("part")).withColumn("pairs", bigrams(normal(F.col("part"))))
