@@ -42,10 +42,13 @@ class TrainConfig:
     balance: str = "class_weight"  # or "oversample", "smote", "none"
     balance_below: float = 0.2
     ratio_pairs: bool = True
-    engineer: bool = True  # history, window counts, shares, frequencies and rare types, where the roles are known
+    # history, window counts, shares, frequencies and rare types; counted on the rows scored, so for batches only
+    engineer: bool = False
     windows: tuple[int, ...] = (30, 90)
     channel: str | None = None
     record_type: str | None = None
+    search_trials: int = 0  # cross-validated points of the family's grid; 0 takes ``params``
+    metric: str = "roc_auc"
     ensemble: tuple[str, ...] = ()  # families voted with weights found on validation
     select: bool = True
     calibrate: bool = True

@@ -9,11 +9,12 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from winnow.operators.evaluation import auc_of, score_curve
-from winnow.operators.kernels import affine_donors, row_positions, safe_corr, stats_to_rows
+from winnow.operators.kernels import affine_donors, row_positions, safe_corr
 from winnow.operators.models import fit_family
 from winnow.operators.splits import row_kfold
 from winnow.session import pin, scratch_path
@@ -23,16 +24,13 @@ from winnow.session import pin, scratch_path
 
 def linear_importance(df: DataFrame, model, names: Sequence[str], features: str = "features") -> DataFrame:
     """mean |w (x - mean x)|: the exact attribution of a linear margin."""
-    cells = df.select(vector_to_array(features).alias("x"))
-    w = model.coefficients.toArray()
-    means = cells.agg(*[F.avg(F.col("x")[i]).alias(f"m{i}") for i in range(len(w))]).first()
-    wide = cells.agg(*[
-        F.avg(F.abs((F.col("x")[i] - means[i]) * float(c))).alias(f"f{i}") for i, c in enumerate(w)
-    ])
-    slots = [str(i) for i in range(len(w))]
-    return stats_to_rows(wide, slots, {
-        "feature": lambda i: F.lit(names[int(i)]), "importance": lambda i: F.col(f"f{i}"),
-    }, name="slot").drop("slot")
+    w = np.asarray(model.coefficients.toArray())
+    means = df.select(Summarizer.mean(F.col(features)).alias("m")).first()["m"].toArray()
+    # |w (x - mean)| cell by cell, summed over slots and rows in one aggregate of (slot, value) pairs
+    centred = F.transform(vector_to_array(features), lambda x, i: F.abs(x - F.element_at(F.lit(means.tolist()), i + 1)))
+    table = df.select(F.posexplode(centred).alias("slot", "gap")).groupBy("slot").agg(F.avg("gap").alias("gap"))
+    scale = df.sparkSession.createDataFrame([(k, n, float(abs(c))) for k, (n, c) in enumerate(zip(names, w))], "slot int, feature string, w double")
+    return table.join(scale, "slot").select("feature", (F.col("gap") * F.col("w")).alias("importance"))
 
 
 def tree_paths(model, spark) -> tuple[list, float]:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import itertools
+import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -53,10 +53,11 @@ def _estimator(family, n, features, label, weight, seed, **params):
     if family.endswith("_lr"):
         return LogisticRegression(
             **names, elasticNetParam=p["l1_ratio"], regParam=1.0 / (p["C"] * max(n, 1)), maxIter=p["max_iter"],
-            standardization=False,
+            tol=p.get("tol", 1e-6), standardization=False,
         )
     if family == "svm":
-        return LinearSVC(**names, regParam=1.0 / (p["C"] * max(n, 1)), maxIter=p["max_iter"], standardization=False)
+        return LinearSVC(**names, regParam=1.0 / (p["C"] * max(n, 1)), maxIter=p["max_iter"],
+                         tol=p.get("tol", 1e-6), standardization=False)
     if family == "random_forest":
         return RandomForestClassifier(
             **names, numTrees=p["trees"], maxDepth=p["depth"], featureSubsetStrategy=p["features"],
@@ -241,31 +242,87 @@ def fit_source_experts(df: DataFrame, source: str, sources: Sequence[str], famil
 
 # ---------------------------------------------------------------- search
 
-# Values tried per family.
+# Values tried per family, for the parameters that Spark's estimators have.
 GRIDS: dict[str, dict[str, list]] = {
     "baseline_lr": {
         "C": [0.001, 0.01, 0.1, 0.5, 1.0, 2.0, 5.0, 10.0, 50.0, 100.0],
         "l1_ratio": [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0],
+        "max_iter": [1000, 2000, 4000, 10000],
+        "tol": [0.0001, 0.001, 0.01],
+    },
+    "ridge_lr": {
+        "C": [0.001, 0.01, 0.1, 0.5, 1.0, 2.0, 5.0, 10.0, 50.0, 100.0],
+        "max_iter": [1000, 2000, 4000, 10000],
+        "tol": [0.0001, 0.001, 0.01],
+    },
+    "lasso_lr": {
+        "C": [0.001, 0.01, 0.1, 0.5, 1.0, 2.0, 5.0, 10.0, 50.0, 100.0],
+        "max_iter": [1000, 2000, 4000, 10000],
+        "tol": [0.0001, 0.001, 0.01],
+    },
+    "svm": {"C": [0.1, 0.5, 1.0, 5.0, 10.0, 50.0, 100.0], "tol": [0.0001, 0.001, 0.01]},
+    "random_forest": {
+        "trees": [50, 100, 200, 300, 500, 1000, 2000],
+        "depth": [3, 5, 7, 10, 15, 20, 30],
+        "min_leaf": [1, 2, 4, 8, 16],
     },
-    "random_forest": {"trees": [50, 100, 200, 300, 500, 1000, 2000], "depth": [3, 5, 7, 10, 15, 20, 30]},
     "lightgbm": {
-        "trees": [50, 100, 200, 300, 500, 800, 1000, 2000], "depth": [3, 5, 7, 9, 12, 15, 20],
-        "step": [0.001, 0.005, 0.01, 0.03, 0.05, 0.07, 0.1, 0.2, 0.3], "rows": [0.5, 0.6, 0.7, 0.8, 0.9, 1.0],
+        "trees": [50, 100, 200, 300, 500, 800, 1000, 2000],
+        "depth": [3, 5, 7, 9, 12, 15, 20],
+        "step": [0.001, 0.005, 0.01, 0.03, 0.05, 0.07, 0.1, 0.2, 0.3],
+        "rows": [0.5, 0.6, 0.7, 0.8, 0.9, 1.0],
+    },
+    "xgboost": {
+        "trees": [50, 100, 200, 300, 500, 700, 1000, 2000],
+        "depth": [3, 4, 5, 6, 7, 8, 9, 10, 12, 15],
+        "step": [0.001, 0.005, 0.01, 0.03, 0.05, 0.07, 0.1, 0.2, 0.3],
+        "rows": [0.5, 0.6, 0.7, 0.8, 0.9, 1.0],
+    },
+    "catboost": {
+        "trees": [50, 100, 200, 300, 500, 1000, 2000],
+        "depth": [3, 4, 5, 6, 7, 8, 10, 12],
+        "step": [0.001, 0.005, 0.01, 0.03, 0.05, 0.07, 0.1, 0.2, 0.3],
+        "rows": [0.5, 0.6, 0.7, 0.8, 0.9, 1.0],
     },
 }
 SPARK_PARAMS = {"l1_ratio": "elasticNetParam", "trees": "numTrees", "depth": "maxDepth", "step": "stepSize",
-                "rows": "subsamplingRate", "max_iter": "maxIter"}
+                "rows": "subsamplingRate", "max_iter": "maxIter", "tol": "tol", "min_leaf": "minInstancesPerNode"}
+#: Metrics of the positive class that search can follow.
+METRICS = {"roc_auc": "areaUnderROC", "average_precision": "areaUnderPR", "f1": "fMeasureByLabel",
+           "precision": "precisionByLabel", "recall": "recallByLabel", "accuracy": "accuracy"}
+
+
+def evaluator_of(metric: str, label: str):
+    if metric in ("roc_auc", "average_precision"):
+        return BinaryClassificationEvaluator(
+            rawPredictionCol=OUTPUTS["rawPredictionCol"], labelCol=label, metricName=METRICS[metric], numBins=0)
+    return MulticlassClassificationEvaluator(
+        predictionCol=OUTPUTS["predictionCol"], labelCol=label, metricName=METRICS[metric], metricLabel=1.0)
+
+
+def grid_points(grid: Mapping[str, list], trials: int, seed: int) -> list[dict]:
+    """At most ``trials`` seeded points of a grid, each once, without writing the grid out."""
+    names, sizes = list(grid), [len(v) for v in grid.values()]
+    total = int(np.prod(sizes, dtype=object)) if sizes else 1
+    order = random.Random(seed).sample(range(total), min(trials, total))
+    out = []
+    for at in order:
+        point = {}
+        for name, size in zip(names, sizes):
+            at, k = divmod(at, size)
+            point[name] = grid[name][k]
+        out.append(point)
+    return out
 
 
 def search(df: DataFrame, family: str, grid: Mapping[str, list], row_id: str, label: str = "label",
            features: str = "features", trials: int = 100, folds: int = 5, parallelism: int = 4, seed: int = 42,
-           **fixed) -> tuple[dict, float, Fitted]:
-    """Cross-validated AUC over a seeded subset of the grid, at most ``trials`` points."""
+           metric: str = "roc_auc", **fixed) -> tuple[dict, float, Fitted]:
+    """Cross-validated ``metric`` over a seeded subset of the grid, at most ``trials`` points."""
     rows = row_kfold(df.withColumn(label, F.col(label).cast("double")), row_id, folds, seed)
     n = rows.count()
     est = estimator(family, n, features, label, seed=seed, **fixed)
-    points = [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
-    order = np.random.default_rng(seed).permutation(len(points))[:trials]
+    points = grid_points(grid, trials, seed)
 
     def spark_map(point: dict) -> dict:
         out = {}
@@ -276,13 +333,13 @@ def search(df: DataFrame, family: str, grid: Mapping[str, list], row_id: str, la
             out[est.getParam(name)] = 1.0 / (v * max(n, 1)) if k == "C" else v
         return out
 
-    maps = [spark_map(points[i]) for i in order]
-    evaluator = BinaryClassificationEvaluator(rawPredictionCol=OUTPUTS["rawPredictionCol"], labelCol=label, metricName="areaUnderROC", numBins=0)
+    maps = [spark_map(p) for p in points]
+    evaluator = evaluator_of(metric, label)
     cv = CrossValidator(estimator=est, estimatorParamMaps=maps or ParamGridBuilder().build(), evaluator=evaluator,
                         numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed)
     fitted = cv.fit(rows)
     best = int(np.argmax(fitted.avgMetrics))
-    return points[order[best]], float(fitted.avgMetrics[best]), Fitted(family, fitted.bestModel)
+    return points[best], float(fitted.avgMetrics[best]), Fitted(family, fitted.bestModel)
 
 
 def last_stage(model):

@@ -20,7 +20,8 @@ from winnow.operators.evaluation import evaluate_all, lift_table
 from winnow.operators.features import FeatureEngineer, fit_account_totals, top_sources, vector_encoder
 from winnow.operators.imbalance import add_class_weights, needs_balancing, oversample
 from winnow.operators.models import (
-    add_probabilities, estimator, fit_family, fit_source_experts, model_importances, optimize_weights, positive_probability, vector_names,
+    GRIDS, add_probabilities, estimator, fit_family, fit_source_experts, model_importances, optimize_weights, positive_probability, search,
+    vector_names,
 )
 from winnow.operators.selection import SelectorModel, SmartFeatureSelector
 from winnow.operators.splits import split_report, time_group_split
@@ -211,8 +212,13 @@ def train_job(df: DataFrame, roles: ColumnRoles, config: TrainConfig = TrainConf
         else:
             raise ValueError(f"unknown balance method {config.balance}")
     encoder = vector_encoder(numeric, categorical).fit(derived)
-    encoded = encoder.transform(rows).select("features", "label", *([weight] if weight else [])).persist()
-    fitted = estimator(config.family, encoded.count(), weight=weight, seed=config.seed, **config.params).fit(encoded)
+    row_key = [roles.ids[0]] if config.search_trials else []
+    encoded = encoder.transform(rows).select(*row_key, "features", "label", *([weight] if weight else [])).persist()
+    params = dict(config.params)
+    if config.search_trials:
+        params |= search(encoded, config.family, GRIDS[config.family], row_key[0], trials=config.search_trials,
+                         metric=config.metric, seed=config.seed, weight=weight, **config.params)[0]
+    fitted = estimator(config.family, encoded.count(), weight=weight, seed=config.seed, **params).fit(encoded)
     names = vector_names(encoded)
     scorer.model = PipelineModel([*encoder.stages, fitted])
     if config.ensemble:
