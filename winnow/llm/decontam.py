@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from winnow.llm.tables import light
 from winnow.llm.words import Words, text_slices
 
 MATCH, MISS, GAP = 2, -1, 1
@@ -176,7 +177,7 @@ def found(block: Block, texts: pa.Array, least: float) -> list[tuple[int, int, f
 
 def seeded(docs: DataFrame, items: DataFrame, width: int, id: str, text: str) -> Iterator[Block]:
     """Blocks with their seeds chosen by document counts over all documents."""
-    own = docs.select(F.col(text).cast("string").alias("text"))
+    own = light(docs).select(F.col(text).cast("string").alias("text"))
     for block in blocks(items, id, text, width):
         def count(batches: Iterator[pa.RecordBatch], block: Block = block) -> Iterator[pa.RecordBatch]:
             total: dict[int, int] = defaultdict(int)

@@ -15,6 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from winnow.llm.tables import light
 from winnow.llm.wordforms import Forms, core, draw, held_out
 from winnow.llm.words import Words, text_slices
 
@@ -201,7 +202,7 @@ def predict(docs: DataFrame, model: ChainModel, id: str = "doc_id", text: str =
     Null text, or text without a letter: ``und`` and 0. Repeated rows are scored each. Without a labelled
     row there is no language to choose from: ``und``. No rows in, no rows out. Other columns are not read.
     """
-    rows = docs.select(F.col(id).cast("long").alias("doc_id"), held_out(id).alias("held_out"), F.col(text).cast("string").alias("text"))
+    rows = light(docs).select(F.col(id).cast("long").alias("doc_id"), held_out(id).alias("held_out"), F.col(text).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

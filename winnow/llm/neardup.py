@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.tables import partitions, pinned
+from winnow.llm.tables import light, partitions, pinned
 from winnow.llm.words import Words, mix, shingle_hashes, text_slices
 
 EMPTY = np.iinfo(np.uint64).max
@@ -256,7 +256,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def judged(docs: DataFrame, rule: NearDup, id: str, text: str) -> DataFrame:
     """``doc_id, hash, n_shingles, component_id, kept`` for every row."""
-    signed = pinned(signatures(docs, rule, id, text), "signatures")
+    signed = pinned(signatures(light(docs), rule, id, text), "signatures")
     sets = signed.filter("set is not null").groupBy("set").agg(
         F.min("doc_id").alias("rep"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"))
     sets = pinned(sets, "sets")

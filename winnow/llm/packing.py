@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from winnow.llm.tables import partitions, pinned, range_bucket
+from winnow.llm.tables import light, partitions, pinned, range_bucket
 from winnow.llm.tokens import crc32, encoder, with_end
 from winnow.llm.words import text_slices
 
@@ -45,7 +45,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1,
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + (", ids array<long>" if keep_ids else "")
-    return docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
+    return light(docs).select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
 
 
 def knapsack(values: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float, np.ndarray]:

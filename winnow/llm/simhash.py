@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.tables import partitions, range_bucket
+from winnow.llm.tables import light, partitions, range_bucket
 from winnow.llm.words import Words, mix, shingle_hashes, text_slices
 
 BITS = 128
@@ -86,7 +86,7 @@ def with_next(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFr
     dealt by id range; the first row of each range is also sent to the range before. A single row is its own
     next. No rows in, no rows out.
     """
-    spark = docs.sparkSession
+    spark = light(docs).sparkSession
     parts = partitions(docs)
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.shiftrightunsigned(F.xxhash64("text"), 1))

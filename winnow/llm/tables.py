@@ -15,6 +15,12 @@ def pinned(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def light(df: DataFrame) -> DataFrame:
+    """Rows go to Python a few thousand at a time, so that long texts do not fill a worker."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    return df
+
+
 def partitions(df: DataFrame) -> int:
     """As many parts as the session shuffles into."""
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -22,7 +22,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm.tables import partitions, pinned, range_bucket
+from winnow.llm.tables import light, partitions, pinned, range_bucket
 from winnow.llm.tokens import crc32, encoder, with_end
 from winnow.llm.words import mix, text_slices
 
@@ -160,7 +160,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, id: str
     An id that fills several shards is cut by the hash. No rows in: no shard and an empty index.
     Other columns are not read.
     """
-    spark = docs.sparkSession
+    spark = light(docs).sparkSession
     shards = shards or partitions(docs)
     rows = docs.select(F.col(id).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     rows = rows.withColumn("tie", F.shiftrightunsigned(F.xxhash64("text"), 1))

@@ -15,6 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from winnow.llm.tables import light
 from winnow.llm.wordforms import Forms, core, draw, held_out
 from winnow.llm.words import Words, text_slices
 
@@ -271,7 +272,7 @@ def score(docs: DataFrame, net: Network, id: str = "doc_id", text: str = "text",
     Null, empty or wordless text: score 0. Repeated rows are scored each. A network fitted on one label or on nothing
     keeps its drawn weights and rejects nothing with certainty. No rows in, no rows out. Other columns are not read.
     """
-    rows = docs.select(F.col(id).cast("long").alias("doc_id"), held_out(id).alias("held_out"), F.col(text).cast("string").alias("text"))
+    rows = light(docs).select(F.col(id).cast("long").alias("doc_id"), held_out(id).alias("held_out"), F.col(text).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -293,4 +294,4 @@ def clean(docs: DataFrame, net: Network, text: str = "text", threshold: float =
             for part, texts in text_slices(named, f"c{where}", 3 << 20):
                 yield part.filter(pa.array(text_scores(net, texts) < threshold)).rename_columns(batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return light(docs).mapInArrow(run, docs.schema)

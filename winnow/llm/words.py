@@ -14,7 +14,10 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Bytes of text handled at once in a task; a longer single text is a slice of its own.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
+
+# freed buffers go back to the system: a worker serves stage after stage
+pa.set_memory_pool(pa.system_memory_pool())
 
 
 def text_slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
