@@ -106,8 +106,13 @@ class Network:
 
     def scores(self, codes, at: np.ndarray, here: np.ndarray, batch: int = 2048) -> np.ndarray:
         """Score of every window."""
-        x, _ = self.inputs(codes)
-        gates = {way: x @ self.p[f"in_{way}"] + self.p[f"gate_{way}"] for way in ("f", "b")}
+        count = len(codes[0])
+        gates = {way: np.zeros((count, 3 * self.shape.hidden), np.float32) for way in ("f", "b")}
+        for k in range(0, count, 16384):  # the character vectors of all words at once would be the largest array
+            part = np.arange(k, min(k + 16384, count))
+            x, _ = self.inputs(cut_codes(codes, part))
+            for way in gates:
+                gates[way][part] = x @ self.p[f"in_{way}"] + self.p[f"gate_{way}"]
         return np.concatenate([self.pooled(gates, at[k:k + batch], here[k:k + batch])[0] for k in range(0, len(at), batch)] or [np.zeros(0, np.float32)])
 
     def pooled(self, gates: dict, at: np.ndarray, here: np.ndarray, keep: dict | None = None):
