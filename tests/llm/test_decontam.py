@@ -69,3 +69,35 @@ def test_blocks_and_odd_rows(spark, monkeypatch):
     assert got == [(0, "p", 1.0), (3, "p", 1.0), (3, "t", round(10 / 12, 6)), (3, "u", round(10 / 12, 6))]
     assert dc.decontaminate(d, b).count() == 3
     assert dc.leaks(d.limit(0), b).count() == 0 and dc.leaks(d, b.limit(0)).count() == 0 and dc.decontaminate(d, b.limit(0)).count() == 6
+
+
+def test_edited_copies_with_and_without_exact_ones(spark):
+    rng = np.random.default_rng(10)
+    only, often = ([f"{c}{k}" for k in range(20)] for c in "ab")
+    edited = lambda words: [f"x{w}" if k % 4 == 3 and k < 16 else w for k, w in enumerate(words)]
+    filler = lambda: list(rng.choice([f"f{k}" for k in range(300)], 60))
+    docs = [(0, filler() + edited(only) + filler()), (1, filler() + edited(often) + filler()), (2, filler())]
+    docs += [(10 + k, filler() + often + filler()) for k in range(30)]
+    d = spark.createDataFrame([(i, " ".join(t)) for i, t in docs], "doc_id long, text string")
+    b = spark.createDataFrame([("only", " ".join(only)), ("often", " ".join(often))], "item_id string, text string")
+    got = {(r.doc_id, r.item_id): round(r.score, 6) for r in dc.leaks(d, b).collect()}
+    assert got == {(0, "only"): 0.7, (1, "often"): 0.7, **{(10 + k, "often"): 1.0 for k in range(30)}}
+    assert [r.doc_id for r in dc.decontaminate(d, b).collect()] == [2]
+
+
+def test_common_grams_are_left_out_only_where_a_match_can_spare_them(spark):
+    block = dc.Block(["a", "b"], [[f"w{k}" for k in range(40)], ["u", "v", "w"]], 3)
+    assert block.spare(0.6).tolist() == [0, 0] and block.spare(1.0).tolist() == [37, 0] and block.spare(0.9).tolist() == [21, 0]
+    docs, items = fixture(np.random.default_rng(11))
+    d = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): round(r.score, 9) for r in dc.leaks(d, spark.createDataFrame(items, "item_id string, text string"), 0.85).collect()}
+    want = {(i, j): plain(x, y) / (2 * len(y)) for i, t in docs.items() for j, u in items for x, y in [(dc.item_words(t), dc.item_words(u))]}
+    assert got == {k: round(s, 9) for k, s in want.items() if s >= 0.85} and got
+
+
+def test_long_stretches_are_cut(spark):
+    item = [f"w{k}" for k in range(12)]
+    text = (item[:3] + ["z"]) * 400 + item[:5] + ["y"] + item[6:] + ["z", *item[9:]] * 400
+    d = spark.createDataFrame([(1, " ".join(text))], "doc_id long, text string")
+    row, = dc.leaks(d, spark.createDataFrame([("i", " ".join(item))], "item_id string, text string")).collect()
+    assert (round(row.score, 6), row.first_word, row.n_words) == (round(21 / 24, 6), 1600, 12)

@@ -1,12 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
-Test items are read in blocks of bounded size; a block's seed table travels to the tasks, documents never do. One pass
-over all documents counts in how many of them each n-gram of the items stands; the rarer half of every item's
-n-grams are its seeds, so an item has seeds however often it leaked. A second pass aligns items with the stretches around seeds.
+Test items are read in blocks of bounded size; a block's seed table travels to the tasks, documents never do. An item's
+seeds are its n-grams without the most common ones, as many of these as every match can do without: where a match must share
+several n-grams, one pass over all documents counts in how many of them each stands. At 0.6 of the score and three
+words a match can do without none, so all are seeds and nothing is counted. The last pass aligns items with the stretches around seeds.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -62,15 +64,27 @@ class Block:
             whole &= part > 0
         return np.where(whole, (key & np.uint64((1 << 63) - 1)).astype(np.int64), -1)
 
-    def seed(self, found: dict[int, int]) -> None:
-        """Keep the rarer half of each item's n-grams."""
+    def spare(self, least: float) -> np.ndarray:
+        """Places of each item's n-grams that may be left out while every match of ``least`` still shares one of the rest.
+
+        ``m`` matched words in ``r`` runs share ``m - (width - 1) * r`` places or more, and have ``r - 1`` edits at
+        least, for which ``2 * m - (r - 1) >= 2 * least * n``; the fewest are shared where all ``n`` words match.
+        """
+        n = np.array([len(item) for item in self.items], float)
+        shared = n - (self.width - 1) * (2 * (1 - least) * n + 1) if self.width > 1 else least * n
+        return np.maximum(np.ceil(np.round(shared, 9)).astype(np.int64) - 1, 0)
+
+    def seed(self, found: dict[int, int], least: float) -> None:
+        """Keep each item's n-grams that stand in documents, but for the most common ones that it can spare."""
         often = np.array([found.get(int(k), 0) for k in self.known], np.int64)
         count = often[np.searchsorted(self.known, self.grams[:, 0])] if len(self.grams) else np.zeros(0, np.int64)
-        keep = np.zeros(len(self.grams), bool)
-        for k in range(len(self.items)):
-            own = self.grams[:, 1] == k
-            if own.any():
-                keep |= own & (count <= np.median(count[own]))
+        keep = count > 0
+        for k, n in enumerate(self.spare(least)):
+            own = np.flatnonzero(keep & (self.grams[:, 1] == k))
+            keep[own[np.argsort(-count[own], kind="stable")[:n]]] = False
+        self.choose(keep)
+
+    def choose(self, keep: np.ndarray) -> None:
         chosen = self.grams[keep]
         self.grams = chosen[np.argsort(chosen[:, 0], kind="stable")]
         self.known = np.unique(self.grams[:, 0])
@@ -149,14 +163,18 @@ def found(block: Block, texts: pa.Array, least: float) -> list[tuple[int, int, f
             near[int(owner), int(item)].append(int(spot))
     jobs = []
     for (owner, item), at in near.items():
-        own, reach = block.items[item], 2 * len(block.items[item])
+        own = block.items[item]
+        # a match has at most n * (3 - 2 * least) words
+        reach = math.ceil(max(2.0, 3 - 2 * least) * len(own))
         cuts = np.flatnonzero(np.diff(at) > reach) + 1
         for group in np.split(np.array(at), cuts):
             low, high = max(offsets[owner], group[0] - reach), min(offsets[owner + 1], group[-1] + block.width + reach)
-            stretch = codes[low:high]
-            # no alignment scores more than twice the item's words that stand in the stretch
-            if np.isin(own, stretch).sum() >= least * len(own):
-                jobs.append((owner, item, low, stretch))
+            # long stretches are cut so that any match lies in one of the parts
+            for start in range(low, high - reach, reach) if high - low > 4 * reach else [low]:
+                stretch = codes[start:min(start + 2 * reach, high)] if high - low > 4 * reach else codes[low:high]
+                # no alignment scores more than twice the item's words that stand in the stretch
+                if np.isin(own, stretch).sum() >= least * len(own):
+                    jobs.append((owner, item, start, stretch))
     jobs.sort(key=lambda j: (len(j[3]), len(block.items[j[1]])))
     best: dict[tuple[int, int], tuple] = {}
     for start in range(0, len(jobs), 128):
@@ -175,10 +193,15 @@ def found(block: Block, texts: pa.Array, least: float) -> list[tuple[int, int, f
     return [(o, i, -v[0], v[1], v[2]) for (o, i), v in best.items()]
 
 
-def seeded(docs: DataFrame, items: DataFrame, width: int, id: str, text: str) -> Iterator[Block]:
-    """Blocks with their seeds chosen by document counts over all documents."""
+def seeded(docs: DataFrame, items: DataFrame, width: int, least: float, id: str, text: str) -> Iterator[Block]:
+    """Blocks with their seeds; document counts over all documents choose them where there is a choice."""
     own = light(docs).select(F.col(text).cast("string").alias("text"))
     for block in blocks(items, id, text, width):
+        if not block.spare(least).any():
+            block.choose(np.ones(len(block.grams), bool))
+            yield block
+            continue
+
         def count(batches: Iterator[pa.RecordBatch], block: Block = block) -> Iterator[pa.RecordBatch]:
             total: dict[int, int] = defaultdict(int)
             for batch in batches:
@@ -191,13 +214,16 @@ def seeded(docs: DataFrame, items: DataFrame, width: int, id: str, text: str) ->
             yield pa.RecordBatch.from_pydict({"key": list(total), "n": list(total.values())}, pa.schema([("key", pa.int64()), ("n", pa.int64())]))
 
         counted = own.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-        block.seed({r["key"]: r["n"] for r in counted.collect()})  # one row an n-gram of the block
+        block.seed({r["key"]: r["n"] for r in counted.collect()}, least)  # one row an n-gram of the block
         yield block
 
 
 def leaks(docs: DataFrame, items: DataFrame, least: float = 0.6, width: int = 3, id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
     """``doc_id, item_id, score, first_word, n_words`` of every document and item aligned with a score of ``least``.
 
+    Aligned are the stretches that share ``width`` words in a row with the item; a copy with words put in so densely that
+    no ``width`` words of it stay together is not looked at.
+
     The score is the alignment's (match 2, mismatch and gap -1) over that of the item with itself; a copy scores 1. Words are
     compared in lower case without marks at their ends; ``first_word`` counts words between spaces.
 
@@ -207,7 +233,7 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = 0.6, width: int = 3,
     cut = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     schema = "doc_id long, item_id string, score double, first_word long, n_words long"
     out = None
-    for block in seeded(docs, items, width, item_id, text):
+    for block in seeded(docs, items, width, least, item_id, text):
         def run(batches: Iterator[pa.RecordBatch], block: Block = block) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part, texts in text_slices(batch):
@@ -225,7 +251,7 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = 0.6, width: int = 3,
 def decontaminate(docs: DataFrame, items: DataFrame, least: float = 0.6, width: int = 3, item_id: str = "item_id", text: str = "text") -> DataFrame:
     """The rows, all columns, in which no item is found; nothing is shuffled."""
     where = docs.columns.index(text)
-    for block in list(seeded(docs, items, width, item_id, text)):
+    for block in list(seeded(docs, items, width, least, item_id, text)):
         def run(batches: Iterator[pa.RecordBatch], block: Block = block) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 named = batch.rename_columns([f"c{k}" for k in range(batch.num_columns)])
