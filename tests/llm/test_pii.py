@@ -58,3 +58,21 @@ def test_collisions_are_resolved(spark, kind):
     rows = pii.surrogates(entities, "k").collect()
     assert sorted(r.norm for r in rows) == sorted(norms)
     assert len({r.surrogate for r in rows}) == len(norms) and not {r.surrogate for r in rows} & set(norms)
+
+
+def test_bare_mentions_of_a_titled_name(spark):
+    texts = {1: "Weber's note: Dr. Anna Weber called. Weber said that Anna left; ANNA WEBER, Weber-Fans, Webern and weber. Dr. Weber’s car, 'Weber'",
+             2: "Anna Weber signed", 3: "Frau O'Neil-Ray met Anna and O'Neil-Ray at 10.0.0.1, Anna", 4: "Herr Вера Белов. Белов, Вера", 5: "Mr Weber, Weber"}
+    docs = spark.createDataFrame(list(texts.items()) + [(None, texts[5]), (None, texts[2])], "doc_id long, text string")
+    rows = pii.replace(docs).collect()
+    assert len(rows) == 7
+    by = {r.doc_id: r.text for r in rows if r.doc_id}
+    given, family = re.search(r"Dr\. ([\w-]+) ([\w-]+) called", by[1]).groups()
+    assert {given, family} & {"Anna", "Weber"} == set()
+    assert by[1] == (f"{family}'s note: Dr. {given} {family} called. {family} said that {given} left; {given.upper()} {family.upper()}, {family}-Fans, "
+                     f"Webern and weber. Dr. {family}’s car, '{family}'")
+    assert by[2] == texts[2] and sorted(r.text for r in rows if r.doc_id is None) == sorted([texts[2], f"Mr {family}, {family}"]) and by[5] == f"Mr {family}, {family}"
+    ray = by[3].split()[1]
+    assert ray != "O'Neil-Ray" and re.fullmatch(rf"Frau {ray} met Anna and {ray} at [\d.]+, Anna", by[3])
+    first, last = re.fullmatch(r"Herr ([\w-]+) ([\w-]+)\. \2, \1", by[4]).groups()
+    assert "Вера" != first and "Белов" != last

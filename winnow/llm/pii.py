@@ -2,7 +2,8 @@
 
 Detection, surrogates, collision checks and rewriting are DataFrame expressions. One entity has one surrogate in the
 whole corpus (a keyed digest of its normal form), so references stay tied; two entities of a kind never share one, and no
-surrogate is an entity that the corpus holds.
+surrogate is an entity that the corpus holds. Names are detected by a title before them (one or two capitalised words); where a text has such a
+name, its words are replaced wherever the same text says them. Names without any title in their text are not detected.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ KINDS = {
     "name": r"(?<!\p{L})(?:" + "|".join(t for v in TITLES.values() for t in v.split()) + r")\.? " + WORD + r"(?: " + WORD + ")?",
 }
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
+BARE, TAIL = r"(?<!\p{L})" + WORD, "(?:['’]s|['’-]+)$"
 
 
 def alternation(words: str) -> str:
@@ -58,11 +60,21 @@ def kind_of(mention: Column) -> Column:
     )
 
 
+def stem(word: Column) -> Column:
+    """A name's word without a possessive ending or closing marks."""
+    return F.regexp_replace(word, TAIL, "")
+
+
+def proper(word: Column) -> Column:
+    return F.array_join(F.transform(F.split(word, "-"), lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, F.lit(2), F.length(p)))), "-")
+
+
 def parts_of(mention: Column) -> Column:
     """Entities of a mention in normal form: ``array<struct<kind, norm>>``.
 
     Numbers lose their format; addresses and secrets their case. A name gives a family name (its last word) and,
-    where there are two, a given name of the title's gender; each in its script. A family name is the same entity with any title.
+    where there are two, a given name of the title's gender; each in its script and without a possessive ending. A family name is
+    the same entity with any title.
     """
     kind = kind_of(mention)
     digits, lower = F.regexp_replace(mention, "[^0-9]", ""), F.lower(mention)
@@ -72,8 +84,8 @@ def parts_of(mention: Column) -> Column:
     gender = F.when(F.regexp_like(mention, F.lit(alternation(TITLES["f"]))), "f").when(F.regexp_like(mention, F.lit(alternation(TITLES["m"]))), "m").otherwise("u")
     last = F.element_at(words, -1)
     first = F.element_at(words, 1)
-    family = F.struct(F.concat(F.lit("family-"), script(last)).alias("kind"), F.lower(last).alias("norm"))
-    given = F.struct(F.concat(F.lit("given-"), gender, F.lit("-"), script(first)).alias("kind"), F.lower(first).alias("norm"))
+    family = F.struct(F.concat(F.lit("family-"), script(last)).alias("kind"), F.lower(stem(last)).alias("norm"))
+    given = F.struct(F.concat(F.lit("given-"), gender, F.lit("-"), script(first)).alias("kind"), F.lower(stem(first)).alias("norm"))
     return F.when(kind == "name", F.when(F.size(words) > 1, F.array(family, given)).otherwise(F.array(family))).otherwise(
         F.array(F.struct(kind.alias("kind"), norm.alias("norm"))))
 
@@ -167,18 +179,40 @@ def dressed(mention: Column, found: Column) -> Column:
         F.regexp_like(c(k), F.lit("[A-Z]")), F.upper(F.substring(value, k, F.lit(1)))).otherwise(F.substring(value, k, F.lit(1)))))
     entries = F.map_entries(found)
     of = lambda start: F.array_join(F.transform(F.filter(entries, lambda e: F.startswith(e["key"], F.lit(start))), lambda e: e["value"]), "")
-    proper = lambda w: F.array_join(F.transform(F.split(w, "-"), lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, F.lit(2), F.length(p)))), "-")
     title = F.regexp_extract(mention, r"^\p{L}+\.? ", 0)
-    given, family = proper(of("given")), proper(of("family"))
-    name = F.concat(title, F.when(given == "", family).otherwise(F.concat(given, F.lit(" "), family)))
+    tail = lambda w: F.regexp_extract(w, TAIL, 0)
+    given, family = proper(of("given")), F.concat(proper(of("family")), tail(mention))
+    name = F.concat(title, F.when(given == "", family).otherwise(F.concat(given, tail(F.regexp_replace(mention, r" [^ ]*$", "")), F.lit(" "), family)))
     return F.when(kind == "name", name).when(kind.isin("phone", "ssn", "card"), filled).when(kind == "email", cased).otherwise(upper)
 
 
+def bare(gap: Column, names: Column) -> Column:
+    """A stretch between mentions with the names of its text replaced where they stand without a title.
+
+    ``names`` maps a word of a name in normal form to its surrogate. A compound that is no name itself is looked through part by part.
+    """
+    def one(word: Column, other: Column) -> Column:
+        value = proper(F.element_at(names, F.lower(stem(word))))
+        cased = F.when((word == F.upper(word)) & (F.length(stem(word)) > 1), F.upper(value)).otherwise(value)
+        return F.coalesce(F.when(F.regexp_like(word, F.lit(r"^\p{Lu}")), F.concat(cased, F.regexp_extract(word, TAIL, 0))), other)
+
+    new = F.transform(F.regexp_extract_all(gap, F.lit(BARE), 0), lambda w: one(w, F.array_join(F.transform(F.split(w, "-", -1), lambda p: one(p, p)), "-")))
+    return woven(F.split(gap, BARE, -1), new)
+
+
+def woven(gaps: Column, between: Column) -> Column:
+    """Stretches of a text and what stands between them."""
+    pairs = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(gaps) - 1).alias("gap"), between.alias("new"))
+    return F.concat(F.concat_ws("", F.transform(pairs, lambda z: F.concat(z["gap"], z["new"]))), F.element_at(gaps, -1))
+
+
 def replace(docs: DataFrame, key: str = "surrogate-key", id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows, all columns in order, with every detected entity in ``text`` replaced.
 
     Texts without an entity pass through one scan. From the others go the distinct entities (their surrogates), and mentions that
-    are brought together again by the row's id and two hashes of its text; only those texts are shuffled.
+    are brought together again by the row's id and two hashes of its text; only those texts are shuffled. A word of a detected name is
+    replaced everywhere in its text, with or without a title, by the same surrogate; a word that is both a family and a
+    given name there takes the family name's where it stands alone.
     Null and empty texts stay. Rows of one id and text are rewritten alike. No rows in, no rows out. Columns may
     have any name; helper columns are prefixed ``_pii_``.
     """
@@ -195,15 +229,18 @@ def replace(docs: DataFrame, key: str = "surrogate-key", id: str = "doc_id", tex
     forms = said.select("mention").distinct()
     pieces = forms.select("mention", F.explode(parts_of(F.col("mention"))).alias("p")).select("mention", "p.*")
     known = surrogates(pieces, key)
-    new = pieces.join(known, ["kind", "norm"]).groupBy("mention").agg(F.map_from_entries(F.collect_set(F.struct("kind", "surrogate"))).alias("found")) \
-        .select("mention", dressed(F.col("mention"), F.col("found")).alias("new"))
-    lists = said.join(new, "mention").groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("at", "new"))).alias("_pii_new"))
-    lists = lists.select(*[F.col(k).alias(f"{k}2") for k in keys], "_pii_new")
+    named = F.when(F.regexp_like("kind", F.lit("^(?:family|given)-")), F.struct("norm", "kind", "surrogate"))
+    new = pieces.join(known, ["kind", "norm"]).groupBy("mention").agg(F.map_from_entries(F.collect_set(F.struct("kind", "surrogate"))).alias("found"), F.collect_set(named).alias("names")) \
+        .select("mention", dressed(F.col("mention"), F.col("found")).alias("new"), "names")
+    lists = said.join(new, "mention").groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("at", "new"))).alias("_pii_new"), F.sort_array(F.flatten(F.collect_list("names"))).alias("_pii_names"))
+    # sorted, so that equal words are neighbours and the first of them counts
+    first = F.filter("_pii_names", lambda x, k: (k == 0) | (F.get("_pii_names", k - 1)["norm"] != x["norm"]))
+    lists = lists.select(*[F.col(k).alias(f"{k}2") for k in keys], "_pii_new",
+                         F.map_from_entries(F.transform(first, lambda x: F.struct(x["norm"], x["surrogate"]))).alias("_pii_names"))
     gaps = F.split(body, ANY, -1)
-    last = F.element_at(gaps, -1)
-    woven = F.concat(F.concat_ws("", F.transform(
-        F.arrays_zip(F.slice(gaps, F.lit(1), F.size(gaps) - 1).alias("gap"), F.transform("_pii_new", lambda x: x["new"]).alias("new")),
-        lambda z: F.concat(z["gap"], z["new"]))), last)
+    gaps = F.when(F.size("_pii_names") > 0, F.transform(gaps, lambda g: bare(g, F.col("_pii_names")))).otherwise(gaps)
+    rewrite = woven(gaps, F.transform("_pii_new", lambda x: x["new"]))
     joined = marked.join(lists, F.col("_pii_id").eqNullSafe(F.col("_pii_id2")) & (F.col("_pii_a") == F.col("_pii_a2")) & (F.col("_pii_b") == F.col("_pii_b2")))
-    rewritten = joined.select(*[woven.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    rewritten = joined.select(*[rewrite.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
     return docs.filter(~has).select(*names).unionByName(rewritten)
