@@ -82,3 +82,15 @@ def test_odd_rows(spark):
                    (True, 6, 0, 6, True), (True, 7, 0, 7, True), (True, 8, 1, 8, True), (True, 8, 1, 8, True), (True, 9, 2, 9, True), (True, 10, 49997, 10, True)]
     assert nd.deduplicate(docs).count() == 9
     assert nd.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_texts_under_one_id_meet_their_own_sets_only(spark):
+    words = [[f"w{g}x{k}" for k in range(40)] for g in range(30)]
+    texts = [" ".join(w + t) for w in words for t in ([], ["more"])]
+    for doc in (None, 5):
+        docs = spark.createDataFrame([(doc, t) for t in texts + texts[:1] * 9], "doc_id long, text string")
+        signed = nd.signatures(docs, nd.NearDup(), "doc_id", "text").filter("set is not null")
+        wanted = signed.selectExpr("set", "doc_id as rep", "hash as rep_hash").distinct()
+        assert sorted(r.text for r in nd.representatives(docs, wanted, "doc_id", "text").collect()) == sorted(texts)
+        edges = nd.links(docs, signed.selectExpr("set", "doc_id as rep", "hash as rep_hash", "n", "bands").dropDuplicates(["set"]), nd.NearDup(), "doc_id", "text")
+        assert len({frozenset(r) for r in edges.collect()}) == 30

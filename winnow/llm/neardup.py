@@ -170,7 +170,7 @@ def links(docs: DataFrame, sets: DataFrame, rule: NearDup, id: str, text: str) -
         .select("bucket", "member", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")),
         "tiles",
     )
-    wanted = asked.select("member").distinct().join(sets.select(short.alias("member"), "set", "rep"), "member")
+    wanted = asked.select("member").distinct().join(sets.select(short.alias("member"), "set", "rep", "rep_hash"), "member")
 
     def remake(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,9 +181,7 @@ def links(docs: DataFrame, sets: DataFrame, rule: NearDup, id: str, text: str) -
                     [part.column(0), pa.array(set_names(elements, offsets), pa.string()), raw], names=["set", "made", "shingles"])
                 yield fresh.filter(pa.compute.equal(fresh["set"], fresh["made"])).select(["set", "shingles"])
 
-    texts = docs.select(F.col(id).cast("long").alias("rep"), F.col(text).cast("string").alias("text"))
-    found = texts.join(wanted.select("set", "rep"), texts["rep"].eqNullSafe(wanted["rep"]), "inner").select("set", "text")
-    made = found.mapInArrow(remake, "set string, shingles binary").groupBy("set").agg(F.any_value("shingles").alias("shingles"))
+    made = representatives(docs, wanted, id, text).mapInArrow(remake, "set string, shingles binary").groupBy("set").agg(F.any_value("shingles").alias("shingles"))
     rows = asked.join(made.withColumn("member", short), "member").select("bucket", "i", "j", "own", "set", "shingles")
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -204,6 +202,18 @@ def links(docs: DataFrame, sets: DataFrame, rule: NearDup, id: str, text: str) -
     return dealt.mapInPandas(compare, "a string, b string")
 
 
+def representatives(docs: DataFrame, wanted: DataFrame, id: str, text: str) -> DataFrame:
+    """``set, text`` once for each wanted set, whose text is found by the id and the hash of the text it was made of.
+
+    Null and repeated ids meet their own texts only. Another text under the same key is told by its set's name later.
+    """
+    key = lambda doc, hash: F.xxhash64(F.isnull(doc), F.coalesce(doc, F.lit(0)), hash).alias("at")
+    body = F.col(f"`{text}`").cast("string")
+    texts = docs.select(key(F.col(f"`{id}`").cast("long"), F.xxhash64(body)), body.alias("text"))
+    found = texts.join(wanted.select(key(F.col("rep"), F.col("rep_hash")), "set"), "at")
+    return found.dropDuplicates(["at", "set", "text"]).select("set", "text")
+
+
 def groups(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[list[pd.DataFrame]]:
     """Runs of equal keys in frames sorted by them, each as a list of pieces."""
     held: list[pd.DataFrame] = []
@@ -258,8 +268,8 @@ def judged(docs: DataFrame, rule: NearDup, id: str, text: str) -> DataFrame:
     """``doc_id, hash, n_shingles, component_id, kept`` for every row."""
     signed = pinned(signatures(light(docs), rule, id, text), "signatures")
     sets = signed.filter("set is not null").groupBy("set").agg(
-        F.min("doc_id").alias("rep"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"))
-    sets = pinned(sets, "sets")
+        F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "hash")).alias("least"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"))
+    sets = pinned(sets.select("set", F.col("least.doc_id").alias("rep"), F.col("least.hash").alias("rep_hash"), "n", "bands"), "sets")
     found = links(docs, sets, rule, id, text)
     named = sets.select("set", F.struct(F.coalesce("rep", F.lit(NO_DOC)).alias("doc"), F.col("set").alias("set")).alias("node"))
     edges = found.distinct().join(named.select(F.col("set").alias("a"), F.col("node").alias("na")), "a") \
