@@ -32,7 +32,7 @@ def canonical(pdf: pd.DataFrame) -> list[tuple]:
     return sorted(tuple(text(v) for v in row) for row in pdf.astype(object).itertuples(index=False, name=None))
 
 
-KINDS = {"BIGINT": "bigint", "BOOLEAN": "boolean", "DOUBLE": "double", "VARCHAR": "string"}
+KINDS = {"BIGINT": "bigint", "INTEGER": "int", "BOOLEAN": "boolean", "DOUBLE": "double", "VARCHAR": "string"}
 
 
 def difference(spark_df, con, sql: str) -> str | None:
