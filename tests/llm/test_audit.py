@@ -8,8 +8,8 @@ WORDS = [f"w{k}" for k in range(120)]
 
 def brute(rows, labels):
     """Every document walked through every order."""
-    good = {d for d, q, _ in labels if q == 1}
-    toxic = {d for d, _, t in labels if t == 1}
+    good = {d for d, q, _ in labels if q == 1 and d is not None}
+    toxic = {d for d, _, t in labels if t == 1 and d is not None}
     docs = []
     for doc, text, source in rows:
         text, words = text or "", re.findall(r"[^\x20\x09-\x0D]+", text or "")
