@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import audit, chat, decontam, langid, licenses, neardup, packing, pii, simhash, tokenfile, toxicity
+from winnow.llm import audit, chat, decontam, langid, licenses, neardup, packing, phrases, pii, simhash, tokenfile, toxicity
 from winnow.llm.tables import pinned
 from winnow.session import scratch_path, tune
 
@@ -223,6 +223,38 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM words, range(1, 5) t(k) WHERE len(w) >= k),
+f AS (SELECT lang, k AS size, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 30),
+long AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size > 1),
+cuts AS (
+  SELECT long.lang, long.phrase, long.a, k, h.a AS l, t.a AS r, CAST(2000000::HUGEINT * long.a // (h.a::HUGEINT + t.a) AS BIGINT) AS score
+  FROM long JOIN range(1, 4) c(k) ON k < size JOIN f h ON h.lang = long.lang AND h.phrase = array_to_string(w[1:k], ' ')
+  JOIN f t ON t.lang = long.lang AND t.phrase = array_to_string(w[k + 1:size], ' ')),
+least AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+covered AS (
+  SELECT DISTINCT s.lang, s.phrase FROM long s JOIN long b ON b.lang = s.lang AND b.size > s.size AND 100 * b.a::HUGEINT >= 80 * s.a::HUGEINT
+  AND contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' ')),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+  FROM least ANTI JOIN covered USING (lang, phrase))
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@register("op12_phrases", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of every language, counted over all documents."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 @register("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five stages of the corpus pipeline."""
