@@ -52,6 +52,13 @@ class Slots:
         self.first[slots] = np.minimum(self.first[slots], step)
         self.last[slots] = step
 
+    def folded(self) -> Slots:
+        """The same in as few slots as its phrases need, eight for each."""
+        taken = int(np.count_nonzero(self.first != NEVER))
+        out = Slots(min(len(self.first), 1 << max(10, (8 * taken - 1).bit_length())))
+        out.first, out.last = self.first.reshape(-1, len(out.first)).min(0), self.last.reshape(-1, len(out.last)).max(0)
+        return out
+
 
 class Pieces:
     """Words of several texts with the piece each stands in; words are codes into ``distinct``."""
@@ -96,7 +103,7 @@ def counted(lang: pa.Array, texts: pa.Array, step: int, rule: Mining, known: lis
     for length in range(1, rule.longest + 1):
         if length > 1:
             born, gone = known[length - 2].first, known[length - 2].last
-            slot = (chain % np.uint64(rule.slots)).astype(np.int64)  # of the shorter phrases
+            slot = (chain % np.uint64(len(born))).astype(np.int64)  # of the shorter phrases
             left, right = slot[:-1], slot[1:]
             begin, end = np.maximum(born[left], born[right]), np.maximum(gone[left], gone[right]).astype(np.int64)
             chain = mix(chain[:-1] * GOLDEN + word[length - 1:])
@@ -122,15 +129,17 @@ COUNTS = "lang string, len int, phrase string, hash long, c long"
 
 
 def scan(docs: DataFrame, step: int, rule: Mining, known: list[Slots]) -> DataFrame:
-    """``lang, len, phrase, hash, c`` of one shard."""
-    sent = docs.sparkSession.sparkContext.broadcast(known)
+    """``lang, len, phrase, hash, c`` of one shard, written; the sieve does not outlive the step."""
+    sent = docs.sparkSession.sparkContext.broadcast([k.folded() for k in known])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in text_slices(batch, limit=COUNTED):
                 yield from counted(rows["lang"], texts, step, rule, sent.value)
 
-    return docs.mapInArrow(run, COUNTS).groupBy("lang", "len", "phrase").agg(F.any_value("hash").alias("hash"), F.sum("c").alias("c"))
+    counts = pinned(docs.mapInArrow(run, COUNTS).groupBy("lang", "len", "phrase").agg(F.any_value("hash").alias("hash"), F.sum("c").alias("c")), "phrase-sieved")
+    sent.destroy()
+    return counts
 
 
 def in_turn(counts: DataFrame, reached: DataFrame, step: int, rule: Mining) -> DataFrame:
@@ -164,10 +173,9 @@ def frequent(docs: DataFrame, rule: Mining = Mining(), lang: str = "lang", text:
     while step <= until:
         counts = scan(shards.filter(F.col("shard") == step % rule.shards).select("lang", "text"), step, rule, known)
         if step:
-            counts = pinned(counts, "phrase-sieved")
-            own = in_turn(counts, found, step, rule)
+            own = pinned(in_turn(counts, found, step, rule), "phrase-counts")
             counts = own.unionByName(counts.filter("len = 1")) if step < rule.shards else own
-        steps.append(pinned(counts, "phrase-counts"))
+        steps.append(counts)
         open_lengths = F.col("len") > (0 if step < rule.shards else 1)
         sums = reduce(DataFrame.unionByName, steps).filter(open_lengths).groupBy("lang", "len", "phrase").agg(F.any_value("hash").alias("hash"), F.sum("c").alias("f"))
         new = sums.filter(F.col("f") >= rule.least).join(found.select("lang", "phrase"), ["lang", "phrase"], "left_anti")

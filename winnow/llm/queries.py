@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import audit, chat, decontam, langid, licenses, neardup, packing, phrases, pii, simhash, tokenfile, toxicity
+from winnow.llm import audit, chat, decontam, langid, licenses, neardup, packing, phrases, pii, simhash, substrings, tokenfile, toxicity
 from winnow.llm.tables import pinned
 from winnow.session import scratch_path, tune
 
@@ -236,8 +236,8 @@ f AS (SELECT lang, k AS size, phrase, count(*) AS a FROM grams GROUP BY ALL HAVI
 long AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size > 1),
 cuts AS (
   SELECT long.lang, long.phrase, long.a, k, h.a AS l, t.a AS r, CAST(2000000::HUGEINT * long.a // (h.a::HUGEINT + t.a) AS BIGINT) AS score
-  FROM long JOIN range(1, 4) c(k) ON k < size JOIN f h ON h.lang = long.lang AND h.phrase = array_to_string(w[1:k], ' ')
-  JOIN f t ON t.lang = long.lang AND t.phrase = array_to_string(w[k + 1:size], ' ')),
+  FROM long JOIN range(1, 4) c(k) ON k < long.size JOIN f h ON h.lang = long.lang AND h.phrase = array_to_string(w[1:k], ' ')
+  JOIN f t ON t.lang = long.lang AND t.phrase = array_to_string(w[k + 1:long.size], ' ')),
 least AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
 covered AS (
   SELECT DISTINCT s.lang, s.phrase FROM long s JOIN long b ON b.lang = s.lang AND b.size > s.size AND 100 * b.a::HUGEINT >= 80 * s.a::HUGEINT
@@ -255,6 +255,29 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+OP13_SQL = r"""
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+strings AS (SELECT doc_id, i, substring(h, 2 * i + 1, 200) AS s FROM (SELECT doc_id, h, unnest(range(0, greatest(n - 99, 0))) AS i FROM docs)),
+later AS (SELECT doc_id, i FROM strings QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1),
+opened AS (SELECT *, CAST(i > coalesce(lag(i) OVER o + 100, -1) AS INTEGER) AS new FROM later WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+runs AS (
+  SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM opened) GROUP BY doc_id, run),
+bounds AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS start, a AS stop, b - a AS gone, 1 AS span
+  FROM (SELECT doc_id, a, b FROM runs UNION ALL SELECT doc_id, n AS a, n AS b FROM docs))
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(sum(gone) AS BIGINT) AS n_removed, count(*) FILTER (gone > 0) AS n_spans,
+  sha256(unhex(string_agg(substring(h, 2 * start + 1, 2 * (stop - start)), '' ORDER BY start, stop))) AS kept_sha256
+FROM docs JOIN bounds USING (doc_id) GROUP BY doc_id, n
+"""
+
+
+@register("op13_repeated_substrings", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without strings of 100 bytes that start earlier too."""
+    return substrings.without_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five stages of the corpus pipeline."""
