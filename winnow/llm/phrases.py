@@ -28,13 +28,15 @@ NEVER = 255
 class Mining:
     """``least`` occurrences make a phrase frequent; ``longest`` words at most; the corpus is scanned in ``shards``.
 
-    ``slots``, a power of two, bounds what travels to the tasks: two bytes a slot and length below the longest.
+    ``slots``, a power of two, bounds what travels to the tasks: two bytes a slot and length below the longest. A bucket of word numbers
+    stands for ``share`` bytes of text.
     """
 
     least: int = 30
     longest: int = 4
     shards: int = 3
     slots: int = 1 << 22
+    share: int = 32 << 20
     cover: int = 80
     top: int = 2000
 
@@ -88,8 +90,26 @@ class Pieces:
         self.distinct: pa.Array = encoded.dictionary
 
 
-def counted(lang: pa.Array, texts: pa.Array, step: int, rule: Mining, known: list[Slots]) -> Iterator[pa.RecordBatch]:
-    """Occurrences of words in the first cycle, and of longer phrases that the sieve cannot rule out at this step."""
+def word_slots(words: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket and 32-bit number of each hashed word, and both as one hash: what a word is known by before it is frequent."""
+    bucket, number = words & np.uint64(0xFFFFFFFF), words >> np.uint64(32)
+    bucket = bucket % np.uint64(buckets)
+    return bucket.astype(np.int64), number.astype("<u4"), mix(number << np.uint64(32) | bucket)
+
+
+FOUND = "len int, lang string, phrase string, hash long, head long, tail long, c long, blob binary"
+#: Rows of a scan besides phrases: word occurrences of a language, and tables of word numbers and counts for a bucket.
+TOTAL, NUMBERS = -1, 0
+
+
+def found_rows(length: int, count: int, **columns: pa.Array) -> pa.RecordBatch:
+    empty = {"lang": pa.string(), "phrase": pa.string(), "hash": pa.int64(), "head": pa.int64(), "tail": pa.int64(), "c": pa.int64(), "blob": pa.binary()}
+    arrays = [pa.array(np.full(count, length, np.int32))] + [columns[k] if k in columns else pa.nulls(count, t) for k, t in empty.items()]
+    return pa.RecordBatch.from_arrays(arrays, names=["len", *empty])
+
+
+def counted(lang: pa.Array, texts: pa.Array, step: int, rule: Mining, known: list[Slots], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Numbers of all words in the first cycle, and occurrences of the phrases that the sieve cannot rule out at this step."""
     cut = Pieces(texts)
     total = len(cut.codes)
     if not total:
@@ -99,55 +119,91 @@ def counted(lang: pa.Array, texts: pa.Array, step: int, rule: Mining, known: lis
     salt = np.fromiter((xxhash.xxh3_64_intdigest(v) for v in tongues.dictionary.to_pylist()), np.uint64, len(tongues.dictionary))
     own = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in cut.distinct.to_pylist()), np.uint64, len(cut.distinct))
     word = mix(own[cut.codes] ^ salt[tongue])
-    chain, ids = word, tongue * len(cut.distinct) + cut.codes
+    ids = tongue * len(cut.distinct) + cut.codes
+    bucket, number, chain = word_slots(word, buckets)
+    if step < rule.shards:
+        sums = np.bincount(tongue)
+        yield found_rows(TOTAL, len(sums), lang=tongues.dictionary.cast(pa.string()), c=pa.array(sums.astype(np.int64)))
+        _, spots, counts = np.unique(ids, return_index=True, return_counts=True)
+        order = np.argsort(bucket[spots], kind="stable")
+        cuts = np.flatnonzero(np.diff(bucket[spots][order], prepend=-1, append=-1))
+        tables = [number[spots[order[a:b]]].tobytes() + counts[order[a:b]].astype("<u4").tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+        yield found_rows(NUMBERS, len(tables), hash=pa.array(bucket[spots[order[cuts[:-1]]]]), blob=pa.array(tables, pa.binary()))
     for length in range(1, rule.longest + 1):
-        if length > 1:
-            born, gone = known[length - 2].first, known[length - 2].last
-            slot = (chain % np.uint64(len(born))).astype(np.int64)  # of the shorter phrases
-            left, right = slot[:-1], slot[1:]
-            begin, end = np.maximum(born[left], born[right]), np.maximum(gone[left], gone[right]).astype(np.int64)
-            chain = mix(chain[:-1] * GOLDEN + word[length - 1:])
-            here = (cut.piece[:len(chain)] == cut.piece[length - 1:]) & (begin < step) & (step <= end + rule.shards)
-            at = np.flatnonzero(here)
-            keys = ids[at]
-            for k in range(1, length):
-                keys = (keys if k == 1 else np.unique(keys, return_inverse=True)[1]) * len(cut.distinct) + cut.codes[at + k]
-        else:
-            at, keys = (np.arange(total), ids) if step < rule.shards else (np.zeros(0, np.int64), ids[:0])
-        names, spots, counts = np.unique(keys, return_index=True, return_counts=True)
-        if len(names):
+        sieve = known[max(0, length - 2)]
+        slot = (chain % np.uint64(len(sieve.first))).astype(np.int64)  # of the parts: words, then the phrases one shorter
+        left, right = (slot, slot) if length == 1 else (slot[:-1], slot[1:])
+        parts = (chain, chain) if length == 1 else (chain[:-1], chain[1:])
+        begin, end = np.maximum(sieve.first[left], sieve.first[right]), np.maximum(sieve.last[left], sieve.last[right]).astype(np.int64)
+        whole = chain if length == 1 else mix((word[:-1] if length == 2 else chain[:-1]) * GOLDEN + word[length - 1:])
+        here = (cut.piece[:len(whole)] == cut.piece[length - 1:]) & (begin < step) & (step <= end + rule.shards)
+        at = np.flatnonzero(here)
+        keys = ids[at]
+        for k in range(1, length):
+            keys = (keys if k == 1 else np.unique(keys, return_inverse=True)[1]) * len(cut.distinct) + cut.codes[at + k]
+        _, spots, counts = np.unique(keys, return_index=True, return_counts=True)
+        if len(spots):
             where = at[spots]
-            parts = [cut.distinct.take(pa.array(cut.codes[where + k])) for k in range(length)]
-            phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if length > 1 else parts[0]
-            yield pa.RecordBatch.from_arrays([
-                tongues.dictionary.take(pa.array(tongue[where])).cast(pa.string()), pa.array(np.full(len(names), length, np.int32)), phrase.cast(pa.string()),
-                pa.array(chain[where].view(np.int64)), pa.array(counts.astype(np.int64)),
-            ], names=["lang", "len", "phrase", "hash", "c"])
-
-
-COUNTS = "lang string, len int, phrase string, hash long, c long"
+            texts_of = [cut.distinct.take(pa.array(cut.codes[where + k])) for k in range(length)]
+            phrase = pc.binary_join_element_wise(*texts_of, pa.scalar(" ", pa.large_string())) if length > 1 else texts_of[0]
+            yield found_rows(
+                length, len(where), lang=tongues.dictionary.take(pa.array(tongue[where])).cast(pa.string()), phrase=phrase.cast(pa.string()),
+                c=pa.array(counts.astype(np.int64)), **{k: pa.array(v[where].view(np.int64)) for k, v in (("hash", whole), ("head", parts[0]), ("tail", parts[1]))})
+        chain = whole
 
 
-def scan(docs: DataFrame, step: int, rule: Mining, known: list[Slots]) -> DataFrame:
-    """``lang, len, phrase, hash, c`` of one shard, written; the sieve does not outlive the step."""
+def scan(docs: DataFrame, step: int, rule: Mining, known: list[Slots], buckets: int) -> DataFrame:
+    """What one shard holds at this step, written; the sieve does not outlive the step."""
     sent = docs.sparkSession.sparkContext.broadcast([k.folded() for k in known])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in text_slices(batch, limit=COUNTED):
-                yield from counted(rows["lang"], texts, step, rule, sent.value)
+                yield from counted(rows["lang"], texts, step, rule, sent.value, buckets)
 
-    counts = pinned(docs.mapInArrow(run, COUNTS).groupBy("lang", "len", "phrase").agg(F.any_value("hash").alias("hash"), F.sum("c").alias("c")), "phrase-sieved")
+    found = pinned(docs.mapInArrow(run, FOUND), "phrase-scan")
     sent.destroy()
-    return counts
+    return found
 
 
-def in_turn(counts: DataFrame, reached: DataFrame, step: int, rule: Mining) -> DataFrame:
-    """The counts that belong to a phrase's own cycle: both its shorter phrases were frequent before, for at most ``shards`` steps."""
-    at = lambda side: reached.select("lang", F.col("phrase").alias(side), F.col("step").alias(f"{side}_step"))
-    long = counts.filter("len > 1").withColumn("head", F.expr("substring_index(phrase, ' ', len - 1)")) \
-        .withColumn("tail", F.expr("substring_index(phrase, ' ', 1 - len)"))
-    both = long.join(at("head"), ["lang", "head"]).join(at("tail"), ["lang", "tail"])
+def frequent_words(scans: list[DataFrame], rule: Mining, buckets: int) -> DataFrame:
+    """``hash`` of the words whose numbers reach ``least`` in the shards scanned so far. Words that share a number only make it more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush() -> pa.RecordBatch:
+            halves = [(np.frombuffer(b, "<u4", len(b) // 8), np.frombuffer(b, "<u4", len(b) // 8, len(b) // 2)) for b in held]
+            numbers, counts = (np.concatenate(h) for h in zip(*halves))
+            order = np.argsort(numbers)
+            heads = np.flatnonzero(np.diff(numbers[order].astype(np.int64), prepend=-1))
+            often = np.add.reduceat(counts[order].astype(np.int64), heads) >= rule.least
+            number = numbers[order][heads[often]].astype(np.uint64)
+            return pa.RecordBatch.from_arrays([pa.array(mix(number << np.uint64(32) | np.uint64(bucket)).view(np.int64))], names=["hash"])
+
+        bucket, held = None, []
+        for batch in batches:
+            for b, blob in zip(batch["bucket"].to_pylist(), batch["blob"].to_pylist()):
+                if b != bucket and held:
+                    yield flush()
+                    held = []
+                bucket = b
+                held.append(blob)
+        if held:
+            yield flush()
+
+    tables = reduce(DataFrame.unionByName, scans).filter(F.col("len") == NUMBERS).select(F.col("hash").cast("int").alias("bucket"), "blob")
+    return tables.repartitionById(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "hash long")
+
+
+def in_turn(scanned: DataFrame, reached: DataFrame, step: int, rule: Mining) -> DataFrame:
+    """The counts that belong to a phrase's own cycle: both its parts were frequent before, for at most ``shards`` steps.
+
+    A word's part is the word itself.
+    """
+    counts = scanned.filter("len > 0").groupBy("lang", "len", "phrase").agg(
+        F.any_value("hash").alias("hash"), F.any_value("head").alias("head"), F.any_value("tail").alias("tail"), F.sum("c").alias("c"))
+    counts = counts.withColumn("part", F.greatest(F.col("len") - 1, F.lit(1)))
+    at = lambda side: reached.groupBy(F.col("len").alias("part"), F.col("hash").alias(side)).agg(F.min("step").alias(f"{side}_step"))
+    both = counts.join(at("head"), ["part", "head"]).join(at("tail"), ["part", "tail"])
     since = F.greatest("head_step", "tail_step")
     return both.filter((since < step) & (step <= since + rule.shards)).select("lang", "len", "phrase", "hash", "c")
 
@@ -155,10 +211,10 @@ def in_turn(counts: DataFrame, reached: DataFrame, step: int, rule: Mining) -> D
 def frequent(docs: DataFrame, rule: Mining = Mining(), lang: str = "lang", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """``lang, len, phrase, f`` of every phrase that occurs ``least`` times or more, and ``lang, n`` (word occurrences).
 
-    Shards are scanned in a cycle. Words are counted from the first step on, a longer phrase from the step after both its
-    shorter phrases (without the last, without the first word) reached ``least``, each for one full cycle: its count is then
-    exact, and a phrase never counted has a shorter one that is not frequent. Between steps only the newly
-    frequent phrases' slots reach the driver.
+    Shards are scanned in a cycle. In the first one all words are counted, by numbers: most words are rare and never need to be spelled
+    out. A word is counted by its letters, and a longer phrase begins, in the step after both its parts (without the last, without the first
+    word) became frequent, each for one full cycle: its count is then exact, and a phrase never counted has a part that is not
+    frequent. Between steps only the newly frequent phrases' slots reach the driver.
     """
     spark = light(docs).sparkSession
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
@@ -166,31 +222,37 @@ def frequent(docs: DataFrame, rule: Mining = Mining(), lang: str = "lang", text:
     path = scratch_path(spark, "phrase-shards")
     cut.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(rule.shards)).cast("int")).write.partitionBy("shard").parquet(path)
     shards = spark.read.schema("lang string, text string, shard int").parquet(path)
-    known = [Slots(rule.slots) for _ in range(rule.longest - 1)]
-    found = spark.createDataFrame([], "lang string, len int, phrase string, step int")
+    buckets = max(1, -(-(shards.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // rule.share))
+    known = [Slots(rule.slots) for _ in range(max(1, rule.longest - 1))]
+    reached = spark.createDataFrame([], "len int, hash long, step int")
+    scans: list[DataFrame] = []
     steps: list[DataFrame] = []
     step, until = 0, rule.shards - 1
     while step <= until:
-        counts = scan(shards.filter(F.col("shard") == step % rule.shards).select("lang", "text"), step, rule, known)
+        scans.append(scan(shards.filter(F.col("shard") == step % rule.shards).select("lang", "text"), step, rule, known, buckets))
+        fresh = []
         if step:
-            own = pinned(in_turn(counts, found, step, rule), "phrase-counts")
-            counts = own.unionByName(counts.filter("len = 1")) if step < rule.shards else own
-        steps.append(counts)
-        open_lengths = F.col("len") > (0 if step < rule.shards else 1)
-        sums = reduce(DataFrame.unionByName, steps).filter(open_lengths).groupBy("lang", "len", "phrase").agg(F.any_value("hash").alias("hash"), F.sum("c").alias("f"))
-        new = sums.filter(F.col("f") >= rule.least).join(found.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
-        new = pinned(new.select("lang", "len", "phrase", "hash", F.lit(step).alias("step")), "phrase-new")
-        found = found.unionByName(new.drop("hash"))
-        slot = F.col("hash").bitwiseAND(F.lit(rule.slots - 1)).cast("int")
-        hit = new.filter(F.col("len") < rule.longest).select("len", slot.alias("slot")).distinct().toArrow()
-        lengths, slots = np.asarray(hit["len"]), np.asarray(hit["slot"])
-        for length in range(1, rule.longest):
-            known[length - 1].add(slots[lengths == length], step)
-        if len(slots):
-            until = max(until, step + rule.shards)
+            steps.append(pinned(in_turn(scans[-1], reached, step, rule), "phrase-counts"))
+            sums = reduce(DataFrame.unionByName, steps).filter((F.col("len") > 1) & (F.col("len") < rule.longest)).groupBy("lang", "len", "phrase").agg(
+                F.any_value("hash").alias("hash"), F.sum("c").alias("f"))
+            fresh.append(sums.filter(F.col("f") >= rule.least).select("len", "hash").distinct())
+        if step < rule.shards:
+            fresh.append(frequent_words(scans, rule, buckets).select(F.lit(1).alias("len"), "hash"))
+        if fresh:
+            new = reduce(DataFrame.unionByName, fresh).join(reached.select("len", "hash"), ["len", "hash"], "left_anti")
+            new = pinned(new.withColumn("step", F.lit(step)), "phrase-reached")
+            reached = reached.unionByName(new)
+            hit = new.select("len", F.col("hash").bitwiseAND(F.lit(rule.slots - 1)).cast("int").alias("slot")).distinct().toArrow()
+            lengths, slots = np.asarray(hit["len"]), np.asarray(hit["slot"])
+            for length in range(1, len(known) + 1):
+                known[length - 1].add(slots[lengths == length], step)
+            if len(slots):
+                until = max(until, step + rule.shards)
         step += 1
+    words = reduce(DataFrame.unionByName, scans[:rule.shards]).filter(F.col("len") == TOTAL).groupBy("lang").agg(F.sum("c").alias("n"))
+    if not steps:
+        return spark.createDataFrame([], "lang string, len int, phrase string, f long"), words
     sums = reduce(DataFrame.unionByName, steps).groupBy("lang", "len", "phrase").agg(F.sum("c").alias("f"))
-    words = reduce(DataFrame.unionByName, steps[:rule.shards]).filter("len = 1").groupBy("lang").agg(F.sum("c").alias("n"))
     return pinned(sums.filter(F.col("f") >= rule.least), "phrase-frequent"), words
 
 
