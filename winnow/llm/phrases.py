@@ -28,7 +28,7 @@ NEVER = 255
 class Mining:
     """``least`` occurrences make a phrase frequent; ``longest`` words at most; the corpus is scanned in ``shards``.
 
-    ``slots``, a power of two, bounds what travels to the tasks: two bytes a slot and length below the longest. A bucket of word numbers
+    ``slots``, a power of two, bounds what travels to the tasks: two bytes a slot and length. A bucket of numbers
     stands for ``share`` bytes of text.
     """
 
@@ -44,7 +44,7 @@ class Mining:
 class Slots:
     """The first and last step at which a phrase hashed to a slot became frequent; bounded, so only a sieve.
 
-    Exact decisions are left to joins: a slot's span holds the steps of all phrases in it.
+    What it lets through wrongly is settled when phrases are counted by their letters: a slot's span holds the steps of all in it.
     """
 
     def __init__(self, size: int):
@@ -90,84 +90,103 @@ class Pieces:
         self.distinct: pa.Array = encoded.dictionary
 
 
-def word_slots(words: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bucket and 32-bit number of each hashed word, and both as one hash: what a word is known by before it is frequent."""
-    bucket, number = words & np.uint64(0xFFFFFFFF), words >> np.uint64(32)
+def numbered(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket and 32-bit number of each hashed phrase, and both as one hash: what a phrase is known by until it is spelled."""
+    bucket, number = hashes & np.uint64(0xFFFFFFFF), hashes >> np.uint64(32)
     bucket = bucket % np.uint64(buckets)
     return bucket.astype(np.int64), number.astype("<u4"), mix(number << np.uint64(32) | bucket)
 
 
-FOUND = "len int, lang string, phrase string, hash long, head long, tail long, c long, blob binary"
-#: Rows of a scan besides phrases: word occurrences of a language, and tables of word numbers and counts for a bucket.
-TOTAL, NUMBERS = -1, 0
+class Runs:
+    """Phrases of a slice by length: the hash they are known by at every place, and which places hold one."""
+
+    def __init__(self, lang: pa.Array, texts: pa.Array, buckets: int):
+        self.cut, self.buckets = Pieces(texts), buckets
+        self.tongues = lang.dictionary_encode()
+        self.tongue = np.asarray(self.tongues.indices, dtype=np.int64)[self.cut.doc]
+        salt = np.fromiter((xxhash.xxh3_64_intdigest(v) for v in self.tongues.dictionary.to_pylist()), np.uint64, len(self.tongues.dictionary))
+        own = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in self.cut.distinct.to_pylist()), np.uint64, len(self.cut.distinct))
+        self.word = mix(own[self.cut.codes] ^ salt[self.tongue])
+        self.ids = self.tongue * len(self.cut.distinct) + self.cut.codes
+
+    def lengths(self, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+        """Length, the parts' hashes and the phrases' own ``numbered`` at every place, and whether a piece holds the phrase there."""
+        chain = self.word
+        for length in range(1, longest + 1):
+            if length > 1:
+                chain = mix(chain[:-1] * GOLDEN + self.word[length - 1:])
+            own = numbered(chain, self.buckets)
+            yield length, (None if length == 1 else before), own, self.cut.piece[:len(chain)] == self.cut.piece[length - 1:]
+            before = own[2]
+
+    def places(self, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """One place of every different phrase among those at ``at``, and their counts."""
+        keys = self.ids[at]
+        for k in range(1, length):
+            keys = (keys if k == 1 else np.unique(keys, return_inverse=True)[1]) * len(self.cut.distinct) + self.cut.codes[at + k]
+        _, spots, counts = np.unique(keys, return_index=True, return_counts=True)
+        return at[spots], counts
 
 
-def found_rows(length: int, count: int, **columns: pa.Array) -> pa.RecordBatch:
-    empty = {"lang": pa.string(), "phrase": pa.string(), "hash": pa.int64(), "head": pa.int64(), "tail": pa.int64(), "c": pa.int64(), "blob": pa.binary()}
-    arrays = [pa.array(np.full(count, length, np.int32))] + [columns[k] if k in columns else pa.nulls(count, t) for k, t in empty.items()]
-    return pa.RecordBatch.from_arrays(arrays, names=["len", *empty])
+SCANNED = "len int, bucket int, blob binary, lang string, c long"
 
 
-def counted(lang: pa.Array, texts: pa.Array, step: int, rule: Mining, known: list[Slots], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Numbers of all words in the first cycle, and occurrences of the phrases that the sieve cannot rule out at this step."""
-    cut = Pieces(texts)
-    total = len(cut.codes)
-    if not total:
-        return
-    tongues = lang.dictionary_encode()
-    tongue = np.asarray(tongues.indices, dtype=np.int64)[cut.doc]
-    salt = np.fromiter((xxhash.xxh3_64_intdigest(v) for v in tongues.dictionary.to_pylist()), np.uint64, len(tongues.dictionary))
-    own = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in cut.distinct.to_pylist()), np.uint64, len(cut.distinct))
-    word = mix(own[cut.codes] ^ salt[tongue])
-    ids = tongue * len(cut.distinct) + cut.codes
-    bucket, number, chain = word_slots(word, buckets)
+def counted(runs: Runs, step: int, rule: Mining, known: list[Slots]) -> Iterator[pa.RecordBatch]:
+    """Tables of numbers and counts by length and bucket: all words in the first cycle, and the phrases whose turn it is."""
+    rows = {"len": [], "bucket": [], "blob": [], "lang": [], "c": []}
     if step < rule.shards:
-        sums = np.bincount(tongue)
-        yield found_rows(TOTAL, len(sums), lang=tongues.dictionary.cast(pa.string()), c=pa.array(sums.astype(np.int64)))
-        _, spots, counts = np.unique(ids, return_index=True, return_counts=True)
-        order = np.argsort(bucket[spots], kind="stable")
-        cuts = np.flatnonzero(np.diff(bucket[spots][order], prepend=-1, append=-1))
-        tables = [number[spots[order[a:b]]].tobytes() + counts[order[a:b]].astype("<u4").tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
-        yield found_rows(NUMBERS, len(tables), hash=pa.array(bucket[spots[order[cuts[:-1]]]]), blob=pa.array(tables, pa.binary()))
-    for length in range(1, rule.longest + 1):
-        sieve = known[max(0, length - 2)]
-        slot = (chain % np.uint64(len(sieve.first))).astype(np.int64)  # of the parts: words, then the phrases one shorter
-        left, right = (slot, slot) if length == 1 else (slot[:-1], slot[1:])
-        parts = (chain, chain) if length == 1 else (chain[:-1], chain[1:])
-        begin, end = np.maximum(sieve.first[left], sieve.first[right]), np.maximum(sieve.last[left], sieve.last[right]).astype(np.int64)
-        whole = chain if length == 1 else mix((word[:-1] if length == 2 else chain[:-1]) * GOLDEN + word[length - 1:])
-        here = (cut.piece[:len(whole)] == cut.piece[length - 1:]) & (begin < step) & (step <= end + rule.shards)
-        at = np.flatnonzero(here)
-        keys = ids[at]
-        for k in range(1, length):
-            keys = (keys if k == 1 else np.unique(keys, return_inverse=True)[1]) * len(cut.distinct) + cut.codes[at + k]
-        _, spots, counts = np.unique(keys, return_index=True, return_counts=True)
-        if len(spots):
-            where = at[spots]
-            texts_of = [cut.distinct.take(pa.array(cut.codes[where + k])) for k in range(length)]
-            phrase = pc.binary_join_element_wise(*texts_of, pa.scalar(" ", pa.large_string())) if length > 1 else texts_of[0]
-            yield found_rows(
-                length, len(where), lang=tongues.dictionary.take(pa.array(tongue[where])).cast(pa.string()), phrase=phrase.cast(pa.string()),
-                c=pa.array(counts.astype(np.int64)), **{k: pa.array(v[where].view(np.int64)) for k, v in (("hash", whole), ("head", parts[0]), ("tail", parts[1]))})
-        chain = whole
-
-
-def scan(docs: DataFrame, step: int, rule: Mining, known: list[Slots], buckets: int) -> DataFrame:
-    """What one shard holds at this step, written; the sieve does not outlive the step."""
+        for name, c in zip(runs.tongues.dictionary.to_pylist(), np.bincount(runs.tongue).tolist()):
+            for key, v in zip(rows, (0, None, None, name, c)):
+                rows[key].append(v)
+    for length, parts, (bucket, number, _), here in runs.lengths(rule.longest):
+        if length == 1:
+            here = here & (step < rule.shards)
+        else:
+            sieve = known[length - 2]
+            slot = (parts % np.uint64(len(sieve.first))).astype(np.int64)
+            begin = np.maximum(sieve.first[slot[:-1]], sieve.first[slot[1:]])
+            end = np.maximum(sieve.last[slot[:-1]], sieve.last[slot[1:]]).astype(np.int64)
+            here = here & (begin < step) & (step <= end + rule.shards)
+        where, counts = runs.places(np.flatnonzero(here), length)
+        order = np.argsort(bucket[where], kind="stable")
+        cuts = np.flatnonzero(np.diff(bucket[where][order], prepend=-1, append=-1))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            mine = order[a:b]
+            for key, v in zip(rows, (length, int(bucket[where[mine[0]]]), number[where[mine]].tobytes() + counts[mine].astype("<u4").tobytes(), None, None)):
+                rows[key].append(v)
+    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.string(), pa.int64())
+    yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), kinds)], names=list(rows))
+
+
+def spelled(runs: Runs, rule: Mining, known: list[Slots]) -> Iterator[pa.RecordBatch]:
+    """Occurrences, by letters, of the phrases whose number is frequent."""
+    for length, _, (_, _, own), here in runs.lengths(rule.longest):
+        sieve = known[length - 1]
+        at = np.flatnonzero(here & (sieve.first[(own % np.uint64(len(sieve.first))).astype(np.int64)] < NEVER))
+        where, counts = runs.places(at, length)
+        parts = [runs.cut.distinct.take(pa.array(runs.cut.codes[where + k])) for k in range(length)]
+        phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if length > 1 else parts[0]
+        yield pa.RecordBatch.from_arrays([
+            runs.tongues.dictionary.take(pa.array(runs.tongue[where])).cast(pa.string()), pa.array(np.full(len(where), length, np.int32)), phrase.cast(pa.string()),
+            pa.array(counts.astype(np.int64))], names=["lang", "len", "phrase", "c"])
+
+
+def over(docs: DataFrame, buckets: int, known: list[Slots], look, schema: str) -> tuple[DataFrame, object]:
+    """``look`` at all slices of the texts; the sieve is sent as small as its phrases allow."""
     sent = docs.sparkSession.sparkContext.broadcast([k.folded() for k in known])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in text_slices(batch, limit=COUNTED):
-                yield from counted(rows["lang"], texts, step, rule, sent.value, buckets)
+                runs = Runs(rows["lang"], texts, buckets)
+                if len(runs.ids):
+                    yield from look(runs, sent.value)
 
-    found = pinned(docs.mapInArrow(run, FOUND), "phrase-scan")
-    sent.destroy()
-    return found
+    return docs.mapInArrow(run, schema), sent
 
 
-def frequent_words(scans: list[DataFrame], rule: Mining, buckets: int) -> DataFrame:
-    """``hash`` of the words whose numbers reach ``least`` in the shards scanned so far. Words that share a number only make it more."""
+def frequent_numbers(scans: list[DataFrame], rule: Mining, buckets: int) -> DataFrame:
+    """``len, hash`` of the phrases whose numbers reach ``least`` in these scans. Phrases that share a number only make it more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> pa.RecordBatch:
@@ -177,44 +196,32 @@ def frequent_words(scans: list[DataFrame], rule: Mining, buckets: int) -> DataFr
             heads = np.flatnonzero(np.diff(numbers[order].astype(np.int64), prepend=-1))
             often = np.add.reduceat(counts[order].astype(np.int64), heads) >= rule.least
             number = numbers[order][heads[often]].astype(np.uint64)
-            return pa.RecordBatch.from_arrays([pa.array(mix(number << np.uint64(32) | np.uint64(bucket)).view(np.int64))], names=["hash"])
+            hashes = mix(number << np.uint64(32) | np.uint64(now[1])).view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(hashes), now[0], np.int32)), pa.array(hashes)], names=["len", "hash"])
 
-        bucket, held = None, []
+        now, held = None, []
         for batch in batches:
-            for b, blob in zip(batch["bucket"].to_pylist(), batch["blob"].to_pylist()):
-                if b != bucket and held:
+            for length, bucket, blob in zip(batch["len"].to_pylist(), batch["bucket"].to_pylist(), batch["blob"].to_pylist()):
+                if (length, bucket) != now and held:
                     yield flush()
                     held = []
-                bucket = b
+                now = (length, bucket)
                 held.append(blob)
         if held:
             yield flush()
 
-    tables = reduce(DataFrame.unionByName, scans).filter(F.col("len") == NUMBERS).select(F.col("hash").cast("int").alias("bucket"), "blob")
-    return tables.repartitionById(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "hash long")
-
-
-def in_turn(scanned: DataFrame, reached: DataFrame, step: int, rule: Mining) -> DataFrame:
-    """The counts that belong to a phrase's own cycle: both its parts were frequent before, for at most ``shards`` steps.
-
-    A word's part is the word itself.
-    """
-    counts = scanned.filter("len > 0").groupBy("lang", "len", "phrase").agg(
-        F.any_value("hash").alias("hash"), F.any_value("head").alias("head"), F.any_value("tail").alias("tail"), F.sum("c").alias("c"))
-    counts = counts.withColumn("part", F.greatest(F.col("len") - 1, F.lit(1)))
-    at = lambda side: reached.groupBy(F.col("len").alias("part"), F.col("hash").alias(side)).agg(F.min("step").alias(f"{side}_step"))
-    both = counts.join(at("head"), ["part", "head"]).join(at("tail"), ["part", "tail"])
-    since = F.greatest("head_step", "tail_step")
-    return both.filter((since < step) & (step <= since + rule.shards)).select("lang", "len", "phrase", "hash", "c")
+    tables = reduce(DataFrame.unionByName, scans).filter("len > 0").select("len", "bucket", "blob")
+    return tables.repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "len").mapInArrow(run, "len int, hash long")
 
 
 def frequent(docs: DataFrame, rule: Mining = Mining(), lang: str = "lang", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """``lang, len, phrase, f`` of every phrase that occurs ``least`` times or more, and ``lang, n`` (word occurrences).
 
-    Shards are scanned in a cycle. In the first one all words are counted, by numbers: most words are rare and never need to be spelled
-    out. A word is counted by its letters, and a longer phrase begins, in the step after both its parts (without the last, without the first
-    word) became frequent, each for one full cycle: its count is then exact, and a phrase never counted has a part that is not
-    frequent. Between steps only the newly frequent phrases' slots reach the driver.
+    Shards are scanned in a cycle. Words are counted from the first step on; a longer phrase from the step after both its parts (without
+    the last, without the first word) became frequent; each for one full cycle. So lengths are counted side by side, and a phrase never
+    counted has a part that is not frequent. While most phrases are still rare, they are counted by numbers in packed tables; two
+    that share one only seem more frequent. At the end those left are counted by their letters. Between steps
+    only the newly frequent phrases' slots reach the driver.
     """
     spark = light(docs).sparkSession
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
@@ -223,37 +230,30 @@ def frequent(docs: DataFrame, rule: Mining = Mining(), lang: str = "lang", text:
     cut.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(rule.shards)).cast("int")).write.partitionBy("shard").parquet(path)
     shards = spark.read.schema("lang string, text string, shard int").parquet(path)
     buckets = max(1, -(-(shards.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // rule.share))
-    known = [Slots(rule.slots) for _ in range(max(1, rule.longest - 1))]
-    reached = spark.createDataFrame([], "len int, hash long, step int")
+    known = [Slots(rule.slots) for _ in range(rule.longest)]
+    reached = spark.createDataFrame([], "len int, hash long")
     scans: list[DataFrame] = []
-    steps: list[DataFrame] = []
     step, until = 0, rule.shards - 1
     while step <= until:
-        scans.append(scan(shards.filter(F.col("shard") == step % rule.shards).select("lang", "text"), step, rule, known, buckets))
-        fresh = []
-        if step:
-            steps.append(pinned(in_turn(scans[-1], reached, step, rule), "phrase-counts"))
-            sums = reduce(DataFrame.unionByName, steps).filter((F.col("len") > 1) & (F.col("len") < rule.longest)).groupBy("lang", "len", "phrase").agg(
-                F.any_value("hash").alias("hash"), F.sum("c").alias("f"))
-            fresh.append(sums.filter(F.col("f") >= rule.least).select("len", "hash").distinct())
-        if step < rule.shards:
-            fresh.append(frequent_words(scans, rule, buckets).select(F.lit(1).alias("len"), "hash"))
-        if fresh:
-            new = reduce(DataFrame.unionByName, fresh).join(reached.select("len", "hash"), ["len", "hash"], "left_anti")
-            new = pinned(new.withColumn("step", F.lit(step)), "phrase-reached")
-            reached = reached.unionByName(new)
-            hit = new.select("len", F.col("hash").bitwiseAND(F.lit(rule.slots - 1)).cast("int").alias("slot")).distinct().toArrow()
-            lengths, slots = np.asarray(hit["len"]), np.asarray(hit["slot"])
-            for length in range(1, len(known) + 1):
-                known[length - 1].add(slots[lengths == length], step)
-            if len(slots):
-                until = max(until, step + rule.shards)
+        shard = shards.filter(F.col("shard") == step % rule.shards).select("lang", "text")
+        looked, sent = over(shard, buckets, known[:-1], lambda runs, sieve, step=step: counted(runs, step, rule, sieve), SCANNED)
+        scans.append(pinned(looked, "phrase-scan"))
+        sent.destroy()
+        new = frequent_numbers(scans[-rule.shards:], rule, buckets).join(reached, ["len", "hash"], "left_anti")
+        new = pinned(new.withColumn("slot", F.col("hash").bitwiseAND(F.lit(rule.slots - 1)).cast("int")), "phrase-reached")
+        reached = reached.unionByName(new.drop("slot"))
+        hit = new.select("len", "slot").distinct().toArrow()
+        lengths, slots = np.asarray(hit["len"]), np.asarray(hit["slot"])
+        for length in range(1, rule.longest + 1):
+            known[length - 1].add(slots[lengths == length], step)
+        if (lengths < rule.longest).any():
+            until = max(until, step + rule.shards)
         step += 1
-    words = reduce(DataFrame.unionByName, scans[:rule.shards]).filter(F.col("len") == TOTAL).groupBy("lang").agg(F.sum("c").alias("n"))
-    if not steps:
-        return spark.createDataFrame([], "lang string, len int, phrase string, f long"), words
-    sums = reduce(DataFrame.unionByName, steps).groupBy("lang", "len", "phrase").agg(F.sum("c").alias("f"))
-    return pinned(sums.filter(F.col("f") >= rule.least), "phrase-frequent"), words
+    words = reduce(DataFrame.unionByName, scans[:rule.shards]).filter("len = 0").groupBy("lang").agg(F.sum("c").alias("n"))
+    looked, sent = over(shards.select("lang", "text"), buckets, known, lambda runs, sieve: spelled(runs, rule, sieve), "lang string, len int, phrase string, c long")
+    sums = pinned(looked.groupBy("lang", "len", "phrase").agg(F.sum("c").alias("f")).filter(F.col("f") >= rule.least), "phrase-frequent")
+    sent.destroy()
+    return sums, words
 
 
 def collocations(docs: DataFrame, rule: Mining = Mining(), lang: str = "lang", text: str = "text") -> DataFrame:
