@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("basics", "preparation", "features", "inference", "scores", "modelling")
+MODULES = ("basics", "preparation", "features", "inference", "scores", "modelling", "learning")
 
 
 def load():

@@ -48,6 +48,8 @@ class TrainConfig:
     channel: str | None = None
     record_type: str | None = None
     search_trials: int = 0  # cross-validated points of the family's grid; 0 takes ``params``
+    search_pruner: str = "hyperband"  # or "median", "percentile", "none"; "grid" judges grid points on all rows
+    search_timeout: float | None = None  # seconds after which no trial is started
     metric: str = "roc_auc"
     ensemble: tuple[str, ...] = ()  # families voted with weights found on validation
     select: bool = True

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from winnow.functions.scalar import DAY_US, clip, day_number, micros, month_start, parse_yearmonth, safe_ratio, temporal_parts
-from winnow.operators.kernels import MAX_HOT_KEYS, exact_quantiles, prefix_sums, rows_per_task
+from winnow.operators.kernels import MAX_HOT_KEYS, exact_quantiles, prefix_sums, rows_per_task, uniform_key
 from winnow.session import pin
 
 WINDOWS = (30, 90, 180)
@@ -226,6 +226,25 @@ def fit_target_encoding(train: DataFrame, column: str, target: str, smoothing: f
     return KeyedState([column], table, out, prior)
 
 
+def ordered_target_encode(df: DataFrame, column: str, target: str, row_id: str, strength: float = 1.0, prior: float | None = None,
+                          seed: int = 42, out: str | None = None, task_rows: int | None = None) -> DataFrame:
+    """Category mean of the rows before this one in a drawn order, shrunk to the prior: no row sees its own label.
+
+    The order is that of the ids' digests, so it is the same under any partitioning; a category with very many rows is cut
+    along it. A row whose target is missing adds nothing; missing categories are one category. New rows are encoded by
+    :func:`fit_target_encoding`, which sees all train rows.
+    """
+    out = out or f"{column}_ots"
+    if prior is None:
+        prior = df.agg(F.avg(target)).first()[0] or 0.0
+    y = F.col(target).cast("double")
+    drawn = df.withColumn("_ots_order", uniform_key(F.concat_ws("|", F.col(row_id).cast("string"), F.lit(str(seed)))))
+    sums = {"_ots_s": F.coalesce(y, F.lit(0.0)), "_ots_n": y.isNotNull().cast("long")}
+    before = prefix_sums(drawn, [column], "_ots_order", sums, row_id, task_rows)
+    mean = (F.col("_ots_s") + strength * prior) / (F.col("_ots_n") + strength)
+    return before.withColumn(out, mean).drop("_ots_order", "_ots_s", "_ots_n")
+
+
 def levels(train: DataFrame, column: str, limit: int = MAX_LEVELS) -> list[str]:
     """Sorted distinct values, checked to be few; NULL is the level ``Unknown``."""
     cell = F.coalesce(F.col(column).cast("string"), F.lit("Unknown"))

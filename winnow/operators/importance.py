@@ -39,6 +39,8 @@ def tree_paths(model, spark) -> tuple[list, float]:
     Read from the saved model; its size is the model's, not the data's. Conditions on one
     feature along a path are merged into an interval ``low < x <= high``.
     """
+    if hasattr(model, "leaf_paths"):
+        return model.leaf_paths()
     path = scratch_path(spark, "trees")
     model.write().save(path)
     nodes = spark.read.parquet(path + "/data").select("treeID", "nodeData.*").toPandas()

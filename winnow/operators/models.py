@@ -4,19 +4,22 @@ from __future__ import annotations
 
 import random
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field, fields
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from winnow.operators.boosting import Growth, HistogramBoosting
 from winnow.operators.evaluation import auc_of, average_precision_of, score_curve
+from winnow.operators.kernelmaps import KernelSVC
 from winnow.operators.splits import row_kfold
 
 # Default settings of the model families.
@@ -24,15 +27,19 @@ DEFAULTS: dict[str, dict] = {
     "baseline_lr": {"C": 1.0, "l1_ratio": 0.2, "max_iter": 4000},
     "ridge_lr": {"C": 1.0, "l1_ratio": 0.0, "max_iter": 4000},
     "lasso_lr": {"C": 1.0, "l1_ratio": 1.0, "max_iter": 4000},
-    "svm": {"C": 1.0, "max_iter": 1000},
+    "svm": {"C": 1.0, "max_iter": 1000, "kernel": "linear"},
     "random_forest": {"trees": 500, "depth": 10, "features": "sqrt", "min_leaf": 1},
-    "lightgbm": {"trees": 300, "depth": 5, "step": 0.1, "rows": 1.0, "features": "all"},
-    "xgboost": {"trees": 500, "depth": 7, "step": 0.1, "rows": 0.7, "features": "0.7"},
-    "catboost": {"trees": 1000, "depth": 6, "step": 0.1, "rows": 1.0, "features": "all"},
+    "lightgbm": {"trees": 300, "depth": 5, "step": 0.1, "rows": 1.0, "features": 1.0, "leaves": 31, "l2": 0.0, "min_rows": 20},
+    "xgboost": {"trees": 500, "depth": 7, "step": 0.1, "rows": 0.7, "features": 0.7, "l2": 1.0, "min_weight": 1.0},
+    "catboost": {"trees": 1000, "depth": 6, "step": 0.1, "rows": 1.0, "features": 1.0, "l2": 3.0},
+    "gbt": {"trees": 100, "depth": 5, "step": 0.1, "rows": 1.0, "features": "all"},
 }
 MIN_SOURCE_ROWS = 50
 
 
+#: How the boosted families grow their trees; ``gbt`` is Spark's own first-order booster.
+BOOSTED = {"lightgbm": "leaf", "xgboost": "level", "catboost": "symmetric"}
+
 # output columns of a fitted model: own names, so that models can be chained on one frame
 OUTPUTS = {"rawPredictionCol": "_m_raw", "probabilityCol": "_m_probability", "predictionCol": "_m_class"}
 
@@ -55,6 +62,10 @@ def _estimator(family, n, features, label, weight, seed, **params):
             **names, elasticNetParam=p["l1_ratio"], regParam=1.0 / (p["C"] * max(n, 1)), maxIter=p["max_iter"],
             tol=p.get("tol", 1e-6), standardization=False,
         )
+    if family == "svm" and p["kernel"] != "linear":
+        shape = {k: p[k] for k in ("gamma", "degree", "coef0", "components") if k in p}
+        return KernelSVC(**names, kernel=p["kernel"], **shape, regParam=1.0 / (p["C"] * max(n, 1)), maxIter=p["max_iter"],
+                         tol=p.get("tol", 1e-6), seed=seed)
     if family == "svm":
         return LinearSVC(**names, regParam=1.0 / (p["C"] * max(n, 1)), maxIter=p["max_iter"],
                          tol=p.get("tol", 1e-6), standardization=False)
@@ -63,6 +74,9 @@ def _estimator(family, n, features, label, weight, seed, **params):
             **names, numTrees=p["trees"], maxDepth=p["depth"], featureSubsetStrategy=p["features"],
             minInstancesPerNode=p["min_leaf"], seed=seed,
         )
+    if family in BOOSTED:
+        known = {f.name for f in fields(Growth)} - {"policy"}
+        return HistogramBoosting(**names, growth=Growth(BOOSTED[family], **{k: v for k, v in p.items() if k in known}), seed=seed)
     return GBTClassifier(
         **names, maxIter=p["trees"], maxDepth=p["depth"], stepSize=p["step"], subsamplingRate=p["rows"],
         featureSubsetStrategy=p["features"], seed=seed,
@@ -260,7 +274,14 @@ GRIDS: dict[str, dict[str, list]] = {
         "max_iter": [1000, 2000, 4000, 10000],
         "tol": [0.0001, 0.001, 0.01],
     },
-    "svm": {"C": [0.1, 0.5, 1.0, 5.0, 10.0, 50.0, 100.0], "tol": [0.0001, 0.001, 0.01]},
+    "svm": {
+        "C": [0.1, 0.5, 1.0, 5.0, 10.0, 50.0, 100.0],
+        "kernel": ["linear", "rbf", "poly", "sigmoid"],
+        "gamma": ["scale", "auto", 0.001, 0.01, 0.1, 1.0],
+        "degree": [2, 3, 4, 5],
+        "coef0": [0.0, 0.1, 0.5, 1.0],
+        "tol": [0.0001, 0.001, 0.01],
+    },
     "random_forest": {
         "trees": [50, 100, 200, 300, 500, 1000, 2000],
         "depth": [3, 5, 7, 10, 15, 20, 30],
@@ -268,25 +289,36 @@ GRIDS: dict[str, dict[str, list]] = {
     },
     "lightgbm": {
         "trees": [50, 100, 200, 300, 500, 800, 1000, 2000],
-        "depth": [3, 5, 7, 9, 12, 15, 20],
+        "leaves": [31, 63, 127, 255, 511, 1023],
+        "depth": [3, 5, 7, 9, 12],
         "step": [0.001, 0.005, 0.01, 0.03, 0.05, 0.07, 0.1, 0.2, 0.3],
+        "min_rows": [5, 10, 20, 50, 100, 200, 500],
         "rows": [0.5, 0.6, 0.7, 0.8, 0.9, 1.0],
+        "features": [0.5, 0.6, 0.7, 0.8, 0.9, 1.0],
+        "l1": [0.0, 0.001, 0.01, 0.03, 0.1, 0.3, 1.0, 3.0, 10.0],
+        "l2": [0.0, 0.001, 0.01, 0.03, 0.1, 0.3, 1.0, 3.0, 10.0],
+        "min_gain": [0.0, 0.1, 0.2, 0.5, 1.0, 2.0, 5.0],
     },
     "xgboost": {
         "trees": [50, 100, 200, 300, 500, 700, 1000, 2000],
-        "depth": [3, 4, 5, 6, 7, 8, 9, 10, 12, 15],
+        "depth": [3, 4, 5, 6, 7, 8, 9, 10, 12],
+        "min_gain": [0, 0.1, 0.2, 0.3, 0.5, 1.0, 3.0, 5.0],
+        "features": [0.5, 0.6, 0.7, 0.8, 0.9, 1.0],
         "step": [0.001, 0.005, 0.01, 0.03, 0.05, 0.07, 0.1, 0.2, 0.3],
         "rows": [0.5, 0.6, 0.7, 0.8, 0.9, 1.0],
+        "l1": [0.0, 0.001, 0.01, 0.03, 0.1, 0.3, 1.0, 3.0, 10.0],
+        "l2": [0.0, 0.001, 0.01, 0.03, 0.1, 0.3, 1.0, 3.0, 10.0],
+        "min_weight": [1, 3, 5, 7, 10, 15, 20],
     },
     "catboost": {
         "trees": [50, 100, 200, 300, 500, 1000, 2000],
         "depth": [3, 4, 5, 6, 7, 8, 10, 12],
         "step": [0.001, 0.005, 0.01, 0.03, 0.05, 0.07, 0.1, 0.2, 0.3],
         "rows": [0.5, 0.6, 0.7, 0.8, 0.9, 1.0],
+        "l2": [0.1, 1, 3, 5, 10, 30, 100],
+        "bins": [32, 64, 128, 254],
     },
 }
-SPARK_PARAMS = {"l1_ratio": "elasticNetParam", "trees": "numTrees", "depth": "maxDepth", "step": "stepSize",
-                "rows": "subsamplingRate", "max_iter": "maxIter", "tol": "tol", "min_leaf": "minInstancesPerNode"}
 #: Metrics of the positive class that search can follow.
 METRICS = {"roc_auc": "areaUnderROC", "average_precision": "areaUnderPR", "f1": "fMeasureByLabel",
            "precision": "precisionByLabel", "recall": "recallByLabel", "accuracy": "accuracy"}
@@ -315,31 +347,41 @@ def grid_points(grid: Mapping[str, list], trials: int, seed: int) -> list[dict]:
     return out
 
 
+def fold_value(rows: DataFrame, held: DataFrame, n: int, family: str, metric: str, features: str, label: str, weight: str | None, seed: int,
+               params: Mapping) -> float:
+    """``metric`` on ``held`` of a model fitted on ``rows`` (``n`` of them)."""
+    model = estimator(family, n, features, label, weight, seed, **params).fit(rows)
+    return float(evaluator_of(metric, label).evaluate(model.transform(held)))
+
+
+def side_by_side(spark, work, jobs: Sequence, parallelism: int) -> list:
+    """Spark jobs submitted from a few threads, results in order."""
+    with ThreadPoolExecutor(parallelism) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(work), jobs))
+
+
 def search(df: DataFrame, family: str, grid: Mapping[str, list], row_id: str, label: str = "label",
            features: str = "features", trials: int = 100, folds: int = 5, parallelism: int = 4, seed: int = 42,
-           metric: str = "roc_auc", **fixed) -> tuple[dict, float, Fitted]:
-    """Cross-validated ``metric`` over a seeded subset of the grid, at most ``trials`` points."""
-    rows = row_kfold(df.withColumn(label, F.col(label).cast("double")), row_id, folds, seed)
-    n = rows.count()
-    est = estimator(family, n, features, label, seed=seed, **fixed)
-    points = grid_points(grid, trials, seed)
-
-    def spark_map(point: dict) -> dict:
-        out = {}
-        for k, v in point.items():
-            name = "regParam" if k == "C" else SPARK_PARAMS[k]
-            if k == "trees" and not est.hasParam("numTrees"):
-                name = "maxIter"
-            out[est.getParam(name)] = 1.0 / (v * max(n, 1)) if k == "C" else v
-        return out
-
-    maps = [spark_map(p) for p in points]
-    evaluator = evaluator_of(metric, label)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps or ParamGridBuilder().build(), evaluator=evaluator,
-                        numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed)
-    fitted = cv.fit(rows)
-    best = int(np.argmax(fitted.avgMetrics))
-    return points[best], float(fitted.avgMetrics[best]), Fitted(family, fitted.bestModel)
+           metric: str = "roc_auc", weight: str | None = None, **fixed) -> tuple[dict, float, Fitted]:
+    """Cross-validated ``metric`` over a seeded subset of the grid, at most ``trials`` points, each on all rows.
+
+    :func:`winnow.operators.tuning.tune` stops early and draws from spans instead.
+    """
+    rows = row_kfold(df.withColumn(label, F.col(label).cast("double")), row_id, folds, seed).persist()
+    sizes = {r["fold"]: r["count"] for r in rows.groupBy("fold").count().collect()}
+    n = sum(sizes.values())
+    points = grid_points(grid, trials, seed) or [{}]
+
+    def one(job: tuple[dict, int]) -> float:
+        point, k = job
+        return fold_value(rows.filter(F.col("fold") != k), rows.filter(F.col("fold") == k), n - sizes.get(k, 0), family, metric, features,
+                          label, weight, seed, {**fixed, **point})
+
+    found = np.array(side_by_side(df.sparkSession, one, [(p, k) for p in points for k in range(folds)], parallelism)).reshape(-1, folds).mean(1)
+    best = int(np.argmax(found))
+    fitted = estimator(family, n, features, label, weight, seed, **{**fixed, **points[best]}).fit(rows)
+    rows.unpersist()
+    return points[best], float(found[best]), Fitted(family, fitted)
 
 
 def last_stage(model):

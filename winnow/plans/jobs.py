@@ -26,6 +26,7 @@ from winnow.operators.models import (
 from winnow.operators.selection import SelectorModel, SmartFeatureSelector
 from winnow.operators.splits import split_report, time_group_split
 from winnow.operators.synthetic import smote
+from winnow.operators.tuning import space_of, tune
 from winnow.plans.scoring import Scorer, ScoringSpec
 from winnow.roles import TEST_EXCLUDED, ColumnRoles, categorical_columns, exclude_columns, measure_columns, numeric_columns
 from winnow.session import pin
@@ -216,8 +217,12 @@ def train_job(df: DataFrame, roles: ColumnRoles, config: TrainConfig = TrainConf
     encoded = encoder.transform(rows).select(*row_key, "features", "label", *([weight] if weight else [])).persist()
     params = dict(config.params)
     if config.search_trials:
-        params |= search(encoded, config.family, GRIDS[config.family], row_key[0], trials=config.search_trials,
-                         metric=config.metric, seed=config.seed, weight=weight, **config.params)[0]
+        common = dict(trials=config.search_trials, metric=config.metric, seed=config.seed, weight=weight, **config.params)
+        grid = {k: v for k, v in GRIDS[config.family].items() if k not in config.params}
+        if config.search_pruner == "grid":
+            params |= search(encoded, config.family, grid, row_key[0], **common)[0]
+        else:
+            params |= tune(encoded, config.family, space_of(grid), row_key[0], pruner=config.search_pruner, timeout=config.search_timeout, **common).params
     fitted = estimator(config.family, encoded.count(), weight=weight, seed=config.seed, **params).fit(encoded)
     names = vector_names(encoded)
     scorer.model = PipelineModel([*encoder.stages, fitted])
