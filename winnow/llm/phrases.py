@@ -75,15 +75,15 @@ class Pieces:
         kind[list(SPACES)], kind[list(BREAKS)] = 1, 2
         kinds = kind[held]
         letter = kinds == 0
-        opens = np.ones(len(held), bool)
-        opens[1:] = ~letter[:-1]
-        opens[ends[:-1][sizes > 0]] = True
-        starts = np.flatnonzero(letter & opens)
-        self.doc = np.searchsorted(ends, starts, side="right") - 1
+        first_byte, last_byte = np.ones(len(held), bool), np.ones(len(held), bool)
+        first_byte[1:], last_byte[:-1] = ~letter[:-1], ~letter[1:]
+        first_byte[ends[:-1][sizes > 0]] = True
+        last_byte[ends[1:][sizes > 0] - 1] = True
+        starts, stops = np.flatnonzero(letter & first_byte), np.flatnonzero(letter & last_byte) + 1
+        self.doc = np.repeat(np.arange(len(sizes)), np.diff(np.searchsorted(starts, ends)))
         # both rise along the text, so two words share a piece where the sums agree
-        self.piece = np.cumsum(kinds == 2)[starts] + self.doc
-        upto = np.cumsum(letter)
-        offsets = np.append(upto[starts] - 1, upto[-1] if len(upto) else 0).astype(np.int64)
+        self.piece = np.cumsum(kinds == 2, dtype=np.int32)[starts] + self.doc
+        offsets = np.concatenate([[0], np.cumsum(stops - starts)]).astype(np.int64)
         flat = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(lower[held[letter]])])
         encoded = flat.dictionary_encode()
         self.codes = np.asarray(encoded.indices, dtype=np.int64)
@@ -109,17 +109,27 @@ class Runs:
         self.word = mix(own[self.cut.codes] ^ salt[self.tongue])
         self.ids = self.tongue * len(self.cut.distinct) + self.cut.codes
 
-    def lengths(self, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]]:
-        """Length, the parts' hashes and the phrases' own ``numbered`` at every place, and whether a piece holds the phrase there."""
-        chain = self.word
-        for length in range(1, longest + 1):
-            if length > 1:
-                chain = mix(chain[:-1] * GOLDEN + self.word[length - 1:])
-            own = numbered(chain, self.buckets)
-            yield length, (None if length == 1 else before), own, self.cut.piece[:len(chain)] == self.cut.piece[length - 1:]
-            before = own[2]
-
-    def places(self, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    def lengths(self, known: list[Slots]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray | None]]:
+        """Length, places, the phrases' hashes there and their parts' slots, for phrases with parts that are frequent so far.
+
+        Places thin out from length to length: only those are looked at where both parts have been frequent at some step.
+        """
+        places, chain, slots = np.arange(len(self.word)), self.word, None
+        for length in range(1, len(known) + 2):
+            yield length, places, chain, slots
+            if length > len(known):
+                return
+            sieve = known[length - 1]
+            own = (numbered(chain, self.buckets)[2] % np.uint64(len(sieve.first))).astype(np.int64)
+            often = sieve.first[own] < NEVER
+            places, chain, own = places[often], chain[often], own[often]
+            both = np.flatnonzero(places[1:] == places[:-1] + 1)
+            both = both[self.cut.piece[places[both]] == self.cut.piece[places[both] + length]]
+            slots = np.stack([own[both], own[both + 1]])
+            places = places[both]
+            chain = mix(chain[both] * GOLDEN + self.word[places + length])
+
+    def different(self, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         """One place of every different phrase among those at ``at``, and their counts."""
         keys = self.ids[at]
         for k in range(1, length):
@@ -129,6 +139,9 @@ class Runs:
 
 
 SCANNED = "len int, bucket int, blob binary, lang string, c long"
+SPELLED = pa.schema([("lang", pa.string()), ("len", pa.int32()), ("phrase", pa.string()), ("c", pa.int64())])
+#: Phrases that a task holds before it hands them on.
+KEPT = 1 << 20
 
 
 def counted(runs: Runs, step: int, rule: Mining, known: list[Slots]) -> Iterator[pa.RecordBatch]:
@@ -138,49 +151,65 @@ def counted(runs: Runs, step: int, rule: Mining, known: list[Slots]) -> Iterator
         for name, c in zip(runs.tongues.dictionary.to_pylist(), np.bincount(runs.tongue).tolist()):
             for key, v in zip(rows, (0, None, None, name, c)):
                 rows[key].append(v)
-    for length, parts, (bucket, number, _), here in runs.lengths(rule.longest):
-        if length == 1:
-            here = here & (step < rule.shards)
-        else:
+    for length, _, chain, slots in runs.lengths(known):
+        if length > 1:
             sieve = known[length - 2]
-            slot = (parts % np.uint64(len(sieve.first))).astype(np.int64)
-            begin = np.maximum(sieve.first[slot[:-1]], sieve.first[slot[1:]])
-            end = np.maximum(sieve.last[slot[:-1]], sieve.last[slot[1:]]).astype(np.int64)
-            here = here & (begin < step) & (step <= end + rule.shards)
-        where, counts = runs.places(np.flatnonzero(here), length)
-        order = np.argsort(bucket[where], kind="stable")
-        cuts = np.flatnonzero(np.diff(bucket[where][order], prepend=-1, append=-1))
+            begin, end = sieve.first[slots].max(0), sieve.last[slots].max(0).astype(np.int64)
+            chain = chain[(begin < step) & (step <= end + rule.shards)]
+        elif step >= rule.shards:
+            continue
+        bucket, number, _ = numbered(chain, runs.buckets)
+        keys, counts = np.unique(bucket << 32 | number.astype(np.int64), return_counts=True)
+        cuts = np.flatnonzero(np.diff(keys >> 32, prepend=-1, append=-1))
         for a, b in zip(cuts[:-1], cuts[1:]):
-            mine = order[a:b]
-            for key, v in zip(rows, (length, int(bucket[where[mine[0]]]), number[where[mine]].tobytes() + counts[mine].astype("<u4").tobytes(), None, None)):
+            for key, v in zip(rows, (length, int(keys[a] >> 32), keys[a:b].astype("<u4").tobytes() + counts[a:b].astype("<u4").tobytes(), None, None)):
                 rows[key].append(v)
     kinds = (pa.int32(), pa.int32(), pa.binary(), pa.string(), pa.int64())
     yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), kinds)], names=list(rows))
 
 
-def spelled(runs: Runs, rule: Mining, known: list[Slots]) -> Iterator[pa.RecordBatch]:
+def spelled(runs: Runs, known: list[Slots]) -> Iterator[pa.RecordBatch]:
     """Occurrences, by letters, of the phrases whose number is frequent."""
-    for length, _, (_, _, own), here in runs.lengths(rule.longest):
+    for length, places, chain, _ in runs.lengths(known[:-1]):
         sieve = known[length - 1]
-        at = np.flatnonzero(here & (sieve.first[(own % np.uint64(len(sieve.first))).astype(np.int64)] < NEVER))
-        where, counts = runs.places(at, length)
+        often = sieve.first[(numbered(chain, runs.buckets)[2] % np.uint64(len(sieve.first))).astype(np.int64)] < NEVER
+        where, counts = runs.different(places[often], length)
         parts = [runs.cut.distinct.take(pa.array(runs.cut.codes[where + k])) for k in range(length)]
         phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if length > 1 else parts[0]
         yield pa.RecordBatch.from_arrays([
             runs.tongues.dictionary.take(pa.array(runs.tongue[where])).cast(pa.string()), pa.array(np.full(len(where), length, np.int32)), phrase.cast(pa.string()),
-            pa.array(counts.astype(np.int64))], names=["lang", "len", "phrase", "c"])
-
-
-def over(docs: DataFrame, buckets: int, known: list[Slots], look, schema: str) -> tuple[DataFrame, object]:
+            pa.array(counts.astype(np.int64))], schema=SPELLED)
+
+
+def folded(batches: Iterator[pa.RecordBatch], most: int = KEPT) -> Iterator[pa.RecordBatch]:
+    """The same phrases added up before they leave the task."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) > most:
+            sums = pa.Table.from_batches(held).group_by(["lang", "len", "phrase"]).aggregate([("c", "sum")]).rename_columns(SPELLED.names)
+            held = sums.cast(SPELLED).combine_chunks().to_batches()
+            if len(sums) > most // 2:
+                yield from held
+                held = []
+    if held:
+        sums = pa.Table.from_batches(held).group_by(["lang", "len", "phrase"]).aggregate([("c", "sum")]).rename_columns(SPELLED.names)
+        yield from sums.cast(SPELLED).to_batches()
+
+
+def over(docs: DataFrame, buckets: int, known: list[Slots], look, schema: str, after=iter) -> tuple[DataFrame, object]:
     """``look`` at all slices of the texts; the sieve is sent as small as its phrases allow."""
     sent = docs.sparkSession.sparkContext.broadcast([k.folded() for k in known])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows, texts in text_slices(batch, limit=COUNTED):
-                runs = Runs(rows["lang"], texts, buckets)
-                if len(runs.ids):
-                    yield from look(runs, sent.value)
+        def each() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for rows, texts in text_slices(batch, limit=COUNTED):
+                    runs = Runs(rows["lang"], texts, buckets)
+                    if len(runs.ids):
+                        yield from look(runs, sent.value)
+
+        yield from after(each())
 
     return docs.mapInArrow(run, schema), sent
 
@@ -250,7 +279,7 @@ def frequent(docs: DataFrame, rule: Mining = Mining(), lang: str = "lang", text:
             until = max(until, step + rule.shards)
         step += 1
     words = reduce(DataFrame.unionByName, scans[:rule.shards]).filter("len = 0").groupBy("lang").agg(F.sum("c").alias("n"))
-    looked, sent = over(shards.select("lang", "text"), buckets, known, lambda runs, sieve: spelled(runs, rule, sieve), "lang string, len int, phrase string, c long")
+    looked, sent = over(shards.select("lang", "text"), buckets, known, spelled, "lang string, len int, phrase string, c long", folded)
     sums = pinned(looked.groupBy("lang", "len", "phrase").agg(F.sum("c").alias("f")).filter(F.col("f") >= rule.least), "phrase-frequent")
     sent.destroy()
     return sums, words
