@@ -20,7 +20,7 @@ from winnow.session import scratch_path
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 SPACES, BREAKS = b" \t", b".,;:!?\n\x0b\x0c\r"
 #: Bytes of text counted at once in a task.
-COUNTED = 8 << 20
+COUNTED = 6 << 20
 NEVER = 255
 
 
@@ -97,43 +97,85 @@ def numbered(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray,
     return bucket.astype(np.int64), number.astype("<u4"), mix(number << np.uint64(32) | bucket)
 
 
+PACKED = "shard int, langs array<string>, codes binary, hashes binary, tongues binary, letters binary, ends binary"
+OPENS = np.uint32(1 << 31)
+
+
+def packed(docs: DataFrame, rule: Mining) -> DataFrame:
+    """Slices of the texts as word numbers, cut once: ``codes`` into the slice's different words, flagged where a piece begins.
+
+    A different word has its hash (with its language), its language's number in ``langs``, and its letters.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, texts in text_slices(batch, limit=COUNTED):
+                cut = Pieces(texts)
+                if not len(cut.codes):
+                    continue
+                langs = rows["lang"].dictionary_encode()
+                names = langs.dictionary.to_pylist()
+                pairs, codes = np.unique(np.asarray(langs.indices, dtype=np.int64)[cut.doc] * len(cut.distinct) + cut.codes, return_inverse=True)
+                tongue, which = np.divmod(pairs, len(cut.distinct))
+                salt = np.fromiter((xxhash.xxh3_64_intdigest(v) for v in names), np.uint64, len(names))
+                own = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in cut.distinct.to_pylist()), np.uint64, len(cut.distinct))
+                opens = np.append(True, cut.piece[1:] != cut.piece[:-1])
+                words = cut.distinct.take(pa.array(which))
+                sizes = np.asarray(pc.binary_length(words), dtype=np.int64)
+                letters = bytes(words.buffers()[2])[:int(sizes.sum())]
+                fields = [codes.astype("<u4") | np.where(opens, OPENS, np.uint32(0)), mix(own[which] ^ salt[tongue]), tongue.astype("<u4"), None, np.cumsum(sizes)]
+                blobs = [letters if f is None else f.tobytes() for f in fields]
+                shard = xxhash.xxh3_64_intdigest(blobs[0]) % rule.shards
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([shard], pa.int32()), pa.array([names], pa.list_(pa.string())), *(pa.array([b], pa.binary()) for b in blobs)],
+                    names=["shard", "langs", "codes", "hashes", "tongues", "letters", "ends"])
+
+    return docs.mapInArrow(run, PACKED)
+
+
 class Runs:
-    """Phrases of a slice by length: the hash they are known by at every place, and which places hold one."""
+    """Phrases of a packed slice by length: the hash they are known by at every place, and which places hold one."""
+
+    def __init__(self, batch: pa.RecordBatch, row: int, buckets: int):
+        field = lambda name: batch[name][row].as_buffer()
+        codes = np.frombuffer(field("codes"), "<u4")
+        self.codes, self.piece = (codes & ~OPENS).astype(np.int64), np.cumsum(codes >= OPENS)
+        self.hashes, self.tongues = np.frombuffer(field("hashes"), np.uint64), np.frombuffer(field("tongues"), "<u4")
+        self.langs, self.buckets = pa.array(batch["langs"][row].as_py(), pa.string()), buckets
+        self.field = field
 
-    def __init__(self, lang: pa.Array, texts: pa.Array, buckets: int):
-        self.cut, self.buckets = Pieces(texts), buckets
-        self.tongues = lang.dictionary_encode()
-        self.tongue = np.asarray(self.tongues.indices, dtype=np.int64)[self.cut.doc]
-        salt = np.fromiter((xxhash.xxh3_64_intdigest(v) for v in self.tongues.dictionary.to_pylist()), np.uint64, len(self.tongues.dictionary))
-        own = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in self.cut.distinct.to_pylist()), np.uint64, len(self.cut.distinct))
-        self.word = mix(own[self.cut.codes] ^ salt[self.tongue])
-        self.ids = self.tongue * len(self.cut.distinct) + self.cut.codes
+    def words(self) -> pa.Array:
+        letters, ends = self.field("letters"), np.frombuffer(self.field("ends"), np.int64)
+        return pa.Array.from_buffers(pa.large_string(), len(ends), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int64)), letters])
 
     def lengths(self, known: list[Slots]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray | None]]:
         """Length, places, the phrases' hashes there and their parts' slots, for phrases with parts that are frequent so far.
 
         Places thin out from length to length: only those are looked at where both parts have been frequent at some step.
+        A word's place is its number, a longer phrase's that of its first word.
         """
-        places, chain, slots = np.arange(len(self.word)), self.word, None
-        for length in range(1, len(known) + 2):
-            yield length, places, chain, slots
-            if length > len(known):
-                return
-            sieve = known[length - 1]
-            own = (numbered(chain, self.buckets)[2] % np.uint64(len(sieve.first))).astype(np.int64)
-            often = sieve.first[own] < NEVER
-            places, chain, own = places[often], chain[often], own[often]
+        yield 1, np.arange(len(self.hashes)), self.hashes, None
+        for length, sieve in enumerate(known, 1):
+            if length == 1:
+                slot = (numbered(self.hashes, self.buckets)[2] % np.uint64(len(sieve.first))).astype(np.int64)
+                places = np.flatnonzero((sieve.first[slot] < NEVER)[self.codes])
+                own, chain = slot[self.codes[places]], self.hashes[self.codes[places]]
+            else:
+                own = (numbered(chain, self.buckets)[2] % np.uint64(len(sieve.first))).astype(np.int64)
+                often = sieve.first[own] < NEVER
+                places, chain, own = places[often], chain[often], own[often]
             both = np.flatnonzero(places[1:] == places[:-1] + 1)
-            both = both[self.cut.piece[places[both]] == self.cut.piece[places[both] + length]]
+            both = both[self.piece[places[both]] == self.piece[places[both] + length]]
             slots = np.stack([own[both], own[both + 1]])
             places = places[both]
-            chain = mix(chain[both] * GOLDEN + self.word[places + length])
+            chain = mix(chain[both] * GOLDEN + self.hashes[self.codes[places + length]])
+            yield length + 1, places, chain, slots
 
     def different(self, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         """One place of every different phrase among those at ``at``, and their counts."""
-        keys = self.ids[at]
+        keys = self.codes[at]
         for k in range(1, length):
-            keys = (keys if k == 1 else np.unique(keys, return_inverse=True)[1]) * len(self.cut.distinct) + self.cut.codes[at + k]
+            keys = (keys if k == 1 else np.unique(keys, return_inverse=True)[1]) * len(self.hashes) + self.codes[at + k]
         _, spots, counts = np.unique(keys, return_index=True, return_counts=True)
         return at[spots], counts
 
@@ -147,37 +189,48 @@ KEPT = 1 << 20
 def counted(runs: Runs, step: int, rule: Mining, known: list[Slots]) -> Iterator[pa.RecordBatch]:
     """Tables of numbers and counts by length and bucket: all words in the first cycle, and the phrases whose turn it is."""
     rows = {"len": [], "bucket": [], "blob": [], "lang": [], "c": []}
+
+    def add(length, bucket, blob, lang, c):
+        for key, v in zip(rows, (length, bucket, blob, lang, c)):
+            rows[key].append(v)
+
+    held = np.bincount(runs.codes, minlength=len(runs.hashes))
     if step < rule.shards:
-        for name, c in zip(runs.tongues.dictionary.to_pylist(), np.bincount(runs.tongue).tolist()):
-            for key, v in zip(rows, (0, None, None, name, c)):
-                rows[key].append(v)
+        for name, c in zip(runs.langs.to_pylist(), np.bincount(runs.tongues, held).tolist()):
+            add(0, None, None, name, int(c))
     for length, _, chain, slots in runs.lengths(known):
+        counts = held
         if length > 1:
             sieve = known[length - 2]
             begin, end = sieve.first[slots].max(0), sieve.last[slots].max(0).astype(np.int64)
-            chain = chain[(begin < step) & (step <= end + rule.shards)]
+            chain, counts = np.unique(chain[(begin < step) & (step <= end + rule.shards)], return_counts=True)
         elif step >= rule.shards:
             continue
         bucket, number, _ = numbered(chain, runs.buckets)
-        keys, counts = np.unique(bucket << 32 | number.astype(np.int64), return_counts=True)
-        cuts = np.flatnonzero(np.diff(keys >> 32, prepend=-1, append=-1))
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
         for a, b in zip(cuts[:-1], cuts[1:]):
-            for key, v in zip(rows, (length, int(keys[a] >> 32), keys[a:b].astype("<u4").tobytes() + counts[a:b].astype("<u4").tobytes(), None, None)):
-                rows[key].append(v)
+            mine = order[a:b]
+            add(length, int(bucket[mine[0]]), number[mine].tobytes() + counts[mine].astype("<u4").tobytes(), None, None)
     kinds = (pa.int32(), pa.int32(), pa.binary(), pa.string(), pa.int64())
     yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), kinds)], names=list(rows))
 
 
 def spelled(runs: Runs, known: list[Slots]) -> Iterator[pa.RecordBatch]:
     """Occurrences, by letters, of the phrases whose number is frequent."""
+    words, held = runs.words(), np.bincount(runs.codes, minlength=len(runs.hashes))
     for length, places, chain, _ in runs.lengths(known[:-1]):
         sieve = known[length - 1]
         often = sieve.first[(numbered(chain, runs.buckets)[2] % np.uint64(len(sieve.first))).astype(np.int64)] < NEVER
-        where, counts = runs.different(places[often], length)
-        parts = [runs.cut.distinct.take(pa.array(runs.cut.codes[where + k])) for k in range(length)]
-        phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if length > 1 else parts[0]
+        if length == 1:
+            first, counts = places[often], held[often]
+            phrase = words.take(pa.array(first))
+        else:
+            where, counts = runs.different(places[often], length)
+            first = runs.codes[where]
+            phrase = pc.binary_join_element_wise(*[words.take(pa.array(runs.codes[where + k])) for k in range(length)], pa.scalar(" ", pa.large_string()))
         yield pa.RecordBatch.from_arrays([
-            runs.tongues.dictionary.take(pa.array(runs.tongue[where])).cast(pa.string()), pa.array(np.full(len(where), length, np.int32)), phrase.cast(pa.string()),
+            runs.langs.take(pa.array(runs.tongues[first].astype(np.int64))), pa.array(np.full(len(first), length, np.int32)), phrase.cast(pa.string()),
             pa.array(counts.astype(np.int64))], schema=SPELLED)
 
 
@@ -197,21 +250,14 @@ def folded(batches: Iterator[pa.RecordBatch], most: int = KEPT) -> Iterator[pa.R
         yield from sums.cast(SPELLED).to_batches()
 
 
-def over(docs: DataFrame, buckets: int, known: list[Slots], look, schema: str, after=iter) -> tuple[DataFrame, object]:
-    """``look`` at all slices of the texts; the sieve is sent as small as its phrases allow."""
-    sent = docs.sparkSession.sparkContext.broadcast([k.folded() for k in known])
+def over(slices: DataFrame, buckets: int, known: list[Slots], look, schema: str, after=iter) -> tuple[DataFrame, object]:
+    """``look`` at all packed slices; the sieve is sent as small as its phrases allow."""
+    sent = slices.sparkSession.sparkContext.broadcast([k.folded() for k in known])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def each() -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for rows, texts in text_slices(batch, limit=COUNTED):
-                    runs = Runs(rows["lang"], texts, buckets)
-                    if len(runs.ids):
-                        yield from look(runs, sent.value)
-
-        yield from after(each())
+        yield from after(piece for batch in batches for row in range(len(batch)) for piece in look(Runs(batch, row, buckets), sent.value))
 
-    return docs.mapInArrow(run, schema), sent
+    return slices.mapInArrow(run, schema), sent
 
 
 def frequent_numbers(scans: list[DataFrame], rule: Mining, buckets: int) -> DataFrame:
@@ -256,15 +302,17 @@ def frequent(docs: DataFrame, rule: Mining = Mining(), lang: str = "lang", text:
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     cut = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), body.alias("text"))
     path = scratch_path(spark, "phrase-shards")
-    cut.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(rule.shards)).cast("int")).write.partitionBy("shard").parquet(path)
-    shards = spark.read.schema("lang string, text string, shard int").parquet(path)
-    buckets = max(1, -(-(shards.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // rule.share))
+    packed(cut, rule).write.partitionBy("shard").parquet(path)
+    slices = spark.read.schema(PACKED).parquet(path)
+    # a slice is megabytes long
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    buckets = max(1, -(-(slices.agg(F.sum(F.octet_length("codes"))).first()[0] or 0) // rule.share))
     known = [Slots(rule.slots) for _ in range(rule.longest)]
     reached = spark.createDataFrame([], "len int, hash long")
     scans: list[DataFrame] = []
     step, until = 0, rule.shards - 1
     while step <= until:
-        shard = shards.filter(F.col("shard") == step % rule.shards).select("lang", "text")
+        shard = slices.filter(F.col("shard") == step % rule.shards).select("langs", "codes", "hashes", "tongues")
         looked, sent = over(shard, buckets, known[:-1], lambda runs, sieve, step=step: counted(runs, step, rule, sieve), SCANNED)
         scans.append(pinned(looked, "phrase-scan"))
         sent.destroy()
@@ -279,9 +327,10 @@ def frequent(docs: DataFrame, rule: Mining = Mining(), lang: str = "lang", text:
             until = max(until, step + rule.shards)
         step += 1
     words = reduce(DataFrame.unionByName, scans[:rule.shards]).filter("len = 0").groupBy("lang").agg(F.sum("c").alias("n"))
-    looked, sent = over(shards.select("lang", "text"), buckets, known, spelled, "lang string, len int, phrase string, c long", folded)
+    looked, sent = over(slices, buckets, known, spelled, "lang string, len int, phrase string, c long", folded)
     sums = pinned(looked.groupBy("lang", "len", "phrase").agg(F.sum("c").alias("f")).filter(F.col("f") >= rule.least), "phrase-frequent")
     sent.destroy()
+    light(docs)
     return sums, words
 
 
