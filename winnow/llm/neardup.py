@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from winnow.llm.tables import light, partitions, pinned
@@ -20,6 +20,8 @@ GOLDEN = 0x9E3779B97F4A7C15
 #: Sets side by side in one comparison, and shingles they may hold together.
 TILE_SETS, TILE_SHINGLES = 256, 1 << 20
 NO_DOC = 2**63 - 1
+#: Slots that a node's edges are dealt to, and the largest bit filter (2 to that power).
+SPOKES, FILTER_BITS = 64, 26
 
 
 @dataclass(frozen=True)
@@ -148,28 +150,65 @@ def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent:
             yield int(left[i]), int(right[j])
 
 
+def buckets(sets: DataFrame, bands: int, roots: DataFrame | None) -> DataFrame:
+    """``bucket, member, n, root, size, held``: the buckets of the first ``bands`` keys whose members are of several components.
+
+    One exchange by bucket serves the counts and the members. Buckets of the same members are kept once.
+    """
+    short = F.xxhash64("set")
+    own = sets.select("set", short.alias("member"), "n", F.slice("bands", 1, bands).alias("bands"))
+    own = own.withColumn("root", F.col("member")) if roots is None else own.join(roots, "set", "left").withColumn("root", F.coalesce("root", "member"))
+    over = Window.partitionBy("bucket")
+    counted = own.select(F.explode("bands").alias("bucket"), "member", "n", "root").select(
+        "*", F.min("root").over(over).alias("low"), F.max("root").over(over).alias("high"), F.count("*").over(over).alias("size"), F.sum("n").over(over).alias("held"),
+        F.sum(F.col("member").cast("decimal(20,0)")).over(over).alias("sum1"), F.bit_xor(F.xxhash64("member")).over(over).alias("sum2"))
+    mixed = pinned(counted.filter("low < high").drop("low", "high"), "buckets")
+    once = mixed.groupBy("size", "held", "sum1", "sum2").agg(F.min("bucket").alias("bucket")).select("bucket")
+    return mixed.join(once, "bucket", "left_semi").drop("sum1", "sum2")
+
+
+def tiles_for(size: Column, held: Column) -> Column:
+    return F.greatest(F.ceil(size / TILE_SETS), F.ceil(held / TILE_SHINGLES), F.lit(1)).cast("int")
+
+
+def starred(entries: DataFrame) -> DataFrame:
+    """Tiles of a first look: each with itself and with the bucket's first. Copies of a set do not grow with its bucket."""
+    tiles = tiles_for(F.col("size"), F.col("held"))
+    own = F.pmod(F.xxhash64("member", F.lit(7)), tiles).cast("int")
+    other = F.when(F.col("own") == 0, F.sequence(F.lit(0), F.col("tiles") - 1)).otherwise(F.array(F.lit(0), "own"))
+    return entries.select("bucket", "member", tiles.alias("tiles"), own.alias("own")).select("bucket", "member", "own", F.explode(other).alias("other"))
+
+
+def crossed(entries: DataFrame) -> DataFrame:
+    """Tiles of the members outside a bucket's largest component, with each other and with that component's."""
+    shares = entries.groupBy("bucket", "root").agg(F.count("*").alias("k"), F.sum("n").alias("m"))
+    main = shares.groupBy("bucket").agg(F.max(F.struct("k", "m", "root")).alias("main"))
+    both = entries.join(main, "bucket").select(
+        "bucket", "member", (F.col("root") == F.col("main.root")).alias("inside"),
+        tiles_for(F.col("size") - F.col("main.k"), F.col("held") - F.col("main.m")).alias("few"), tiles_for(F.col("main.k"), F.col("main.m")).alias("many"))
+    deal = lambda n: F.pmod(F.xxhash64("member", F.lit(7)), F.col(n)).cast("int")
+    own = F.when(F.col("inside"), F.col("few") + deal("many")).otherwise(deal("few"))
+    other = F.sequence(F.lit(0), F.when(F.col("inside"), F.col("few")).otherwise(F.col("few") + F.col("many")) - 1)
+    return both.select("bucket", "member", own.alias("own"), F.explode(other).alias("other"))
+
+
 def links(docs: DataFrame, sets: DataFrame, rule: NearDup, id: str, text: str) -> DataFrame:
     """Verified links ``(a, b)`` between set names that span the likeness graph.
 
-    Sets that share a band key meet in tiles: a bucket is dealt by hash to as many tiles as its size asks for,
-    every pair of tiles is compared once, by shingles made anew from the texts. Buckets of the same members are
-    compared once. Nothing is capped, and no pair that fails leaves its task.
+    Sets that share a band key meet in tiles and are compared by their shingles. A first look at a sixth of the bands
+    finds most components; then every bucket that still holds several of them is compared across them, in all bands. Nothing is capped, and
+    no pair that fails leaves its task. A set's shingles travel to a few tiles, not to one for every band and tile of its bucket.
     """
+    first = pinned(compared(docs, sets, starred(buckets(sets, max(1, rule.bands // 6), None)), rule, id, text), "links")
+    roots = components(first).select(F.col("node").alias("set"), F.xxhash64("root").alias("root"))
+    rest = compared(docs, sets, crossed(buckets(sets, rule.bands, roots)), rule, id, text)
+    return first.unionByName(rest)
+
+
+def compared(docs: DataFrame, sets: DataFrame, dealt: DataFrame, rule: NearDup, id: str, text: str) -> DataFrame:
+    """Links found in tiles ``bucket, member, own, other``, by shingles made anew from the sets' own texts."""
     short = F.xxhash64("set")
-    entries = sets.select(F.explode("bands").alias("bucket"), short.alias("member"), "n")
-    buckets = entries.groupBy("bucket").agg(
-        F.count("*").alias("size"), F.sum("n").alias("held"),
-        F.sum(F.col("member").cast("decimal(20,0)")).alias("sum1"), F.bit_xor(F.xxhash64("member")).alias("sum2"),
-    ).filter("size > 1")
-    tiles = F.greatest(F.ceil(F.col("size") / TILE_SETS), F.ceil(F.col("held") / TILE_SHINGLES)).cast("int")
-    once = buckets.groupBy("size", "held", "sum1", "sum2").agg(F.min("bucket").alias("bucket")).select("bucket", tiles.alias("tiles"))
-    own = F.pmod(F.xxhash64("member", F.lit(7)), F.col("tiles")).cast("int")
-    asked = pinned(
-        entries.select("bucket", "member").join(once, "bucket").withColumn("own", own)
-        .select("bucket", "member", "own", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-        .select("bucket", "member", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")),
-        "tiles",
-    )
+    asked = pinned(dealt.select("bucket", "member", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")), "tiles")
     wanted = asked.select("member").distinct().join(sets.select(short.alias("member"), "set", "rep", "rep_hash"), "member")
 
     def remake(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,11 +216,10 @@ def links(docs: DataFrame, sets: DataFrame, rule: NearDup, id: str, text: str) -
             for part, texts in text_slices(batch):
                 elements, offsets = shingle_sets(texts, rule.width)
                 raw = pa.array([elements[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])], pa.binary())
-                fresh = pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(set_names(elements, offsets), pa.string()), raw], names=["set", "made", "shingles"])
-                yield fresh.filter(pa.compute.equal(fresh["set"], fresh["made"])).select(["set", "shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array(set_names(elements, offsets), pa.string()), raw], names=["set", "shingles"])
 
-    made = representatives(docs, wanted, id, text).mapInArrow(remake, "set string, shingles binary").groupBy("set").agg(F.any_value("shingles").alias("shingles"))
+    made = of_representatives(docs, wanted, id, text).mapInArrow(remake, "set string, shingles binary")
+    made = made.join(wanted.select("set"), "set", "left_semi").groupBy("set").agg(F.any_value("shingles").alias("shingles"))
     rows = asked.join(made.withColumn("member", short), "member").select("bucket", "i", "j", "own", "set", "shingles")
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -202,16 +240,31 @@ def links(docs: DataFrame, sets: DataFrame, rule: NearDup, id: str, text: str) -
     return dealt.mapInPandas(compare, "a string, b string")
 
 
-def representatives(docs: DataFrame, wanted: DataFrame, id: str, text: str) -> DataFrame:
-    """``set, text`` once for each wanted set, whose text is found by the id and the hash of the text it was made of.
+def row_key(doc: Column, hash: Column) -> Column:
+    return F.xxhash64(F.isnull(doc), F.coalesce(doc, F.lit(0)), hash)
+
+
+def sieved(rows: DataFrame, keys: DataFrame, key: str = "key") -> tuple[DataFrame, DataFrame]:
+    """``rows`` split by a bit filter of ``keys``: those that may have one of them, and those that surely have none.
 
-    Null and repeated ids meet their own texts only. Another text under the same key is told by its set's name later.
+    The filter has some 16 bits a key and at most ``FILTER_BITS``, so the broadcast is bounded; beyond that it lets
+    more rows through, which the join behind it settles.
     """
-    key = lambda doc, hash: F.xxhash64(F.isnull(doc), F.coalesce(doc, F.lit(0)), hash).alias("at")
+    count = keys.count()
+    bits = 1 << min(FILTER_BITS, max(10, (16 * count).bit_length()))
+    slot = lambda c: F.pmod(F.col(c), F.lit(bits))
+    words = keys.select(slot(key).alias("s")).groupBy(F.shiftright("s", 6).alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("_bits"))
+    seen = rows.withColumn("_slot", slot(key)).join(F.broadcast(words), F.shiftright("_slot", 6) == F.col("_word"), "left")
+    hit = F.coalesce(F.expr("(shiftright(_bits, cast(_slot & 63 as int)) & 1) = 1"), F.lit(False))
+    out = lambda c: seen.filter(c).select(*[F.col(f"`{n}`") for n in rows.columns])
+    return out(hit), out(~hit)
+
+
+def of_representatives(docs: DataFrame, wanted: DataFrame, id: str, text: str) -> DataFrame:
+    """``text`` of the rows that stand for the wanted sets, found by id and hash of the text; other rows with the same filter bits too."""
     body = F.col(f"`{text}`").cast("string")
-    texts = docs.select(key(F.col(f"`{id}`").cast("long"), F.xxhash64(body)), body.alias("text"))
-    found = texts.join(wanted.select(key(F.col("rep"), F.col("rep_hash")), "set"), "at")
-    return found.dropDuplicates(["at", "set", "text"]).select("set", "text")
+    rows = docs.select(row_key(F.col(f"`{id}`").cast("long"), F.xxhash64(body)).alias("key"), body.alias("text"))
+    return sieved(rows, wanted.select(row_key(F.col("rep"), F.col("rep_hash")).alias("key")))[0].select("text")
 
 
 def groups(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[list[pd.DataFrame]]:
@@ -237,14 +290,16 @@ def groups(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[list[pd.
 def components(edges: DataFrame) -> DataFrame:
     """``(node, root)``: the least node of each connected component, by alternating large and small stars.
 
-    Every round is two aggregations and a join on keys and ends in a reliable checkpoint. The stars are
-    final when a round changes no edge.
+    Every round is a few aggregations and joins on keys and ends in a written table. A node's edges are dealt to ``SPOKES`` slots
+    whose minima are put together and handed back, so that no task holds a hub. The stars are final when a round changes no edge.
     """
     def stars(e: DataFrame, both: bool) -> DataFrame:
         if both:
             e = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = e.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        near = e.join(least, "a")
+        e = e.withColumn("s", F.pmod(F.xxhash64("b"), F.lit(SPOKES)))
+        slots = e.groupBy("a", "s").agg(F.min("b").alias("m"))
+        least = slots.groupBy("a").agg(F.min("m").alias("m"), F.collect_set("s").alias("s")).select("a", F.least("a", "m").alias("m"), "s")
+        near = e.join(least.select("a", "m", F.explode("s").alias("s")), ["a", "s"])
         if both:  # larger neighbours hang below the least one
             return near.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         return near.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
@@ -300,5 +355,9 @@ def near_duplicates(docs: DataFrame, rule: NearDup = NearDup(), id: str = "doc_i
 def deduplicate(docs: DataFrame, rule: NearDup = NearDup(), id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows, all columns, that :func:`near_duplicates` keeps. Rows that repeat both id and text stay together."""
     dropped = judged(docs, rule, id, text).filter(~F.col("kept")).select(F.col("doc_id").alias("_dup_id"), F.col("hash").alias("_dup_hash")).distinct()
-    same = F.col(f"`{id}`").cast("long").eqNullSafe(F.col("_dup_id")) & (F.xxhash64(F.col(f"`{text}`").cast("string")) == F.col("_dup_hash"))
-    return docs.join(pinned(dropped, "dropped"), same, "left_anti")
+    dropped = pinned(dropped, "dropped")
+    own, hash = F.col(f"`{id}`").cast("long"), F.xxhash64(F.col(f"`{text}`").cast("string"))
+    doubtful, clear = sieved(docs.withColumn("_dup_key", row_key(own, hash)), dropped.select(row_key(F.col("_dup_id"), F.col("_dup_hash")).alias("_dup_key")), "_dup_key")
+    same = own.eqNullSafe(F.col("_dup_id")) & (hash == F.col("_dup_hash"))
+    # rows that surely stay are not shuffled
+    return clear.unionByName(doubtful.join(dropped, same, "left_anti")).drop("_dup_key")
