@@ -80,10 +80,21 @@ def test_point_gap_bucket_isolates_edges(spark):
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 17, 1000])
-def test_affine_donors_are_bijections(n):
-    for seed in range(5):
-        a, b = K.affine_donors(n, seed)
-        assert sorted((a * i + b) % n for i in range(n)) == list(range(n))
+def test_feistel_donors_are_bijections(spark, n):
+    for seed in range(3):
+        got = [r[0] for r in spark.range(n).select(K.feistel_donor(F.col("id"), n, seed)).collect()]
+        assert sorted(got) == list(range(n))
+
+
+def test_feistel_donors_have_no_order(spark):
+    """Neighbours' donors are unrelated, also along a period, and seeds differ."""
+    n = 20_000
+    rows = spark.range(n).select("id", K.feistel_donor(F.col("id"), n, 1).alias("a"), K.feistel_donor(F.col("id"), n, 2).alias("b")).orderBy("id").toPandas()
+    for lag in (1, 7, 100, 141, 142):
+        assert abs(np.corrcoef(rows["a"][:-lag], rows["a"][lag:])[0, 1]) < 0.03
+        steps = np.diff(rows["a"].to_numpy()[::lag])
+        assert len(np.unique(steps)) > 0.9 * len(steps) * (1 - len(steps) / (4 * n))
+    assert abs(np.corrcoef(rows["id"], rows["a"])[0, 1]) < 0.03 and abs(np.corrcoef(rows["a"], rows["b"])[0, 1]) < 0.03
 
 
 def _tau_b(x, y):

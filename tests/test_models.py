@@ -122,6 +122,24 @@ def test_vote_weights_and_stacking(labelled):
     assert auc_value(out, "p") > 0.85 and set(out.columns) - set(labelled.columns) == {"p"}
 
 
+def test_bounds_hold_and_leave_the_winner_open(spark):
+    """Three models, 101 weightings: same winner as the exact curves of all, from few of them."""
+    rng = np.random.default_rng(6)
+    y = rng.integers(0, 2, 1500)
+    p = np.clip(rng.normal(0.4 + 0.2 * y[:, None], [0.2, 0.3, 0.5]), 0, 1)
+    df = spark.createDataFrame([(int(a), *map(float, r)) for a, r in zip(y, p)] + [(None, 0.5, 0.5, 0.5), (1, None, 0.1, 0.2)], "label int, a double, b double, c double").cache()
+    columns, candidates = ["a", "b", "c"], M.weight_candidates(3)
+    exact = {r["candidate"]: r["value"] for r in M.candidate_scores(df.dropna(), columns, "label", candidates).collect()}
+    bounds = {r["candidate"]: r for r in M.auc_bounds(df, columns, "label", candidates).collect()}
+    assert all(bounds[i]["low"] - 1e-12 <= exact[i] <= bounds[i]["high"] + 1e-12 for i in exact)
+    floor = max(r["low"] for r in bounds.values())
+    assert sum(r["high"] >= floor for r in bounds.values()) < 30
+    winner = max(exact, key=lambda i: (exact[i], -i))
+    weights, value = M.optimize_weights(df.dropna(), columns, "label")
+    assert weights == candidates[winner] and value == pytest.approx(exact[winner])
+    assert M.optimize_weights(df.filter("label = 1"), columns, "label") == ([1 / 3] * 3, 0.0)
+
+
 def test_experts_fall_back(labelled):
     model = M.fit_source_experts(labelled, "src", ["Web", "App", "Tiny"], "baseline_lr")
     assert set(model.experts) == {"Web", "App"}
@@ -216,6 +234,22 @@ def test_shadows_reject_noise(labelled):
         labelled.drop("features"), ["x0", "x1", "x2"], "label", "id", rounds=7, trees=10, depth=4).collect()}
     assert out["x0"] == "confirmed" and out["x2"] != "confirmed"
     assert I.binomial_tail(0, 5) == 1.0 and I.binomial_tail(5, 5) == 1 / 32
+    assert I.discoveries({"a": 0.01, "b": 0.04, "c": 0.03, "d": 0.9}, 0.05) == {"a"} and I.discoveries({"a": 0.03, "b": 0.04}, 0.05) == {"a", "b"}
+
+
+def test_shuffled_columns_lose_their_relation(spark):
+    """Copies of equal columns differ: noise that is correlated with other noise cannot hide among the copies."""
+    df = spark.range(2000).select(F.col("id").alias("_i"), F.col("id").cast("double").alias("x"), F.col("id").cast("double").alias("y"))
+    out = I.shuffled_columns(df, 2000, ["x", "y"], 5).toPandas()
+    assert sorted(out["shadow_x"]) == sorted(out["shadow_y"]) == list(range(2000)) and set(out["_i"]) == set(range(2000))
+    assert abs(np.corrcoef(out["shadow_x"], out["shadow_y"])[0, 1]) < 0.08 and abs(np.corrcoef(out["_i"], out["shadow_x"])[0, 1]) < 0.08
+
+
+def test_shadows_reject_correlated_noise(labelled):
+    rows = labelled.drop("features").withColumn("x3", F.col("x2") + 0.01 * F.rand(1)).withColumn("x4", -F.col("x2"))
+    out = {r["feature"]: r for r in I.shadow_selection(rows, ["x0", "x1", "x2", "x3", "x4"], "label", "id", rounds=12, trees=10, depth=4).collect()}
+    assert out["x0"]["decision"] == "confirmed" and all(out[c]["decision"] != "confirmed" for c in ("x2", "x3", "x4"))
+    assert all(r["rounds"] < 12 for r in out.values() if r["decision"] == "rejected") or out["x2"]["hits"] < 6
 
 
 def test_rank_agreement_and_overlap(spark):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from winnow.functions import scalar as S
 from winnow.operators import features as FE
 from winnow.operators import splits as SP
-from winnow.operators.cleaning import BasicCleaner, outlier_share
+from winnow.operators.cleaning import BasicCleaner, _forest_steps, _unsplit_depth, hashed_rows, outlier_share
 from winnow.roles import ColumnRoles, detect_date_column, measure_columns
 from winnow.sources import files
 
@@ -167,6 +167,44 @@ def test_isolation_forest_replaces_far_values(spark):
     assert 0.02 <= share <= 0.06
     again = BasicCleaner(outlier_method="iforest", iforest_contamination=0.05).fit(df, ROLES)
     assert again.outlier_ranges == model.outlier_ranges
+    dealt_anew = BasicCleaner(outlier_method="iforest", iforest_contamination=0.05).fit(df.repartition(7, "x"), ROLES)
+    assert dealt_anew.outlier_ranges == model.outlier_ranges
+
+
+def test_sampled_rows_are_the_least_digests(spark):
+    df = spark.range(3000).select("id", (F.col("id") % 7).cast("double").alias("x")).unionByName(
+        spark.range(4000).select(F.lit(-1).cast("long").alias("id"), F.lit(100.0).alias("x")))
+    got = hashed_rows(df, ["x"], 500, 3)
+    plain = df.select("x", F.xxhash64(F.lit(3), F.col("id").cast("string"), F.col("x").cast("string")).alias("h")).orderBy("h").limit(500).toPandas()
+    assert len(got) == 500 and got["x"].tolist() == plain["x"].tolist()
+    assert len(hashed_rows(df, ["x"], 50_000, 3)) == 7000
+
+
+def test_steps_equal_a_plain_forest():
+    """Mean depth of every value, walked tree by tree over the same rows."""
+    rng = np.random.default_rng(0)
+    pool = rng.normal(size=400).round(1)
+    cuts, depth = _forest_steps(pool, 4, 100, 5)
+    draws = np.random.default_rng(5)
+
+    trees = []
+    for t in range(4):
+        def grow(x, level):
+            if level >= 7 or len(x) <= 1 or x[0] == x[-1]:
+                return level + _unsplit_depth(len(x))
+            cut = draws.uniform(x[0], x[-1])
+            k = min(max(int((x <= cut).sum()), 1), len(x) - 1)
+            return cut, grow(x[:k], level + 1), grow(x[k:], level + 1)
+        trees.append(grow(np.sort(pool[t * 100:(t + 1) * 100]), 0))
+
+    def depth_of(node, v):
+        while isinstance(node, tuple):
+            node = node[1] if v < node[0] else node[2]
+        return node
+
+    for v in rng.normal(size=100):
+        want = np.mean([depth_of(t, v) for t in trees])
+        assert depth[np.searchsorted(cuts, v, side="right")] == pytest.approx(want)
 
 
 # ---------------------------------------------------------------- features

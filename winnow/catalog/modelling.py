@@ -282,41 +282,6 @@ def tree_attribution(spark, path):
     return I.attribution_importance(df, fitted.model, NAMES)
 
 
-@query("permutation_importance")
-def permutation_importance(spark, path):
-    """AUC lost when a column is shuffled over all rows."""
-    from pyspark.ml.feature import VectorAssembler
-
-    from winnow.operators.models import fit_family
-
-    df = _encoded(spark, path)
-    fitted = fit_family(df, "baseline_lr", max_iter=30)
-    assembler = VectorAssembler(inputCols=list(NAMES), outputCol="features")
-    score = lambda d: fitted.transform(assembler.transform(d), "p")
-    return I.permutation_importance(df.drop("features"), NAMES, score, "label", "lead_id", repeats=2)
-
-
-@query("voting_weights")
-def voting_weights(spark, path):
-    """AUC of every weighting of two models, scored in one pass."""
-    from winnow.operators import models as M
-
-    df = _encoded(spark, path)
-    fits = M.fit_families(df, {"baseline_lr": {"max_iter": 30}, "random_forest": {"trees": 5, "depth": 4}})
-    both, columns = M.add_probabilities(df, fits)
-    return M.candidate_scores(both, columns, "label", M.weight_candidates(2))
-
-
-@query("source_experts")
-def source_experts(spark, path):
-    """One model per source, the global model for the rest; every lead scored."""
-    from winnow.operators import models as M
-
-    df = _encoded(spark, path)
-    model = M.fit_source_experts(df, "source", ("1-URGENT", "2-HIGH", "3-MEDIUM"), "baseline_lr", max_iter=30)
-    return model.transform(df, "probability").select("lead_id", "source", "probability")
-
-
 @query("isolation_outliers")
 def isolation_outliers(spark, path):
     """Share of train values a fitted isolation forest would replace, per column."""

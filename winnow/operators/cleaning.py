@@ -118,20 +118,19 @@ class BasicCleaner:
     def _fit_forest(self, train: DataFrame, numeric: Sequence[str], model: CleanerModel) -> None:
         """A forest over one column is a step function of the value.
 
-        Trees are grown from evenly spaced quantiles, a bounded picture of the whole column
-        that does not depend on how rows are partitioned. The steps are then counted over all
-        train rows, so the contamination threshold is exact. Two jobs per 20 columns.
+        Every tree grows from rows of its own, those with the least digests of all their cells: a plain sample that no
+        partitioning changes. The steps are then counted over all train rows, so the contamination threshold is exact. Two jobs per
+        20 columns, and one for the sample.
         """
+        pool = hashed_rows(train, numeric, self.iforest_trees * self.iforest_sample, self.seed)
         for part in chunks(list(numeric), 20):
             data = train.select(*[F.col(c).cast("double").alias(c) for c in part])
-            size = 16 * self.iforest_sample
-            probs = ", ".join(f"{(i + 0.5) / size!r}D" for i in range(size))
-            row = data.agg(*[F.expr(f"percentile_approx(`{c}`, array({probs}), {10 * size})").alias(c) for c in part]).first()
             steps = {}
             for c in part:
-                pool = np.array(row[c] or [])
-                if len(pool) and pool[0] < pool[-1]:
-                    steps[c] = _forest_steps(pool, self.iforest_trees, self.iforest_sample, self.seed)
+                values = pool[c].dropna().to_numpy(dtype=float)
+                values = values[np.isfinite(values)]
+                if len(values) and values.min() < values.max():
+                    steps[c] = _forest_steps(values, self.iforest_trees, self.iforest_sample, self.seed)
             if not steps:
                 continue
             edges = [np.array(cuts) for cuts, _ in steps.values()]
@@ -156,6 +155,23 @@ class BasicCleaner:
                 model.replacements[c] = model.fills[c]
 
 
+def hashed_rows(df: DataFrame, columns: Sequence[str], count: int, seed: int) -> pd.DataFrame:
+    """``count`` rows in the order of their digests, the least first (all rows if there are fewer); equal rows share a digest.
+
+    Only rows below a threshold that lets slightly more through reach the driver; it is raised until there are enough.
+    """
+    cells = [F.col(f"`{c}`").cast("string") for c in df.columns]
+    rows = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns], F.xxhash64(F.lit(seed), *cells).alias("_h"))
+    share = 1.2 * count / max(df.count(), 1) + 1e-9
+    while True:
+        low = 2**63 - 1 if share >= 1 else int(share * 2**64) - 2**63
+        few = rows.filter(F.col("_h") <= F.lit(low)).groupBy("_h").agg(*[F.any_value(F.col(f"`{c}`")).alias(c) for c in columns], F.count(F.lit(1)).alias("_n"))
+        found = few.toPandas().sort_values("_h")
+        if found["_n"].sum() >= count or share >= 1:
+            return found.loc[found.index.repeat(found["_n"].clip(upper=count))].head(count).reset_index(drop=True)
+        share *= 2
+
+
 def _odd_ranges(splits: list[float], depth: np.ndarray, counts: np.ndarray, share: float) -> list[tuple[float, float]]:
     """Runs of intervals whose mean depth lies below the ``share`` quantile over all rows."""
     limit = _weighted_quantile(depth, counts, share)
@@ -188,9 +204,11 @@ def _forest_steps(pool: np.ndarray, trees: int, sample: int, seed: int) -> tuple
         grow(x[k:], depth + 1, leaves)
         leaves[mark] = (cut, leaves[mark][1])
 
-    for _ in range(trees):
+    for t in range(trees):
         leaves: list[tuple[float, float]] = []
-        grow(np.sort(rng.choice(pool, size, replace=False)), 0, leaves)
+        # rows of its own as long as there are enough, else drawn again from all
+        own = pool[t * size:(t + 1) * size] if len(pool) >= trees * size else rng.choice(pool, size, replace=False)
+        grow(np.sort(own), 0, leaves)
         steps.append((np.array([s for s, _ in leaves[1:]]), np.array([d for _, d in leaves])))
     cuts = np.unique(np.concatenate([s for s, _ in steps]))
     left = np.concatenate([[-math.inf], cuts])

@@ -370,7 +370,12 @@ class FeatureModel:
         when = F.col(s.time)
         ym = parse_yearmonth(F.col(s.yearmonth)) if s.yearmonth in df.columns else month_start(when)
         out = df.select("*", ym.alias("_ym_date"), *temporal_parts(when))
-        out = account_history(out, s.account, s.time, s.row_id, s.windows, s.source, self.sources, s.task_rows)
+        if df.isStreaming:
+            from winnow.streaming.history import stream_history
+
+            out = stream_history(out, s.account, s.time, s.row_id, s.windows, s.source, self.sources, s.late)
+        else:
+            out = account_history(out, s.account, s.time, s.row_id, s.windows, s.source, self.sources, s.task_rows)
         out = source_ratios(source_onehot(out, s.source, self.sources), s.windows, self.sources)
         if self.cross:
             out = self.cross.transform(out.withColumn("src_chan_cross", cross_column(s.source, s.channel)))
@@ -416,6 +421,7 @@ class FeatureEngineer:
     keep_original: bool = True
     drop_ids: Sequence[str] = field(default=())
     task_rows: int | None = None
+    late: str = "0 seconds"  # how far a stream's rows may come out of order
 
     def fit(self, train: DataFrame) -> FeatureModel:
         cross = rare = None

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from winnow.operators.evaluation import auc_of, score_curve
-from winnow.operators.kernels import affine_donors, row_positions, safe_corr
+from winnow.operators.kernels import feistel_donor, row_positions, safe_corr
 from winnow.operators.models import fit_family
 from winnow.operators.splits import row_kfold
 from winnow.session import pin, scratch_path
@@ -130,12 +130,6 @@ def _indexed(df: DataFrame, row_id: str) -> tuple[DataFrame, int]:
     return row_positions(df, row_id, row_id, out="_i"), df.count()
 
 
-def donor(index, n: int, seed: int):
-    """Row whose values the row takes: a bijection of 0..n-1."""
-    a, b = affine_donors(n, seed)
-    return ((index * F.lit(a).cast("long") + F.lit(b).cast("long")) % F.lit(n).cast("long")).cast("long")
-
-
 def permutation_importance(
     df: DataFrame, columns: Sequence[str], score: Callable[[DataFrame], DataFrame], label: str, row_id: str,
     repeats: int = 5, seed: int = 42,
@@ -151,7 +145,7 @@ def permutation_importance(
     features = F.explode(F.array(*map(F.lit, columns))).alias("feature")
     rounds = []
     for r in range(repeats):
-        met = indexed.withColumn("_from", donor(F.col("_i"), n, seed + r)).join(donors, "_from").select("*", features)
+        met = indexed.withColumn("_from", feistel_donor(F.col("_i"), n, seed + r)).join(donors, "_from").select("*", features)
         rounds.append(met.select(row_id, label, "feature", F.lit(r).alias("repeat"), *[
             F.when(F.col("feature") == c, F.col("_d_" + c)).otherwise(F.col(c)).alias(c) for c in columns]))
     swapped = reduce(DataFrame.unionByName, rounds)
@@ -208,36 +202,65 @@ def binomial_tail(hits: int, trials: int) -> float:
     return sum(math.comb(trials, k) for k in range(hits, trials + 1)) / 2.0**trials
 
 
+def discoveries(tails: Mapping[str, float], alpha: float) -> set[str]:
+    """Names whose probabilities are small at a false discovery rate of ``alpha`` (step-up over the sorted values)."""
+    ranked = sorted(tails, key=lambda k: (tails[k], k))
+    cut = max((i + 1 for i, k in enumerate(ranked) if tails[k] <= alpha * (i + 1) / len(ranked)), default=0)
+    return set(ranked[:cut])
+
+
+def shuffled_columns(indexed: DataFrame, n: int, columns: Sequence[str], seed: int) -> DataFrame:
+    """``_i`` and a shuffled copy of every column, each by a bijection of its own: the copies keep no joint distribution.
+
+    A row sends each of its values to the row that takes it; one exchange brings the copies together.
+    """
+    sent = F.array(*[
+        F.struct(feistel_donor(F.col("_i"), n, seed * 7919 + k).alias("_to"), F.lit(k).alias("_k"), F.col(c).cast("double").alias("_v"))
+        for k, c in enumerate(columns)])
+    long = indexed.select(F.inline(sent))
+    return long.groupBy(F.col("_to").alias("_i")).agg(*[
+        F.max(F.when(F.col("_k") == k, F.col("_v"))).alias(f"shadow_{c}") for k, c in enumerate(columns)])
+
+
 def shadow_selection(df: DataFrame, columns: Sequence[str], label: str, row_id: str, rounds: int = 20, alpha: float = 0.05,
-                     seed: int = 42, **params) -> DataFrame:
-    """(feature, hits, importance, decision): columns that beat the best shuffled copy.
+                     seed: int = 42, balanced: bool = True, **params) -> DataFrame:
+    """(feature, hits, rounds, importance, decision): columns that beat the best shuffled copy.
 
-    Each round joins every row to a donor row for its shadow values and fits one forest.
-    A column is confirmed or rejected when its hits are unlikely under a fair coin.
+    Every round shuffles each column still in the race by itself and fits one forest on columns and copies, classes weighted equally. A
+    column is confirmed or rejected when its hits are unlikely under a fair coin, at a false discovery rate over the columns and
+    a bound over the rounds so far; rejected ones leave, so later bars come from the rest.
     """
     from pyspark.ml.feature import VectorAssembler
 
+    from winnow.operators.imbalance import add_class_weights
+
     indexed, n = _indexed(df.select(row_id, label, *columns), row_id)
-    shadows = [f"shadow_{c}" for c in columns]
-    hits, last = dict.fromkeys(columns, 0), {}
+    weight = None
+    if balanced:
+        indexed, weight = add_class_weights(indexed, label), "weight"
+    indexed = pin(indexed)
+    hits, last, played = dict.fromkeys(columns, 0), dict.fromkeys(columns, 0.0), dict.fromkeys(columns, 0)
+    decision = dict.fromkeys(columns, "tentative")
     for r in range(rounds):
-        donors = indexed.select(F.col("_i").alias("_from"), *[F.col(c).alias(f"shadow_{c}") for c in columns])
-        rows = indexed.withColumn("_from", donor(F.col("_i"), n, seed + r)).join(donors, "_from")
-        rows = VectorAssembler(inputCols=[*columns, *shadows], outputCol="features").transform(rows)
-        values = fit_family(rows, "random_forest", "features", label, seed=seed + r, **params).model.featureImportances.toArray()
-        bar = max(values[len(columns):])
-        for c, v in zip(columns, values):
+        racing = [c for c in columns if decision[c] != "rejected"]
+        if not any(decision[c] == "tentative" for c in columns):
+            break
+        copies = shuffled_columns(indexed, n, racing, seed + r)
+        inputs = [*racing, *[f"shadow_{c}" for c in racing]]
+        rows = VectorAssembler(inputCols=inputs, outputCol="features").transform(indexed.join(copies, "_i"))
+        values = fit_family(rows, "random_forest", "features", label, weight, seed=seed + r, **params).model.featureImportances.toArray()
+        bar = max(values[len(racing):])
+        for c, v in zip(racing, values):
             hits[c] += int(v > bar)
-            last[c] = float(v)
-    limit = alpha / max(len(columns), 1)
-
-    def decision(h: int) -> str:
-        if binomial_tail(h, rounds) < limit:
-            return "confirmed"
-        return "rejected" if binomial_tail(rounds - h, rounds) < limit else "tentative"
-
-    rows = [(c, hits[c], last[c], decision(hits[c])) for c in columns]
-    return df.sparkSession.createDataFrame(rows, "feature string, hits int, importance double, decision string")
+            last[c], played[c] = float(v), r + 1
+        open_ones = [c for c in racing if decision[c] == "tentative"]
+        for name, tail in (("confirmed", lambda c: binomial_tail(hits[c], r + 1)), ("rejected", lambda c: binomial_tail(r + 1 - hits[c], r + 1))):
+            tails = {c: tail(c) for c in open_ones}
+            for c in discoveries(tails, alpha):
+                if tails[c] <= alpha / (r + 1):
+                    decision[c] = name
+    rows = [(c, hits[c], played[c], last[c], decision[c]) for c in columns]
+    return df.sparkSession.createDataFrame(rows, "feature string, hits int, rounds int, importance double, decision string")
 
 
 # ---------------------------------------------------------------- comparing methods

@@ -438,14 +438,41 @@ def _corr_by_sums(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     return wanted.join(sums, ["i", "j"]).join(back, ["i", "j"]).select("feature_a", "feature_b", r.alias("r"))
 
 
-def affine_donors(n: int, seed: int) -> tuple[int, int]:
-    """(a, b) such that ``i -> (a*i + b) mod n`` is a bijection on 0..n-1."""
+FEISTEL_PRIME = 2**31 - 1
+FEISTEL_ROUNDS = 6
+
+
+def feistel_keys(seed: int) -> list[tuple[int, int, int]]:
+    """Multipliers and offset of each round."""
     rng = np.random.default_rng(seed)
-    if n <= 2:
-        return 1, 1
-    # a stays below 2**20 so that a*i cannot overflow a long before 2**43 rows
-    limit = min(n, 1 << 20)
-    a = int(rng.integers(max(2, limit // 3), limit))
-    while math.gcd(a, n) != 1:
-        a = a + 1 if a + 1 < limit + 64 else 2
-    return a, int(rng.integers(1, n))
+    return [tuple(int(v) for v in rng.integers(1, FEISTEL_PRIME, 3)) for _ in range(FEISTEL_ROUNDS)]
+
+
+def feistel_side(n: int) -> int:
+    """Both halves of an index run below this; their square is the least one not below ``n``."""
+    return max(1, math.isqrt(max(n, 1) - 1) + 1)
+
+
+def feistel_donor(index: Column, n: int, seed: int) -> Column:
+    """A keyed bijection of 0..n-1 without visible order, as a column expression.
+
+    Both digits of the index in base ``side`` are changed in turn by a keyed polynomial of the other one; a result
+    outside 0..n-1 is sent through again, which keeps it a bijection. So often that one row in 2**60 would stay outside, an error then.
+    """
+    side, keys = feistel_side(n), feistel_keys(seed)
+    stray = (side * side - n) / (side * side)
+    walks = 1 if stray == 0 else max(2, math.ceil(60 / -math.log2(stray)))
+    constant = F.array(*[F.array(*[F.lit(v).cast("long") for v in k]) for k in keys])
+
+    def turn(state: Column, i: Column) -> Column:
+        a, b, done = state["a"], state["b"], state["done"]
+        key = F.element_at(constant, (i % FEISTEL_ROUNDS + 1).cast("int"))
+        p = F.lit(FEISTEL_PRIME).cast("long")
+        mixed = ((b * b) % p * F.get(key, F.lit(0)) % p + b * F.get(key, F.lit(1)) % p + F.get(key, F.lit(2))) % F.lit(side).cast("long")
+        over = (i % FEISTEL_ROUNDS == FEISTEL_ROUNDS - 1) & (b * side + (a + mixed) % side < n)
+        return F.when(done, state).otherwise(F.struct(b.alias("a"), ((a + mixed) % side).cast("long").alias("b"), over.alias("done")))
+
+    x = index.cast("long")
+    start = F.struct(F.floor(x / side).cast("long").alias("a"), (x % side).cast("long").alias("b"), F.lit(False).alias("done"))
+    end = F.aggregate(F.sequence(F.lit(0), F.lit(walks * FEISTEL_ROUNDS - 1)), start, turn)
+    return F.when(end["done"], end["a"] * side + end["b"]).otherwise(F.raise_error(F.lit("index left its range")).cast("long"))

@@ -14,7 +14,7 @@ from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegressi
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from winnow.operators.boosting import Growth, HistogramBoosting
@@ -179,13 +179,39 @@ def candidate_scores(df: DataFrame, columns: Sequence[str], label: str, candidat
     return long.groupBy("candidate").agg(F.coalesce(top / F.nullif(bottom, F.lit(0)), F.lit(0.0)).alias("value"))
 
 
+def auc_bounds(df: DataFrame, columns: Sequence[str], label: str, candidates: Sequence[Sequence[float]], bins: int = 1024) -> DataFrame:
+    """(candidate, low, high): the AUC of every weighting lies between them.
+
+    Scores are counted on a grid, so that what is shuffled depends on the candidates and the grid and not on the rows. Pairs in
+    different cells are decided, pairs in one cell may go either way. NULL where a class is missing.
+    """
+    cells = F.array(*[F.struct(F.lit(i).alias("candidate"), vote(columns, w).alias("_s")) for i, w in enumerate(candidates)])
+    long = df.select(F.col(label).cast("long").alias("_y"), F.inline(cells)).filter("_s IS NOT NULL AND _y IS NOT NULL")
+    cell = F.greatest(F.least(F.floor(F.col("_s") * bins), F.lit(bins - 1)), F.lit(0)).cast("int")
+    grid = long.groupBy("candidate", cell.alias("_b")).agg(F.sum("_y").alias("pos"), F.sum(1 - F.col("_y")).alias("neg"))
+    above = Window.partitionBy("candidate").orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
+    wins = grid.withColumn("_won", F.col("neg").cast("double") * F.coalesce(F.sum("pos").over(above), F.lit(0)))
+    pairs = F.nullif(F.sum("pos").cast("double") * F.sum("neg"), F.lit(0.0))
+    open_pairs = F.sum(F.col("pos").cast("double") * F.col("neg"))
+    return wins.groupBy("candidate").agg((F.sum("_won") / pairs).alias("low"), ((F.sum("_won") + open_pairs) / pairs).alias("high"))
+
+
 def optimize_weights(df: DataFrame, columns: Sequence[str], label: str, metric: str = "roc_auc",
                      seed: int = 42) -> tuple[list[float], float]:
+    """The weighting with the best value (the first of equal ones); for the AUC only those that the grid's bounds leave open are ranked exactly."""
     candidates = weight_candidates(len(columns), seed)
-    best = candidate_scores(df, columns, label, candidates, metric).orderBy(F.desc_nulls_last("value"), "candidate").first()
+    left = list(range(len(candidates)))
+    if metric == "roc_auc":
+        bounds = {r["candidate"]: r for r in auc_bounds(df, columns, label, candidates).collect() if r["low"] is not None}
+        floor = max((r["low"] for r in bounds.values()), default=0.0) - 1e-9  # sums of doubles
+        left = [i for i in left if i in bounds and bounds[i]["high"] >= floor]
+        if not left:
+            return [1.0 / len(columns)] * len(columns), 0.0
+    exact = candidate_scores(df, columns, label, [candidates[i] for i in left], metric)
+    best = exact.orderBy(F.desc_nulls_last("value"), "candidate").first()
     if best is None or best["value"] is None:
         return [1.0 / len(columns)] * len(columns), 0.0
-    return candidates[best["candidate"]], best["value"]
+    return candidates[left[best["candidate"]]], best["value"]
 
 
 @dataclass

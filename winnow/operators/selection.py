@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from itertools import combinations
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -180,6 +181,7 @@ class SelectorModel:
     pca: PipelineModel | None = None
     pca_inputs: list[str] = field(default_factory=list)
     components: int = 0
+    pca_signs: list[float] = field(default_factory=list)
 
     def transform(self, df: DataFrame) -> DataFrame:
         extra = [c for c in self.passthrough if c in df.columns]
@@ -188,7 +190,7 @@ class SelectorModel:
         rows = self.pca.transform(df.withColumns({c: F.coalesce(_num(c), F.lit(0.0)) for c in self.pca_inputs}))
         cells = vector_to_array("_pc")
         rest = [c for c in self.kept if c not in self.pca_inputs]
-        return rows.select(*extra, *rest, *[cells[i].alias(f"PC_{i + 1:03d}") for i in range(self.components)])
+        return rows.select(*extra, *rest, *[(cells[i] * self.pca_signs[i]).alias(f"PC_{i + 1:03d}") for i in range(self.components)])
 
     def report(self, df: DataFrame) -> DataFrame:
         """Per feature: dtype, missing and unique ratios, selected or not, and why."""
@@ -278,6 +280,9 @@ class SmartFeatureSelector:
             PCA(k=n, inputCol="_centred", outputCol="_pc"),
         ]
         model.pca, model.pca_inputs = Pipeline(stages=stages).fit(data), numeric
+        # the sign of a component is open: its largest weight (the first of equal ones) counts as positive
+        weights = model.pca.stages[-1].pc.toArray()
+        model.pca_signs = [1.0 if w[np.argmax(np.abs(w))] >= 0 else -1.0 for w in weights.T]
         if self.pca_components <= 0:
             total, k = 0.0, 0
             for share in model.pca.stages[-1].explainedVariance.toArray():
