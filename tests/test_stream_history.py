@@ -64,3 +64,21 @@ def test_late_rows_are_dropped_and_waiting_rows_stay(spark, tmp_path):
         stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "s")).trigger(availableNow=True).start().awaitTermination()
     got = {r["lead"]: (r["cum_leads_account"], r["days_since_prev_lead"], r["lead_cnt_L1M"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == {"a": (0, -1, 0), "c": (1, 19, 1), "b": (2, 1, 2), "none": (0, -1, 0)}
+
+
+def test_engineered_features_on_a_stream_equal_the_batch(spark, tmp_path):
+    from winnow.operators.features import FeatureEngineer
+
+    rows = rows_of(4, 80)
+    batch = spark.createDataFrame(rows, SCHEMA)
+    model = FeatureEngineer("at", "acc", "src", "lead", windows=(30,), late="2 days").fit(batch)
+    folder = str(tmp_path / "in")
+    end = ("end", 99, max(r[2] for r in rows) + timedelta(days=10), "Web", 0.0, None)
+    spark.createDataFrame([*rows, end], SCHEMA).write.parquet(folder)
+    scored = model.transform(read_record_stream(spark, folder, SCHEMA, "parquet"))
+    scored.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "s")).trigger(availableNow=True).start().awaitTermination()
+    got, want = spark.read.parquet(str(tmp_path / "out")).filter("lead <> 'end'"), model.transform(batch)
+    columns = sorted(want.columns)
+    key = lambda r: tuple(str(v) for v in r)
+    assert sorted(got.columns) == columns
+    assert sorted(map(key, got.select(columns).collect())) == sorted(map(key, want.select(columns).collect()))

@@ -228,7 +228,8 @@ def shadow_selection(df: DataFrame, columns: Sequence[str], label: str, row_id:
 
     Every round shuffles each column still in the race by itself and fits one forest on columns and copies, classes weighted equally. A
     column is confirmed or rejected when its hits are unlikely under a fair coin, at a false discovery rate over the columns and
-    a bound over the rounds so far; rejected ones leave, so later bars come from the rest.
+    a bound over the rounds so far; rejected ones leave, so later bars come from the rest. What is open after the last round is tested
+    once more with a bound over the columns.
     """
     from pyspark.ml.feature import VectorAssembler
 
@@ -259,6 +260,10 @@ def shadow_selection(df: DataFrame, columns: Sequence[str], label: str, row_id:
             for c in discoveries(tails, alpha):
                 if tails[c] <= alpha / (r + 1):
                     decision[c] = name
+    for c in columns:  # once more at the end, over the columns alone
+        if decision[c] == "tentative":
+            for name, tail in (("confirmed", binomial_tail(hits[c], rounds)), ("rejected", binomial_tail(rounds - hits[c], rounds))):
+                decision[c] = name if tail < alpha / max(len(columns), 1) else decision[c]
     rows = [(c, hits[c], played[c], last[c], decision[c]) for c in columns]
     return df.sparkSession.createDataFrame(rows, "feature string, hits int, rounds int, importance double, decision string")
 
