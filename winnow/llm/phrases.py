@@ -186,6 +186,15 @@ SPELLED = pa.schema([("lang", pa.string()), ("len", pa.int32()), ("phrase", pa.s
 KEPT = 1 << 20
 
 
+def planes(values: np.ndarray) -> bytes:
+    """Numbers below 2**32, all their first bytes, then all their second ones, and so on: small ones leave runs of zeros to compress."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def from_planes(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def counted(runs: Runs, step: int, rule: Mining, known: list[Slots]) -> Iterator[pa.RecordBatch]:
     """Tables of numbers and counts by length and bucket: all words in the first cycle, and the phrases whose turn it is."""
     rows = {"len": [], "bucket": [], "blob": [], "lang": [], "c": []}
@@ -207,11 +216,12 @@ def counted(runs: Runs, step: int, rule: Mining, known: list[Slots]) -> Iterator
         elif step >= rule.shards:
             continue
         bucket, number, _ = numbered(chain, runs.buckets)
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
+        keys = bucket << 32 | number.astype(np.int64)
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+        cuts = np.flatnonzero(np.diff(keys >> 32, prepend=-1, append=-1))
         for a, b in zip(cuts[:-1], cuts[1:]):
-            mine = order[a:b]
-            add(length, int(bucket[mine[0]]), number[mine].tobytes() + counts[mine].astype("<u4").tobytes(), None, None)
+            add(length, int(keys[a] >> 32), planes(np.diff(keys[a:b] & 0xFFFFFFFF, prepend=0)) + planes(counts[a:b]), None, None)
     kinds = (pa.int32(), pa.int32(), pa.binary(), pa.string(), pa.int64())
     yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), kinds)], names=list(rows))
 
@@ -265,10 +275,10 @@ def frequent_numbers(scans: list[DataFrame], rule: Mining, buckets: int) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> pa.RecordBatch:
-            halves = [(np.frombuffer(b, "<u4", len(b) // 8), np.frombuffer(b, "<u4", len(b) // 8, len(b) // 2)) for b in held]
+            halves = [(np.cumsum(from_planes(b[:len(b) // 2]), dtype=np.int64), from_planes(b[len(b) // 2:])) for b in held]
             numbers, counts = (np.concatenate(h) for h in zip(*halves))
             order = np.argsort(numbers)
-            heads = np.flatnonzero(np.diff(numbers[order].astype(np.int64), prepend=-1))
+            heads = np.flatnonzero(np.diff(numbers[order], prepend=-1))
             often = np.add.reduceat(counts[order].astype(np.int64), heads) >= rule.least
             number = numbers[order][heads[often]].astype(np.uint64)
             hashes = mix(number << np.uint64(32) | np.uint64(now[1])).view(np.int64)
