@@ -63,14 +63,17 @@ def split_and_clean(
 
 def describe_job(df: DataFrame, roles: ColumnRoles) -> dict[str, DataFrame]:
     """Basic tables, target analysis, source conversion and cohorts."""
-    numeric, categorical = list(roles.numeric), list(roles.categorical)
-    out = {
-        "numeric": D.describe_numeric(df, numeric), "categorical": D.value_counts(df, categorical),
-        "missing": D.missing_stats(df), "top_variance": D.top_variance(df, numeric),
-    }
+    numeric = list(roles.numeric) or numeric_columns(df, roles.reserved)
+    categorical = list(roles.categorical) or categorical_columns(df, roles.reserved)
+    out = {"missing": D.missing_stats(df)}
+    if numeric:
+        out |= {"numeric": D.describe_numeric(df, numeric), "top_variance": D.top_variance(df, numeric)}
+    if categorical:
+        out["categorical"] = D.value_counts(df, categorical)
     if roles.target:
         out["target"] = D.target_distribution(df, roles.target)
-        out["target_correlation"] = ST.target_correlations(df, numeric, roles.target, 0.0)
+        if numeric:
+            out["target_correlation"] = ST.target_correlations(df, numeric, roles.target, 0.0)
         cohorts = {c: F.col(c) for c in categorical if c == roles.source or "segment" in c.lower() or c in ("Industry", "Country")}
         cohorts |= {
             f"{f.name}_month": F.date_format(F.col(f.name), "yyyy-MM") for f in df.schema
