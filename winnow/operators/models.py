@@ -344,6 +344,12 @@ GRIDS: dict[str, dict[str, list]] = {
         "l2": [0.1, 1, 3, 5, 10, 30, 100],
         "bins": [32, 64, 128, 254],
     },
+    "gbt": {
+        "trees": [50, 100, 200, 300, 500],
+        "depth": [3, 5, 7, 10],
+        "step": [0.001, 0.005, 0.01, 0.03, 0.05, 0.07, 0.1, 0.2, 0.3],
+        "rows": [0.5, 0.6, 0.7, 0.8, 0.9, 1.0],
+    },
 }
 #: Metrics of the positive class that search can follow.
 METRICS = {"roc_auc": "areaUnderROC", "average_precision": "areaUnderPR", "f1": "fMeasureByLabel",
