@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from winnow.catalog.registry import lead_query, query, split_leads, train_of
 from winnow.functions import scalar as S
 from winnow.operators import features as FE
+from winnow.session import stored
 from winnow.sources.tables import NUMERIC, leads, table
 
 SOURCES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
@@ -193,7 +194,7 @@ def pairwise_products(spark, path):
     + " FROM filled WHERE split = 'train')\nSELECT lead_id, " + ", ".join(f"round(({c} - c_{c}) / s_{c}, 6) + 0 AS {c}_scaled" for c in NUMERIC)
     + " FROM filled, st")
 def robust_scale(spark, path):
-    df = split_leads(spark, path, "lead_id", *NUMERIC)
+    df = stored(split_leads(spark, path, "lead_id", *NUMERIC), "leads")
     out = FE.fit_robust_scale(train_of(df), NUMERIC).transform(df)
     return out.select("lead_id", *[f"{c}_scaled" for c in NUMERIC])
 

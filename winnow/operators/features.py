@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from winnow.functions.scalar import DAY_US, clip, day_number, micros, month_start, parse_yearmonth, safe_ratio, temporal_parts
 from winnow.operators.kernels import MAX_HOT_KEYS, exact_quantiles, prefix_sums, rows_per_task, uniform_key
-from winnow.session import pin
+from winnow.session import pin, stored
 
 WINDOWS = (30, 90, 180)
 MAX_LEVELS = 1000  # most levels a literal list may hold
@@ -289,9 +289,11 @@ class RobustScaleModel:
 
 def fit_robust_scale(train: DataFrame, columns: Sequence[str]) -> RobustScaleModel:
     """Median imputation, then (x - median) / IQR of the imputed column; exact quantiles."""
-    medians = exact_quantiles(train, columns, (0.5,))
+    if not train.is_cached:
+        train = stored(train.select(*columns), "train")
+    medians = exact_quantiles(train, columns, (0.5,), durable=False)
     filled = train.select(*[F.coalesce(F.col(c).cast("double"), F.lit(medians[c][0])).alias(c) for c in columns])
-    lines = exact_quantiles(filled, columns, (0.25, 0.5, 0.75))
+    lines = exact_quantiles(filled, columns, (0.25, 0.5, 0.75), durable=False)
     return RobustScaleModel({c: v[1] for c, v in lines.items()}, {c: v[2] - v[0] for c, v in lines.items()})
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from winnow.session import pin
+from winnow.session import pin, stored
 
 TASK_ROWS = 1_000_000  # rows one task may order or buffer
 MAX_PIECES = 65_536  # most buckets an order is cut into
@@ -299,16 +299,19 @@ def order_statistics(
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], task_rows: int | None = None
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], task_rows: int | None = None, durable: bool = True
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles, exact at any size.
 
-    Up to ``task_rows`` rows the built-in ``percentile`` buffer is bounded and one
+    The selection reads its columns several times, so with ``durable`` they are stored first and what stands
+    behind ``df`` runs once. Up to ``task_rows`` rows the built-in ``percentile`` buffer is bounded and one
     aggregate does it; beyond that ``order_statistics`` selects the neighbours.
     """
     if not columns:
         return {}
     task_rows = rows_per_task(df, task_rows)
+    if durable and not df.is_cached:
+        df = stored(df.select(*[F.col(c).cast("double").alias(c) for c in dict.fromkeys(columns)]), "quantiles")
     if df.count() <= task_rows:
         out: dict[str, list[float | None]] = {}
         for part in chunks(list(columns), 50):

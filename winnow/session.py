@@ -61,6 +61,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Written once to the shared folder and read again: what reads it several times repeats no join behind it.
+
+    A table that the caller already holds in memory is left as it is.
+    """
+    if df.is_cached:
+        return df
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Materialise reliably, so that executor loss never recomputes the lineage."""
     shared_dir(df.sparkSession)
