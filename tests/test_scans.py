@@ -33,3 +33,9 @@ def test_robust_scale_reads_train_once(counted):
     df, seen = counted
     model = FE.fit_robust_scale(df, ("a", "b"))
     assert seen.value == N and model.center["b"] == 6.0
+
+
+def test_cleaner_reads_train_once(counted):
+    df, seen = counted
+    model = BasicCleaner(outlier_method="winsorize").fit(df.select("a", "b"))
+    assert seen.value == N and set(model.bounds) == {"a", "b"}

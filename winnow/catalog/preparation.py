@@ -8,6 +8,7 @@ from winnow.catalog.registry import TRAIN_CUTOFF, VAL_CUTOFF, cut_small, lead_qu
 from winnow.operators import splits as SP
 from winnow.operators.cleaning import BasicCleaner
 from winnow.roles import ColumnRoles
+from winnow.session import stored
 from winnow.sources.tables import leads
 
 TEST_CUTOFF = "1997-12-31"
@@ -162,7 +163,7 @@ DIGITS = {"total_price": 2, "acctbal": 2, "line_cnt": 4, "qty_sum": 4, "disc_avg
 
 
 def _clean(spark, path, **options):
-    df = split_leads(spark, path, "lead_id", *CLEANED)
+    df = stored(split_leads(spark, path, "lead_id", *CLEANED), "leads")
     model = BasicCleaner(**options).fit(train_of(df).select(*CLEANED), ROLES)
     return model.transform(df).select("lead_id", *CLEANED)
 

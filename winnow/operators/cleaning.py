@@ -15,6 +15,7 @@ from winnow.functions.scalar import clip
 from winnow.operators.describe import most_common
 from winnow.operators.kernels import chunks, exact_quantiles, unpivot
 from winnow.roles import ColumnRoles, categorical_columns, is_integral, numeric_columns
+from winnow.session import stored
 
 
 @dataclass
@@ -77,7 +78,10 @@ class BasicCleaner:
             probs += [0.25, 0.75]
         elif method == "winsorize":
             probs += list(self.winsorize_limits)
-        quantiles = exact_quantiles(train, numeric, probs) if probs else {}
+        whole = train
+        if not train.is_cached and (numeric or categorical):
+            train = stored(train.select(*numeric, *categorical), "train")
+        quantiles = exact_quantiles(train, numeric, probs, durable=False) if probs else {}
         at = lambda c, p: quantiles[c][probs.index(p)]
         means: dict[str, tuple] = {}
         if self.num_fill == "mean" or method == "zscore":
@@ -110,7 +114,7 @@ class BasicCleaner:
             for c in numeric:
                 model.bounds[c] = tuple(at(c, p) for p in self.winsorize_limits)
         elif method == "iforest":
-            self._fit_forest(train, numeric, model)
+            self._fit_forest(whole, numeric, model)
         return model
 
     # ------------------------------------------------------------ isolation forest
