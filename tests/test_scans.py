@@ -39,3 +39,25 @@ def test_cleaner_reads_train_once(counted):
     df, seen = counted
     model = BasicCleaner(outlier_method="winsorize").fit(df.select("a", "b"))
     assert seen.value == N and set(model.bounds) == {"a", "b"}
+
+
+def test_correlations_read_their_source_once(counted):
+    from winnow.operators import stat_tests as ST
+
+    df, seen = counted
+    tau = ST.kendall(df, ("a", "b")).first()["r"]
+    assert seen.value == N
+    rho = ST.spearman(df, ("a", "b"), "id").first()["r"]
+    assert seen.value == 2 * N
+    pdf = df.select("a", "b").toPandas()
+    assert rho == pytest.approx(pdf.dropna().rank().corr()["a"]["b"], abs=1e-9) and -1 < tau < 1
+
+
+def test_spearman_cut_joins_and_empty_columns(spark):
+    from winnow.operators import stat_tests as ST
+
+    rows = [(k, float(k * 31 % 97), None if k % 5 == 0 else float(k * 17 % 53), None) for k in range(300)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, none double")
+    got = {(r["feature_a"], r["feature_b"]): r["r"] for r in ST.spearman(df, ("a", "b", "none"), "id", task_rows=40).collect()}
+    pdf = df.select("a", "b").toPandas().dropna().rank()
+    assert got["a", "b"] == pytest.approx(pdf.corr()["a"]["b"], abs=1e-9) and got["a", "none"] is None and got["b", "none"] is None

@@ -17,9 +17,10 @@ from winnow.operators.kernels import (
     chunks, contingency, moments_by_group, order_edges, pairwise_corr, pieces_for, point_gap_bucket,
     prefix_sums, safe_corr, stats_to_rows,
 )
-from winnow.session import pin
+from winnow.session import pin, scratch_path, stored
 
 ALPHA = 0.05
+MEET_ROWS = 250_000  # rows one task brings together by id
 STRIPE_ROWS = 20_000  # points one numpy call counts, beyond which the plane is cut further
 
 
@@ -196,9 +197,12 @@ def average_ranks(long: DataFrame, keys: Sequence[str], value: str, task_rows: i
 def spearman(df: DataFrame, columns: Sequence[str], row_id: str, task_rows: int | None = None) -> DataFrame:
     """Pearson on average ranks, each pair ranked over the rows where both are present.
 
-    A column is ranked once per distinct NULL pattern of its partners.
+    A column is ranked once per distinct NULL pattern of its partners. The columns are stored once; each ranking is a
+    table of distinct values that Spark joins as its size asks for. Rows of one id count once; they meet in parts of
+    at most about ``MEET_ROWS`` rows, so no task's memory grows with the table.
     """
-    masks = _null_masks(df, columns)
+    data = stored(df.select(F.col(row_id).alias("_id"), *[F.col(c).cast("double").alias(c) for c in dict.fromkeys(columns)]), "spearman")
+    masks = _null_masks(data, columns)
     pairs = list(combinations(columns, 2))
     variants: dict[tuple[str, str | None], int] = {}
 
@@ -207,18 +211,21 @@ def spearman(df: DataFrame, columns: Sequence[str], row_id: str, task_rows: int
         return variants.setdefault((c, mask), len(variants))
 
     sides = [(variant(a, b), variant(b, a)) for a, b in pairs]
-    cells = F.array(*[
-        F.struct(
-            F.lit(i).alias("v"),
-            (F.col(c) if m is None else F.when(F.col(m).isNotNull(), F.col(c))).cast("double").alias("x"),
-        )
-        for (c, m), i in variants.items()
-    ])
-    long = df.select(F.col(row_id).alias("_id"), F.inline(cells)).filter("x IS NOT NULL")
-    ranked = long.join(average_ranks(long, ["v"], "x", task_rows), ["v", "x"])
-    wide = ranked.groupBy("_id").agg(*[
-        F.max(F.when(F.col("v") == i, F.col("rank"))).alias(f"r{i}") for i in variants.values()
-    ])
+    value = {i: F.col(c) if m is None else F.when(F.col(m).isNotNull(), F.col(c)) for (c, m), i in variants.items()}
+    cells = F.array(*[F.struct(F.lit(i).alias("v"), x.alias("x")) for i, x in value.items()])
+    path = scratch_path(df.sparkSession, "ranks")
+    average_ranks(data.select(F.inline(cells)).filter("x IS NOT NULL"), ["v"], "x", task_rows).write.partitionBy("v").parquet(path)
+    # a folder of its own for each ranking, so that its size is known when the join is planned
+    ranked = {r["v"] for r in df.sparkSession.read.schema("x double, rank double, v int").parquet(path).select("v").distinct().collect()}
+    wide = data
+    for i, x in value.items():
+        if i in ranked:
+            ranks = df.sparkSession.read.schema("x double, rank double").parquet(f"{path}/v={i}").select(F.col("x").alias(f"x{i}"), F.col("rank").alias(f"r{i}"))
+            wide = wide.withColumn(f"y{i}", x).join(ranks, F.col(f"y{i}") == F.col(f"x{i}"), "left").drop(f"x{i}", f"y{i}")
+        else:
+            wide = wide.withColumn(f"r{i}", F.lit(None).cast("double"))
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), pieces_for(data.count(), MEET_ROWS))
+    wide = wide.select("_id", *[f"r{i}" for i in value]).repartition(parts, "_id").groupBy("_id").agg(*[F.max(f"r{i}").alias(f"r{i}") for i in value])
     named = pairwise_corr(wide, [(f"r{i}", f"r{j}") for i, j in sides])
     lookup = F.create_map(*[F.lit(x) for (i, j), (a, b) in zip(sides, pairs) for x in (f"r{i}|r{j}", f"{a}|{b}")])
     names = F.split(F.element_at(lookup, F.concat_ws("|", "feature_a", "feature_b")), r"\|")
