@@ -17,7 +17,7 @@ from winnow.operators.kernels import (
     chunks, contingency, moments_by_group, order_edges, pairwise_corr, pieces_for, point_gap_bucket,
     prefix_sums, safe_corr, stats_to_rows,
 )
-from winnow.session import pin, scratch_path, stored
+from winnow.session import scratch_path, stored
 
 ALPHA = 0.05
 MEET_ROWS = 250_000  # rows one task brings together by id
@@ -291,9 +291,9 @@ def concordant(points: DataFrame, task_rows: int | None = None) -> int:
 
 def kendall_pair(df: DataFrame, a: str, b: str, task_rows: int | None = None) -> float | None:
     """tau-b over all rows where both are present, ties weighted."""
-    points = pin(
+    points = stored(
         df.select(F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-        .filter("x IS NOT NULL AND y IS NOT NULL").groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
+        .filter("x IS NOT NULL AND y IS NOT NULL").groupBy("x", "y").agg(F.count(F.lit(1)).alias("w")), "points"
     )
     pairs = F.col("w").cast("decimal(38,0)") * (F.col("w") - 1)
     whole = points.agg(F.sum("w").alias("n"), F.sum(pairs).alias("t")).first()
@@ -309,7 +309,8 @@ def kendall_pair(df: DataFrame, a: str, b: str, task_rows: int | None = None) ->
 
 
 def kendall(df: DataFrame, columns: Sequence[str], task_rows: int | None = None) -> DataFrame:
-    """Pairs are independent chains of jobs, so a few run side by side."""
+    """Pairs are independent chains of jobs, so a few run side by side, over columns that are stored once."""
+    df = stored(df.select(*[F.col(c).cast("double").alias(c) for c in dict.fromkeys(columns)]), "kendall")
     pairs = list(combinations(columns, 2))
     with ThreadPoolExecutor(4) as pool:
         values = list(pool.map(lambda p: kendall_pair(df, *p, task_rows), pairs))
