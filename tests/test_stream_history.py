@@ -82,3 +82,20 @@ def test_engineered_features_on_a_stream_equal_the_batch(spark, tmp_path):
     key = lambda r: tuple(str(v) for v in r)
     assert sorted(got.columns) == columns
     assert sorted(map(key, got.select(columns).collect())) == sorted(map(key, want.select(columns).collect()))
+
+
+def test_accounts_share_states(spark, tmp_path):
+    rows = rows_of(7, 120)
+    end = ("end", 99, max(r[2] for r in rows) + timedelta(days=10), "Web", 0.0, None)
+    folder = str(tmp_path / "in")
+    for part in (rows[:50], [*rows[50:], end]):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+    stream = stream_history(read_record_stream(spark, folder, SCHEMA, "parquet", files_per_batch=1), "acc", "at", "lead", (30, 90), "src", ("Web",), "1 day", slots=2)
+    query = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "s")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    # two states of waiting rows, two of the past, and their timers at most, for six accounts
+    assert max(o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"]) <= 10
+    got, want = spark.read.parquet(str(tmp_path / "out")).filter("lead <> 'end'"), account_history(spark.createDataFrame(rows, SCHEMA), "acc", "at", "lead", (30, 90), "src", ("Web",))
+    key = lambda r: tuple(str(v) for v in r)
+    columns = sorted(want.columns)
+    assert sorted(map(key, got.select(columns).collect())) == sorted(map(key, want.select(columns).collect()))
