@@ -19,6 +19,7 @@ from winnow.functions.scalar import (
 )
 from winnow.operators.evaluation import auc_of, brier_of, score_curve
 from winnow.operators.kernels import stats_to_rows
+from winnow.session import stored
 
 # ---------------------------------------------------------------- calibrators
 
@@ -75,7 +76,7 @@ def fit_isotonic(df: DataFrame, score: str, label: str) -> Calibrator:
     ).filter("s IS NOT NULL AND label IS NOT NULL")
     ranges = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     pooled = points.repartitionByRange(ranges, "s").mapInPandas(_pool_ranges, "s double, label double, w double")
-    rows = VectorAssembler(inputCols=["s"], outputCol="_v").transform(pooled)
+    rows = VectorAssembler(inputCols=["s"], outputCol="_v").transform(stored(pooled, "isotonic"))
     est = IsotonicRegression(featuresCol="_v", labelCol="label", weightCol="w", predictionCol="_cal")
     return Calibrator("isotonic", est.fit(rows))
 

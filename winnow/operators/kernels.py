@@ -8,10 +8,11 @@ count is bounded by a constant in this file.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -213,6 +214,28 @@ def uniform_key(text: Column) -> Column:
 # ---------------------------------------------------------------- exact selection
 
 
+def _cell_counts(data: DataFrame, cuts: Mapping[str, Sequence[float]]) -> DataFrame:
+    """``(c, b, n)``: values per column and point-and-gap bucket, odd ones the edges themselves; NULL is not counted.
+
+    The tasks add up their rows, so a bucket and column is one row a task.
+    """
+    edges = {c: np.array(e, float) for c, e in cuts.items()}
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = [np.zeros(2 * len(e) + 1, np.int64) for e in edges.values()]
+        for batch in batches:
+            for i, e in enumerate(edges.values()):
+                v = batch.column(i).drop_null().to_numpy(zero_copy_only=False)
+                at = np.searchsorted(e, v)
+                on = e[np.minimum(at, len(e) - 1)] == v if len(e) else np.zeros(len(v), bool)
+                total[i] += np.bincount(2 * at + on, minlength=len(total[i]))
+        for c, t in zip(edges, total):
+            hit = np.flatnonzero(t)
+            yield pa.RecordBatch.from_arrays([pa.array([c] * len(hit), pa.string()), pa.array(hit, pa.int32()), pa.array(t[hit])], names=["c", "b", "n"])
+
+    return data.select(*edges).mapInArrow(tally, "c string, b int, n long").groupBy("c", "b").agg(F.sum("n").alias("n"))
+
+
 def order_statistics(
     df: DataFrame, wanted: Mapping[str, Callable[[int], Sequence[int]]], gather: int = GATHER_ROWS
 ) -> dict[str, tuple[int, dict[int, float]]]:
@@ -261,18 +284,12 @@ def order_statistics(
                 edges.setdefault(c, set()).update(row[i] or [])
                 edges[c].update(e for e in (lo, hi) if not math.isinf(e))
         cuts = {c: _strict(e) for c, e in edges.items()}
-        work = data.select(*cuts)
-        for c, e in cuts.items():
-            work = point_gap_bucket(work, c, e, "_b_" + c)
-        cells = F.array(*[
-            F.struct(F.lit(c).alias("c"), F.when(F.col(c).isNotNull(), F.col("_b_" + c)).alias("b")) for c in cuts
-        ])
-        table = work.select(F.inline(cells)).filter("b IS NOT NULL").groupBy("c", "b").count().collect()
+        table = _cell_counts(data, cuts).collect()
         for c, e in cuts.items():
             size = np.zeros(2 * len(e) + 1, dtype=np.int64)
             for row in table:
                 if row["c"] == c:
-                    size[row["b"]] += row["count"]
+                    size[row["b"]] += row["n"]
             upto = np.cumsum(size) + ends[c][0]
             bounds = [-math.inf, *e, math.inf]
             for (cc, r) in [k for k in where if k[0] == c and where[k][3] > gather]:

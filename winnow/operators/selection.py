@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from winnow.operators.describe import feature_profile
-from winnow.operators.kernels import chunks, exact_quantiles, pairwise_corr, safe_corr, stats_to_rows, unpivot
+from winnow.operators.kernels import WIDE_LIMIT, chunks, exact_quantiles, pairwise_corr, safe_corr, stats_to_rows, unpivot
 from winnow.roles import ColumnRoles, categorical_columns, numeric_columns
 
 
@@ -50,20 +50,24 @@ def duplicate_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     A sum of salted row hashes proposes candidates in one scan; only those are compared.
     """
-    # the row hash over all columns weighs each cell, so that a permuted column differs
-    salt = F.xxhash64(*[F.col(c) for c in columns])
-    cell = lambda c: F.xxhash64(F.col(c).cast("string"), salt).cast("decimal(38,0)")
-    prints: dict[str, object] = {}
-    for part in chunks(list(columns)):
-        row = df.agg(*[F.sum(cell(c)).alias(c) for c in part]).first()
-        prints.update(row.asDict())
     types = dict(df.dtypes)
+    # the row hash over all columns weighs each cell, so that a permuted column differs; the text tells -0.0 from 0.0
+    salted = df.select(*[F.col(c) for c in columns], F.xxhash64(*[F.col(c) for c in columns]).alias("_salt"))
+    cell = lambda c: F.xxhash64(
+        F.col(c), *([F.when(F.col(c) == 0, F.col(c).cast("string"))] if types[c] in ("double", "float") else []), F.col("_salt"))
+    prints: dict[str, tuple] = {}
+    for part in chunks(list(columns), WIDE_LIMIT // 3):
+        hashed = salted.select(*[cell(c).alias(f"h{i}") for i, c in enumerate(part)])
+        # a 64-bit hash is added up in three pieces, so that no sum overflows
+        row = hashed.agg(*[F.sum(F.shiftrightunsigned(f"h{i}", at).bitwiseAND(F.lit((1 << 22) - 1))) for i in range(len(part)) for at in (0, 22, 44)]).first()
+        prints.update({c: tuple(row[3 * i:3 * i + 3]) for i, c in enumerate(part)})
     groups: dict[tuple, list[str]] = {}
     for c in columns:
         groups.setdefault((types[c], prints[c]), []).append(c)
     pairs = [(later, g[0]) for g in groups.values() for later in g[1:]]
     if not pairs:
-        return df.sparkSession.createDataFrame([], "feature string, kept string")
+        none = F.lit(None).cast("string")
+        return df.sparkSession.range(0).select(none.alias("feature"), none.alias("kept"))
     parts = []
     for part in chunks(pairs):
         wide = df.agg(*[
@@ -92,10 +96,10 @@ def scaled_variances(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _concat(parts)
 
 
-def outlier_ratios(df: DataFrame, columns: Sequence[str], method: str = "iqr") -> DataFrame:
+def outlier_ratios(df: DataFrame, columns: Sequence[str], method: str = "iqr", durable: bool = True) -> DataFrame:
     """Share of all rows outside the IQR fence, or more than 3 deviations from the mean."""
     if method == "iqr":
-        lines = exact_quantiles(df, columns, (0.25, 0.75))
+        lines = exact_quantiles(df, columns, (0.25, 0.75), durable=durable)
         bounds = {c: (a - 1.5 * (b - a), b + 1.5 * (b - a)) for c, (a, b) in lines.items() if a is not None}
     else:
         bounds = {}
@@ -135,9 +139,9 @@ def mutual_information(df: DataFrame, columns: Sequence[str], target: str) -> Da
     return tables.select("feature", F.greatest((F.col("xy") - F.col("x") - F.col("y")) / t + F.log(t), F.lit(0.0)).alias("mi"))
 
 
-def filled_target_corr(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
+def filled_target_corr(df: DataFrame, columns: Sequence[str], target: str, durable: bool = True) -> DataFrame:
     """|Pearson| of the median-filled column with the target."""
-    medians = exact_quantiles(df, columns, (0.5,))
+    medians = exact_quantiles(df, columns, (0.5,), durable=durable)
     parts = []
     for part in chunks(list(columns), 60):
         wide = df.agg(*[
@@ -218,7 +222,7 @@ class SmartFeatureSelector:
 
     def fit(self, train: DataFrame, roles: ColumnRoles, keep_cached: bool = False) -> SelectorModel:
         """The steps scan the table about ten times, so it is cached meanwhile (memory, then
-        disk) unless the caller already did."""
+        disk) unless the caller already did, or stored it."""
         if keep_cached:
             return self._fit(train, roles)
         held = train.persist()
@@ -245,7 +249,7 @@ class SmartFeatureSelector:
                 if v is None or v <= self.near_zero_var_thresh:
                     dropped[c] = "near-zero variance"
         if left(numeric):
-            for c, r in _collect(outlier_ratios(train, left(numeric), self.outlier_method), "feature", "ratio").items():
+            for c, r in _collect(outlier_ratios(train, left(numeric), self.outlier_method, durable=False), "feature", "ratio").items():
                 if r > self.outlier_thresh:
                     dropped[c] = f"outliers: {r:.2f}"
         relevance: dict[str, float] = {}
@@ -255,7 +259,7 @@ class SmartFeatureSelector:
                     if mi < self.target_correlation_min:
                         dropped[c] = f"low mutual information: {mi:.4f}"
             if left(numeric):
-                relevance = _collect(filled_target_corr(train, left(numeric), roles.target), "feature", "r")
+                relevance = _collect(filled_target_corr(train, left(numeric), roles.target, durable=False), "feature", "r")
                 for c, r in relevance.items():
                     if r is not None and r < self.target_correlation_min:
                         dropped[c] = f"low target correlation: {r:.4f}"

@@ -29,7 +29,7 @@ from winnow.operators.synthetic import smote
 from winnow.operators.tuning import space_of, tune
 from winnow.plans.scoring import Scorer, ScoringSpec
 from winnow.roles import TEST_EXCLUDED, ColumnRoles, categorical_columns, exclude_columns, measure_columns, numeric_columns
-from winnow.session import pin
+from winnow.session import pin, stored
 from winnow.sources.files import split_metadata, write_split
 
 
@@ -195,7 +195,8 @@ def train_job(df: DataFrame, roles: ColumnRoles, config: TrainConfig = TrainConf
     elif roles.group:
         totals = fit_account_totals(train, roles.group)
     scorer = Scorer(spec, None, clean_model, totals, engineered=engineered)
-    derived = pin(scorer.features(train))
+    # some twenty scans of a few columns each follow
+    derived = stored(scorer.features(train), "derived")
     selector = None
     if config.select:
         selector = SmartFeatureSelector().fit(derived, roles, keep_cached=True)
