@@ -94,3 +94,35 @@ def test_texts_under_one_id_meet_their_own_sets_only(spark):
         assert {r.text for r in nd.of_representatives(docs, wanted, "doc_id", "text").collect()} == set(texts)
         edges = nd.links(docs, signed.selectExpr("set", "doc_id as rep", "hash as rep_hash", "n", "bands").dropDuplicates(["set"]), nd.NearDup(), "doc_id", "text")
         assert len({frozenset(r) for r in edges.collect()}) == 30
+
+
+def test_keys_are_exchanged_once_and_shingles_twice(spark):
+    words = [f"w{k}" for k in range(60)]
+    docs = spark.createDataFrame([(k, " ".join(words[: 60 - k % 3])) for k in range(12)] + [(50, "far from all the others")], "doc_id long, text string")
+    signed = nd.signatures(docs, nd.NearDup(), "doc_id", "text").filter("set is not null")
+    sets = signed.selectExpr("set", "doc_id as rep", "hash as rep_hash", "n", "bands").dropDuplicates(["set"])
+    held = {}
+    for r in sets.selectExpr("xxhash64(set) as member", "n", "bands").collect():
+        for band, key in enumerate(r.bands):
+            held.setdefault((key & -2) if band < 7 else (key | 1), set()).add((r.member, r.n))
+    got = {(r.bucket, r.member, r.n, r.early) for r in nd.buckets(sets, 7).collect()}
+    assert got == {(b, m, n, b % 2 == 0) for b, s in held.items() if len(s) > 1 for m, n in s} and {g[3] for g in got} == {True, False}
+
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        dealt = nd.starred(nd.mixed(nd.buckets(sets, 7), None))
+        plan = nd.compared(docs, sets, dealt, nd.NearDup(), "doc_id", "text")._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    depth = lambda line: len(re.match(r"[ :+\-]*", line)[0])
+    at = next(k for k, line in enumerate(plan) if "MapInArrow" in line)
+    above, least = [], depth(plan[at])
+    for line in reversed(plan[:at]):
+        if depth(line) < least:
+            above.append(line)
+            least = depth(line)
+    assert sum("Exchange hashpartitioning" in line for line in above) == 2

@@ -150,21 +150,31 @@ def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent:
             yield int(left[i]), int(right[j])
 
 
-def buckets(sets: DataFrame, bands: int, roots: DataFrame | None) -> DataFrame:
-    """``bucket, member, n, root, size, held``: the buckets of the first ``bands`` keys whose members are of several components.
+def buckets(sets: DataFrame, look: int) -> DataFrame:
+    """``bucket, member, n, early``: the buckets of all keys that several sets share; ``early`` are those of the first ``look`` bands.
 
-    One exchange by bucket serves the counts and the members. Buckets of the same members are kept once.
+    A key's last bit says whether its band is early, so that a key and a member are all that one exchange carries for each set and band.
     """
     short = F.xxhash64("set")
-    own = sets.select("set", short.alias("member"), "n", F.slice("bands", 1, bands).alias("bands"))
-    own = own.withColumn("root", F.col("member")) if roots is None else own.join(roots, "set", "left").withColumn("root", F.coalesce("root", "member"))
+    early = lambda key, band: F.when(band < look, key.bitwiseAND(F.lit(-2))).otherwise(key.bitwiseOR(F.lit(1)))
     over = Window.partitionBy("bucket")
-    counted = own.select(F.explode("bands").alias("bucket"), "member", "n", "root").select(
+    counted = sets.select(F.explode(F.transform("bands", early)).alias("bucket"), short.alias("member")).select(
+        "*", F.min("member").over(over).alias("low"), F.max("member").over(over).alias("high"))
+    shared = counted.filter("low < high").select("bucket", "member")
+    return pinned(shared.join(sets.select(short.alias("member"), "n"), "member").withColumn("early", F.expr("bucket & 1 = 0")), "buckets")
+
+
+def mixed(entries: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """``bucket, member, n, root, size, held``: the buckets whose members are of several components. Buckets of the same members are kept once."""
+    own = entries.select("bucket", "member", "n")
+    own = own.withColumn("root", F.col("member")) if roots is None else own.join(roots, "member", "left").withColumn("root", F.coalesce("root", "member"))
+    over = Window.partitionBy("bucket")
+    counted = own.select(
         "*", F.min("root").over(over).alias("low"), F.max("root").over(over).alias("high"), F.count("*").over(over).alias("size"), F.sum("n").over(over).alias("held"),
         F.sum(F.col("member").cast("decimal(20,0)")).over(over).alias("sum1"), F.bit_xor(F.xxhash64("member")).over(over).alias("sum2"))
-    mixed = pinned(counted.filter("low < high").drop("low", "high"), "buckets")
-    once = mixed.groupBy("size", "held", "sum1", "sum2").agg(F.min("bucket").alias("bucket")).select("bucket")
-    return mixed.join(once, "bucket", "left_semi").drop("sum1", "sum2")
+    several = pinned(counted.filter("low < high").drop("low", "high"), "mixed")
+    once = several.groupBy("size", "held", "sum1", "sum2").agg(F.min("bucket").alias("bucket")).select("bucket")
+    return several.join(once, "bucket", "left_semi").drop("sum1", "sum2")
 
 
 def tiles_for(size: Column, held: Column) -> Column:
@@ -199,17 +209,22 @@ def links(docs: DataFrame, sets: DataFrame, rule: NearDup, id: str, text: str) -
     finds most components; then every bucket that still holds several of them is compared across them, in all bands. Nothing is capped, and
     no pair that fails leaves its task. A set's shingles travel to a few tiles, not to one for every band and tile of its bucket.
     """
-    first = pinned(compared(docs, sets, starred(buckets(sets, max(1, rule.bands // 6), None)), rule, id, text), "links")
-    roots = components(first).select(F.col("node").alias("set"), F.xxhash64("root").alias("root"))
-    rest = compared(docs, sets, crossed(buckets(sets, rule.bands, roots)), rule, id, text)
+    entries = buckets(sets, max(1, rule.bands // 6))
+    first = pinned(compared(docs, sets, starred(mixed(entries.filter("early"), None)), rule, id, text), "links")
+    roots = components(first).select(F.xxhash64("node").alias("member"), F.xxhash64("root").alias("root"))
+    rest = compared(docs, sets, crossed(mixed(entries, roots)), rule, id, text)
     return first.unionByName(rest)
 
 
 def compared(docs: DataFrame, sets: DataFrame, dealt: DataFrame, rule: NearDup, id: str, text: str) -> DataFrame:
-    """Links found in tiles ``bucket, member, own, other``, by shingles made anew from the sets' own texts."""
+    """Links found in tiles ``bucket, member, own, other``, by shingles made anew from the sets' own texts.
+
+    Shingles are exchanged twice: by set, where copies meet and tiles are joined, and by tile.
+    """
     short = F.xxhash64("set")
-    asked = pinned(dealt.select("bucket", "member", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")), "tiles")
-    wanted = asked.select("member").distinct().join(sets.select(short.alias("member"), "set", "rep", "rep_hash"), "member")
+    tiles = dealt.select("bucket", "member", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    asked = pinned(tiles.join(sets.select(short.alias("member"), "set"), "member").drop("member"), "tiles")
+    wanted = pinned(asked.select("set").distinct().join(sets.select("set", "rep", "rep_hash"), "set"), "wanted")
 
     def remake(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,8 +234,10 @@ def compared(docs: DataFrame, sets: DataFrame, dealt: DataFrame, rule: NearDup,
                 yield pa.RecordBatch.from_arrays([pa.array(set_names(elements, offsets), pa.string()), raw], names=["set", "shingles"])
 
     made = of_representatives(docs, wanted, id, text).mapInArrow(remake, "set string, shingles binary")
-    made = made.join(wanted.select("set"), "set", "left_semi").groupBy("set").agg(F.any_value("shingles").alias("shingles"))
-    rows = asked.join(made.withColumn("member", short), "member").select("bucket", "i", "j", "own", "set", "shingles")
+    # the texts' filter lets other rows through; a second one keeps most of their shingles from being sent
+    own = sieved(made.withColumn("key", short), wanted.select(short.alias("key")))[0]
+    own = own.groupBy("set").agg(F.any_value("shingles").alias("shingles"))
+    rows = asked.join(own, "set").select("bucket", "i", "j", "own", "set", "shingles")
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def flush(parts: list[pd.DataFrame]) -> pd.DataFrame:
