@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
+
 from winnow.llm import phrases
 
 
@@ -66,3 +68,17 @@ def test_no_rows(spark):
     docs = spark.createDataFrame([], "lang string, text string")
     assert phrases.collocations(docs).count() == 0
     assert phrases.collocations(spark.createDataFrame([(None, None), ("en", "")], docs.schema)).count() == 0
+
+
+def test_sums_leave_a_task_in_small_batches():
+    names = [f"w{k}" for k in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 1000), pa.array([1] * 1000, pa.int32()), pa.array(names), pa.array(range(1000))], schema=phrases.SPELLED)
+    for most in (300, 5000):
+        out = list(phrases.folded(iter([batch] * 7), most, 64))
+        assert max(map(len, out)) <= 64
+        total = Counter()
+        for part in out:
+            total.update(dict(zip(part["phrase"].to_pylist(), part["c"].to_pylist())) if len(set(part["phrase"].to_pylist())) == len(part) else {"twice": 1})
+        assert total == Counter({f"w{k}": 7 * k for k in range(1000)})
+    assert sum(map(len, phrases.folded(iter([batch] * 7), 5000))) == 1000
+    assert max(map(len, phrases.folded(iter([pa.concat_batches([batch] * 40)])))) <= phrases.SENT

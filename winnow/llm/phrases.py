@@ -182,8 +182,8 @@ class Runs:
 
 SCANNED = "len int, bucket int, blob binary, lang string, c long"
 SPELLED = pa.schema([("lang", pa.string()), ("len", pa.int32()), ("phrase", pa.string()), ("c", pa.int64())])
-#: Phrases that a task holds before it hands them on.
-KEPT = 1 << 20
+#: Phrases that a task holds before it hands them on, and how many it hands on at once.
+KEPT, SENT = 1 << 18, 1 << 13
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -244,20 +244,26 @@ def spelled(runs: Runs, known: list[Slots]) -> Iterator[pa.RecordBatch]:
             pa.array(counts.astype(np.int64))], schema=SPELLED)
 
 
-def folded(batches: Iterator[pa.RecordBatch], most: int = KEPT) -> Iterator[pa.RecordBatch]:
-    """The same phrases added up before they leave the task."""
+def folded(batches: Iterator[pa.RecordBatch], most: int = KEPT, sent: int = SENT) -> Iterator[pa.RecordBatch]:
+    """The same phrases added up before they leave the task, some ``most`` at a time; they leave in batches of at most ``sent``."""
+    def summed(parts: list[pa.RecordBatch]) -> pa.Table:
+        sums = pa.Table.from_batches(parts).group_by(["lang", "len", "phrase"], use_threads=False).aggregate([("c", "sum")])
+        return sums.rename_columns(SPELLED.names).cast(SPELLED)
+
     held: list[pa.RecordBatch] = []
+    count = 0
     for batch in batches:
-        held.append(batch)
-        if sum(map(len, held)) > most:
-            sums = pa.Table.from_batches(held).group_by(["lang", "len", "phrase"]).aggregate([("c", "sum")]).rename_columns(SPELLED.names)
-            held = sums.cast(SPELLED).combine_chunks().to_batches()
-            if len(sums) > most // 2:
-                yield from held
-                held = []
+        for start in range(0, len(batch), most):
+            held.append(batch.slice(start, most))
+            count += len(held[-1])
+            if count > most:
+                sums = summed(held)
+                held, count = sums.combine_chunks().to_batches(), len(sums)
+                if count > most // 2:
+                    yield from sums.to_batches(max_chunksize=sent)
+                    held, count = [], 0
     if held:
-        sums = pa.Table.from_batches(held).group_by(["lang", "len", "phrase"]).aggregate([("c", "sum")]).rename_columns(SPELLED.names)
-        yield from sums.cast(SPELLED).to_batches()
+        yield from summed(held).to_batches(max_chunksize=sent)
 
 
 def over(slices: DataFrame, buckets: int, known: list[Slots], look, schema: str, after=iter) -> tuple[DataFrame, object]:
@@ -275,12 +281,23 @@ def frequent_numbers(scans: list[DataFrame], rule: Mining, buckets: int) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> pa.RecordBatch:
-            halves = [(np.cumsum(from_planes(b[:len(b) // 2]), dtype=np.int64), from_planes(b[len(b) // 2:])) for b in held]
-            numbers, counts = (np.concatenate(h) for h in zip(*halves))
-            order = np.argsort(numbers)
-            heads = np.flatnonzero(np.diff(numbers[order], prepend=-1))
-            often = np.add.reduceat(counts[order].astype(np.int64), heads) >= rule.least
-            number = numbers[order][heads[often]].astype(np.uint64)
+            # number and count side by side in 64 bits, sorted in place: a bucket takes little more than its blobs
+            both = np.empty(sum(map(len, held)) // 8, "<u8")
+            end = 0
+            while held:
+                blob = held.pop()
+                part = both[end:end + len(blob) // 8]
+                np.cumsum(from_planes(blob[:len(blob) // 2]), dtype="<u8", out=part)
+                part <<= np.uint64(32)
+                part |= from_planes(blob[len(blob) // 2:])
+                end += len(part)
+            both.sort()
+            numbers = both.view("<u4")[1::2]
+            heads = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1]))
+            numbers = numbers[heads]
+            both &= np.uint64(0xFFFFFFFF)
+            often = np.add.reduceat(both, heads) >= rule.least
+            number = numbers[often].astype(np.uint64)
             hashes = mix(number << np.uint64(32) | np.uint64(now[1])).view(np.int64)
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(hashes), now[0], np.int32)), pa.array(hashes)], names=["len", "hash"])
 
@@ -299,6 +316,11 @@ def frequent_numbers(scans: list[DataFrame], rule: Mining, buckets: int) -> Data
     return tables.repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "len").mapInArrow(run, "len int, hash long")
 
 
+def one_by_one(df: DataFrame) -> None:
+    """Slices, megabytes long, go to Python alone; whatever else travels as Arrow does so by :func:`light`, in few batches."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+
+
 def frequent(docs: DataFrame, rule: Mining = Mining(), lang: str = "lang", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """``lang, len, phrase, f`` of every phrase that occurs ``least`` times or more, and ``lang, n`` (word occurrences).
 
@@ -314,8 +336,6 @@ def frequent(docs: DataFrame, rule: Mining = Mining(), lang: str = "lang", text:
     path = scratch_path(spark, "phrase-shards")
     packed(cut, rule).write.partitionBy("shard").parquet(path)
     slices = spark.read.schema(PACKED).parquet(path)
-    # a slice is megabytes long
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
     buckets = max(1, -(-(slices.agg(F.sum(F.octet_length("codes"))).first()[0] or 0) // rule.share))
     known = [Slots(rule.slots) for _ in range(rule.longest)]
     reached = spark.createDataFrame([], "len int, hash long")
@@ -324,8 +344,10 @@ def frequent(docs: DataFrame, rule: Mining = Mining(), lang: str = "lang", text:
     while step <= until:
         shard = slices.filter(F.col("shard") == step % rule.shards).select("langs", "codes", "hashes", "tongues")
         looked, sent = over(shard, buckets, known[:-1], lambda runs, sieve, step=step: counted(runs, step, rule, sieve), SCANNED)
+        one_by_one(docs)
         scans.append(pinned(looked, "phrase-scan"))
         sent.destroy()
+        light(docs)
         new = frequent_numbers(scans[-rule.shards:], rule, buckets).join(reached, ["len", "hash"], "left_anti")
         new = pinned(new.withColumn("slot", F.col("hash").bitwiseAND(F.lit(rule.slots - 1)).cast("int")), "phrase-reached")
         reached = reached.unionByName(new.drop("slot"))
@@ -338,6 +360,7 @@ def frequent(docs: DataFrame, rule: Mining = Mining(), lang: str = "lang", text:
         step += 1
     words = reduce(DataFrame.unionByName, scans[:rule.shards]).filter("len = 0").groupBy("lang").agg(F.sum("c").alias("n"))
     looked, sent = over(slices, buckets, known, spelled, "lang string, len int, phrase string, c long", folded)
+    one_by_one(docs)
     sums = pinned(looked.groupBy("lang", "len", "phrase").agg(F.sum("c").alias("f")).filter(F.col("f") >= rule.least), "phrase-frequent")
     sent.destroy()
     light(docs)
