@@ -29,6 +29,42 @@ def test_segments_equal_direct_encoding(name, sf):
         assert ids[a:b].tolist() == plain.encode(text, add_special_tokens=False).ids, text
 
 
+class Counting:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_new_stretches_share_texts(name):
+    rng = np.random.default_rng(5)
+    letters = list("abcxyzABC éßñ中ж07'-.,;!?\"%\t\u0301\U0001f600") + ["'s", "I'll", "<|endoftext|>"]
+    words = ["".join(rng.choice(letters, rng.integers(1, 9))) for _ in range(4000)]
+    texts = [" ".join(words[k:k + 40]) for k in range(0, 4000, 40)] + ODD + [t + "\n" + t for t in words[:50]]
+    path = public_tokenizers.path(name)
+    plain = Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    for remembered in (600_000, 300):
+        encoder = TokenEncoder(path, remembered)
+        for _ in range(2):
+            for start in range(0, len(texts), 30):
+                part = texts[start:start + 30]
+                ids, ends = encoder.encode(pa.array(part, pa.large_string()))
+                assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == want[start:start + 30]
+    encoder = TokenEncoder(path)
+    encoder.tokenizer = Counting(encoder.tokenizer)
+    rare = " ".join(f"w{k}x{k * k}" for k in range(5000))
+    ids, _ = encoder.encode(pa.array([rare], pa.large_string()))
+    assert ids.tolist() == plain.encode(rare, add_special_tokens=False).ids
+    assert encoder.tokenizer.texts < 100  # and not one for each of the 5000
+
+
 def test_column_generation_meets_demand():
     rng = np.random.default_rng(3)
     sizes, demand = np.arange(1, 65), rng.integers(0, 40, 64)

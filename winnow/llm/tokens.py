@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import os
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +18,10 @@ import pyarrow.compute as pc
 CUT = "\x1f"
 #: White space next to white space, where a cut would change the tokens of a byte-level pre-tokenizer; or the mark itself.
 ODD_SPACES = "[\\p{Z}\\t-\\r\\x{85}\\x1c-\\x1f]{2}|\\x1f"
+#: A stretch without white space behind its first character; such ones may stand in one text between marks.
+JOINED = "^ ?[^\\p{Z}\\t-\\r\\x{85}\\x1c-\\x1f]+$"
+#: Stretches joined in one text: a text of its own for each costs more than its tokens.
+TOGETHER = 256
 
 
 class TokenEncoder:
@@ -39,37 +42,64 @@ class TokenEncoder:
         self.drops_space = kinds == ["Split", "ByteLevel"] and not self._direct([" \n\t "])[0].size
         self.cuts = bool(self.drops_space or (byte_level and not spec.get("normalizer")))
         self.folds = self.drops_space and '"Lowercase"' in json.dumps(spec.get("normalizer"))
+        # stands between joined stretches and is a token that none of them holds
+        self.mark = " \x1f " if self.drops_space else "\n"
+        alone = self._direct([self.mark])[0]
+        self.mark_id = int(alone[0]) if len(alone) == 1 else -1
         self.remembered = remembered
-        self._forget()
+        self.known = pa.array([], pa.large_string())
+        self.flat, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def _direct(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-
-    def _places(self, stretches: list[str]) -> np.ndarray:
-        """Numbers of the stretches in the table of known ones, learning those that are new."""
-        known = self.known
-        places = [known.get(s, -1) for s in stretches]
-        fresh = [s for s, p in zip(stretches, places) if p < 0]
-        if fresh and len(known) + len(fresh) > self.remembered and known:
-            self._forget()
-            return self._places(stretches)
-        parts, sizes = [self.flat], []
-        for start in range(0, len(fresh), 16384):
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(fresh[start:start + 16384], add_special_tokens=False)]
-            sizes += map(len, ids)
-            parts.append(np.fromiter(chain.from_iterable(ids), np.uint32))
-        if fresh:
-            first = len(known)
-            known.update(zip(fresh, range(first, first + len(fresh))))
-            self.flat = np.concatenate(parts)
-            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.array(sizes, np.int64))])
-            new = iter(range(first, first + len(fresh)))
-            places = [p if p >= 0 else next(new) for p in places]
-        return np.array(places, np.int64)
+    def _learnt(self, fresh: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of stretches one after another, and how many each has. Those that may be joined are encoded ``TOGETHER`` to a text."""
+        alike = pc.match_substring_regex(fresh, JOINED)
+        joined, own = fresh.filter(alike).to_pylist(), fresh.filter(pc.invert(alike)).to_pylist()
+        groups = [joined[k:k + TOGETHER] for k in range(0, len(joined), TOGETHER)]
+        together = self._direct([self.mark + self.mark.join(g) for g in groups])
+        ids = np.concatenate([*together, np.zeros(0, np.uint32)])
+        marks = np.flatnonzero(ids == self.mark_id)
+        if len(marks) != len(joined):  # a mark is no token of its own here
+            apart = self._direct(fresh.to_pylist())
+            return np.concatenate([*apart, np.zeros(0, np.uint32)]), np.fromiter(map(len, apart), np.int64, len(apart))
+        apart = self._direct(own)
+        sizes = np.zeros(len(fresh), np.int64)
+        alike = np.asarray(alike)
+        sizes[alike] = np.diff(np.append(marks, len(ids))) - 1
+        sizes[~alike] = np.fromiter(map(len, apart), np.int64, len(apart))
+        out, first = np.zeros(sizes.sum(), np.uint32), np.repeat(alike, sizes)
+        out[first], out[~first] = np.delete(ids, marks), np.concatenate([*apart, np.zeros(0, np.uint32)])
+        return out, sizes
+
+    def _gathered(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the known stretches at ``places`` one after another, and where each one's end."""
+        firsts, lengths = self.ends[places], self.ends[places + 1] - self.ends[places]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        return self.flat[np.repeat(firsts - ends[:-1], lengths) + np.arange(ends[-1])], ends
+
+    def _places(self, stretches: pa.Array) -> np.ndarray:
+        """Numbers of the different stretches in the table of known ones, learning those that are new.
+
+        Where they would be too many, only those met here stay known.
+        """
+        places = np.asarray(pc.fill_null(pc.index_in(stretches, value_set=self.known), -1)).astype(np.int64)
+        new = np.flatnonzero(places < 0)
+        if not len(new):
+            return places
+        if len(self.known) + len(new) > self.remembered:
+            met = places >= 0
+            self.flat, self.ends = self._gathered(places[met])
+            self.known = stretches.filter(pa.array(met))
+            places[met] = np.arange(len(self.known))
+        fresh = stretches.take(pa.array(new))
+        ids, sizes = self._learnt(fresh)
+        places[new] = len(self.known) + np.arange(len(new))
+        self.known = pa.concat_arrays([self.known, fresh])
+        self.flat = np.concatenate([self.flat, ids])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        return places
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and the offsets of each text's."""
@@ -87,10 +117,8 @@ class TokenEncoder:
         offsets = np.asarray(parts.offsets, dtype=np.int64)
         encoded = parts.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
         codes = np.asarray(encoded.indices, dtype=np.int64)
-        places = self._places(encoded.dictionary.to_pylist())[codes]
-        firsts, lengths = self.ends[places], self.ends[places + 1] - self.ends[places]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        ids, cuts = self.flat[np.repeat(firsts - ends[:-1], lengths) + np.arange(ends[-1])], ends[offsets - offsets[0]]
+        ids, ends = self._gathered(self._places(encoded.dictionary)[codes])
+        cuts = ends[offsets - offsets[0]]
         if odd.any():
             whole = iter(self._direct([texts[int(k)].as_py() for k in np.flatnonzero(odd)]))
             own = [next(whole) if o else ids[a:b] for o, a, b in zip(odd, cuts[:-1], cuts[1:])]
