@@ -82,3 +82,29 @@ def test_sums_leave_a_task_in_small_batches():
         assert total == Counter({f"w{k}": 7 * k for k in range(1000)})
     assert sum(map(len, phrases.folded(iter([batch] * 7), 5000))) == 1000
     assert max(map(len, phrases.folded(iter([pa.concat_batches([batch] * 40)])))) <= phrases.SENT
+
+
+def test_sums_travel_as_a_blob_for_each_bucket():
+    names = [f"w{k}" for k in range(1000)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(["en"] * 1000), pa.array([1] * 1000, pa.int32()), pa.array(names), pa.array(range(1000)), pa.array([k % 7 for k in range(1000)], pa.int32())],
+        schema=phrases.DEALT)
+    sent = [row for part in phrases.by_bucket(iter([batch] * 9)) for row in part.to_pylist()]
+    assert sorted(row["bucket"] for row in sent) == list(range(7))  # and not a row for each of the 1000
+    found = Counter()
+    for bucket in range(7):
+        blobs = pa.RecordBatch.from_pylist([row for row in sent if row["bucket"] == bucket] * 2, pa.schema([("bucket", pa.int32()), ("blob", pa.binary())]))
+        for part in phrases.added(iter([blobs]), 300):
+            assert all(int(name[1:]) % 7 == bucket for name in part["phrase"].to_pylist())
+            found.update(dict(zip(part["phrase"].to_pylist(), part["f"].to_pylist())))
+    assert found == Counter({f"w{k}": 18 * k for k in range(1000) if 18 * k >= 300})
+
+
+def test_sums_of_a_bucket_fold_while_they_are_read(monkeypatch):
+    monkeypatch.setattr(phrases, "KEPT", 50)
+    tables = [pa.RecordBatch.from_arrays([pa.array(["en"] * 40), pa.array([1] * 40, pa.int32()), pa.array([f"w{(k + j) % 90}" for k in range(40)]), pa.array([1] * 40)],
+                                         schema=phrases.SPELLED) for j in range(90)]
+    blobs = [phrases.squeezed(t.serialize().to_pybytes()) for t in tables]
+    batch = pa.RecordBatch.from_arrays([pa.array([0] * 90, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
+    assert {r["phrase"]: r["f"] for part in phrases.added(iter([batch]), 1) for r in part.to_pylist()} == {f"w{k}": 40 for k in range(90)}
+    assert list(phrases.added(iter([]), 1)) == []

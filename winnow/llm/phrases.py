@@ -20,7 +20,7 @@ from winnow.session import scratch_path
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 SPACES, BREAKS = b" \t", b".,;:!?\n\x0b\x0c\r"
 #: Bytes of text counted at once in a task.
-COUNTED = 6 << 20
+COUNTED = 3 << 20
 NEVER = 255
 
 
@@ -139,7 +139,7 @@ class Runs:
     def __init__(self, batch: pa.RecordBatch, row: int, buckets: int):
         field = lambda name: batch[name][row].as_buffer()
         codes = np.frombuffer(field("codes"), "<u4")
-        self.codes, self.piece = (codes & ~OPENS).astype(np.int64), np.cumsum(codes >= OPENS)
+        self.codes, self.piece = (codes & ~OPENS).astype(np.int64), np.cumsum(codes >= OPENS, dtype=np.int32)
         self.hashes, self.tongues = np.frombuffer(field("hashes"), np.uint64), np.frombuffer(field("tongues"), "<u4")
         self.langs, self.buckets = pa.array(batch["langs"][row].as_py(), pa.string()), buckets
         self.field = field
@@ -172,18 +172,19 @@ class Runs:
             yield length + 1, places, chain, slots
 
     def different(self, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """One place of every different phrase among those at ``at``, and their counts."""
+        """Where in ``at`` every different phrase stands once, and their counts."""
         keys = self.codes[at]
         for k in range(1, length):
             keys = (keys if k == 1 else np.unique(keys, return_inverse=True)[1]) * len(self.hashes) + self.codes[at + k]
         _, spots, counts = np.unique(keys, return_index=True, return_counts=True)
-        return at[spots], counts
+        return spots, counts
 
 
 SCANNED = "len int, bucket int, blob binary, lang string, c long"
 SPELLED = pa.schema([("lang", pa.string()), ("len", pa.int32()), ("phrase", pa.string()), ("c", pa.int64())])
+DEALT = SPELLED.append(pa.field("bucket", pa.int32()))
 #: Phrases that a task holds before it hands them on, and how many it hands on at once.
-KEPT, SENT = 1 << 18, 1 << 13
+KEPT, SENT = 1 << 17, 1 << 13
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -195,6 +196,19 @@ def from_planes(blob: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
+def squeezed(blob: bytes) -> bytes:
+    """Compressed by zstd behind the size: a table is written once and exchanged with each of the steps that count it."""
+    return len(blob).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(blob, asbytes=True)
+
+
+def full_size(blob: bytes) -> int:
+    return int.from_bytes(blob[:8], "little")
+
+
+def opened(blob: bytes) -> pa.Buffer:
+    return pa.Codec("zstd").decompress(memoryview(blob)[8:], decompressed_size=full_size(blob))
+
+
 def counted(runs: Runs, step: int, rule: Mining, known: list[Slots]) -> Iterator[pa.RecordBatch]:
     """Tables of numbers and counts by length and bucket: all words in the first cycle, and the phrases whose turn it is."""
     rows = {"len": [], "bucket": [], "blob": [], "lang": [], "c": []}
@@ -221,35 +235,41 @@ def counted(runs: Runs, step: int, rule: Mining, known: list[Slots]) -> Iterator
         keys, counts = keys[order], counts[order]
         cuts = np.flatnonzero(np.diff(keys >> 32, prepend=-1, append=-1))
         for a, b in zip(cuts[:-1], cuts[1:]):
-            add(length, int(keys[a] >> 32), planes(np.diff(keys[a:b] & 0xFFFFFFFF, prepend=0)) + planes(counts[a:b]), None, None)
+            add(length, int(keys[a] >> 32), squeezed(planes(np.diff(keys[a:b] & 0xFFFFFFFF, prepend=0)) + planes(counts[a:b])), None, None)
     kinds = (pa.int32(), pa.int32(), pa.binary(), pa.string(), pa.int64())
     yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), kinds)], names=list(rows))
 
 
 def spelled(runs: Runs, known: list[Slots]) -> Iterator[pa.RecordBatch]:
-    """Occurrences, by letters, of the phrases whose number is frequent."""
+    """Occurrences, by letters, of the phrases whose number is frequent, and the bucket of each."""
     words, held = runs.words(), np.bincount(runs.codes, minlength=len(runs.hashes))
     for length, places, chain, _ in runs.lengths(known[:-1]):
         sieve = known[length - 1]
-        often = sieve.first[(numbered(chain, runs.buckets)[2] % np.uint64(len(sieve.first))).astype(np.int64)] < NEVER
+        bucket, _, known_by = numbered(chain, runs.buckets)
+        often = np.flatnonzero(sieve.first[(known_by % np.uint64(len(sieve.first))).astype(np.int64)] < NEVER)
         if length == 1:
             first, counts = places[often], held[often]
             phrase = words.take(pa.array(first))
         else:
-            where, counts = runs.different(places[often], length)
+            spots, counts = runs.different(places[often], length)
+            often = often[spots]
+            where = places[often]
             first = runs.codes[where]
             phrase = pc.binary_join_element_wise(*[words.take(pa.array(runs.codes[where + k])) for k in range(length)], pa.scalar(" ", pa.large_string()))
         yield pa.RecordBatch.from_arrays([
             runs.langs.take(pa.array(runs.tongues[first].astype(np.int64))), pa.array(np.full(len(first), length, np.int32)), phrase.cast(pa.string()),
-            pa.array(counts.astype(np.int64))], schema=SPELLED)
+            pa.array(counts.astype(np.int64)), pa.array(bucket[often].astype(np.int32))], schema=DEALT)
+
+
+def summed(parts: list[pa.RecordBatch]) -> pa.Table:
+    schema = parts[0].schema
+    keys = [name for name in schema.names if name != "c"]
+    sums = pa.Table.from_batches(parts).group_by(keys, use_threads=False).aggregate([("c", "sum")])
+    return sums.rename_columns({"c_sum": "c"}).select(schema.names).cast(schema)
 
 
 def folded(batches: Iterator[pa.RecordBatch], most: int = KEPT, sent: int = SENT) -> Iterator[pa.RecordBatch]:
     """The same phrases added up before they leave the task, some ``most`` at a time; they leave in batches of at most ``sent``."""
-    def summed(parts: list[pa.RecordBatch]) -> pa.Table:
-        sums = pa.Table.from_batches(parts).group_by(["lang", "len", "phrase"], use_threads=False).aggregate([("c", "sum")])
-        return sums.rename_columns(SPELLED.names).cast(SPELLED)
-
     held: list[pa.RecordBatch] = []
     count = 0
     for batch in batches:
@@ -266,6 +286,36 @@ def folded(batches: Iterator[pa.RecordBatch], most: int = KEPT, sent: int = SENT
         yield from summed(held).to_batches(max_chunksize=sent)
 
 
+def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's sums, a blob for each bucket: Spark exchanges a few long values, not a row for every phrase."""
+    for sums in folded(batches, sent=KEPT):
+        # neighbours begin alike, which compresses well
+        sums = sums.take(pc.sort_indices(sums, sort_keys=[("bucket", "ascending"), ("lang", "ascending"), ("phrase", "ascending")]))
+        bucket = np.asarray(sums["bucket"])
+        cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
+        sums = sums.select(SPELLED.names)
+        blobs = [squeezed(sums.slice(a, b - a).serialize().to_pybytes()) for a, b in zip(cuts[:-1], cuts[1:])]
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]], pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
+
+
+def added(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Phrases with ``least`` occurrences or more in the blobs of whole buckets; what is held grows with the different phrases alone."""
+    held: list[pa.RecordBatch] = []
+    count, most = 0, KEPT
+    for batch in batches:
+        for blob in batch["blob"]:
+            held.append(pa.ipc.read_record_batch(opened(blob.as_py()), SPELLED))
+            count += len(held[-1])
+            if count > most:
+                held = summed(held).combine_chunks().to_batches()
+                count = sum(map(len, held))
+                most = max(KEPT, 2 * count)
+    if held:
+        sums = summed(held)
+        often = sums.filter(pc.greater_equal(sums["c"], least)).rename_columns(["lang", "len", "phrase", "f"])
+        yield from often.to_batches(max_chunksize=SENT)
+
+
 def over(slices: DataFrame, buckets: int, known: list[Slots], look, schema: str, after=iter) -> tuple[DataFrame, object]:
     """``look`` at all packed slices; the sieve is sent as small as its phrases allow."""
     sent = slices.sparkSession.sparkContext.broadcast([k.folded() for k in known])
@@ -282,10 +332,10 @@ def frequent_numbers(scans: list[DataFrame], rule: Mining, buckets: int) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> pa.RecordBatch:
             # number and count side by side in 64 bits, sorted in place: a bucket takes little more than its blobs
-            both = np.empty(sum(map(len, held)) // 8, "<u8")
+            both = np.empty(sum(map(full_size, held)) // 8, "<u8")
             end = 0
             while held:
-                blob = held.pop()
+                blob = opened(held.pop()).to_pybytes()
                 part = both[end:end + len(blob) // 8]
                 np.cumsum(from_planes(blob[:len(blob) // 2]), dtype="<u8", out=part)
                 part <<= np.uint64(32)
@@ -316,9 +366,13 @@ def frequent_numbers(scans: list[DataFrame], rule: Mining, buckets: int) -> Data
     return tables.repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "len").mapInArrow(run, "len int, hash long")
 
 
-def one_by_one(df: DataFrame) -> None:
-    """Slices, megabytes long, go to Python alone; whatever else travels as Arrow does so by :func:`light`, in few batches."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+#: Slices are read back one at a time: a page and a row group end as soon as they hold one, and none is tried as a dictionary.
+SLICE_FILES = {"parquet.block.size": 8 << 20, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1, "parquet.enable.dictionary": False}
+
+
+def few_by_few(df: DataFrame, most: int) -> None:
+    """Slices, megabytes long, go to Python alone, tables some at a time; whatever else travels as Arrow does so by :func:`light`."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(most))
 
 
 def frequent(docs: DataFrame, rule: Mining = Mining(), lang: str = "lang", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -334,7 +388,7 @@ def frequent(docs: DataFrame, rule: Mining = Mining(), lang: str = "lang", text:
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     cut = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), body.alias("text"))
     path = scratch_path(spark, "phrase-shards")
-    packed(cut, rule).write.partitionBy("shard").parquet(path)
+    packed(cut, rule).write.options(**SLICE_FILES).partitionBy("shard").parquet(path)
     slices = spark.read.schema(PACKED).parquet(path)
     buckets = max(1, -(-(slices.agg(F.sum(F.octet_length("codes"))).first()[0] or 0) // rule.share))
     known = [Slots(rule.slots) for _ in range(rule.longest)]
@@ -344,12 +398,13 @@ def frequent(docs: DataFrame, rule: Mining = Mining(), lang: str = "lang", text:
     while step <= until:
         shard = slices.filter(F.col("shard") == step % rule.shards).select("langs", "codes", "hashes", "tongues")
         looked, sent = over(shard, buckets, known[:-1], lambda runs, sieve, step=step: counted(runs, step, rule, sieve), SCANNED)
-        one_by_one(docs)
+        few_by_few(docs, 1)
         scans.append(pinned(looked, "phrase-scan"))
         sent.destroy()
-        light(docs)
+        few_by_few(docs, 64)
         new = frequent_numbers(scans[-rule.shards:], rule, buckets).join(reached, ["len", "hash"], "left_anti")
         new = pinned(new.withColumn("slot", F.col("hash").bitwiseAND(F.lit(rule.slots - 1)).cast("int")), "phrase-reached")
+        light(docs)
         reached = reached.unionByName(new.drop("slot"))
         hit = new.select("len", "slot").distinct().toArrow()
         lengths, slots = np.asarray(hit["len"]), np.asarray(hit["slot"])
@@ -359,9 +414,10 @@ def frequent(docs: DataFrame, rule: Mining = Mining(), lang: str = "lang", text:
             until = max(until, step + rule.shards)
         step += 1
     words = reduce(DataFrame.unionByName, scans[:rule.shards]).filter("len = 0").groupBy("lang").agg(F.sum("c").alias("n"))
-    looked, sent = over(slices, buckets, known, spelled, "lang string, len int, phrase string, c long", folded)
-    one_by_one(docs)
-    sums = pinned(looked.groupBy("lang", "len", "phrase").agg(F.sum("c").alias("f")).filter(F.col("f") >= rule.least), "phrase-frequent")
+    looked, sent = over(slices, buckets, known, spelled, "bucket int, blob binary", by_bucket)
+    few_by_few(docs, 1)
+    sums = looked.repartitionById(buckets, "bucket").mapInArrow(lambda batches: added(batches, rule.least), "lang string, len int, phrase string, f long")
+    sums = pinned(sums, "phrase-frequent")
     sent.destroy()
     light(docs)
     return sums, words
